@@ -6,13 +6,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from eventflow.functions.messages import envelopes_from_raw, normalize_rows, parse_envelopes
 from eventflow.operators import funnel as fn
 from eventflow.operators import insights as ins
 from eventflow.operators import live
 from eventflow.operators.windows import events_per_window, with_event_ts
+from eventflow.plans.batch import BatchResult, run_batch_job
+from eventflow.plans.dashboard import batch_view, live_view, load_stream_metric
 from eventflow.plans.present import utc_wall_clock
+from eventflow.schemas import METRIC_SCHEMA, RAW_COLUMNS
+from eventflow.session import scratch_path
+from eventflow.sinks.files import write_csv, write_parquet
+from eventflow.sources.files import read_archive, read_events_csv
 from eventflow.sources.fixtures import read_fixture_events
+from eventflow.streaming import queries as sq
+from eventflow.streaming.sources import read_envelope_stream
+
+STREAM_TIMEOUT_S = 1800
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +107,124 @@ def q_funnel_batch(spark, sf_dir):
     return fn.funnel(ins.event_distribution(_raw(spark, sf_dir)), "count")
 
 
+# --- message codec -------------------------------------------------------------
+
+
+def q_normalize_events(spark, sf_dir):
+    """Rows as text (what a CSV reader hands the producer) -> normalised messages."""
+    text = _raw(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
+    return normalize_rows(text).drop("ingest_time")
+
+
+def q_to_json_envelope(spark, sf_dir):
+    env = envelopes_from_raw(_raw(spark, sf_dir))
+    return env.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
+def q_parse_json_events(spark, sf_dir):
+    parsed = parse_envelopes(envelopes_from_raw(_raw(spark, sf_dir)))
+    return utc_wall_clock(parsed.select(*RAW_COLUMNS, "kafka_ts", "event_ts"))
+
+
+# --- CSV / parquet round trips through the batch job -----------------------------
+
+
+def _raw_as_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The adapted clickstream written as a raw events CSV folder (shared scratch)."""
+    path = scratch_path(spark, "raw-csv")
+    write_csv(_raw(spark, sf_dir), path)
+    return path
+
+
+def _batch_job(spark: SparkSession, sf_dir: str) -> tuple[BatchResult, str]:
+    out = scratch_path(spark, "batch-job")
+    res = run_batch_job(spark, [_raw_as_csv(spark, sf_dir)], f"{out}/parquet", f"{out}/csv", input_format="csv")
+    return res, f"{out}/csv"
+
+
+def q_csv_scan_count(spark, sf_dir):
+    raw = read_events_csv(spark, _raw_as_csv(spark, sf_dir))
+    return raw.agg(
+        F.count(F.lit(1)).alias("total_events"),
+        F.count("timestamp").alias("n_timestamps"),
+        F.count_distinct("visitorid").alias("n_visitors"),
+        F.count("transactionid").alias("n_transactionids"),
+    )
+
+
+def q_csv_roundtrip_results(spark, sf_dir):
+    _, csv_dir = _batch_job(spark, sf_dir)
+    return batch_view(spark, csv_dir)["top_items"]
+
+
+def q_csv_roundtrip_daily(spark, sf_dir):
+    _, csv_dir = _batch_job(spark, sf_dir)
+    return batch_view(spark, csv_dir)["daily_visitors"]
+
+
+def q_parquet_roundtrip_results(spark, sf_dir):
+    res, _ = _batch_job(spark, sf_dir)
+    return res.tables["event_distribution"]
+
+
+def q_batch_job_total(spark, sf_dir):
+    res, _ = _batch_job(spark, sf_dir)
+    return res.total_events()
+
+
+# --- streaming (file replay of envelopes, availableNow) ---------------------------
+
+
+def _replay_source(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "envelopes")
+    write_parquet(envelopes_from_raw(_raw(spark, sf_dir)), path)
+    return path
+
+
+def _await(q: StreamingQuery) -> None:
+    if not q.awaitTermination(STREAM_TIMEOUT_S):
+        q.stop()
+        raise TimeoutError(f"stream {q.name or q.id} did not finish")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def _stream_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sq.metric_stream(parse_envelopes(read_envelope_stream(spark, _replay_source(spark, sf_dir))))
+
+
+def q_stream_snapshot_complete(spark, sf_dir):
+    folder, ckpt = scratch_path(spark, "snapshot"), scratch_path(spark, "ckpt")
+    _await(sq.start_metric_snapshot(_stream_metric(spark, sf_dir), folder, ckpt, trigger="availableNow"))
+    return utc_wall_clock(load_stream_metric(spark, folder))
+
+
+def q_stream_windows_append(spark, sf_dir):
+    path, ckpt = scratch_path(spark, "metric"), scratch_path(spark, "ckpt")
+    _await(sq.start_metric_append(_stream_metric(spark, sf_dir), path, ckpt, trigger="availableNow"))
+    return utc_wall_clock(spark.read.schema(METRIC_SCHEMA).parquet(path))
+
+
+def q_stream_windows_update(spark, sf_dir):
+    path, ckpt = scratch_path(spark, "updates"), scratch_path(spark, "ckpt")
+    _await(sq.start_metric_updates(_stream_metric(spark, sf_dir), path, ckpt, trigger="availableNow"))
+    return utc_wall_clock(sq.latest_updates(spark, path))
+
+
+def q_stream_live_kpis(spark, sf_dir):
+    """Stream -> snapshot folder -> live KPIs, the dashboard's data path."""
+    folder, ckpt = scratch_path(spark, "snapshot"), scratch_path(spark, "ckpt")
+    _await(sq.start_metric_snapshot(_stream_metric(spark, sf_dir), folder, ckpt, trigger="availableNow"))
+    return utc_wall_clock(live_view(load_stream_metric(spark, folder))["kpis"])
+
+
+def q_archive_replay_distribution(spark, sf_dir):
+    path, ckpt = scratch_path(spark, "archive"), scratch_path(spark, "ckpt")
+    parsed = parse_envelopes(read_envelope_stream(spark, _replay_source(spark, sf_dir)))
+    _await(sq.start_archive(parsed, path, ckpt, trigger="availableNow"))
+    return ins.event_distribution(read_archive(spark, path))
+
+
 QUERIES: dict[str, Query] = {
     "top_items": q_top_items,
     "event_distribution": q_event_distribution,
@@ -112,4 +243,17 @@ QUERIES: dict[str, Query] = {
     "event_totals_from_windows": q_event_totals_from_windows,
     "funnel_live": q_funnel_live,
     "funnel_batch": q_funnel_batch,
+    "normalize_events": q_normalize_events,
+    "to_json_envelope": q_to_json_envelope,
+    "parse_json_events": q_parse_json_events,
+    "csv_scan_count": q_csv_scan_count,
+    "csv_roundtrip_results": q_csv_roundtrip_results,
+    "csv_roundtrip_daily": q_csv_roundtrip_daily,
+    "parquet_roundtrip_results": q_parquet_roundtrip_results,
+    "batch_job_total": q_batch_job_total,
+    "stream_snapshot_complete": q_stream_snapshot_complete,
+    "stream_windows_append": q_stream_windows_append,
+    "stream_windows_update": q_stream_windows_update,
+    "stream_live_kpis": q_stream_live_kpis,
+    "archive_replay_distribution": q_archive_replay_distribution,
 }

@@ -51,6 +51,18 @@ FROM (SELECT
 
 DIST = """dist AS (SELECT event, count(*) AS "count" FROM ev GROUP BY event)"""
 
+# Naive UTC ISO text of epoch ms, Python ``isoformat`` style.
+def _iso(ms: str) -> str:
+    return (f"CASE WHEN {ms} % 1000 = 0 THEN strftime(make_timestamp({ms} * 1000), '%Y-%m-%dT%H:%M:%S') "
+            f"ELSE strftime(make_timestamp({ms} * 1000), '%Y-%m-%dT%H:%M:%S.%f') END")
+
+
+KPIS = """SELECT max(window_start) AS latest_window,
+       CAST(coalesce(sum(CASE WHEN window_start = (SELECT max(window_start) FROM met) THEN event_count END), 0) AS BIGINT) AS events_latest,
+       CAST(coalesce(sum(event_count), 0) AS BIGINT) AS total_events,
+       count(DISTINCT event) AS event_types
+FROM met"""
+
 ORACLE_SQL: dict[str, str] = {
     "top_items": f"""WITH {EV}
 SELECT itemid, count(*) AS view_count FROM ev WHERE event = 'view'
@@ -82,12 +94,7 @@ daily AS (SELECT event_date, count(DISTINCT visitorid) AS active_visitors FROM e
 SELECT min(event_date) AS first_day, max(event_date) AS last_day,
        count(DISTINCT event_date) AS n_days FROM daily""",
     "events_per_minute": f"""WITH {EV}, {MET} SELECT * FROM met""",
-    "live_kpis": f"""WITH {EV}, {MET}
-SELECT max(window_start) AS latest_window,
-       CAST(coalesce(sum(CASE WHEN window_start = (SELECT max(window_start) FROM met) THEN event_count END), 0) AS BIGINT) AS events_latest,
-       CAST(coalesce(sum(event_count), 0) AS BIGINT) AS total_events,
-       count(DISTINCT event) AS event_types
-FROM met""",
+    "live_kpis": f"""WITH {EV}, {MET} {KPIS}""",
     "latest_window_breakdown": f"""WITH {EV}, {MET}
 SELECT window_start, window_end, event, event_count FROM met
 WHERE window_start = (SELECT max(window_start) FROM met)""",
@@ -100,4 +107,38 @@ SELECT event, CAST(sum(event_count) AS BIGINT) AS event_count FROM met
 WHERE event IS NOT NULL GROUP BY event""",
     "funnel_live": f"""WITH {EV}, {MET} {_funnel("met", "event_count")}""",
     "funnel_batch": f"""WITH {EV}, {DIST} {_funnel("dist", '"count"')}""",
+    "normalize_events": f"""WITH {EV}
+SELECT "timestamp", {_iso('"timestamp"')} AS event_time, visitorid, event, itemid, transactionid,
+       false AS ts_defaulted
+FROM ev""",
+    "to_json_envelope": f"""WITH {EV}
+SELECT visitorid AS "key",
+       CAST(json_object('timestamp', "timestamp", 'event_time', {_iso('"timestamp"')},
+                        'visitorid', visitorid, 'event', event, 'itemid', itemid,
+                        'transactionid', transactionid, 'ingest_time', {_iso('"timestamp"')}) AS VARCHAR) AS "value"
+FROM ev""",
+    "parse_json_events": f"""WITH {EV}
+SELECT "timestamp", visitorid, event, itemid, transactionid,
+       make_timestamp("timestamp" * 1000) AS kafka_ts, make_timestamp("timestamp" * 1000) AS event_ts
+FROM ev""",
+    "csv_scan_count": f"""WITH {EV}
+SELECT count(*) AS total_events, count("timestamp") AS n_timestamps,
+       count(DISTINCT visitorid) AS n_visitors, count(transactionid) AS n_transactionids
+FROM ev""",
+    "csv_roundtrip_results": f"""WITH {EV}
+SELECT itemid, count(*) AS view_count FROM ev WHERE event = 'view'
+GROUP BY itemid ORDER BY view_count DESC, itemid ASC NULLS FIRST LIMIT 20""",
+    "csv_roundtrip_daily": f"""WITH {EV}, {ENR}
+SELECT event_date, count(DISTINCT visitorid) AS active_visitors FROM enr GROUP BY event_date""",
+    "parquet_roundtrip_results": f"""WITH {EV}, {DIST} SELECT event, "count" FROM dist""",
+    "batch_job_total": f"""WITH {EV} SELECT count(*) AS total_events FROM ev""",
+    "stream_snapshot_complete": f"""WITH {EV}, {MET} SELECT * FROM met""",
+    # Append mode emits a window once the watermark (max event time - 2 minutes)
+    # has passed its end.
+    "stream_windows_append": f"""WITH {EV}, {MET}
+SELECT * FROM met
+WHERE window_end <= (SELECT make_timestamp(max("timestamp") * 1000) - INTERVAL 2 MINUTE FROM ev)""",
+    "stream_windows_update": f"""WITH {EV}, {MET} SELECT * FROM met""",
+    "stream_live_kpis": f"""WITH {EV}, {MET} {KPIS}""",
+    "archive_replay_distribution": f"""WITH {EV}, {DIST} SELECT event, "count" FROM dist""",
 }
