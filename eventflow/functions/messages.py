@@ -69,30 +69,33 @@ def _parse_schema() -> T.StructType:
 
 
 def decode_envelopes(raw: DataFrame) -> DataFrame:
-    """Envelopes -> message fields + ``kafka_ts`` + ``malformed`` flag.
+    """Envelopes -> message fields + ``kafka_ts`` + ``json_str`` + ``malformed``.
 
     PERMISSIVE parsing: a wrong type in one field makes that field NULL and keeps
     the others.  ``malformed`` is true when not one field could be read (junk text,
     empty or NULL value).
+
+    The parsed struct is unpacked with ``inline(array(...))`` rather than a plain
+    projection: Catalyst pushes a filter on projected fields below the projection
+    and repeats ``from_json`` once per referenced field, while predicates on a
+    generator's output stay above it, so each record is parsed exactly once.
     """
+    value = F.col("value").cast("string")
     parsed = raw.select(
-        F.from_json(
-            F.col("value").cast("string"),
-            _parse_schema(),
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN},
-        ).alias("e"),
+        F.inline(
+            F.array(
+                F.from_json(
+                    value, _parse_schema(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+                )
+            )
+        ),
         F.col("timestamp").alias("kafka_ts"),
-        F.col("value").cast("string").alias("json_str"),
+        value.alias("json_str"),
     )
     no_field = F.lit(True)
     for c in MESSAGE_COLUMNS:
-        no_field = no_field & F.col(f"e.{c}").isNull()
-    return parsed.select(
-        *[F.col(f"e.{c}").alias(c) for c in MESSAGE_COLUMNS],
-        "kafka_ts",
-        "json_str",
-        F.coalesce(no_field, F.lit(True)).alias("malformed"),
-    )
+        no_field = no_field & F.col(c).isNull()
+    return parsed.select(*MESSAGE_COLUMNS, "kafka_ts", "json_str", no_field.alias("malformed"))
 
 
 def with_event_ts(decoded: DataFrame) -> DataFrame:

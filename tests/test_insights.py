@@ -1,0 +1,84 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from eventflow.functions.format import percent_label, thousands
+from eventflow.operators import insights as ins
+from eventflow.operators.funnel import funnel
+from tests.conftest import raw_rows
+
+D1 = 1433221332117  # 2015-06-02 UTC
+D2 = D1 + 86_400_000
+
+
+def test_top_items_tie_break_and_case(spark):
+    rows = [(D1, "v", "view", i, None) for i in ["b", "a", "c", "a", "b"]] + [(D1, "v", "View", "z", None)] * 5
+    got = [tuple(r) for r in ins.top_items(raw_rows(spark, rows), n=2).collect()]
+    assert got == [("a", 2), ("b", 2)]  # 'View' is not 'view'; ties by itemid text
+
+
+def test_top_items_plan_is_pushed_and_top_k(spark):
+    plan = ins.top_items(raw_rows(spark, [(D1, "v", "view", "1", None)]))._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_distribution_keeps_null_event(spark):
+    rows = [(D1, "v", "view", "1", None), (D1, "v", None, "1", None), (D1, "v", "view", "2", None)]
+    got = {r.event: r["count"] for r in ins.event_distribution(raw_rows(spark, rows)).collect()}
+    assert got == {"view": 2, None: 1}
+    assert ins.total_events(raw_rows(spark, rows)).first().total_events == 3
+
+
+def test_event_share(spark):
+    rows = [(D1, "v", "view", "1", None)] * 3 + [(D1, "v", "addtocart", "1", None)]
+    got = {r.event: r.share_pct for r in ins.event_share(raw_rows(spark, rows)).collect()}
+    assert got == {"view": 75.0, "addtocart": 25.0}
+
+
+def test_daily_visitors_null_rules(spark):
+    rows = [
+        (D1, "a", "view", "1", None),
+        (D1, "a", "view", "1", None),
+        (D1, None, "view", "1", None),  # NULL visitor not counted
+        (D2, "b", "view", "1", None),
+        (None, "c", "view", "1", None),  # NULL day: own group, first
+    ]
+    got = [tuple(r) for r in ins.daily_visitors(raw_rows(spark, rows)).collect()]
+    assert got == [(None, 1), (dt.date(2015, 6, 2), 1), (dt.date(2015, 6, 3), 1)]
+
+
+def test_coverage_counts_non_null(spark):
+    rows = [(D1, "a", "view", "1", None), (None, "a", "view", "1", None), (D2, "a", "view", "1", None)]
+    cov = ins.coverage(raw_rows(spark, rows)).first()
+    assert cov.n_events == 2 and cov.source == "csv"
+    assert ins.total_events(raw_rows(spark, rows)).first().total_events == 3
+    empty = ins.coverage(raw_rows(spark, [(None, "a", "view", "1", None)])).first()
+    assert empty.n_events == 0 and empty.source == "empty" and empty.min_ts is None
+    labels = ins.coverage_labels(ins.coverage(raw_rows(spark, [(None, "a", "view", "1", None)]))).first()
+    assert tuple(labels) == ("-", "-")
+
+
+def test_date_window(spark):
+    rows = [(D1, "a", "view", "1", None), (D2, "b", "view", "1", None), (D2, "c", "view", "1", None)]
+    got = ins.date_window(ins.daily_visitors(raw_rows(spark, rows))).first()
+    assert tuple(got) == (dt.date(2015, 6, 2), dt.date(2015, 6, 3), 2)
+
+
+def test_published_figures_golden(spark):
+    """Counts published for the full dataset: shares and funnel rates."""
+    dist = spark.createDataFrame(
+        [("view", 2664312), ("addtocart", 69332), ("transaction", 22457)], "event string, count long"
+    )
+    assert dist.agg(F.sum("count")).first()[0] == 2756101
+    f = funnel(dist, "count")
+    labels = f.select(
+        percent_label("view_to_cart"), percent_label("cart_to_tx"), percent_label("overall"), thousands("view_count")
+    ).first()
+    assert tuple(labels) == ("2.60 %", "32.39 %", "0.84 %", "2,664,312")
+    r = f.first()
+    assert round(r.view_to_cart, 4) == 2.6022 and round(r.cart_to_tx, 4) == 32.3905 and round(r.overall, 4) == 0.8429
+    shares = spark.createDataFrame(
+        [(2756101, "view", 2664312), (2756101, "addtocart", 69332), (2756101, "transaction", 22457)],
+        "n long, event string, c long",
+    ).select("event", F.format_string("%.2f", F.col("c") * 100.0 / F.col("n")).alias("s"))
+    assert {r.event: r.s for r in shares.collect()} == {"view": "96.67", "addtocart": "2.52", "transaction": "0.81"}

@@ -1,0 +1,80 @@
+from pyspark.sql import functions as F
+
+from eventflow.operators import live
+from eventflow.operators.funnel import funnel
+from eventflow.operators.windows import events_per_window, with_event_ts
+from tests.conftest import metric_rows, raw_rows
+
+
+def _metric(spark):
+    return metric_rows(
+        spark,
+        [
+            ("2015-06-02 05:00", "view", 5),
+            ("2015-06-02 05:00", "addtocart", 1),
+            ("2015-06-02 05:01", "view", 2),
+            ("2015-06-02 05:03", "transaction", 1),
+            ("2015-06-02 05:03", None, 4),
+            ("2015-06-02 05:04", None, 2),  # only NULL events in the latest window
+        ],
+    )
+
+
+def test_kpis_null_event_rules(spark):
+    k = live.kpis(_metric(spark)).first()
+    assert k.events_latest == 2  # NULL-event rows are counted in the latest window
+    assert k.total_events == 15
+    assert k.event_types == 3  # NULL is not a type
+
+
+def test_kpis_empty(spark):
+    k = live.kpis(_metric(spark).limit(0)).first()
+    assert k.latest_window is None and k.events_latest == 0 and k.total_events == 0 and k.event_types == 0
+
+
+def test_latest_breakdown(spark):
+    rows = live.latest_breakdown(_metric(spark)).collect()
+    assert [(r.event, r.event_count) for r in rows] == [(None, 2)]
+
+
+def test_wide_fewer_than_n_no_gap_fill(spark):
+    wide = live.last_n_wide(_metric(spark), n=60).collect()
+    # 05:04 has only a NULL type -> absent; 05:02 never existed -> not filled in
+    assert [r.window_start.strftime("%H:%M") for r in wide] == ["05:00", "05:01", "05:03"]
+    assert [(r.view, r.addtocart, r.transaction) for r in wide] == [(5, 1, 0), (2, 0, 0), (0, 0, 1)]
+    assert len(live.last_n_wide(_metric(spark), n=2).collect()) == 2
+
+
+def test_pivot_unpivot_keeps_sums(spark):
+    m = _metric(spark)
+    long = live.last_n_long(m, n=60)
+    assert long.count() == 9  # 3 windows x 3 types, zeros kept
+    assert long.agg(F.sum("event_count")).first()[0] == m.filter("event is not null").agg(F.sum("event_count")).first()[0]
+
+
+def test_event_totals_and_live_funnel(spark):
+    totals = {r.event: r.event_count for r in live.event_totals(_metric(spark)).collect()}
+    assert totals == {"view": 7, "addtocart": 1, "transaction": 1}
+    f = funnel(_metric(spark)).first()
+    assert (f.view_count, f.addtocart_count, f.transaction_count) == (7, 1, 1)
+    assert f.cart_to_tx == 100.0
+
+
+def test_funnel_zero_denominators_and_above_100(spark):
+    only_tx = spark.createDataFrame([("transaction", 5)], "event string, event_count long")
+    f = funnel(only_tx).first()
+    assert (f.view_to_cart, f.cart_to_tx, f.overall) == (0.0, 0.0, 0.0)
+    more_cart = spark.createDataFrame([("view", 2), ("addtocart", 3)], "event string, event_count long")
+    assert funnel(more_cart).first().view_to_cart == 150.0
+
+
+def test_window_metric_static(spark, la_zone):
+    base = 1433221200000  # 2015-06-02 05:00:00 UTC
+    rows = [(base + 10_000, "a", "view", "1", None), (base + 59_999, "a", "view", "1", None),
+            (base + 60_000, "a", "view", "1", None), (base + 1, "a", None, "1", None)]
+    m = events_per_window(with_event_ts(raw_rows(spark, rows)))
+    out = {(r.s, r.event): r.event_count for r in
+           m.select(F.unix_seconds("window_start").alias("s"), "event", "event_count").collect()}
+    assert out == {(1433221200, "view"): 2, (1433221260, "view"): 1, (1433221200, None): 1}
+    ends = {r.d for r in m.select((F.unix_seconds("window_end") - F.unix_seconds("window_start")).alias("d")).collect()}
+    assert ends == {60}

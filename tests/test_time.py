@@ -1,0 +1,71 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from eventflow.functions import time as t
+from eventflow.operators.insights import enrich
+from tests.conftest import raw_rows
+
+
+def _rows(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "ms long")
+
+
+def _check_truncation(spark):
+    df = _rows(spark, [1433221332117, -1, None])
+    out = df.select(
+        t.instant_to_utc(t.ms_to_event_time("ms")).alias("et"),
+        t.utc_date(t.ms_to_event_time("ms")).alias("d"),
+    ).collect()
+    assert out[0].et == dt.datetime(2015, 6, 2, 5, 2, 12)
+    assert out[0].d == dt.date(2015, 6, 2)
+    assert out[1].et == dt.datetime(1970, 1, 1, 0, 0, 0)  # toward zero, not floor
+    assert out[1].d == dt.date(1970, 1, 1)
+    assert out[2].et is None and out[2].d is None
+
+
+def test_ms_truncation_utc(spark):
+    _check_truncation(spark)
+
+
+def test_ms_truncation_is_zone_free(spark, la_zone):
+    _check_truncation(spark)
+
+
+def test_enrich_matches_reference_expression_in_utc(spark):
+    df = raw_rows(spark, [(1433221332117, "1", "view", "2", None), (1433224214999, "1", "view", "2", None)])
+    ours = enrich(df).select(t.instant_to_utc("event_time").alias("e"), "event_date")
+    ref = df.select(
+        F.to_timestamp(F.from_unixtime(F.col("timestamp") / 1000)).cast("timestamp_ntz").alias("e"),
+        F.to_date(F.to_timestamp(F.from_unixtime(F.col("timestamp") / 1000))).alias("event_date"),
+    )
+    assert sorted(ours.collect()) == sorted(ref.collect())
+
+
+def test_iso_text_like_python_isoformat(spark, la_zone):
+    vals = [1433221332117, 1433221332000, 1433221332100, 0]
+    got = [r[0] for r in _rows(spark, vals).select(t.iso_utc_from_ms("ms")).collect()]
+    want = [dt.datetime.fromtimestamp(v / 1000.0, dt.timezone.utc).replace(tzinfo=None).isoformat() for v in vals]
+    assert got == want
+
+
+def test_parse_utc_text(spark, la_zone):
+    df = spark.createDataFrame(
+        [("2015-06-02T05:02:12.117000",), ("2015-06-02T05:02:12",), ("garbage",), (None,), ("2015-06-02T07:02:12+02:00",)],
+        "s string",
+    )
+    got = [r[0] for r in df.select(t.instant_to_utc(t.parse_utc_text("s"))).collect()]
+    assert got == [
+        dt.datetime(2015, 6, 2, 5, 2, 12, 117000),
+        dt.datetime(2015, 6, 2, 5, 2, 12),
+        None,
+        None,
+        dt.datetime(2015, 6, 2, 5, 2, 12),
+    ]
+
+
+def test_long_date_label(spark, la_zone):
+    df = _rows(spark, [1442534400000, 1430611200000, None])
+    got = [r[0] for r in df.select(t.long_date_label(t.ms_to_instant("ms"))).collect()]
+    # published range of the reference dataset: 03 May 2015 - 18 September 2015
+    assert got == ["Friday, 18 September 2015", "Sunday, 03 May 2015", "-"]
