@@ -54,12 +54,15 @@ def event_distribution(df: DataFrame) -> DataFrame:
 def event_share(df: DataFrame) -> DataFrame:
     """``event_distribution`` plus each type's share of all rows in percent.
 
-    The denominator is a scalar subquery (one number), not an un-partitioned
-    window, so no step gathers the groups into one task.
+    The denominator is a scalar subquery over the distribution itself, not an
+    un-partitioned window (which would gather the groups into one task) and not a
+    second scan of the raw rows: AQE reuses the distribution's shuffle output
+    (``ReusedExchange``) for the subquery.
     """
-    total = df.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
-    return event_distribution(df).withColumn(
-        "share_pct", F.col("count").cast("double") * F.lit(100.0) / total
+    dist = df.groupBy("event").agg(F.count(F.lit(1)).alias("count"))
+    total = dist.agg(F.sum("count").cast("double").alias("n")).scalar()
+    return dist.withColumn("share_pct", F.col("count").cast("double") * F.lit(100.0) / total).orderBy(
+        F.desc("count"), F.asc_nulls_first("event")
     )
 
 

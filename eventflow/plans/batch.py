@@ -11,6 +11,7 @@ Cost shape (vs. re-running every insight for every output):
 
 from __future__ import annotations
 
+import argparse
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from eventflow.operators import insights as ins
 from eventflow.schemas import RESULT_SCHEMAS
-from eventflow.session import scratch_path
+from eventflow.session import build_spark, scratch_path
 from eventflow.sinks.files import write_csv, write_parquet
 from eventflow.sources.files import read_events_csv, read_parquet_result, read_result_folder, resolve_input
 
@@ -93,3 +94,30 @@ def load_csv_results(spark: SparkSession, csv_dir: str) -> dict[str, DataFrame]:
     return {
         name: read_result_folder(spark, f"{base}/{name}", RESULT_SCHEMAS[name]) for name in RESULT_NAMES
     }
+
+
+def preview(result: BatchResult, n: int = 20) -> None:
+    """Console preview of the top items and the distribution."""
+    result.tables["top_items"].orderBy(F.desc("view_count"), F.asc_nulls_first("itemid")).show(n, truncate=False)
+    result.tables["event_distribution"].orderBy(F.desc("count")).show(truncate=False)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m eventflow.plans.batch --input hdfs:///raw/events.csv --input /data/events.csv
+    --parquet-out hdfs:///batch-results --csv-out /results/batch``"""
+    ap = argparse.ArgumentParser(description="eventflow batch job")
+    ap.add_argument("--input", action="append", required=True, help="candidate input paths, first existing wins")
+    ap.add_argument("--parquet-out", required=True)
+    ap.add_argument("--csv-out")
+    ap.add_argument("--format", choices=["csv", "parquet"])
+    ap.add_argument("--top-n", type=int, default=20)
+    ap.add_argument("--no-stage", action="store_true", help="read CSV directly for each insight")
+    args = ap.parse_args(argv)
+    spark = build_spark("eventflow-batch")
+    res = run_batch_job(spark, args.input, args.parquet_out, args.csv_out, args.format, not args.no_stage, args.top_n)
+    print(f"input: {res.input_path}; total events: {res.total_events().first().total_events:,}")
+    preview(res, args.top_n)
+
+
+if __name__ == "__main__":
+    main()

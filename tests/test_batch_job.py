@@ -36,3 +36,31 @@ def test_batch_job_end_to_end(spark, tmp_path):
 def test_batch_job_missing_input(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         run_batch_job(spark, [str(tmp_path / "none.csv")], str(tmp_path / "pq"))
+
+
+def test_batch_cli(spark, tmp_path, capsys):
+    from eventflow.plans.batch import main
+
+    src = tmp_path / "events.csv"
+    src.write_text(HEADER + "\n".join(ROWS) + "\n")
+    main(["--input", str(src), "--parquet-out", str(tmp_path / "pq"), "--csv-out", str(tmp_path / "csv")])
+    assert "total events: 5" in capsys.readouterr().out
+
+
+def test_producer_replay_then_streaming_job(spark, tmp_path):
+    from eventflow.plans.producer import csv_to_envelopes, replay_csv_to_files
+    from eventflow.plans.streaming_job import run_streaming_job
+    from eventflow.sources.files import read_archive
+    from eventflow.streaming.sources import read_envelope_stream
+    from eventflow.plans.dashboard import live_view, load_stream_metric
+
+    src = tmp_path / "events.csv"
+    src.write_text(HEADER + "\n".join(ROWS) + "\n")
+    assert csv_to_envelopes(spark, str(src)).count() == 5
+    replay_csv_to_files(spark, str(src), str(tmp_path / "env"))
+    run_streaming_job(spark, read_envelope_stream(spark, str(tmp_path / "env")), str(tmp_path / "out"),
+                      str(tmp_path / "ck"), available_now=True, timeout_s=300)
+    assert read_archive(spark, str(tmp_path / "out" / "raw-events")).count() == 5
+    metric = load_stream_metric(spark, str(tmp_path / "out" / "snapshot" / "events_per_minute"))
+    k = live_view(metric)["kpis"].first()
+    assert k.total_events == 5 and k.event_types == 3
