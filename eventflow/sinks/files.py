@@ -21,13 +21,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     writer.parquet(path)
 
 
-def write_versioned_snapshot(df: DataFrame, folder: str, version: int, keep: int = 2, single_file: bool = False) -> None:
+def write_versioned_snapshot(df: DataFrame, folder: str, version: int, keep: int = 2) -> None:
     """Write ``df`` as CSV to ``folder/batch=<version>`` and drop all but the newest
     ``keep`` versions.  A reader (``sources.files.read_latest_snapshot``) picks the
     newest version with a ``_SUCCESS`` marker, so it never sees a half-written or
     empty snapshot, unlike an in-place overwrite."""
     spark = df.sparkSession
-    write_csv(df, f"{folder.rstrip('/')}/batch={version}", single_file=single_file)
+    write_csv(df, f"{folder.rstrip('/')}/batch={version}")
     prune_versions(spark, folder, keep)
 
 

@@ -53,15 +53,17 @@ def start_metric_append(metric: DataFrame, path: str, checkpoint: str, trigger:
 def snapshot_writer(folder: str, order_col: str = "window_start", keep: int = 2,
                     single_file: bool = False) -> Callable[[DataFrame, int], None]:
     """foreachBatch function writing the whole result table of each micro-batch as a
-    versioned CSV snapshot, newest window first.  The batch is persisted so that
-    the sort's sampling, the write and the row count run the stateful plan once.
-    ``rows_written`` keeps ``(batch_id, rows)`` of each batch."""
+    versioned CSV snapshot, newest window first within each file (one file, and so
+    a total order, with ``single_file``; sorting within partitions needs no shuffle).
+    The batch is persisted so that the write and the row count run the stateful
+    plan once.  ``rows_written`` keeps ``(batch_id, rows)`` of each batch."""
     rows_written: list[tuple[int, int]] = []
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         cached = batch_df.persist()
         try:
-            write_versioned_snapshot(cached.orderBy(F.col(order_col).desc()), folder, batch_id, keep, single_file)
+            out = cached.coalesce(1) if single_file else cached
+            write_versioned_snapshot(out.sortWithinPartitions(F.col(order_col).desc()), folder, batch_id, keep)
             rows_written.append((batch_id, cached.count()))
         finally:
             cached.unpersist()
@@ -71,12 +73,12 @@ def snapshot_writer(folder: str, order_col: str = "window_start", keep: int = 2,
 
 
 def start_metric_snapshot(metric: DataFrame, folder: str, checkpoint: str, trigger: str | None = "15 seconds",
-                          name: str | None = None, keep: int = 2) -> StreamingQuery:
+                          name: str | None = None, keep: int = 2, single_file: bool = False) -> StreamingQuery:
     """Complete mode: the full metric table rewritten as a snapshot each batch.
     Complete mode keeps every window in state for ever and counts late rows; for
     long runs prefer :func:`start_metric_append` and read the appended table."""
     w = (metric.writeStream.outputMode("complete")
-         .foreachBatch(snapshot_writer(folder, keep=keep))
+         .foreachBatch(snapshot_writer(folder, keep=keep, single_file=single_file))
          .option("checkpointLocation", checkpoint)
          .trigger(**trigger_kwargs(trigger)))
     return w.start(queryName=name) if name else w.start()

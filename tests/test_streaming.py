@@ -158,3 +158,17 @@ def test_trigger_kwargs():
     assert sq.trigger_kwargs("availableNow") == {"availableNow": True}
     assert sq.trigger_kwargs("15 seconds") == {"processingTime": "15 seconds"}
     assert sq.trigger_kwargs(None) == {}
+
+
+def test_single_file_snapshot_is_newest_first(spark, tmp_path):
+    src = str(tmp_path / "src")
+    _write_batches(spark, src, BATCHES)
+    snap = str(tmp_path / "snap")
+    _run(sq.start_metric_snapshot(_metric(spark, src), snap, str(tmp_path / "ck"), trigger="availableNow",
+                                  single_file=True))
+    latest = sorted(n for n in os.listdir(snap) if n.startswith("batch="))[-1]
+    parts = [n for n in os.listdir(os.path.join(snap, latest)) if n.startswith("part-")]
+    assert len(parts) == 1
+    lines = open(os.path.join(snap, latest, parts[0])).read().splitlines()[1:]
+    starts = [ln.split(",")[0] for ln in lines]
+    assert starts == sorted(starts, reverse=True) and len(starts) == 3
