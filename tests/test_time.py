@@ -51,7 +51,8 @@ def test_iso_text_like_python_isoformat(spark, la_zone):
 
 def test_parse_utc_text(spark, la_zone):
     df = spark.createDataFrame(
-        [("2015-06-02T05:02:12.117000",), ("2015-06-02T05:02:12",), ("garbage",), (None,), ("2015-06-02T07:02:12+02:00",)],
+        [("2015-06-02T05:02:12.117000",), ("2015-06-02T05:02:12",), ("garbage",), (None,), ("2015-06-02T07:02:12+02:00",),
+         ("2015-06-02T05:02:12.000Z",), ("2015-06-01T22:02:12-0700",), ("2015-06-02T05:02:12 UTC",)],
         "s string",
     )
     got = [r[0] for r in df.select(t.instant_to_utc(t.parse_utc_text("s"))).collect()]
@@ -61,6 +62,9 @@ def test_parse_utc_text(spark, la_zone):
         None,
         None,
         dt.datetime(2015, 6, 2, 5, 2, 12),
+        dt.datetime(2015, 6, 2, 5, 2, 12),
+        dt.datetime(2015, 6, 2, 5, 2, 12),
+        dt.datetime(2015, 6, 2, 5, 2, 12),
     ]
 
 
