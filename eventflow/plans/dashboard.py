@@ -13,7 +13,9 @@ from eventflow.operators import insights as ins
 from eventflow.operators import live
 from eventflow.plans.batch import load_csv_results
 from eventflow.schemas import METRIC_SCHEMA
-from eventflow.sources.files import read_latest_snapshot
+from eventflow.sources.files import path_exists, read_events_csv, read_latest_snapshot
+
+COVERAGE_SCHEMA = "min_ts timestamp, max_ts timestamp, n_events long, source string"
 
 
 def load_stream_metric(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,3 +43,17 @@ def batch_view(spark: SparkSession, csv_dir: str, top_n: int = 20) -> dict[str,
         "funnel": fn.funnel(res["event_distribution"], "count"),
         "daily_visitors": daily,
     }
+
+
+def dataset_coverage(spark: SparkSession, path: str) -> DataFrame:
+    """Coverage of a raw events CSV with a status: ``csv``, ``empty``, ``missing``
+    (no such path) or ``error: ...`` (unreadable).  Only the ``timestamp`` column is
+    read (the CSV scan is pruned to it).  The one-row aggregate is evaluated here so
+    that a read error becomes a status instead of failing a later action."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([(None, None, 0, "missing")], COVERAGE_SCHEMA)
+    try:
+        cov = ins.coverage(read_events_csv(spark, path).select("timestamp"), source="csv")
+        return spark.createDataFrame(cov.collect(), COVERAGE_SCHEMA)
+    except Exception as exc:  # unreadable input is a status, not a crash of the view
+        return spark.createDataFrame([(None, None, 0, f"error: {type(exc).__name__}")], COVERAGE_SCHEMA)

@@ -64,3 +64,19 @@ def test_producer_replay_then_streaming_job(spark, tmp_path):
     metric = load_stream_metric(spark, str(tmp_path / "out" / "snapshot" / "events_per_minute"))
     k = live_view(metric)["kpis"].first()
     assert k.total_events == 5 and k.event_types == 3
+
+
+def test_dataset_coverage_status(spark, tmp_path):
+    from eventflow.plans.dashboard import dataset_coverage
+
+    assert dataset_coverage(spark, str(tmp_path / "none.csv")).first().source == "missing"
+    src = tmp_path / "events.csv"
+    src.write_text(HEADER + "\n".join(ROWS) + "\n")
+    row = dataset_coverage(spark, str(src)).first()
+    assert (row.n_events, row.source) == (5, "csv")
+    empty = tmp_path / "empty.csv"
+    empty.write_text(HEADER)
+    assert dataset_coverage(spark, str(empty)).first().source == "empty"
+    bad = tmp_path / "bad.csv"
+    bad.write_text("event,timestamp,visitorid,itemid,transactionid\nview,1,2,3,\n")
+    assert dataset_coverage(spark, str(bad)).first().source.startswith("error")

@@ -172,3 +172,24 @@ def test_single_file_snapshot_is_newest_first(spark, tmp_path):
     lines = open(os.path.join(snap, latest, parts[0])).read().splitlines()[1:]
     starts = [ln.split(",")[0] for ln in lines]
     assert starts == sorted(starts, reverse=True) and len(starts) == 3
+
+
+def test_console_sink_runs(spark, tmp_path):
+    src = str(tmp_path / "src")
+    _write_batches(spark, src, BATCHES[:1])
+    _run(sq.start_console(_metric(spark, src), str(tmp_path / "ck"), trigger="availableNow", num_rows=5))
+
+
+def test_archive_partitioned_by_date(spark, tmp_path):
+    from eventflow.sources.files import read_archive
+
+    src = str(tmp_path / "src")
+    _write_batches(spark, src, BATCHES)
+    parsed = parse_envelopes(read_envelope_stream(spark, src))
+    out = str(tmp_path / "arch")
+    _run(sq.start_archive(parsed, out, str(tmp_path / "ck"), trigger="availableNow", partition_by_date=True))
+    assert sorted(os.listdir(out)) == ["_spark_metadata", "event_date=2015-06-02"]
+    assert read_archive(spark, out).count() == 6
+    # a date filter prunes partitions
+    plan = spark.read.parquet(out).filter("event_date = '2015-06-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
