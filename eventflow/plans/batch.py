@@ -1,8 +1,9 @@
 """The batch job: raw clickstream -> three insights -> parquet and CSV.
 
 Cost shape (vs. re-running every insight for every output):
-* a CSV input is staged once to parquet, so each insight reads only its columns
-  (column pruning and filter pushdown work on parquet, not on CSV);
+* a large CSV input is staged once to parquet, so each insight reads only its
+  columns (column pruning and filter pushdown work on parquet, not on CSV); below
+  ``STAGE_MIN_BYTES`` three CSV scans cost less than writing and reading a copy;
 * each insight is computed once and written to parquet; the CSV copy is made from
   that parquet (a few rows), and the total is the sum of the distribution;
 * results are written to the shared output folder, which also cuts lineage: a lost
@@ -21,9 +22,16 @@ from eventflow.operators import insights as ins
 from eventflow.schemas import RESULT_SCHEMAS
 from eventflow.session import build_spark, scratch_path
 from eventflow.sinks.files import write_csv, write_parquet
-from eventflow.sources.files import read_events_csv, read_parquet_result, read_result_folder, resolve_input
+from eventflow.sources.files import (
+    path_size,
+    read_events_csv,
+    read_parquet_result,
+    read_result_folder,
+    resolve_input,
+)
 
 RESULT_NAMES = ("top_items", "event_distribution", "daily_visitors")
+STAGE_MIN_BYTES = 1 << 30
 
 
 @dataclass
@@ -62,18 +70,24 @@ def run_batch_job(
     parquet_dir: str,
     csv_dir: str | None = None,
     input_format: str | None = None,
-    stage_csv: bool = True,
+    stage_csv: bool | None = None,
     top_n: int = 20,
+    staged_path: str | None = None,
 ) -> BatchResult:
     """Resolve the input, compute the insights once, write parquet (and a one-file
-    CSV per result, for small consumers), and return the stored results."""
+    CSV per result, for small consumers), and return the stored results.
+
+    ``stage_csv``: ``None`` stages a CSV input of at least ``STAGE_MIN_BYTES``;
+    ``staged_path`` keeps the parquet copy at a chosen place (default: scratch)."""
     candidates = [inputs] if isinstance(inputs, str) else list(inputs)
     path = resolve_input(spark, candidates)
     fmt = input_format or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     if fmt == "csv":
         raw = read_events_csv(spark, path)
+        if stage_csv is None:
+            stage_csv = path_size(spark, path) >= STAGE_MIN_BYTES
         if stage_csv:
-            raw = stage_raw(spark, raw)
+            raw = stage_raw(spark, raw, staged_path)
     else:
         raw = spark.read.parquet(path)
     result = BatchResult(path, parquet_dir, csv_dir)
@@ -111,10 +125,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--csv-out")
     ap.add_argument("--format", choices=["csv", "parquet"])
     ap.add_argument("--top-n", type=int, default=20)
-    ap.add_argument("--no-stage", action="store_true", help="read CSV directly for each insight")
+    ap.add_argument("--stage", choices=["auto", "yes", "no"], default="auto",
+                    help="copy a CSV input to parquet first (auto: when >= 1 GiB)")
     args = ap.parse_args(argv)
     spark = build_spark("eventflow-batch")
-    res = run_batch_job(spark, args.input, args.parquet_out, args.csv_out, args.format, not args.no_stage, args.top_n)
+    stage = {"auto": None, "yes": True, "no": False}[args.stage]
+    res = run_batch_job(spark, args.input, args.parquet_out, args.csv_out, args.format, stage, args.top_n)
     print(f"input: {res.input_path}; total events: {res.total_events().first().total_events:,}")
     preview(res, args.top_n)
 

@@ -34,6 +34,12 @@ def list_children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     return [(st.getPath().getName(), bool(st.isDirectory())) for st in fs.listStatus(hpath)]
 
 
+def path_size(spark: SparkSession, path: str) -> int:
+    """Total bytes under a path (file or folder), from the file system's metadata."""
+    hpath, fs = _hadoop_path(spark, path)
+    return int(fs.getContentSummary(hpath).getLength())
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     hpath, fs = _hadoop_path(spark, path)
     if fs.exists(hpath):

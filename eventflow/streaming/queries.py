@@ -9,6 +9,7 @@ the micro-batch is retried on restart (opt-in tolerance only at start-up, see
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -189,3 +190,18 @@ def start_all(raw: DataFrame, out: dict[str, str], checkpoints: str, triggers: d
                 raise
             started[sink] = exc
     return started
+
+
+def stop_gracefully(queries: dict | list, timeout_s: float = 60.0, poll_s: float = 0.2) -> None:
+    """Stop queries between micro-batches: wait (up to ``timeout_s``) until no
+    trigger is running, then stop.  The DStreams-era graceful-shutdown setting does
+    not apply to Structured Streaming; a batch cut short is replayed from the
+    checkpoint anyway, this only avoids the replay."""
+    items = queries.values() if isinstance(queries, dict) else queries
+    for q in items:
+        if not isinstance(q, StreamingQuery):
+            continue
+        deadline = time.monotonic() + timeout_s
+        while q.isActive and q.status.get("isTriggerActive") and time.monotonic() < deadline:
+            time.sleep(poll_s)
+        q.stop()

@@ -80,3 +80,13 @@ def test_dataset_coverage_status(spark, tmp_path):
     bad = tmp_path / "bad.csv"
     bad.write_text("event,timestamp,visitorid,itemid,transactionid\nview,1,2,3,\n")
     assert dataset_coverage(spark, str(bad)).first().source.startswith("error")
+
+
+def test_batch_job_staged_equals_direct(spark, tmp_path):
+    src = tmp_path / "events.csv"
+    src.write_text(HEADER + "\n".join(ROWS) + "\n")
+    a = run_batch_job(spark, str(src), str(tmp_path / "a"), stage_csv=True, staged_path=str(tmp_path / "staged"))
+    b = run_batch_job(spark, str(src), str(tmp_path / "b"), stage_csv=False)
+    assert (tmp_path / "staged" / "_SUCCESS").exists()
+    for name in a.tables:
+        assert sorted(a.tables[name].collect()) == sorted(b.tables[name].collect())

@@ -193,3 +193,13 @@ def test_archive_partitioned_by_date(spark, tmp_path):
     # a date filter prunes partitions
     plan = spark.read.parquet(out).filter("event_date = '2015-06-02'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_stop_gracefully(spark, tmp_path):
+    src = str(tmp_path / "src")
+    _write_batches(spark, src, BATCHES[:1])
+    q = sq.start_metric_updates(_metric(spark, src), str(tmp_path / "out"), str(tmp_path / "ck"), trigger="1 second")
+    q.processAllAvailable()
+    sq.stop_gracefully([q], timeout_s=30)
+    assert not q.isActive and q.exception() is None
+    assert _count_at_05(sq.latest_updates(spark, str(tmp_path / "out"))) == [2]
