@@ -68,6 +68,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--console", action="store_true")
     ap.add_argument("--rocksdb", action="store_true", help="RocksDB state store for large state")
     ap.add_argument("--state-partitions", default=None, help="shuffle partitions (fixed at first start)")
+    ap.add_argument("--max-offsets-per-trigger", type=int, help="bound each Kafka micro-batch")
     args = ap.parse_args(argv)
     conf = {}
     if args.rocksdb:
@@ -78,7 +79,8 @@ def main(argv: list[str] | None = None) -> None:
     if args.envelopes:
         envelopes = read_envelope_stream(spark, args.envelopes)
     elif args.kafka:
-        envelopes = read_kafka_stream(spark, args.kafka, args.topic)
+        extra = {"maxOffsetsPerTrigger": args.max_offsets_per_trigger} if args.max_offsets_per_trigger else {}
+        envelopes = read_kafka_stream(spark, args.kafka, args.topic, **extra)
     else:
         ap.error("give --kafka or --envelopes")
     run_streaming_job(spark, envelopes, args.out, args.checkpoints, args.available_now, args.console)

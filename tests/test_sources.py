@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql.utils import AnalysisException
 
 from eventflow.schemas import TOP_ITEMS_SCHEMA, DAILY_VISITORS_SCHEMA, METRIC_SCHEMA
 from eventflow.sources.files import read_events_csv, read_result_folder, resolve_input
