@@ -93,6 +93,11 @@ def long_date_label(ts: Column | str, missing: str = "-") -> Column:
     return F.coalesce(F.date_format(instant_to_utc(ts), "EEEE, dd MMMM yyyy"), F.lit(missing))
 
 
+def long_date_label_of_date(d: Column | str, missing: str = "-") -> Column:
+    """``Friday, 18 September 2015`` for a date; ``missing`` for NULL (zone-free)."""
+    return F.coalesce(F.date_format(_col(d).cast("timestamp_ntz"), "EEEE, dd MMMM yyyy"), F.lit(missing))
+
+
 def lenient_timestamp(text: Column | str) -> Column:
     """Result-file timestamp text -> instant, NULL when unreadable (``errors="coerce"``)."""
     return parse_utc_text(text)

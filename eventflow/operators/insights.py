@@ -11,7 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.functions.time import long_date_label, ms_to_event_time, ms_to_instant, utc_date
+from eventflow.functions.time import (
+    long_date_label,
+    long_date_label_of_date,
+    ms_to_event_time,
+    ms_to_instant,
+    utc_date,
+)
 
 
 def enrich(df: DataFrame) -> DataFrame:
@@ -104,3 +110,12 @@ def date_window(daily: DataFrame) -> DataFrame:
         F.max("event_date").alias("last_day"),
         F.count_distinct("event_date").alias("n_days"),
     )
+
+
+def date_window_labels(window: DataFrame) -> DataFrame:
+    """Long-form labels of a ``date_window`` row, ``-`` when unknown."""
+    return window.select(
+        long_date_label_of_date("first_day").alias("first_label"),
+        long_date_label_of_date("last_day").alias("last_label"),
+        "n_days",
+    )

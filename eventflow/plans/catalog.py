@@ -75,6 +75,10 @@ def q_batch_date_window(spark, sf_dir):
     return ins.date_window(ins.daily_visitors(_raw(spark, sf_dir)))
 
 
+def q_batch_date_window_labels(spark, sf_dir):
+    return ins.date_window_labels(ins.date_window(ins.daily_visitors(_raw(spark, sf_dir))))
+
+
 def q_events_per_minute(spark, sf_dir):
     return utc_wall_clock(_metric(spark, sf_dir))
 
@@ -245,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "dataset_coverage": q_dataset_coverage,
     "dataset_coverage_labels": q_dataset_coverage_labels,
     "batch_date_window": q_batch_date_window,
+    "batch_date_window_labels": q_batch_date_window_labels,
     "events_per_minute": q_events_per_minute,
     "live_kpis": q_live_kpis,
     "latest_window_breakdown": q_latest_window_breakdown,

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventflow.functions.format import percent_label, thousands
 from eventflow.operators import funnel as fn
 from eventflow.operators import insights as ins
 from eventflow.operators import live
@@ -23,21 +24,41 @@ def load_stream_metric(spark: SparkSession, folder: str) -> DataFrame:
     return read_latest_snapshot(spark, folder, METRIC_SCHEMA).orderBy("window_start")
 
 
+def kpi_labels(kpis: DataFrame) -> DataFrame:
+    """Display text of the KPI row: ``1,234``-style counts."""
+    return kpis.select(
+        thousands("events_latest").alias("events_latest"),
+        thousands("total_events").alias("total_events"),
+        F.col("event_types").cast("string").alias("event_types"),
+    )
+
+
+def funnel_labels(funnel: DataFrame) -> DataFrame:
+    """Display text of the funnel rates: ``2.60 %``."""
+    return funnel.select(*[percent_label(c).alias(c) for c in fn.DEFAULT_RATE_NAMES])
+
+
 def live_view(metric: DataFrame, last_n: int = 60) -> dict[str, DataFrame]:
+    kpis = live.kpis(metric)
+    funnel = fn.funnel(live.event_totals(metric), "event_count")
     return {
-        "kpis": live.kpis(metric),
+        "kpis": kpis,
+        "kpi_labels": kpi_labels(kpis),
+        "funnel_labels": funnel_labels(funnel),
         "last_n_wide": live.last_n_wide(metric, last_n),
         "last_n_long": live.last_n_long(metric, last_n),
         "latest_breakdown": live.latest_breakdown(metric),
-        "funnel": fn.funnel(live.event_totals(metric), "event_count"),
+        "funnel": funnel,
     }
 
 
 def batch_view(spark: SparkSession, csv_dir: str, top_n: int = 20) -> dict[str, DataFrame]:
     res = load_csv_results(spark, csv_dir)
     daily = res["daily_visitors"].orderBy(F.asc_nulls_first("event_date"))
+    window = ins.date_window(daily)
     return {
-        "date_window": ins.date_window(daily),
+        "date_window": window,
+        "date_window_labels": ins.date_window_labels(window),
         "top_items": res["top_items"].orderBy(F.desc("view_count"), F.asc_nulls_first("itemid")).limit(top_n),
         "event_distribution": res["event_distribution"],
         "funnel": fn.funnel(res["event_distribution"], "count"),

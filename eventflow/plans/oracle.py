@@ -93,6 +93,11 @@ FROM ev""",
 daily AS (SELECT event_date, count(DISTINCT visitorid) AS active_visitors FROM enr GROUP BY event_date)
 SELECT min(event_date) AS first_day, max(event_date) AS last_day,
        count(DISTINCT event_date) AS n_days FROM daily""",
+    "batch_date_window_labels": f"""WITH {EV}, {ENR},
+daily AS (SELECT event_date, count(DISTINCT visitorid) AS active_visitors FROM enr GROUP BY event_date)
+SELECT coalesce(strftime(min(event_date), '%A, %d %B %Y'), '-') AS first_label,
+       coalesce(strftime(max(event_date), '%A, %d %B %Y'), '-') AS last_label,
+       count(DISTINCT event_date) AS n_days FROM daily""",
     "events_per_minute": f"""WITH {EV}, {MET} SELECT * FROM met""",
     "live_kpis": f"""WITH {EV}, {MET} {KPIS}""",
     "latest_window_breakdown": f"""WITH {EV}, {MET}

@@ -90,3 +90,23 @@ def test_batch_job_staged_equals_direct(spark, tmp_path):
     assert (tmp_path / "staged" / "_SUCCESS").exists()
     for name in a.tables:
         assert sorted(a.tables[name].collect()) == sorted(b.tables[name].collect())
+
+
+def test_view_labels(spark, tmp_path):
+    src = tmp_path / "events.csv"
+    src.write_text(HEADER + "\n".join(ROWS) + "\n")
+    run_batch_job(spark, str(src), str(tmp_path / "pq"), str(tmp_path / "csv"))
+    view = batch_view(spark, str(tmp_path / "csv"))
+    labels = view["date_window_labels"].first()
+    assert (labels.first_label, labels.last_label, labels.n_days) == ("Tuesday, 02 June 2015", "Wednesday, 03 June 2015", 2)
+
+
+def test_live_labels(spark):
+    from eventflow.plans.dashboard import live_view
+    from tests.conftest import metric_rows
+
+    m = metric_rows(spark, [("2015-06-02 05:00", "view", 2664312), ("2015-06-02 05:00", "addtocart", 69332),
+                            ("2015-06-02 05:01", "transaction", 22457)])
+    v = live_view(m)
+    assert tuple(v["kpi_labels"].first()) == ("22,457", "2,756,101", "3")
+    assert tuple(v["funnel_labels"].first()) == ("2.60 %", "32.39 %", "0.84 %")
