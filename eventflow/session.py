@@ -43,13 +43,20 @@ def build_spark(app: str = "eventflow", master: str | None = None, **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a local one only if unset."""
+    """Return the session's checkpoint folder (``spark.checkpoint.dir``).
+
+    Only a ``local`` master (tests, a laptop) gets a temporary folder when none is
+    configured; on a cluster a machine-local folder would not survive the loss of
+    the executor that wrote it, so an unset folder is an error there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3)")
         configured = tempfile.mkdtemp(prefix="eventflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
