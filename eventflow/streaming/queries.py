@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventflow.functions.messages import malformed_records, parse_envelopes
+from eventflow.functions.time import utc_date
 from eventflow.operators.windows import events_per_window
 from eventflow.schemas import MESSAGE_COLUMNS, METRIC_SCHEMA
 from eventflow.sinks.files import write_versioned_snapshot
@@ -25,8 +26,9 @@ from eventflow.sinks.kafka import kafka_sink_options
 
 
 def trigger_kwargs(trigger: str | None) -> dict:
-    """``"availableNow"`` / ``"once"`` / ``"continuous:<interval>"`` / a processing
-    interval such as ``"15 seconds"``; ``None`` runs micro-batches back to back."""
+    """``"availableNow"`` / ``"once"`` / a processing interval such as
+    ``"15 seconds"``; ``None`` runs micro-batches back to back.  (Continuous
+    processing does not support the window aggregation, so it is not offered.)"""
     if trigger is None:
         return {}
     if trigger == "availableNow":
@@ -128,11 +130,13 @@ def start_console(metric: DataFrame, checkpoint: str, trigger: str | None = "20
 def start_archive(parsed: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds",
                   partition_by_date: bool = False, name: str | None = None) -> StreamingQuery:
     """Raw archive: the 7 message fields appended as parquet.  With
-    ``partition_by_date`` the files go to ``event_date=`` folders so replays of a
+    ``partition_by_date`` the files go to ``event_date=`` folders (UTC date of the
+    event time, or of the broker time when the message has none) so replays of a
     date range prune the rest."""
-    out = parsed.select(*MESSAGE_COLUMNS)
+    out = parsed.select(*MESSAGE_COLUMNS, "event_ts")
     if partition_by_date:
-        out = out.withColumn("event_date", F.substring("event_time", 1, 10).try_cast("date"))
+        out = out.withColumn("event_date", utc_date("event_ts"))
+    out = out.drop("event_ts")
     w = out.writeStream.outputMode("append").format("parquet")
     if partition_by_date:
         w = w.partitionBy("event_date")
