@@ -69,6 +69,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--rocksdb", action="store_true", help="RocksDB state store for large state")
     ap.add_argument("--state-partitions", default=None, help="shuffle partitions (fixed at first start)")
     ap.add_argument("--max-offsets-per-trigger", type=int, help="bound each Kafka micro-batch")
+    ap.add_argument("--min-partitions", type=int, help="split large Kafka partitions over more tasks")
     args = ap.parse_args(argv)
     conf = {}
     if args.rocksdb:
@@ -79,7 +80,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.envelopes:
         envelopes = read_envelope_stream(spark, args.envelopes)
     elif args.kafka:
-        extra = {"maxOffsetsPerTrigger": args.max_offsets_per_trigger} if args.max_offsets_per_trigger else {}
+        extra = {}
+        if args.max_offsets_per_trigger:
+            extra["maxOffsetsPerTrigger"] = args.max_offsets_per_trigger
+        if args.min_partitions:
+            extra["minPartitions"] = args.min_partitions
         envelopes = read_kafka_stream(spark, args.kafka, args.topic, **extra)
     else:
         ap.error("give --kafka or --envelopes")

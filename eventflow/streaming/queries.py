@@ -101,7 +101,11 @@ def update_log_writer(path: str) -> Callable[[DataFrame, int], None]:
 
 def start_metric_updates(metric: DataFrame, path: str, checkpoint: str, trigger: str | None = "20 seconds",
                          name: str | None = None) -> StreamingQuery:
-    """Update mode: rows whose count changed in a batch, logged with the batch id."""
+    """Update mode: rows whose count changed in a batch, logged with the batch id.
+
+    The log grows by one partition per batch; it serves live views.  The durable
+    record is the append-mode table, and old ``batch_id=`` partitions can be
+    dropped once the watermark has passed their windows."""
     w = (metric.writeStream.outputMode("update")
          .foreachBatch(update_log_writer(path))
          .option("checkpointLocation", checkpoint)

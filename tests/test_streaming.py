@@ -150,6 +150,8 @@ def test_kafka_options():
     src = kafka_source_options("kafka:9092", "events")
     assert src == {"kafka.bootstrap.servers": "kafka:9092", "subscribe": "events",
                    "startingOffsets": "latest", "failOnDataLoss": "false"}
+    more = kafka_source_options("kafka:9092", "events", minPartitions=64, maxOffsetsPerTrigger=100000)
+    assert more["minPartitions"] == "64" and more["maxOffsetsPerTrigger"] == "100000"
     sink = kafka_sink_options("kafka:9092", "events")
     assert sink["kafka.acks"] == "all" and sink["kafka.linger.ms"] == "50" and sink["topic"] == "events"
 
