@@ -78,3 +78,36 @@ def dataset_coverage(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame(cov.collect(), COVERAGE_SCHEMA)
     except Exception as exc:  # unreadable input is a status, not a crash of the view
         return spark.createDataFrame([(None, None, 0, f"error: {type(exc).__name__}")], COVERAGE_SCHEMA)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Print the dashboard's tables:
+    ``python -m eventflow.plans.dashboard --stream /results/stream/snapshot/events_per_minute
+    --batch /results/batch --events /data/events.csv``"""
+    import argparse
+
+    from eventflow.session import build_spark
+
+    ap = argparse.ArgumentParser(description="dashboard tables as text")
+    ap.add_argument("--stream", help="metric snapshot folder written by the streaming job")
+    ap.add_argument("--batch", help="CSV result folder written by the batch job")
+    ap.add_argument("--events", help="raw events CSV, for the coverage line")
+    ap.add_argument("--last-n", type=int, default=60)
+    args = ap.parse_args(argv)
+    spark = build_spark("eventflow-dashboard")
+    if args.events:
+        cov = dataset_coverage(spark, args.events)
+        cov.show(truncate=False)
+        ins.coverage_labels(cov).show(truncate=False)
+    if args.stream:
+        for name, df in live_view(load_stream_metric(spark, args.stream), args.last_n).items():
+            print(f"== live: {name}")
+            df.show(args.last_n, truncate=False)
+    if args.batch:
+        for name, df in batch_view(spark, args.batch).items():
+            print(f"== batch: {name}")
+            df.show(100, truncate=False)
+
+
+if __name__ == "__main__":
+    main()

@@ -47,3 +47,29 @@ def start_csv_publish_stream(spark: SparkSession, folder: str, bootstrap: str, t
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     envelopes = to_envelope(normalize_rows(reader.csv(folder)))
     return start_kafka_publish(envelopes, bootstrap, topic, checkpoint, trigger)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m eventflow.plans.producer --csv /data/events.csv --kafka kafka:9092 --topic events``
+    or ``... --csv /data/events.csv --envelopes /shared/replay`` for a broker-free replay."""
+    import argparse
+
+    from eventflow.session import build_spark
+
+    ap = argparse.ArgumentParser(description="publish raw events as keyed JSON messages")
+    ap.add_argument("--csv", required=True, help="raw events CSV file or folder")
+    ap.add_argument("--kafka")
+    ap.add_argument("--topic", default="events")
+    ap.add_argument("--envelopes", help="write envelope parquet files here instead of Kafka")
+    args = ap.parse_args(argv)
+    spark = build_spark("eventflow-producer")
+    if args.envelopes:
+        replay_csv_to_files(spark, args.csv, args.envelopes)
+    elif args.kafka:
+        publish_csv(spark, args.csv, args.kafka, args.topic)
+    else:
+        ap.error("give --kafka or --envelopes")
+
+
+if __name__ == "__main__":
+    main()

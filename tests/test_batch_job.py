@@ -110,3 +110,20 @@ def test_live_labels(spark):
     v = live_view(m)
     assert tuple(v["kpi_labels"].first()) == ("22,457", "2,756,101", "3")
     assert tuple(v["funnel_labels"].first()) == ("2.60 %", "32.39 %", "0.84 %")
+
+
+def test_producer_and_dashboard_cli(spark, tmp_path, capsys):
+    from eventflow.plans import dashboard, producer, streaming_job
+    from eventflow.plans.batch import main as batch_main
+
+    src = tmp_path / "events.csv"
+    src.write_text(HEADER + "\n".join(ROWS) + "\n")
+    producer.main(["--csv", str(src), "--envelopes", str(tmp_path / "env")])
+    streaming_job.main(["--envelopes", str(tmp_path / "env"), "--out", str(tmp_path / "stream"),
+                        "--checkpoints", str(tmp_path / "ck"), "--available-now"])
+    batch_main(["--input", str(src), "--parquet-out", str(tmp_path / "pq"), "--csv-out", str(tmp_path / "csv")])
+    capsys.readouterr()
+    dashboard.main(["--stream", str(tmp_path / "stream" / "snapshot" / "events_per_minute"),
+                    "--batch", str(tmp_path / "csv"), "--events", str(src)])
+    out = capsys.readouterr().out
+    assert "== live: kpis" in out and "== batch: funnel" in out and "Tuesday, 02 June 2015" in out
