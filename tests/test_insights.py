@@ -82,3 +82,11 @@ def test_published_figures_golden(spark):
         "n long, event string, c long",
     ).select("event", F.format_string("%.2f", F.col("c") * 100.0 / F.col("n")).alias("s"))
     assert {r.event: r.s for r in shares.collect()} == {"view": "96.67", "addtocart": "2.52", "transaction": "0.81"}
+
+
+def test_duplicates_are_counted_again(spark):
+    """V17: no deduplication; a replayed row counts twice."""
+    row = (D1, "a", "view", "1", None)
+    dist = {r.event: r["count"] for r in ins.event_distribution(raw_rows(spark, [row, row])).collect()}
+    assert dist == {"view": 2}
+    assert ins.daily_visitors(raw_rows(spark, [row, row])).first().active_visitors == 1  # distinct stays distinct

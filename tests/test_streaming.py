@@ -205,3 +205,13 @@ def test_stop_gracefully(spark, tmp_path):
     sq.stop_gracefully([q], timeout_s=30)
     assert not q.isActive and q.exception() is None
     assert _count_at_05(sq.latest_updates(spark, str(tmp_path / "out"))) == [2]
+
+
+def test_replayed_file_is_counted_twice_in_complete_mode(spark, tmp_path):
+    """V17 on the stream: the producer's second pass over the file repeats old event
+    times; complete mode counts them again."""
+    src = str(tmp_path / "src")
+    _write_batches(spark, src, BATCHES[:1] + BATCHES[:1])
+    snap = str(tmp_path / "snap")
+    _run(sq.start_metric_snapshot(_metric(spark, src), snap, str(tmp_path / "ck"), trigger="availableNow"))
+    assert _count_at_05(load_stream_metric(spark, snap)) == [4]
