@@ -14,7 +14,7 @@ from eventflow.operators import insights as ins
 from eventflow.operators import live
 from eventflow.plans.batch import load_csv_results
 from eventflow.schemas import METRIC_SCHEMA
-from eventflow.sources.files import path_exists, read_events_csv, read_latest_snapshot
+from eventflow.sources.files import path_exists, read_events_csv, read_latest_snapshot, read_parquet_result
 
 COVERAGE_SCHEMA = "min_ts timestamp, max_ts timestamp, n_events long, source string"
 
@@ -38,6 +38,13 @@ def funnel_labels(funnel: DataFrame) -> DataFrame:
     return funnel.select(*[percent_label(c).alias(c) for c in fn.DEFAULT_RATE_NAMES])
 
 
+def load_metric_table(spark: SparkSession, path: str) -> DataFrame:
+    """The append-mode metric table (finalised windows only), oldest first.  Its
+    state is bounded by the watermark, so this is the source to use on long runs;
+    the complete-mode snapshot keeps every window in state for ever."""
+    return read_parquet_result(spark, path, METRIC_SCHEMA).orderBy("window_start")
+
+
 def live_view(metric: DataFrame, last_n: int = 60) -> dict[str, DataFrame]:
     kpis = live.kpis(metric)
     funnel = fn.funnel(live.event_totals(metric), "event_count")
@@ -90,6 +97,7 @@ def main(argv: list[str] | None = None) -> None:
 
     ap = argparse.ArgumentParser(description="dashboard tables as text")
     ap.add_argument("--stream", help="metric snapshot folder written by the streaming job")
+    ap.add_argument("--metric-table", help="append-mode metric table (finalised windows) instead of the snapshot")
     ap.add_argument("--batch", help="CSV result folder written by the batch job")
     ap.add_argument("--events", help="raw events CSV, for the coverage line")
     ap.add_argument("--last-n", type=int, default=60)
@@ -99,8 +107,9 @@ def main(argv: list[str] | None = None) -> None:
         cov = dataset_coverage(spark, args.events)
         cov.show(truncate=False)
         ins.coverage_labels(cov).show(truncate=False)
-    if args.stream:
-        for name, df in live_view(load_stream_metric(spark, args.stream), args.last_n).items():
+    if args.stream or args.metric_table:
+        metric = load_metric_table(spark, args.metric_table) if args.metric_table else load_stream_metric(spark, args.stream)
+        for name, df in live_view(metric, args.last_n).items():
             print(f"== live: {name}")
             df.show(args.last_n, truncate=False)
     if args.batch:

@@ -127,3 +127,8 @@ def test_producer_and_dashboard_cli(spark, tmp_path, capsys):
                     "--batch", str(tmp_path / "csv"), "--events", str(src)])
     out = capsys.readouterr().out
     assert "== live: kpis" in out and "== batch: funnel" in out and "Tuesday, 02 June 2015" in out
+    from eventflow.plans.dashboard import live_view, load_metric_table
+
+    # finalised windows only: the last event's window stays open under the watermark
+    table = load_metric_table(spark, str(tmp_path / "stream" / "events_per_minute"))
+    assert live_view(table)["kpis"].first().total_events == 3
