@@ -70,6 +70,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--state-partitions", default=None, help="shuffle partitions (fixed at first start)")
     ap.add_argument("--max-offsets-per-trigger", type=int, help="bound each Kafka micro-batch")
     ap.add_argument("--min-partitions", type=int, help="split large Kafka partitions over more tasks")
+    ap.add_argument("--max-files-per-trigger", type=int, help="bound each replay micro-batch (--envelopes)")
     args = ap.parse_args(argv)
     conf = {}
     if args.rocksdb:
@@ -78,7 +79,7 @@ def main(argv: list[str] | None = None) -> None:
         conf["spark.sql.shuffle.partitions"] = args.state_partitions
     spark = build_spark("eventflow-streaming", **conf)
     if args.envelopes:
-        envelopes = read_envelope_stream(spark, args.envelopes)
+        envelopes = read_envelope_stream(spark, args.envelopes, args.max_files_per_trigger)
     elif args.kafka:
         extra = {}
         if args.max_offsets_per_trigger:
