@@ -215,3 +215,17 @@ def test_replayed_file_is_counted_twice_in_complete_mode(spark, tmp_path):
     snap = str(tmp_path / "snap")
     _run(sq.start_metric_snapshot(_metric(spark, src), snap, str(tmp_path / "ck"), trigger="availableNow"))
     assert _count_at_05(load_stream_metric(spark, snap)) == [4]
+
+
+def test_start_failure_tolerated_or_raised(spark, tmp_path):
+    src = str(tmp_path / "src")
+    _write_batches(spark, src, BATCHES[:1])
+    raw = read_envelope_stream(spark, src)
+    outs = {"archive": str(tmp_path / "arch"), "console": "-"}
+    bad = {"archive": "availableNow", "console": "not an interval"}
+    started = sq.start_all(raw, outs, str(tmp_path / "ck1"), triggers=bad, tolerate_start_failures=True)
+    assert isinstance(started["console"], Exception)
+    _run(started["archive"])
+    with pytest.raises(Exception):
+        sq.start_all(raw, outs, str(tmp_path / "ck2"), triggers=bad)
+    assert not any(q.isActive for q in spark.streams.active)
