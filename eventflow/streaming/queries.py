@@ -12,7 +12,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -58,18 +58,18 @@ def snapshot_writer(folder: str, order_col: str = "window_start", keep: int = 2,
     """foreachBatch function writing the whole result table of each micro-batch as a
     versioned CSV snapshot, newest window first within each file (one file, and so
     a total order, with ``single_file``; sorting within partitions needs no shuffle).
-    The batch is persisted so that the write and the row count run the stateful
-    plan once.  ``rows_written`` keeps ``(batch_id, rows)`` of each batch."""
+
+    The write is the only action on the batch: the row count is observed during the
+    write (``DataFrame.observe``), so the stateful plan runs once without being
+    cached.  ``rows_written`` keeps ``(batch_id, rows)`` of each batch."""
     rows_written: list[tuple[int, int]] = []
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        cached = batch_df.persist()
-        try:
-            out = cached.coalesce(1) if single_file else cached
-            write_versioned_snapshot(out.sortWithinPartitions(F.col(order_col).desc()), folder, batch_id, keep)
-            rows_written.append((batch_id, cached.count()))
-        finally:
-            cached.unpersist()
+        seen = Observation(f"snapshot_{batch_id}")
+        out = batch_df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        out = out.coalesce(1) if single_file else out
+        write_versioned_snapshot(out.sortWithinPartitions(F.col(order_col).desc()), folder, batch_id, keep)
+        rows_written.append((batch_id, int(seen.get["rows"])))
 
     write.rows_written = rows_written  # type: ignore[attr-defined]
     return write
