@@ -13,18 +13,9 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from eventflow.session import build_spark
-from eventflow.streaming.queries import start_all
+from eventflow.streaming.queries import DEFAULT_TRIGGERS, start_all
 from eventflow.streaming.sources import read_envelope_stream, read_kafka_stream
 
-# Trigger interval per sink.
-DEFAULT_TRIGGERS = {
-    "console": "20 seconds",
-    "snapshot": "15 seconds",
-    "metric": "30 seconds",
-    "archive": "30 seconds",
-    "quarantine": "30 seconds",
-}
-
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 

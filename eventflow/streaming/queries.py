@@ -25,6 +25,17 @@ from eventflow.sinks.files import write_versioned_snapshot
 from eventflow.sinks.kafka import kafka_sink_options
 
 
+# Trigger interval per sink.
+DEFAULT_TRIGGERS = {
+    "console": "20 seconds",
+    "snapshot": "15 seconds",
+    "metric": "30 seconds",
+    "archive": "30 seconds",
+    "quarantine": "30 seconds",
+    "updates": "20 seconds",
+}
+
+
 def trigger_kwargs(trigger: str | None) -> dict:
     """``"availableNow"`` / ``"once"`` / a processing interval such as
     ``"15 seconds"``; ``None`` runs micro-batches back to back.  (Continuous
@@ -171,9 +182,10 @@ def start_all(raw: DataFrame, out: dict[str, str], checkpoints: str, triggers: d
     ``metric`` (append parquet), ``snapshot`` (complete CSV), ``updates`` (update
     log), ``archive`` (raw parquet), ``quarantine``, ``console`` (any value).
     Each query re-reads the source with its own checkpoint under ``checkpoints``.
-    With ``tolerate_start_failures`` a sink that cannot start is reported in the
-    result instead of raising."""
-    triggers = triggers or {}
+    ``triggers`` overrides :data:`DEFAULT_TRIGGERS` per sink (``"availableNow"``
+    processes the backlog and stops).  With ``tolerate_start_failures`` a sink that
+    cannot start is reported in the result instead of raising."""
+    triggers = {**DEFAULT_TRIGGERS, **(triggers or {})}
     parsed = parse_envelopes(raw, on_malformed)
     metric = metric_stream(parsed, width, watermark)
     starters = {
@@ -189,7 +201,7 @@ def start_all(raw: DataFrame, out: dict[str, str], checkpoints: str, triggers: d
         if sink not in starters:
             raise ValueError(f"unknown sink {sink!r}")
         try:
-            started[sink] = starters[sink](target, f"{checkpoints.rstrip('/')}/{sink}", triggers.get(sink, "availableNow"))
+            started[sink] = starters[sink](target, f"{checkpoints.rstrip('/')}/{sink}", triggers[sink])
         except Exception as exc:
             if not tolerate_start_failures:
                 for q in started.values():

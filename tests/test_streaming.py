@@ -132,7 +132,8 @@ def test_archive_and_quarantine(spark, tmp_path):
     junk.write.mode("append").parquet(src)
     raw = read_envelope_stream(spark, src)
     outs = {"archive": str(tmp_path / "arch"), "quarantine": str(tmp_path / "quar")}
-    started = sq.start_all(raw, outs, str(tmp_path / "ck"))
+    started = sq.start_all(raw, outs, str(tmp_path / "ck"),
+                           triggers={"archive": "availableNow", "quarantine": "availableNow"})
     for q in started.values():
         _run(q)
     assert spark.read.parquet(outs["archive"]).count() == 3
