@@ -203,32 +203,42 @@ def _await(q: StreamingQuery) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+def _state_partitions(spark: SparkSession) -> int:
+    """State partitions for a replay query: one per core, but never more than the
+    session's shuffle partitions."""
+    return min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _stream_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sq.metric_stream(parse_envelopes(read_envelope_stream(spark, _replay_source(spark, sf_dir))))
 
 
 def q_stream_snapshot_complete(spark, sf_dir):
     folder, ckpt = scratch_path(spark, "snapshot"), scratch_path(spark, "ckpt")
-    _await(sq.start_metric_snapshot(_stream_metric(spark, sf_dir), folder, ckpt, trigger="availableNow"))
+    _await(sq.start_metric_snapshot(_stream_metric(spark, sf_dir), folder, ckpt, trigger="availableNow",
+                                    state_partitions=_state_partitions(spark)))
     return utc_wall_clock(load_stream_metric(spark, folder))
 
 
 def q_stream_windows_append(spark, sf_dir):
     path, ckpt = scratch_path(spark, "metric"), scratch_path(spark, "ckpt")
-    _await(sq.start_metric_append(_stream_metric(spark, sf_dir), path, ckpt, trigger="availableNow"))
+    _await(sq.start_metric_append(_stream_metric(spark, sf_dir), path, ckpt, trigger="availableNow",
+                                  state_partitions=_state_partitions(spark)))
     return utc_wall_clock(spark.read.schema(METRIC_SCHEMA).parquet(path))
 
 
 def q_stream_windows_update(spark, sf_dir):
     path, ckpt = scratch_path(spark, "updates"), scratch_path(spark, "ckpt")
-    _await(sq.start_metric_updates(_stream_metric(spark, sf_dir), path, ckpt, trigger="availableNow"))
+    _await(sq.start_metric_updates(_stream_metric(spark, sf_dir), path, ckpt, trigger="availableNow",
+                                   state_partitions=_state_partitions(spark)))
     return utc_wall_clock(sq.latest_updates(spark, path))
 
 
 def q_stream_live_kpis(spark, sf_dir):
     """Stream -> snapshot folder -> live KPIs, the dashboard's data path."""
     folder, ckpt = scratch_path(spark, "snapshot"), scratch_path(spark, "ckpt")
-    _await(sq.start_metric_snapshot(_stream_metric(spark, sf_dir), folder, ckpt, trigger="availableNow"))
+    _await(sq.start_metric_snapshot(_stream_metric(spark, sf_dir), folder, ckpt, trigger="availableNow",
+                                    state_partitions=_state_partitions(spark)))
     return utc_wall_clock(live_view(load_stream_metric(spark, folder))["kpis"])
 
 

@@ -34,11 +34,12 @@ def sink_paths(out_dir: str, console: bool = False) -> dict[str, str]:
 
 def run_streaming_job(spark: SparkSession, envelopes: DataFrame, out_dir: str, checkpoints: str,
                       available_now: bool = False, console: bool = False, on_malformed: str = "quarantine",
-                      wait: bool = True, timeout_s: float | None = None):
+                      wait: bool = True, timeout_s: float | None = None, state_partitions: int | None = None):
     """Start every sink and, with ``wait``, block until any query ends (the job's
     life ends with its first failing query; restart resumes from the checkpoints)."""
     triggers = {k: ("availableNow" if available_now else v) for k, v in DEFAULT_TRIGGERS.items()}
-    queries = start_all(envelopes, sink_paths(out_dir, console), checkpoints, triggers, on_malformed)
+    queries = start_all(envelopes, sink_paths(out_dir, console), checkpoints, triggers, on_malformed,
+                        state_partitions=state_partitions)
     if wait:
         if available_now:
             for q in queries.values():
@@ -58,7 +59,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--console", action="store_true")
     ap.add_argument("--rocksdb", action="store_true", help="RocksDB state store for large state")
-    ap.add_argument("--state-partitions", default=None, help="shuffle partitions (fixed at first start)")
+    ap.add_argument("--state-partitions", type=int, help="state partitions of the metric queries (fixed at first start)")
     ap.add_argument("--max-offsets-per-trigger", type=int, help="bound each Kafka micro-batch")
     ap.add_argument("--min-partitions", type=int, help="split large Kafka partitions over more tasks")
     ap.add_argument("--max-files-per-trigger", type=int, help="bound each replay micro-batch (--envelopes)")
@@ -66,8 +67,6 @@ def main(argv: list[str] | None = None) -> None:
     conf = {}
     if args.rocksdb:
         conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
-    if args.state_partitions:
-        conf["spark.sql.shuffle.partitions"] = args.state_partitions
     spark = build_spark("eventflow-streaming", **conf)
     if args.envelopes:
         envelopes = read_envelope_stream(spark, args.envelopes, args.max_files_per_trigger)
@@ -80,7 +79,8 @@ def main(argv: list[str] | None = None) -> None:
         envelopes = read_kafka_stream(spark, args.kafka, args.topic, **extra)
     else:
         ap.error("give --kafka or --envelopes")
-    run_streaming_job(spark, envelopes, args.out, args.checkpoints, args.available_now, args.console)
+    run_streaming_job(spark, envelopes, args.out, args.checkpoints, args.available_now, args.console,
+                      state_partitions=args.state_partitions)
 
 
 if __name__ == "__main__":

@@ -10,7 +10,8 @@ the micro-batch is retried on restart (opt-in tolerance only at start-up, see
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,23 @@ DEFAULT_TRIGGERS = {
 }
 
 
+@contextmanager
+def state_partitions_for_start(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """Start a stateful query with ``n`` state partitions.  The number is read from
+    the session when the query starts and then kept in its checkpoint for good (a
+    restart reuses it), so the session setting is changed only around ``start()``."""
+    if n is None:
+        yield
+        return
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def trigger_kwargs(trigger: str | None) -> dict:
     """``"availableNow"`` / ``"once"`` / a processing interval such as
     ``"15 seconds"``; ``None`` runs micro-batches back to back.  (Continuous
@@ -54,14 +72,19 @@ def metric_stream(parsed: DataFrame, width: str = "1 minute", watermark: str = "
     return events_per_window(parsed, "event_ts", width, ("event",), watermark=watermark)
 
 
+def _start(w, spark: SparkSession, name: str | None, state_partitions: int | None) -> StreamingQuery:
+    with state_partitions_for_start(spark, state_partitions):
+        return w.start(queryName=name) if name else w.start()
+
+
 def start_metric_append(metric: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds",
-                        name: str | None = None) -> StreamingQuery:
+                        name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Finalised windows (end <= watermark) appended to parquet, once each.
     State of a window is dropped when it is emitted, so state stays bounded."""
     w = (metric.writeStream.outputMode("append").format("parquet")
          .option("path", path).option("checkpointLocation", checkpoint)
          .trigger(**trigger_kwargs(trigger)))
-    return w.start(queryName=name) if name else w.start()
+    return _start(w, metric.sparkSession, name, state_partitions)
 
 
 def snapshot_writer(folder: str, order_col: str = "window_start", keep: int = 2,
@@ -87,7 +110,8 @@ def snapshot_writer(folder: str, order_col: str = "window_start", keep: int = 2,
 
 
 def start_metric_snapshot(metric: DataFrame, folder: str, checkpoint: str, trigger: str | None = "15 seconds",
-                          name: str | None = None, keep: int = 2, single_file: bool = False) -> StreamingQuery:
+                          name: str | None = None, keep: int = 2, single_file: bool = False,
+                          state_partitions: int | None = None) -> StreamingQuery:
     """Complete mode: the full metric table rewritten as a snapshot each batch.
     Complete mode keeps every window in state for ever and counts late rows; for
     long runs prefer :func:`start_metric_append` and read the appended table."""
@@ -95,7 +119,7 @@ def start_metric_snapshot(metric: DataFrame, folder: str, checkpoint: str, trigg
          .foreachBatch(snapshot_writer(folder, keep=keep, single_file=single_file))
          .option("checkpointLocation", checkpoint)
          .trigger(**trigger_kwargs(trigger)))
-    return w.start(queryName=name) if name else w.start()
+    return _start(w, metric.sparkSession, name, state_partitions)
 
 
 def update_log_writer(path: str) -> Callable[[DataFrame, int], None]:
@@ -111,7 +135,7 @@ def update_log_writer(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def start_metric_updates(metric: DataFrame, path: str, checkpoint: str, trigger: str | None = "20 seconds",
-                         name: str | None = None) -> StreamingQuery:
+                         name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Update mode: rows whose count changed in a batch, logged with the batch id.
 
     The log grows by one partition per batch; it serves live views.  The durable
@@ -121,7 +145,7 @@ def start_metric_updates(metric: DataFrame, path: str, checkpoint: str, trigger:
          .foreachBatch(update_log_writer(path))
          .option("checkpointLocation", checkpoint)
          .trigger(**trigger_kwargs(trigger)))
-    return w.start(queryName=name) if name else w.start()
+    return _start(w, metric.sparkSession, name, state_partitions)
 
 
 def latest_updates(spark: SparkSession, path: str) -> DataFrame:
@@ -135,11 +159,12 @@ def latest_updates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def start_console(metric: DataFrame, checkpoint: str, trigger: str | None = "20 seconds",
-                  num_rows: int = 20) -> StreamingQuery:
-    return (metric.writeStream.outputMode("update").format("console")
-            .option("truncate", "false").option("numRows", num_rows)
-            .option("checkpointLocation", checkpoint)
-            .trigger(**trigger_kwargs(trigger)).start())
+                  num_rows: int = 20, state_partitions: int | None = None) -> StreamingQuery:
+    w = (metric.writeStream.outputMode("update").format("console")
+         .option("truncate", "false").option("numRows", num_rows)
+         .option("checkpointLocation", checkpoint)
+         .trigger(**trigger_kwargs(trigger)))
+    return _start(w, metric.sparkSession, None, state_partitions)
 
 
 def start_archive(parsed: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds",
@@ -177,7 +202,8 @@ def start_kafka_publish(envelopes: DataFrame, bootstrap: str, topic: str, checkp
 
 def start_all(raw: DataFrame, out: dict[str, str], checkpoints: str, triggers: dict[str, str | None] | None = None,
               on_malformed: str = "quarantine", tolerate_start_failures: bool = False,
-              width: str = "1 minute", watermark: str = "2 minutes") -> dict[str, StreamingQuery | Exception]:
+              width: str = "1 minute", watermark: str = "2 minutes",
+              state_partitions: int | None = None) -> dict[str, StreamingQuery | Exception]:
     """Fan one envelope stream out to the sinks named in ``out``:
     ``metric`` (append parquet), ``snapshot`` (complete CSV), ``updates`` (update
     log), ``archive`` (raw parquet), ``quarantine``, ``console`` (any value).
@@ -189,12 +215,12 @@ def start_all(raw: DataFrame, out: dict[str, str], checkpoints: str, triggers: d
     parsed = parse_envelopes(raw, on_malformed)
     metric = metric_stream(parsed, width, watermark)
     starters = {
-        "metric": lambda p, c, t: start_metric_append(metric, p, c, t),
-        "snapshot": lambda p, c, t: start_metric_snapshot(metric, p, c, t),
-        "updates": lambda p, c, t: start_metric_updates(metric, p, c, t),
+        "metric": lambda p, c, t: start_metric_append(metric, p, c, t, state_partitions=state_partitions),
+        "snapshot": lambda p, c, t: start_metric_snapshot(metric, p, c, t, state_partitions=state_partitions),
+        "updates": lambda p, c, t: start_metric_updates(metric, p, c, t, state_partitions=state_partitions),
         "archive": lambda p, c, t: start_archive(parsed, p, c, t),
         "quarantine": lambda p, c, t: start_quarantine(raw, p, c, t),
-        "console": lambda p, c, t: start_console(metric, c, t),
+        "console": lambda p, c, t: start_console(metric, c, t, state_partitions=state_partitions),
     }
     started: dict[str, StreamingQuery | Exception] = {}
     for sink, target in out.items():

@@ -230,3 +230,14 @@ def test_start_failure_tolerated_or_raised(spark, tmp_path):
     with pytest.raises(Exception):
         sq.start_all(raw, outs, str(tmp_path / "ck2"), triggers=bad)
     assert not any(q.isActive for q in spark.streams.active)
+
+
+def test_state_partitions_set_for_one_query(spark, tmp_path):
+    src = str(tmp_path / "src")
+    _write_batches(spark, src, BATCHES[:1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    q = sq.start_metric_append(_metric(spark, src), str(tmp_path / "out"), str(tmp_path / "ck"),
+                               trigger="availableNow", state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    _run(q)
+    assert {op["numShufflePartitions"] for p in q.recentProgress for op in p["stateOperators"]} == {3}
