@@ -23,6 +23,7 @@ from eventflow.functions.time import utc_date
 from eventflow.operators.windows import events_per_window
 from eventflow.schemas import MESSAGE_COLUMNS, METRIC_SCHEMA
 from eventflow.sinks.files import write_versioned_snapshot
+from eventflow.sources.files import delete_path, list_children
 from eventflow.sinks.kafka import kafka_sink_options
 
 
@@ -138,9 +139,8 @@ def start_metric_updates(metric: DataFrame, path: str, checkpoint: str, trigger:
                          name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Update mode: rows whose count changed in a batch, logged with the batch id.
 
-    The log grows by one partition per batch; it serves live views.  The durable
-    record is the append-mode table, and old ``batch_id=`` partitions can be
-    dropped once the watermark has passed their windows."""
+    The log grows by one partition per batch; :func:`compact_update_log` folds
+    the older ones into one, so readers keep a bounded number of partitions."""
     w = (metric.writeStream.outputMode("update")
          .foreachBatch(update_log_writer(path))
          .option("checkpointLocation", checkpoint)
@@ -158,6 +158,39 @@ def latest_updates(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def compact_update_log(spark: SparkSession, path: str, upto_batch: int | None = None) -> int:
+    """Fold the update log's batches ``<= upto_batch`` (default: all but the newest)
+    into partition ``batch_id=upto_batch`` holding one row per key with its latest
+    value, then drop the older partitions.  ``latest_updates`` gives the same answer
+    before and after, and at every point in between: the folded partition holds the
+    newest value of every key it covers.  Runs beside the stream, which only writes
+    newer partitions.  Returns the batch id folded into, or -1 if nothing to do."""
+    batches = sorted(
+        int(name.split("=", 1)[1]) for name, is_dir in list_children(spark, path)
+        if is_dir and name.startswith("batch_id=") and name.split("=", 1)[1].isdigit()
+    )
+    if upto_batch is None:
+        upto_batch = batches[-2] if len(batches) > 1 else -1
+    older = [b for b in batches if b <= upto_batch]
+    if len(older) < 2:
+        return -1
+    schema = T.StructType(METRIC_SCHEMA.fields + [T.StructField("batch_id", T.LongType(), True)])
+    upto = (spark.read.schema(schema).parquet(path).filter(F.col("batch_id") <= upto_batch)
+            .groupBy("window_start", "window_end", "event")
+            .agg(F.max_by("event_count", "batch_id").alias("event_count")))
+    # Staged first: a job may not overwrite a path it reads.  The ``_`` prefix keeps
+    # the staging folder hidden from readers of the log.
+    staged = f"{path.rstrip('/')}/_compacting_{upto_batch}"
+    upto.withColumn("batch_id", F.lit(upto_batch).cast("long")).write.mode("overwrite").parquet(staged)
+    (spark.read.schema(schema).parquet(staged).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+    for b in older:
+        if b != upto_batch:
+            delete_path(spark, f"{path.rstrip('/')}/batch_id={b}")
+    delete_path(spark, staged)
+    return upto_batch
+
+
 def start_console(metric: DataFrame, checkpoint: str, trigger: str | None = "20 seconds",
                   num_rows: int = 20, state_partitions: int | None = None) -> StreamingQuery:
     w = (metric.writeStream.outputMode("update").format("console")

@@ -261,3 +261,16 @@ def test_kafka_paths_need_only_the_connector(spark, tmp_path):
     env = to_envelope(normalize_rows(raw_rows(spark, [(BASE, "v", "view", "1", None)])))
     with pytest.raises(Exception, match="(?i)kafka"):
         write_kafka(env, "localhost:9", "events")
+
+
+def test_update_log_compaction_keeps_latest_values(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
+    _write_batches(spark, src, BATCHES)
+    _run(sq.start_metric_updates(_metric(spark, src), out, ckpt, trigger="availableNow"))
+    before = sorted(tuple(r) for r in sq.latest_updates(spark, out).collect())
+    parts_before = [n for n in os.listdir(out) if n.startswith("batch_id=")]
+    folded = sq.compact_update_log(spark, out)
+    parts_after = [n for n in os.listdir(out) if n.startswith("batch_id=")]
+    assert folded >= 0 and len(parts_after) == 2 < len(parts_before)
+    assert sorted(tuple(r) for r in sq.latest_updates(spark, out).collect()) == before
+    assert sq.compact_update_log(spark, out) == -1  # nothing left to fold
