@@ -160,33 +160,36 @@ def latest_updates(spark: SparkSession, path: str) -> DataFrame:
 
 def compact_update_log(spark: SparkSession, path: str, upto_batch: int | None = None) -> int:
     """Fold the update log's batches ``<= upto_batch`` (default: all but the newest)
-    into partition ``batch_id=upto_batch`` holding one row per key with its latest
-    value, then drop the older partitions.  ``latest_updates`` gives the same answer
-    before and after, and at every point in between: the folded partition holds the
-    newest value of every key it covers.  Runs beside the stream, which only writes
-    newer partitions.  Returns the batch id folded into, or -1 if nothing to do."""
+    into partition ``batch_id=upto_batch`` and drop the older partitions.
+
+    The folded rows (latest value per key) are *appended* to partition
+    ``upto_batch``; a key updated in that batch gets a second row with the same
+    batch id and the same value.  Only after the append has committed are the
+    older partitions deleted.  So ``latest_updates`` gives the same answer before,
+    during and after compaction, and a rerun after a crash is harmless.  Runs beside
+    the stream, which only writes newer partitions.  Returns the batch folded into,
+    or -1 when there is nothing to fold."""
     batches = sorted(
         int(name.split("=", 1)[1]) for name, is_dir in list_children(spark, path)
         if is_dir and name.startswith("batch_id=") and name.split("=", 1)[1].isdigit()
     )
     if upto_batch is None:
         upto_batch = batches[-2] if len(batches) > 1 else -1
-    older = [b for b in batches if b <= upto_batch]
-    if len(older) < 2:
+    older = [b for b in batches if b < upto_batch]
+    if not older:
         return -1
     schema = T.StructType(METRIC_SCHEMA.fields + [T.StructField("batch_id", T.LongType(), True)])
-    upto = (spark.read.schema(schema).parquet(path).filter(F.col("batch_id") <= upto_batch)
-            .groupBy("window_start", "window_end", "event")
-            .agg(F.max_by("event_count", "batch_id").alias("event_count")))
-    # Staged first: a job may not overwrite a path it reads.  The ``_`` prefix keeps
-    # the staging folder hidden from readers of the log.
+    folded = (spark.read.schema(schema).parquet(path).filter(F.col("batch_id") <= upto_batch)
+              .groupBy("window_start", "window_end", "event")
+              .agg(F.max_by("event_count", "batch_id").alias("event_count"))
+              .withColumn("batch_id", F.lit(upto_batch).cast("long")))
+    # Staged first, so the job that adds files to the log does not also read it.  The
+    # ``_`` prefix keeps the staging folder hidden from readers of the log.
     staged = f"{path.rstrip('/')}/_compacting_{upto_batch}"
-    upto.withColumn("batch_id", F.lit(upto_batch).cast("long")).write.mode("overwrite").parquet(staged)
-    (spark.read.schema(schema).parquet(staged).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+    folded.write.mode("overwrite").parquet(staged)
+    spark.read.schema(schema).parquet(staged).write.mode("append").partitionBy("batch_id").parquet(path)
     for b in older:
-        if b != upto_batch:
-            delete_path(spark, f"{path.rstrip('/')}/batch_id={b}")
+        delete_path(spark, f"{path.rstrip('/')}/batch_id={b}")
     delete_path(spark, staged)
     return upto_batch
 
