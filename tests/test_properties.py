@@ -72,3 +72,51 @@ def test_stream_complete_equals_batch_metric(spark, tmp_path):
     streamed = load_stream_metric(spark, snap)
     batch = events_per_window(with_event_ts(raw))
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+EVENTS = st.sampled_from(["view", "addtocart", "transaction", "View", None])
+ROWS = st.lists(st.tuples(st.integers(-10**12, 4 * 10**12), EVENTS, st.sampled_from(["1", "2", "10", "9", None])),
+                min_size=0, max_size=120)
+
+
+def _raw(spark, rows):
+    from tests.conftest import raw_rows
+
+    return raw_rows(spark, [(ms, "v", ev, item, None) for ms, ev, item in rows])
+
+
+@settings(max_examples=5, deadline=None)
+@given(ROWS)
+def test_window_metric_matches_brute_force(spark, rows):
+    from collections import Counter
+
+    want = Counter(((ms // 60_000) * 60, ev) for ms, ev, _ in rows)  # epoch-aligned minute
+    m = events_per_window(with_event_ts(_raw(spark, rows)))
+    got = {(r.s, r.event): r.event_count for r in
+           m.select(F.unix_seconds("window_start").alias("s"), "event", "event_count").collect()}
+    assert got == dict(want)
+
+
+@settings(max_examples=5, deadline=None)
+@given(ROWS, st.integers(1, 5))
+def test_top_items_matches_brute_force(spark, rows, n):
+    from collections import Counter
+
+    views = Counter(item for _, ev, item in rows if ev == "view")
+    want = sorted(views.items(), key=lambda kv: (-kv[1], (kv[0] is not None, kv[0] or "")))[:n]
+    got = [tuple(r) for r in ins.top_items(_raw(spark, rows), n=n).collect()]
+    assert got == want
+
+
+@settings(max_examples=5, deadline=None)
+@given(ROWS)
+def test_funnel_matches_formula(spark, rows):
+    from collections import Counter
+
+    c = Counter(ev for _, ev, _ in rows)
+    a, b, t = c["view"], c["addtocart"], c["transaction"]
+    f = funnel(ins.event_distribution(_raw(spark, rows)), "count").first()
+    assert (f.view_count, f.addtocart_count, f.transaction_count) == (a, b, t)
+    assert f.view_to_cart == ((b / a * 100) if a > 0 else 0)
+    assert f.cart_to_tx == ((t / b * 100) if b > 0 else 0)
+    assert f.overall == ((t / a * 100) if a > 0 else 0)
