@@ -61,3 +61,17 @@ def test_parse_reads_each_record_once(spark):
     env = envelopes_from_raw(read_fixture_events(spark, SF_SMALL))
     optimized = parse_envelopes(env)._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count("from_json(") == 1
+
+
+@pytest.mark.parametrize("name", DIRECT)
+def test_results_do_not_depend_on_partitioning(spark, name):
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "1")
+        one = sorted(map(tuple, entry.queries()[name](spark, SF_SMALL).collect()), key=repr)
+        spark.conf.set(key, "17")
+        many = sorted(map(tuple, entry.queries()[name](spark, SF_SMALL).collect()), key=repr)
+    finally:
+        spark.conf.set(key, old)
+    assert one == many
