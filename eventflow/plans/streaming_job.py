@@ -62,7 +62,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--state-partitions", type=int, help="state partitions of the metric queries (fixed at first start)")
     ap.add_argument("--max-offsets-per-trigger", type=int, help="bound each Kafka micro-batch")
     ap.add_argument("--min-partitions", type=int, help="split large Kafka partitions over more tasks")
-    ap.add_argument("--max-files-per-trigger", type=int, help="bound each replay micro-batch (--envelopes)")
+    ap.add_argument("--max-files-per-trigger", type=int,
+                    help="bound each replay micro-batch (--envelopes); files are taken in modification-time "
+                         "order, so use it only for replays written one time slice at a time, or rows of a "
+                         "later file may fall behind the watermark")
     args = ap.parse_args(argv)
     conf = {}
     if args.rocksdb:

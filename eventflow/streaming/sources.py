@@ -36,7 +36,12 @@ def read_kafka_stream(spark: SparkSession, bootstrap: str, topic: str, **options
 
 def read_envelope_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Parquet files of envelopes as a stream: the same rows a Kafka source gives,
-    for replays and tests without a broker."""
+    for replays and tests without a broker.
+
+    Files are consumed in modification-time order.  With ``max_files_per_trigger``
+    the replay spans several micro-batches, and event time must then grow from file
+    to file (write one time slice per job), or later files' rows may be dropped as
+    late; without it the whole backlog is one batch."""
     reader = spark.readStream.schema(ENVELOPE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
