@@ -2,7 +2,8 @@
 messages keyed by visitor -> Kafka, or -> envelope files for broker-free replays.
 
 The live-traffic simulation (sleep-paced, endless re-reading of the file) is not
-rebuilt; a paced feed is a streaming read with ``maxFilesPerTrigger`` instead.
+rebuilt; a paced feed is a time-sliced replay (``replay_csv_to_files(slices=N)``)
+read with ``maxFilesPerTrigger`` instead.
 """
 
 from __future__ import annotations
@@ -33,10 +34,42 @@ def publish_csv(spark: SparkSession, path: str, bootstrap: str, topic: str, **ka
     write_kafka(csv_to_envelopes(spark, path), bootstrap, topic, **kafka_options)
 
 
-def replay_csv_to_files(spark: SparkSession, path: str, out: str) -> None:
+def replay_csv_to_files(spark: SparkSession, path: str, out: str, slices: int | None = None) -> None:
     """Write a CSV file as envelope parquet, stamped with each row's event time as
-    broker time, for a file-source replay (``streaming.sources.read_envelope_stream``)."""
-    write_parquet(envelopes_from_raw(read_events_csv(spark, path)), out, mode="append")
+    broker time, for a file-source replay (``streaming.sources.read_envelope_stream``).
+
+    With ``slices`` the rows are range-partitioned by event time into that many
+    files in one job, and the files' modification times are set in time order, so a
+    stream reading them with ``maxFilesPerTrigger`` replays history in order, one
+    slice per micro-batch, and nothing falls behind the watermark."""
+    rows = read_events_csv(spark, path)
+    if not slices:
+        write_parquet(envelopes_from_raw(rows), out, mode="append")
+        return
+    ordered = rows.repartitionByRange(slices, "timestamp").sortWithinPartitions("timestamp")
+    staged = f"{out.rstrip('/')}/_slices"
+    write_parquet(envelopes_from_raw(ordered), staged)
+    order_files_by_partition(spark, staged, out)
+
+
+def order_files_by_partition(spark: SparkSession, staged: str, out: str) -> None:
+    """Move ``part-NNNNN`` files of ``staged`` into ``out`` with modification times
+    increasing with the partition number (range partitions are numbered in key
+    order).  File moves and time stamps only; no data passes the driver."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src_dir = jvm.org.apache.hadoop.fs.Path(staged)
+    dst_dir = jvm.org.apache.hadoop.fs.Path(out)
+    fs = src_dir.getFileSystem(conf)
+    fs.mkdirs(dst_dir)
+    parts = sorted((st.getPath().getName(), st.getPath()) for st in fs.listStatus(src_dir)
+                   if st.getPath().getName().startswith("part-"))
+    base = int(jvm.java.lang.System.currentTimeMillis()) - 1000 * (len(parts) + 1)
+    for i, (name, src) in enumerate(parts):
+        dst = jvm.org.apache.hadoop.fs.Path(dst_dir, name)
+        fs.rename(src, dst)
+        fs.setTimes(dst, base + 1000 * i, -1)
+    fs.delete(src_dir, True)
 
 
 def start_csv_publish_stream(spark: SparkSession, folder: str, bootstrap: str, topic: str, checkpoint: str,
@@ -61,10 +94,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--kafka")
     ap.add_argument("--topic", default="events")
     ap.add_argument("--envelopes", help="write envelope parquet files here instead of Kafka")
+    ap.add_argument("--slices", type=int, help="with --envelopes: that many time-ordered files")
     args = ap.parse_args(argv)
     spark = build_spark("eventflow-producer")
     if args.envelopes:
-        replay_csv_to_files(spark, args.csv, args.envelopes)
+        replay_csv_to_files(spark, args.csv, args.envelopes, args.slices)
     elif args.kafka:
         publish_csv(spark, args.csv, args.kafka, args.topic)
     else:
