@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventflow.functions.time import lenient_date, lenient_timestamp
@@ -124,10 +125,19 @@ def read_latest_snapshot(spark: SparkSession, folder: str, schema: T.StructType)
     return read_result_folder(spark, folder, schema)
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
+def read_archive(spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
     """Raw archive (parquet of the 7 message fields) replayed as raw clickstream rows,
-    ready for the same batch operators as the CSV input."""
-    return spark.read.schema(MESSAGE_SCHEMA).parquet(path).select(*RAW_COLUMNS)
+    ready for the same batch operators as the CSV input.
+
+    ``first_day`` / ``last_day`` (``YYYY-MM-DD``, inclusive) select days of an
+    archive written with ``partition_by_date``; the filter is on the partition
+    column, so other days' folders are never listed into the scan."""
+    archive = spark.read.parquet(path) if (first_day or last_day) else spark.read.schema(MESSAGE_SCHEMA).parquet(path)
+    if first_day:
+        archive = archive.filter(F.col("event_date") >= F.lit(first_day).cast("date"))
+    if last_day:
+        archive = archive.filter(F.col("event_date") <= F.lit(last_day).cast("date"))
+    return archive.select(*RAW_COLUMNS)
 
 
 def read_parquet_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -193,8 +193,10 @@ def test_archive_partitioned_by_date(spark, tmp_path):
     _run(sq.start_archive(parsed, out, str(tmp_path / "ck"), trigger="availableNow", partition_by_date=True))
     assert sorted(os.listdir(out)) == ["_spark_metadata", "event_date=2015-06-02"]
     assert read_archive(spark, out).count() == 6
-    # a date filter prunes partitions
-    plan = spark.read.parquet(out).filter("event_date = '2015-06-02'")._jdf.queryExecution().executedPlan().toString()
+    # a date range prunes partitions
+    days = read_archive(spark, out, "2015-06-02", "2015-06-02")
+    assert days.count() == 6 and read_archive(spark, out, "2015-06-03").count() == 0
+    plan = days._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
 
 
