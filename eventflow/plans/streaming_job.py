@@ -34,12 +34,13 @@ def sink_paths(out_dir: str, console: bool = False) -> dict[str, str]:
 
 def run_streaming_job(spark: SparkSession, envelopes: DataFrame, out_dir: str, checkpoints: str,
                       available_now: bool = False, console: bool = False, on_malformed: str = "quarantine",
-                      wait: bool = True, timeout_s: float | None = None, state_partitions: int | None = None):
+                      wait: bool = True, timeout_s: float | None = None, state_partitions: int | None = None,
+                      archive_by_date: bool = False):
     """Start every sink and, with ``wait``, block until any query ends (the job's
     life ends with its first failing query; restart resumes from the checkpoints)."""
     triggers = {k: ("availableNow" if available_now else v) for k, v in DEFAULT_TRIGGERS.items()}
     queries = start_all(envelopes, sink_paths(out_dir, console), checkpoints, triggers, on_malformed,
-                        state_partitions=state_partitions)
+                        state_partitions=state_partitions, archive_by_date=archive_by_date)
     if wait:
         if available_now:
             for q in queries.values():
@@ -59,6 +60,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--console", action="store_true")
     ap.add_argument("--rocksdb", action="store_true", help="RocksDB state store for large state")
+    ap.add_argument("--archive-by-date", action="store_true", help="partition the raw archive by UTC event date")
     ap.add_argument("--state-partitions", type=int, help="state partitions of the metric queries (fixed at first start)")
     ap.add_argument("--max-offsets-per-trigger", type=int, help="bound each Kafka micro-batch")
     ap.add_argument("--min-partitions", type=int, help="split large Kafka partitions over more tasks")
@@ -83,7 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         ap.error("give --kafka or --envelopes")
     run_streaming_job(spark, envelopes, args.out, args.checkpoints, args.available_now, args.console,
-                      state_partitions=args.state_partitions)
+                      state_partitions=args.state_partitions, archive_by_date=args.archive_by_date)
 
 
 if __name__ == "__main__":

@@ -239,7 +239,8 @@ def start_kafka_publish(envelopes: DataFrame, bootstrap: str, topic: str, checkp
 def start_all(raw: DataFrame, out: dict[str, str], checkpoints: str, triggers: dict[str, str | None] | None = None,
               on_malformed: str = "quarantine", tolerate_start_failures: bool = False,
               width: str = "1 minute", watermark: str = "2 minutes",
-              state_partitions: int | None = None) -> dict[str, StreamingQuery | Exception]:
+              state_partitions: int | None = None,
+              archive_by_date: bool = False) -> dict[str, StreamingQuery | Exception]:
     """Fan one envelope stream out to the sinks named in ``out``:
     ``metric`` (append parquet), ``snapshot`` (complete CSV), ``updates`` (update
     log), ``archive`` (raw parquet), ``quarantine``, ``console`` (any value).
@@ -254,7 +255,7 @@ def start_all(raw: DataFrame, out: dict[str, str], checkpoints: str, triggers: d
         "metric": lambda p, c, t: start_metric_append(metric, p, c, t, state_partitions=state_partitions),
         "snapshot": lambda p, c, t: start_metric_snapshot(metric, p, c, t, state_partitions=state_partitions),
         "updates": lambda p, c, t: start_metric_updates(metric, p, c, t, state_partitions=state_partitions),
-        "archive": lambda p, c, t: start_archive(parsed, p, c, t),
+        "archive": lambda p, c, t: start_archive(parsed, p, c, t, partition_by_date=archive_by_date),
         "quarantine": lambda p, c, t: start_quarantine(raw, p, c, t),
         "console": lambda p, c, t: start_console(metric, c, t, state_partitions=state_partitions),
     }

@@ -120,7 +120,12 @@ def test_producer_and_dashboard_cli(spark, tmp_path, capsys):
     src.write_text(HEADER + "\n".join(ROWS) + "\n")
     producer.main(["--csv", str(src), "--envelopes", str(tmp_path / "env")])
     streaming_job.main(["--envelopes", str(tmp_path / "env"), "--out", str(tmp_path / "stream"),
-                        "--checkpoints", str(tmp_path / "ck"), "--available-now"])
+                        "--checkpoints", str(tmp_path / "ck"), "--available-now", "--archive-by-date",
+                        "--state-partitions", "2"])
+    import os
+
+    assert sorted(n for n in os.listdir(tmp_path / "stream" / "raw-events") if n.startswith("event_date=")) == [
+        "event_date=2015-06-02", "event_date=2015-06-03"]
     batch_main(["--input", str(src), "--parquet-out", str(tmp_path / "pq"), "--csv-out", str(tmp_path / "csv")])
     capsys.readouterr()
     dashboard.main(["--stream", str(tmp_path / "stream" / "snapshot" / "events_per_minute"),
