@@ -25,6 +25,7 @@ from eventflow.session import build_spark, scratch_path
 from eventflow.sinks.files import write_csv, write_parquet
 from eventflow.sources.files import (
     path_size,
+    read_archive,
     read_events_csv,
     read_parquet_result,
     read_result_folder,
@@ -74,12 +75,16 @@ def run_batch_job(
     stage_csv: bool | None = None,
     top_n: int = 20,
     staged_path: str | None = None,
+    first_day: str | None = None,
+    last_day: str | None = None,
 ) -> BatchResult:
     """Resolve the input, compute the insights once, write parquet (and a one-file
     CSV per result, for small consumers), and return the stored results.
 
     ``stage_csv``: ``None`` stages a CSV input of at least ``STAGE_MIN_BYTES``;
-    ``staged_path`` keeps the parquet copy at a chosen place (default: scratch)."""
+    ``staged_path`` keeps the parquet copy at a chosen place (default: scratch).
+    ``input_format="archive"`` replays the streaming job's raw archive, optionally
+    only the days ``first_day`` .. ``last_day`` (pruned on its date partitions)."""
     candidates = [inputs] if isinstance(inputs, str) else list(inputs)
     path = resolve_input(spark, candidates)
     fmt = input_format or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
@@ -89,6 +94,8 @@ def run_batch_job(
             stage_csv = path_size(spark, path) >= STAGE_MIN_BYTES
         if stage_csv:
             raw = stage_raw(spark, raw, staged_path)
+    elif fmt == "archive":
+        raw = read_archive(spark, path, first_day, last_day)
     else:
         raw = spark.read.parquet(path)
     result = BatchResult(path, parquet_dir, csv_dir)
@@ -134,14 +141,17 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--input", action="append", required=True, help="candidate input paths, first existing wins")
     ap.add_argument("--parquet-out", required=True)
     ap.add_argument("--csv-out")
-    ap.add_argument("--format", choices=["csv", "parquet"])
+    ap.add_argument("--format", choices=["csv", "parquet", "archive"])
+    ap.add_argument("--first-day", help="with --format archive: first UTC day (YYYY-MM-DD)")
+    ap.add_argument("--last-day", help="with --format archive: last UTC day (YYYY-MM-DD)")
     ap.add_argument("--top-n", type=int, default=20)
     ap.add_argument("--stage", choices=["auto", "yes", "no"], default="auto",
                     help="copy a CSV input to parquet first (auto: when >= 256 MiB)")
     args = ap.parse_args(argv)
     spark = build_spark("eventflow-batch")
     stage = {"auto": None, "yes": True, "no": False}[args.stage]
-    res = run_batch_job(spark, args.input, args.parquet_out, args.csv_out, args.format, stage, args.top_n)
+    res = run_batch_job(spark, args.input, args.parquet_out, args.csv_out, args.format, stage, args.top_n,
+                        first_day=args.first_day, last_day=args.last_day)
     print(f"input: {res.input_path}; total events: {res.total_events().first().total_events:,}")
     preview(res, args.top_n)
 

@@ -126,6 +126,10 @@ def test_producer_and_dashboard_cli(spark, tmp_path, capsys):
 
     assert sorted(n for n in os.listdir(tmp_path / "stream" / "raw-events") if n.startswith("event_date=")) == [
         "event_date=2015-06-02", "event_date=2015-06-03"]
+    # the batch job replays the archive, one day of it
+    day = run_batch_job(spark, str(tmp_path / "stream" / "raw-events"), str(tmp_path / "replay"),
+                        input_format="archive", first_day="2015-06-03", last_day="2015-06-03")
+    assert sorted(tuple(r) for r in day.tables["event_distribution"].collect()) == [("transaction", 1), ("view", 1)]
     batch_main(["--input", str(src), "--parquet-out", str(tmp_path / "pq"), "--csv-out", str(tmp_path / "csv")])
     capsys.readouterr()
     dashboard.main(["--stream", str(tmp_path / "stream" / "snapshot" / "events_per_minute"),
