@@ -1,8 +1,8 @@
 """Live metrics over the window metric table (``schemas.METRIC_SCHEMA``).
 
 These replace per-refresh pandas work with Spark plans over the stored metric.
-"Latest window" is a scalar subquery: one value, computed once and used as a
-literal, so the filter is pushed down and nothing is joined or gathered.
+"Latest window" is a scalar subquery: one value, computed once by its own small
+job and then used as a literal, so nothing is joined, broadcast or gathered.
 """
 
 from __future__ import annotations
