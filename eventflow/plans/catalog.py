@@ -39,93 +39,93 @@ def _metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_per_window(with_event_ts(_raw(spark, sf_dir)))
 
 
-def q_top_items(spark, sf_dir):
+def q_top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ins.top_items(_raw(spark, sf_dir))
 
 
-def q_event_distribution(spark, sf_dir):
+def q_event_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ins.event_distribution(_raw(spark, sf_dir))
 
 
-def q_event_share(spark, sf_dir):
+def q_event_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ins.event_share(_raw(spark, sf_dir))
 
 
-def q_daily_visitors(spark, sf_dir):
+def q_daily_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ins.daily_visitors(_raw(spark, sf_dir))
 
 
-def q_total_events(spark, sf_dir):
+def q_total_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ins.total_events(_raw(spark, sf_dir))
 
 
-def q_derive_event_time(spark, sf_dir):
+def q_derive_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(ins.enrich(_raw(spark, sf_dir)).select("timestamp", "event_time", "event_date"))
 
 
-def q_dataset_coverage(spark, sf_dir):
+def q_dataset_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(ins.coverage(_raw(spark, sf_dir), source="parquet"))
 
 
-def q_dataset_coverage_labels(spark, sf_dir):
+def q_dataset_coverage_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ins.coverage_labels(ins.coverage(_raw(spark, sf_dir), source="parquet"))
 
 
-def q_batch_date_window(spark, sf_dir):
+def q_batch_date_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ins.date_window(ins.daily_visitors(_raw(spark, sf_dir)))
 
 
-def q_batch_date_window_labels(spark, sf_dir):
+def q_batch_date_window_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ins.date_window_labels(ins.date_window(ins.daily_visitors(_raw(spark, sf_dir))))
 
 
-def q_events_per_minute(spark, sf_dir):
+def q_events_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(_metric(spark, sf_dir))
 
 
-def q_live_kpis(spark, sf_dir):
+def q_live_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(live.kpis(_metric(spark, sf_dir)))
 
 
-def q_latest_window_breakdown(spark, sf_dir):
+def q_latest_window_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(live.latest_breakdown(_metric(spark, sf_dir)))
 
 
-def q_last_n_windows_wide(spark, sf_dir):
+def q_last_n_windows_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(live.last_n_wide(_metric(spark, sf_dir)))
 
 
-def q_last_n_windows_long(spark, sf_dir):
+def q_last_n_windows_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(live.last_n_long(_metric(spark, sf_dir)))
 
 
-def q_event_totals_from_windows(spark, sf_dir):
+def q_event_totals_from_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.event_totals(_metric(spark, sf_dir))
 
 
-def q_funnel_live(spark, sf_dir):
+def q_funnel_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fn.funnel(_metric(spark, sf_dir), "event_count")
 
 
-def q_funnel_batch(spark, sf_dir):
+def q_funnel_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fn.funnel(ins.event_distribution(_raw(spark, sf_dir)), "count")
 
 
 # --- message codec -------------------------------------------------------------
 
 
-def q_normalize_events(spark, sf_dir):
+def q_normalize_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows as text (what a CSV reader hands the producer) -> normalised messages."""
     text = _raw(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in RAW_COLUMNS])
     return normalize_rows(text).drop("ingest_time")
 
 
-def q_to_json_envelope(spark, sf_dir):
+def q_to_json_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     env = envelopes_from_raw(_raw(spark, sf_dir))
     return env.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
-def q_parse_json_events(spark, sf_dir):
+def q_parse_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_envelopes(envelopes_from_raw(_raw(spark, sf_dir)))
     return utc_wall_clock(parsed.select(*RAW_COLUMNS, "kafka_ts", "event_ts"))
 
@@ -146,7 +146,7 @@ def _batch_job(spark: SparkSession, sf_dir: str) -> tuple[BatchResult, str]:
     return res, f"{out}/csv"
 
 
-def q_csv_scan_count(spark, sf_dir):
+def q_csv_scan_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = read_events_csv(spark, _raw_as_csv(spark, sf_dir))
     return raw.agg(
         F.count(F.lit(1)).alias("total_events"),
@@ -156,22 +156,22 @@ def q_csv_scan_count(spark, sf_dir):
     )
 
 
-def q_csv_roundtrip_results(spark, sf_dir):
+def q_csv_roundtrip_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, csv_dir = _batch_job(spark, sf_dir)
     return batch_view(spark, csv_dir)["top_items"]
 
 
-def q_csv_roundtrip_daily(spark, sf_dir):
+def q_csv_roundtrip_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, csv_dir = _batch_job(spark, sf_dir)
     return batch_view(spark, csv_dir)["daily_visitors"]
 
 
-def q_parquet_roundtrip_results(spark, sf_dir):
+def q_parquet_roundtrip_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     res, _ = _batch_job(spark, sf_dir)
     return res.tables["event_distribution"]
 
 
-def q_batch_job_total(spark, sf_dir):
+def q_batch_job_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     res, _ = _batch_job(spark, sf_dir)
     return res.total_events()
 
@@ -213,28 +213,28 @@ def _stream_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sq.metric_stream(parse_envelopes(read_envelope_stream(spark, _replay_source(spark, sf_dir))))
 
 
-def q_stream_snapshot_complete(spark, sf_dir):
+def q_stream_snapshot_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, ckpt = scratch_path(spark, "snapshot"), scratch_path(spark, "ckpt")
     _await(sq.start_metric_snapshot(_stream_metric(spark, sf_dir), folder, ckpt, trigger="availableNow",
                                     state_partitions=_state_partitions(spark)))
     return utc_wall_clock(load_stream_metric(spark, folder))
 
 
-def q_stream_windows_append(spark, sf_dir):
+def q_stream_windows_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, ckpt = scratch_path(spark, "metric"), scratch_path(spark, "ckpt")
     _await(sq.start_metric_append(_stream_metric(spark, sf_dir), path, ckpt, trigger="availableNow",
                                   state_partitions=_state_partitions(spark)))
     return utc_wall_clock(spark.read.schema(METRIC_SCHEMA).parquet(path))
 
 
-def q_stream_windows_update(spark, sf_dir):
+def q_stream_windows_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, ckpt = scratch_path(spark, "updates"), scratch_path(spark, "ckpt")
     _await(sq.start_metric_updates(_stream_metric(spark, sf_dir), path, ckpt, trigger="availableNow",
                                    state_partitions=_state_partitions(spark)))
     return utc_wall_clock(sq.latest_updates(spark, path))
 
 
-def q_stream_live_kpis(spark, sf_dir):
+def q_stream_live_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream -> snapshot folder -> live KPIs, the dashboard's data path."""
     folder, ckpt = scratch_path(spark, "snapshot"), scratch_path(spark, "ckpt")
     _await(sq.start_metric_snapshot(_stream_metric(spark, sf_dir), folder, ckpt, trigger="availableNow",
@@ -242,7 +242,7 @@ def q_stream_live_kpis(spark, sf_dir):
     return utc_wall_clock(live_view(load_stream_metric(spark, folder))["kpis"])
 
 
-def q_archive_replay_distribution(spark, sf_dir):
+def q_archive_replay_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, ckpt = scratch_path(spark, "archive"), scratch_path(spark, "ckpt")
     parsed = parse_envelopes(read_envelope_stream(spark, _replay_source(spark, sf_dir)))
     _await(sq.start_archive(parsed, path, ckpt, trigger="availableNow"))
