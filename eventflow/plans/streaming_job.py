@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventflow.session import build_spark
 from eventflow.streaming.queries import DEFAULT_TRIGGERS, start_all
-from eventflow.streaming.sources import read_envelope_stream, read_kafka_stream
+from eventflow.streaming.sources import read_envelope_stream, read_kafka_stream, read_message_files
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -57,6 +57,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--kafka")
     ap.add_argument("--topic", default="events")
     ap.add_argument("--envelopes", help="folder of envelope parquet files instead of Kafka")
+    ap.add_argument("--messages", help="folder of JSON-lines message files instead of Kafka")
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--console", action="store_true")
     ap.add_argument("--rocksdb", action="store_true", help="RocksDB state store for large state")
@@ -75,6 +76,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_spark("eventflow-streaming", **conf)
     if args.envelopes:
         envelopes = read_envelope_stream(spark, args.envelopes, args.max_files_per_trigger)
+    elif args.messages:
+        envelopes = read_message_files(spark, args.messages, max_files_per_trigger=args.max_files_per_trigger)
     elif args.kafka:
         extra = {}
         if args.max_offsets_per_trigger:
@@ -83,7 +86,7 @@ def main(argv: list[str] | None = None) -> None:
             extra["minPartitions"] = args.min_partitions
         envelopes = read_kafka_stream(spark, args.kafka, args.topic, **extra)
     else:
-        ap.error("give --kafka or --envelopes")
+        ap.error("give --kafka, --envelopes or --messages")
     run_streaming_job(spark, envelopes, args.out, args.checkpoints, args.available_now, args.console,
                       state_partitions=args.state_partitions, archive_by_date=args.archive_by_date)
 

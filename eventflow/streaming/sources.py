@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventflow.schemas import ENVELOPE_SCHEMA
 
@@ -46,3 +47,24 @@ def read_envelope_stream(spark: SparkSession, path: str, max_files_per_trigger:
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)
+
+
+def read_message_files(spark: SparkSession, path: str, streaming: bool = True,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """JSON-lines message files (one message per line, as another producer may drop
+    them) as envelopes: ``value`` is the line, ``timestamp`` the file's modification
+    time (the broker-time stand-in for messages without ``event_time``), ``key``
+    NULL (no consumer reads it, and extracting it would parse every line twice).
+    ``streaming=False`` reads the same files as a static DataFrame."""
+    if streaming:
+        reader = spark.readStream
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:
+        reader = spark.read
+    lines = reader.text(path)
+    return lines.select(
+        F.lit(None).cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.col("_metadata.file_modification_time").alias("timestamp"),
+    )
