@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventflow.functions.messages import envelopes_from_raw, normalize_rows, parse_envelopes
+from eventflow.functions.messages import envelopes_from_raw, message_json, normalize_rows, parse_envelopes
+from eventflow.functions.time import ms_to_instant
 from eventflow.operators import funnel as fn
 from eventflow.operators import insights as ins
 from eventflow.operators import live
@@ -23,7 +24,7 @@ from eventflow.sinks.files import write_csv, write_parquet
 from eventflow.sources.files import path_exists, read_archive, read_events_csv
 from eventflow.sources.fixtures import read_fixture_events
 from eventflow.streaming import queries as sq
-from eventflow.streaming.sources import read_envelope_stream
+from eventflow.streaming.sources import read_envelope_stream, read_message_files
 
 STREAM_TIMEOUT_S = 1800
 
@@ -130,6 +131,16 @@ def q_parse_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(parsed.select(*RAW_COLUMNS, "kafka_ts", "event_ts"))
 
 
+def q_json_message_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages written as JSON lines (as another producer would drop them), read
+    back through the message-file source and parsed."""
+    path = scratch_path(spark, "messages")
+    messages = normalize_rows(_raw(spark, sf_dir), ingest_time=ms_to_instant("timestamp"))
+    messages.select(message_json(messages).alias("value")).write.text(path)
+    parsed = parse_envelopes(read_message_files(spark, path, streaming=False))
+    return utc_wall_clock(parsed.select(*RAW_COLUMNS, "event_time", "event_ts"))
+
+
 # --- CSV / parquet round trips through the batch job -----------------------------
 
 
@@ -271,6 +282,7 @@ QUERIES: dict[str, Query] = {
     "normalize_events": q_normalize_events,
     "to_json_envelope": q_to_json_envelope,
     "parse_json_events": q_parse_json_events,
+    "json_message_files": q_json_message_files,
     "csv_scan_count": q_csv_scan_count,
     "csv_roundtrip_results": q_csv_roundtrip_results,
     "csv_roundtrip_daily": q_csv_roundtrip_daily,

@@ -125,6 +125,10 @@ FROM ev""",
     "parse_json_events": f"""WITH {EV}
 SELECT "timestamp", visitorid, event, itemid, transactionid,
        make_timestamp("timestamp" * 1000) AS kafka_ts, make_timestamp("timestamp" * 1000) AS event_ts
+FROM ev""",
+    "json_message_files": f"""WITH {EV}
+SELECT "timestamp", visitorid, event, itemid, transactionid, {_iso('"timestamp"')} AS event_time,
+       make_timestamp("timestamp" * 1000) AS event_ts
 FROM ev""",
     "csv_scan_count": f"""WITH {EV}
 SELECT count(*) AS total_events, count("timestamp") AS n_timestamps,
