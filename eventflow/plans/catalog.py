@@ -144,10 +144,19 @@ def q_json_message_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- CSV / parquet round trips through the batch job -----------------------------
 
 
+_RAW_CSVS: dict[tuple[str, str], str] = {}
+
+
 def _raw_as_csv(spark: SparkSession, sf_dir: str) -> str:
-    """The adapted clickstream written as a raw events CSV folder (shared scratch)."""
-    path = scratch_path(spark, "raw-csv")
-    write_csv(_raw(spark, sf_dir), path)
+    """The adapted clickstream written as a raw events CSV folder (shared scratch),
+    the input the batch job and the CSV reader are run on.  Written once per
+    application and scale factor, like raw data landed once and read by many jobs."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    path = _RAW_CSVS.get(key)
+    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
+        path = scratch_path(spark, "raw-csv")
+        write_csv(_raw(spark, sf_dir), path)
+        _RAW_CSVS[key] = path
     return path
 
 
