@@ -186,6 +186,13 @@ def q_csv_roundtrip_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_view(spark, csv_dir)["daily_visitors"]
 
 
+def q_dashboard_batch_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch funnel as the dashboard computes it: from the batch job's stored
+    CSV distribution."""
+    _, csv_dir = _batch_job(spark, sf_dir)
+    return batch_view(spark, csv_dir)["funnel"]
+
+
 def q_parquet_roundtrip_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     res, _ = _batch_job(spark, sf_dir)
     return res.tables["event_distribution"]
@@ -295,6 +302,7 @@ QUERIES: dict[str, Query] = {
     "csv_scan_count": q_csv_scan_count,
     "csv_roundtrip_results": q_csv_roundtrip_results,
     "csv_roundtrip_daily": q_csv_roundtrip_daily,
+    "dashboard_batch_funnel": q_dashboard_batch_funnel,
     "parquet_roundtrip_results": q_parquet_roundtrip_results,
     "batch_job_total": q_batch_job_total,
     "stream_snapshot_complete": q_stream_snapshot_complete,

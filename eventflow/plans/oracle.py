@@ -139,6 +139,7 @@ SELECT itemid, count(*) AS view_count FROM ev WHERE event = 'view'
 GROUP BY itemid ORDER BY view_count DESC, itemid ASC NULLS FIRST LIMIT 20""",
     "csv_roundtrip_daily": f"""WITH {EV}, {ENR}
 SELECT event_date, count(DISTINCT visitorid) AS active_visitors FROM enr GROUP BY event_date""",
+    "dashboard_batch_funnel": f"""WITH {EV}, {DIST} {_funnel("dist", '"count"')}""",
     "parquet_roundtrip_results": f"""WITH {EV}, {DIST} SELECT event, "count" FROM dist""",
     "batch_job_total": f"""WITH {EV} SELECT count(*) AS total_events FROM ev""",
     "stream_snapshot_complete": f"""WITH {EV}, {MET} SELECT * FROM met""",

@@ -12,7 +12,7 @@ from tests.conftest import SF_SMALL
 
 # queries whose whole plan runs on the synthetic table (no files written first)
 DIRECT = [n for n in entry.queries()
-          if not n.startswith(("stream_", "csv_", "parquet_", "batch_job", "archive_", "json_message"))]
+          if not n.startswith(("stream_", "csv_", "parquet_", "batch_job", "archive_", "json_message", "dashboard_"))]
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
 
