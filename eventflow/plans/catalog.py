@@ -269,6 +269,14 @@ def q_stream_live_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(live_view(load_stream_metric(spark, folder))["kpis"])
 
 
+def q_stream_funnel_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream -> snapshot folder -> live funnel, the dashboard's funnel data path."""
+    folder, ckpt = scratch_path(spark, "snapshot"), scratch_path(spark, "ckpt")
+    _await(sq.start_metric_snapshot(_stream_metric(spark, sf_dir), folder, ckpt, trigger="availableNow",
+                                    state_partitions=_state_partitions(spark)))
+    return live_view(load_stream_metric(spark, folder))["funnel"]
+
+
 def q_archive_replay_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, ckpt = scratch_path(spark, "archive"), scratch_path(spark, "ckpt")
     parsed = parse_envelopes(read_envelope_stream(spark, _replay_source(spark, sf_dir)))
@@ -309,5 +317,6 @@ QUERIES: dict[str, Query] = {
     "stream_windows_append": q_stream_windows_append,
     "stream_windows_update": q_stream_windows_update,
     "stream_live_kpis": q_stream_live_kpis,
+    "stream_funnel_live": q_stream_funnel_live,
     "archive_replay_distribution": q_archive_replay_distribution,
 }

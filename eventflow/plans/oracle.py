@@ -150,5 +150,6 @@ SELECT * FROM met
 WHERE window_end <= (SELECT make_timestamp(max("timestamp") * 1000) - INTERVAL 2 MINUTE FROM ev)""",
     "stream_windows_update": f"""WITH {EV}, {MET} SELECT * FROM met""",
     "stream_live_kpis": f"""WITH {EV}, {MET} {KPIS}""",
+    "stream_funnel_live": f"""WITH {EV}, {MET} {_funnel("met", "event_count")}""",
     "archive_replay_distribution": f"""WITH {EV}, {DIST} SELECT event, "count" FROM dist""",
 }
