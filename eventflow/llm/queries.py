@@ -4,19 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventflow.llm.common import read_table
 from eventflow.llm.exact_dedup import exact_duplicates
+from eventflow.llm.quality import fit_quality, quality_verdicts
+from eventflow.llm.token_count import token_counts
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"), keep="max").withColumnRenamed("id", "doc_id")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts(docs, path, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    trees = fit_quality(docs, read_table(spark, sf_dir, "labels"))
+    return quality_verdicts(docs, trees).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_token_counts": op2_token_counts,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
