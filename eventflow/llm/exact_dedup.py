@@ -72,7 +72,6 @@ def exact_duplicates(
     groups = stored(_groups(prints, ["h"], keep), "exact-groups")
 
     texts = docs.select(text_or_empty(text_col).alias("text")).withColumn("h", hash_fn(F.col("text")))
-    texts = texts.join(groups.select("h"), "h", "left_semi")  # only hashes that occur twice need comparing
     collided = stored(
         texts.groupBy("h", "text").agg(F.count(F.lit(1)).alias("n")).groupBy("h").agg(F.count(F.lit(1)).alias("texts"))
         .filter("texts > 1").select("h"),
