@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventflow.llm.common import read_table
 from eventflow.llm.exact_dedup import exact_duplicates
+from eventflow.llm.packing import pack_documents
 from eventflow.llm.quality import fit_quality, quality_verdicts
 from eventflow.llm.token_count import token_counts
 
@@ -23,6 +24,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(docs, path, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     trees = fit_quality(docs, read_table(spark, sf_dir, "labels"))
@@ -32,6 +38,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
+    "op3_packing": op3_packing,
     "op9_quality_rules": op9_quality_rules,
 }
 
