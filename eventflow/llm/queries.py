@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventflow.llm.common import read_table
 from eventflow.llm.exact_dedup import exact_duplicates
+from eventflow.llm.html_extract import extract_pages
 from eventflow.llm.packing import pack_documents
 from eventflow.llm.quality import fit_quality, quality_verdicts
 from eventflow.llm.token_count import token_counts
@@ -35,11 +36,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(docs, trees).withColumnRenamed("id", "doc_id")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE_SQL: dict[str, str] = {
