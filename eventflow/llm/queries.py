@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventflow.llm.common import read_table
 from eventflow.llm.exact_dedup import exact_duplicates
 from eventflow.llm.html_extract import extract_pages
+from eventflow.llm.mixing import mix_sources
 from eventflow.llm.packing import pack_documents
 from eventflow.llm.quality import fit_quality, quality_verdicts
 from eventflow.llm.token_count import token_counts
+from eventflow.llm.url_filter import mine_block_rules, url_verdicts
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +33,25 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
 
+URL_RULES = [
+    ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
+]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    # the labels carry the number of the page they were given for
+    labels = read_table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("blocked"))
+    rules = mine_block_rules(pages.select("page_id", "url").join(labels, "page_id"))
+    return url_verdicts(pages, URL_RULES, rules).withColumnRenamed("id", "page_id")
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "n_copies", "copy", "order_key")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     trees = fit_quality(docs, read_table(spark, sf_dir, "labels"))
@@ -44,6 +66,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
+    "op7_url_filter": op7_url_filter,
+    "op8_source_mixing": op8_source_mixing,
     "op9_quality_rules": op9_quality_rules,
     "op10_html_extraction": op10_html_extraction,
 }
@@ -58,4 +82,28 @@ ORACLE_SQL: dict[str, str] = {
                sha256(text) AS text_sha256
         FROM t
     """,
+    "op8_source_mixing": """
+        WITH RECURSIVE d AS (SELECT doc_id, source, length(text) AS n FROM documents),
+        s AS (SELECT source, coalesce(sum(n), 0)::BIGINT AS chars FROM d GROUP BY source),
+        w AS (SELECT source, chars, CASE WHEN chars > 0 THEN pow(chars::DOUBLE, 0.5) ELSE 0 END AS raw FROM s),
+        r AS (
+            SELECT source,
+                   CASE WHEN chars > 0 THEN (raw / sum(raw) OVER ()) * 1.0::DOUBLE * (sum(chars) OVER ())::DOUBLE / chars::DOUBLE
+                        ELSE 0 END AS rate
+            FROM w),
+        p AS (SELECT source, rate, greatest(1, ceil(rate / 32.0::DOUBLE))::INT AS parts FROM r),
+        cdf AS (
+            SELECT source, parts, rate / parts AS mean, 0 AS k, exp(-(rate / parts)) AS p, exp(-(rate / parts)) AS c FROM p
+            UNION ALL
+            SELECT source, parts, mean, k + 1, p * mean / (k + 1), c + p * mean / (k + 1) FROM cdf WHERE k < 159),
+        steps AS (SELECT source, any_value(parts) AS parts, list(c ORDER BY k) AS cs FROM cdf GROUP BY source),
+        u AS (
+            SELECT d.doc_id, d.source, cs,
+                   (('0x' || substr(md5('42|' || d.doc_id || '|' || part), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
+            FROM d JOIN steps ON d.source IS NOT DISTINCT FROM steps.source, unnest(generate_series(1, steps.parts)) AS g(part)),
+        n AS (SELECT doc_id, source, sum(len(list_filter(cs, lambda c: c <= u)))::INT AS n_copies FROM u GROUP BY doc_id, source)
+        SELECT doc_id, source, n_copies, copy::INT AS copy,
+               ('0x' || substr(md5('42:order|' || doc_id || '|' || copy), 1, 15))::BIGINT AS order_key
+        FROM n, unnest(generate_series(0, n_copies - 1)) AS g(copy)
+    """,
 }
