@@ -15,6 +15,7 @@ from eventflow.llm.mixing import mix_sources
 from eventflow.llm.packing import pack_documents
 from eventflow.llm.quality import fit_quality, quality_verdicts
 from eventflow.llm.token_count import token_counts
+from eventflow.llm.toxicity import fit_toxicity, toxicity_scores
 from eventflow.llm.url_filter import mine_block_rules, url_verdicts
 
 
@@ -33,6 +34,17 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+
+    def held_out(col):
+        return F.coalesce(F.crc32(col.cast("string")) % 5 == 0, F.lit(False))
+
+    model = fit_toxicity(docs, labels.filter(~held_out(F.col("doc_id"))))
+    return toxicity_scores(docs, model).select(
+        F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score", "predicted")
+
+
 URL_RULES = [
     ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
 ]
@@ -66,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
+    "op5_toxicity": op5_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_source_mixing": op8_source_mixing,
     "op9_quality_rules": op9_quality_rules,
