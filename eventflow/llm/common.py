@@ -42,14 +42,18 @@ def text_or_empty(col: str):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def by_chars(texts, limit: int = 2_000_000):
-    """Split a sequence of texts into runs of about ``limit`` characters (at least one
-    text each), so that per-batch arrays stay bounded however long the texts are."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= limit:
+def by_size(sizes, limit: int = 4_000_000):
+    """Split a sequence of sizes into runs of about ``limit`` in all (at least one item
+    each), so that per-batch arrays stay bounded however long the texts are."""
+    start = total = 0
+    for i, size in enumerate(sizes):
+        total += size
+        if total >= limit:
             yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+            start, total = i + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def by_chars(texts, limit: int = 2_000_000):
+    return by_size([len(t) for t in texts], limit)

@@ -24,25 +24,35 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.llm.common import by_chars
+from eventflow.llm.common import by_size
 
 SENTENCE_END = ".!?\n"
+MARKS = frozenset(SENTENCE_END)
+END = "\n\n"  # of a document; a chunk never holds two line feeds
+TRAILING = ".,!?;:)#$%&*|\"\n"  # may follow a word without being joined to it
 
 
 def window_cuts(pos: np.ndarray, penalty: np.ndarray, window: int, sequence_cost: float) -> tuple[list[int], float]:
     """Indices of the chosen cuts, from 0 to the last candidate, and their cost.
     ``pos`` rises strictly from 0; neighbours are at most ``window`` apart."""
     n = len(pos)
-    sizes = [1 << k for k in range(window.bit_length()) if 1 << k <= window]
-    exact: dict[int, list[int]] = {}
-    for size in sizes:  # candidates with another candidate exactly a power of two before them
-        back = np.searchsorted(pos, pos - size)
-        for i in np.flatnonzero((pos >= size) & (pos[np.minimum(back, n - 1)] == pos - size)).tolist():
-            exact.setdefault(i, []).append(int(back[i]))
+    # candidates with another candidate exactly a power of two before them, as flat lists
+    index = np.full(int(pos[-1]) + 1, -1, np.int32)
+    index[pos] = np.arange(n)
+    later, earlier = [], []
+    for size in (1 << k for k in range(window.bit_length()) if 1 << k <= window):
+        i = np.flatnonzero(pos >= size)
+        j = index[pos[i] - size]
+        later.append(i[j >= 0])
+        earlier.append(j[j >= 0])
+    later, earlier = np.concatenate(later), np.concatenate(earlier)
+    exact = earlier[np.argsort(later, kind="stable")].tolist()
+    first = np.concatenate([[0], np.cumsum(np.bincount(later, minlength=n))]).tolist()
     at, extra = pos.tolist(), (penalty + sequence_cost).tolist()
     cost, came = [0.0] * n, [0] * n
     queue, head, key = [0], 0, [0.0] * n
@@ -52,10 +62,9 @@ def window_cuts(pos: np.ndarray, penalty: np.ndarray, window: int, sequence_cost
             head += 1
         j = queue[head]
         best = key[j] + window - p
-        if i in exact:
-            for k in exact[i]:
-                if cost[k] <= best:
-                    best, j = cost[k], k
+        for k in exact[first[i] : first[i + 1]]:
+            if cost[k] <= best:
+                best, j = cost[k], k
         cost[i] = best = best + extra[i]
         came[i] = j
         key[i] = v = best + p
@@ -77,90 +86,121 @@ class _Lookup(dict):
         return n
 
 
-def plain_form(chunk: str) -> tuple[str, str]:
-    """(word, trailing punctuation) with the same token ids as the chunk itself, so
-    that "Word", "word," and "word." share one encoding.
-
-    The tokenizer composes (NFC), lower-cases and splits letters from punctuation.
-    Lower-casing A-Z first changes nothing unless it makes a special string or a
-    composable pair; such chunks, and those with an apostrophe, stay as they are.
-    """
-    body = chunk.rstrip(SENTENCE_END + ",")
-    if not body.isalpha():
-        return chunk, ""
-    lowered = body.lower() if body.isascii() else body.encode("utf-8").lower().decode("utf-8")
-    if not body.isascii() and not (is_normalized("NFC", body) and is_normalized("NFC", lowered)):
-        return chunk, ""
-    return lowered, chunk[len(body):]
+def plain_word(word: str) -> str | None:
+    """The word with A-Z lower-cased, if that cannot change its token ids (the tokenizer
+    composes first, and a lower-case letter may compose where its capital does not)."""
+    lowered = word.encode("utf-8").lower().decode("utf-8")
+    return lowered if is_normalized("NFC", word) and (lowered is word or is_normalized("NFC", lowered)) else None
 
 
 class ChunkTokenizer:
     """Token ids of texts, chunk by chunk: spaces and line feeds never lie inside a
     token of the tokenizer, so a text's ids are its chunks' ids one after another.
-    The ids of ``remember`` chunks are kept; words are encoded by the library."""
+
+    A chunk is a word and its trailing punctuation where that gives the same ids, so
+    that "Word", "word," and "word." share one encoding.  Words are encoded by the
+    library, many to a call.  ``remember`` bounds the chunks kept in memory.
+    """
 
     def __init__(self, path: str, end_id: int, remember: int = 600_000):
         from tokenizers import Tokenizer
 
         self.library, self.end_id, self.remember = Tokenizer.from_file(path), end_id, remember
+        vocabulary = self.library.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self):
-        self.index = _Lookup({"": 0})
-        self.ids = np.array([self.end_id], np.uint32)  # chunk 0 is the end of a document
-        self.first, self.size = np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.index = _Lookup({END: 0})
+        self.word, self.tail = np.zeros(1, np.int64), np.ones(1, np.int64)
         self.ends = np.zeros(1, bool)
-        self.words: dict[str, list[int]] = {"": []}
+        self.words = _Lookup({END: 0, "": 1})
+        self.ids = np.array([self.end_id], np.uint32)
+        self.first, self.count = np.array([0, 1], np.int64), np.array([1, 0], np.int64)
+
+    def _encode_words(self, words: list[str]):
+        """Flat ids and the number of ids of each word."""
+        out = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(out), np.uint32), np.fromiter(map(len, out), np.int64, len(out))
+
+    def _encode_joined(self, words: list[str], together: int = 64):
+        """The same for single words: encoded many to a call and cut where a word ends."""
+        groups = [words[i : i + together] for i in range(0, len(words), together)]
+        parts = self.library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        ids, counts = [], []
+        for group, part in zip(groups, parts, strict=True):
+            own = np.array(part.ids, np.uint32)
+            ends = np.flatnonzero(self.closes[own]) + 1
+            if len(ends) == len(group):
+                ids.append(own)
+                counts.append(np.diff(ends, prepend=0))
+            else:  # a word of several parts: one by one
+                own, count = self._encode_words(group)
+                ids.append(own)
+                counts.append(count)
+        return np.concatenate(ids), np.concatenate(counts)
 
     def _learn(self):
-        new = list(islice(self.index, len(self.size), None))
+        new = list(islice(self.index, len(self.word), None))
         if not new:
             return
-        forms = [plain_form(c) for c in new]
-        unseen = list({w: 0 for form in forms for w in form if w not in self.words})
-        if unseen:
-            encoded = self.library.encode_batch_fast(unseen, add_special_tokens=False)
-            self.words.update(zip(unseen, [e.ids for e in encoded], strict=True))
-        parts = [self.words[w] + self.words[tail] if tail else self.words[w] for w, tail in forms]
-        size = np.fromiter(map(len, parts), np.int64, len(new))
-        flat = np.fromiter(chain.from_iterable(parts), np.uint32, int(size.sum()))
-        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
-        self.ids = np.concatenate([self.ids, flat])
-        self.size = np.concatenate([self.size, size])
-        self.ends = np.concatenate([self.ends, [c[-1] in SENTENCE_END for c in new]])
+        words = self.words
+        bodies = [c.rstrip(TRAILING) for c in new]
+        forms = [(b.lower() if b.isascii() else plain_word(b)) if b.isalpha() else None for b in bodies]
+        heads = [words[c] if f is None else words[f] for c, f in zip(new, forms, strict=True)]
+        tails = [1 if f is None or len(b) == len(c) else words[c[len(b):]] for c, b, f in zip(new, bodies, forms, strict=True)]
+        self.word = np.concatenate([self.word, np.array(heads, np.int64)])
+        self.tail = np.concatenate([self.tail, np.array(tails, np.int64)])
+        self.ends = np.concatenate([self.ends, [c[-1:] in MARKS for c in new]])
+        unseen = list(islice(words, len(self.count), None))
+        single = np.fromiter((w.isalpha() for w in unseen), bool, len(unseen))
+        first, count = np.zeros(len(unseen), np.int64), np.zeros(len(unseen), np.int64)
+        for chosen, encode in ((single, self._encode_joined), (~single, self._encode_words)):
+            at = np.flatnonzero(chosen)
+            if len(at):
+                ids, count[at] = encode([unseen[i] for i in at.tolist()])
+                first[at] = len(self.ids) + np.cumsum(count[at]) - count[at]
+                self.ids = np.concatenate([self.ids, ids])
+        self.first, self.count = np.concatenate([self.first, first]), np.concatenate([self.count, count])
 
     def encode(self, texts):
         """(ids, tokens of each text, positions of sentence ends) with the end id after each text."""
         if len(self.index) > self.remember:
             self._forget()
-        known = self.index.__getitem__
-        parts = []
-        for text in texts:
-            chunks = [c for c in text.replace("\n", "\n ").split(" ") if c]
-            chunks.append("")
-            parts.append(np.fromiter(map(known, chunks), np.int64, len(chunks)))
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", "\n "), " ")
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        own = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
         self._learn()
-        chunk = np.concatenate(parts)
-        size = self.size[chunk]
+        ends = np.cumsum(pc.list_value_length(split).to_numpy())
+        chunk = np.insert(own[coded.indices.to_numpy()], ends, 0)  # the end of each document
+        doc_last = ends + np.arange(len(ends))
+        pieces = np.stack([self.word[chunk], self.tail[chunk]], 1).ravel()
+        size = self.count[pieces]
         ends = np.cumsum(size)
-        ids = self.ids[np.repeat(self.first[chunk] - (ends - size), size) + np.arange(ends[-1])]
-        last = ends[np.cumsum([len(p) for p in parts]) - 1]
+        ids = self.ids[np.repeat(self.first[pieces] - (ends - size), size) + np.arange(ends[-1])]
+        ends = ends[1::2]
+        last = ends[doc_last]
         return ids, np.diff(last, prepend=0), ends[self.ends[chunk]]
 
 
 def candidates(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int, sentence_penalty: float,
                forced_penalty: float, forced_step: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions where a cut may be, from 0 to ``total``, and the penalty of each."""
-    natural = np.union1d(np.union1d(doc_ends, sentence_ends), [0, total])
-    natural = natural[(natural >= 0) & (natural <= total)]
-    gap = np.diff(natural)
-    wide = np.flatnonzero(gap > min(window, 4 * forced_step))
+    def rising(*parts):
+        every = np.sort(np.concatenate(parts))
+        return every[np.flatnonzero(np.diff(every, prepend=-1) > 0)]
+
+    natural = rising(doc_ends[doc_ends <= total], sentence_ends[sentence_ends <= total], [0, total])
+    wide = np.flatnonzero(np.diff(natural) > min(window, 4 * forced_step))
     forced = [np.arange(natural[i] + forced_step, natural[i + 1], forced_step) for i in wide]
-    pos = np.union1d(natural, np.concatenate(forced)) if forced else natural
-    penalty = np.full(len(pos), float(forced_penalty))
-    penalty[np.isin(pos, sentence_ends)] = sentence_penalty
-    penalty[np.isin(pos, doc_ends) | (pos == 0)] = 0.0
-    return pos.astype(np.int64), penalty
+    pos = rising(natural, *forced).astype(np.int64)
+    cost = np.full(total + 1, float(forced_penalty))
+    cost[sentence_ends] = sentence_penalty
+    cost[doc_ends] = cost[0] = 0.0
+    return pos, cost[pos]
 
 
 class StreamPacker:
@@ -248,9 +288,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         for batch in batches:
             packer = packer or StreamPacker(ChunkTokenizer(tokenizer_path, end_id), window, block_tokens,
                                             sentence_penalty, forced_penalty, forced_step, sequence_cost)
-            keys, texts = batch.column("id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in by_chars(texts, 1_000_000):
-                if (out := packer.add(keys[a:b], texts[a:b])) is not None:
+            keys, texts = batch.column("id").to_pylist(), batch.column("text")
+            for a, b in by_size(pc.binary_length(texts).fill_null(0).to_pylist()):
+                if (out := packer.add(keys[a:b], texts.slice(a, b - a))) is not None:
                     yield piece_rows(out)
         if packer is not None and (out := packer.solve(True)) is not None:
             yield piece_rows(out)
