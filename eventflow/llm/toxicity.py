@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventflow.llm.common import by_chars, by_size
+
 GRAMS = (3, 4, 5, 6)
 
 
@@ -148,10 +150,16 @@ def train(texts: list, labels: np.ndarray, buckets: int = 1 << 17, dim: int = 8,
         return Toxicity(np.zeros(buckets), 0.0, span, 0.0, float(np.clip(np.log((mean + 1e-3) / (1 - mean + 1e-3)), -6, 6)))
     rng = np.random.default_rng(seed)
     index = _Lookup()
-    words = [words_of(t) for t in texts]
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    ids = np.fromiter((index[w] for ws in words for w in ws), np.int64, int(sizes.sum()))
-    flat, count = subwords(list(index), buckets)
+    own = [np.fromiter(map(index.__getitem__, words_of(t)), np.int32) for t in texts]
+    sizes = np.fromiter(map(len, own), np.int64, len(own))
+    ids = np.concatenate(own)
+    del own
+    names, parts = list(index), []
+    for at in range(0, len(names), 20_000):  # the arrays of a part are large, its result is not
+        part, n = subwords(names[at : at + 20_000], buckets)
+        parts.append((part.astype(np.int32), n))
+    flat, count = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in (0, 1))
+    del names, parts
     word_end = np.cumsum(count)
     word_start = word_end - count
     ends = np.cumsum(sizes)
@@ -166,13 +174,18 @@ def train(texts: list, labels: np.ndarray, buckets: int = 1 << 17, dim: int = 8,
     balance = np.where(truth == 1, 0.5 / (truth == 1).sum(), 0.5 / (truth == 0).sum())
 
     def word_scores():
-        projected = np.concatenate([[0.0], np.cumsum((emb @ (out[:, 1] - out[:, 0]))[flat].astype(np.float64))])
-        return projected[word_end] - projected[word_start]
+        weight = (emb @ (out[:, 1] - out[:, 0])).astype(np.float64)
+        value = np.zeros(len(count))
+        for a, b in by_size(count.tolist(), 2_000_000):
+            sums = np.concatenate([[0.0], np.cumsum(weight[flat[word_start[a] : word_end[b - 1]]])])
+            value[a:b] = sums[word_end[a:b] - word_start[a]] - sums[word_start[a:b] - word_start[a]]
+        return value
 
     # before the model knows anything, a run is as suspicious as its words' document
     # frequencies differ between the labels (squared z values)
     doc = np.repeat(np.arange(len(sizes)), sizes)
     seen = np.unique(doc * len(index) + ids)
+    del doc
     seen_word, seen_toxic = seen % max(len(index), 1), labels[seen // max(len(index), 1)] == 1
     toxic_docs, clean_docs = (truth == 1).sum(), (truth == 0).sum()
     in_toxic = np.bincount(seen_word[seen_toxic], minlength=len(index))
@@ -230,7 +243,7 @@ def train(texts: list, labels: np.ndarray, buckets: int = 1 << 17, dim: int = 8,
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-                 max_per_label: int = 4_000, max_train_chars: int = 20_000) -> Toxicity:
+                 max_per_label: int = 2_000, max_train_chars: int = 20_000) -> Toxicity:
     """A model of ``label_col`` = 1, trained on at most ``max_per_label`` rows of each
     label, the first in the order of a hash of their ids, with texts of at most
     ``max_train_chars`` characters (both bound the driver's memory; scoring has no such
@@ -255,8 +268,6 @@ def toxicity_scores(docs: DataFrame, model: Toxicity, id_col: str = "doc_id", te
     scored one by one; an empty table gives an empty result; only the id and text
     columns are read.
     """
-    from eventflow.llm.common import by_chars
-
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches):
