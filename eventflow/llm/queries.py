@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eventflow.llm.common import read_table
 from eventflow.llm.exact_dedup import exact_duplicates
 from eventflow.llm.html_extract import extract_pages
+from eventflow.llm.minhash import near_duplicates
 from eventflow.llm.mixing import mix_sources
 from eventflow.llm.packing import pack_documents
 from eventflow.llm.quality import fit_quality, quality_verdicts
@@ -45,6 +46,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score", "predicted")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return near_duplicates(docs, width=3, least_pct=85).withColumnRenamed("id", "doc_id")
+
+
 URL_RULES = [
     ("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"),
 ]
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
     "op5_toxicity": op5_toxicity,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_url_filter": op7_url_filter,
     "op8_source_mixing": op8_source_mixing,
     "op9_quality_rules": op9_quality_rules,
