@@ -15,6 +15,7 @@ from eventflow.llm.minhash import near_duplicates
 from eventflow.llm.mixing import mix_sources
 from eventflow.llm.packing import pack_documents
 from eventflow.llm.quality import fit_quality, quality_verdicts
+from eventflow.llm.suffix_dedup import remove_repeats
 from eventflow.llm.token_count import token_counts
 from eventflow.llm.toxicity import fit_toxicity, toxicity_scores
 from eventflow.llm.url_filter import mine_block_rules, url_verdicts
@@ -35,6 +36,13 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = remove_repeats(read_table(spark, sf_dir, "documents"), stable=True)
+    return rows.select(
+        F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
 
@@ -84,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_url_filter": op7_url_filter,

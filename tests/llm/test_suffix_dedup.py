@@ -1,0 +1,110 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from eventflow.llm.suffix_dedup import RepeatedBytes, anchors, remove_repeats, repeated_windows, runs_of
+from tests.conftest import SF_SMALL
+
+
+def brute(texts, length=200):
+    """Per text: [bytes, spans, kept]."""
+    data = [(t or "").encode() for t in texts]
+    times = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        gone = np.zeros(len(d), bool)
+        for i in range(len(d) - length + 1):
+            if times[d[i : i + length]] > 1:
+                gone[i : i + length] = True
+        spans = np.flatnonzero(np.diff(gone, prepend=False, append=False)).tolist() if len(d) else []
+        out.append((len(d), spans, np.frombuffer(d, np.uint8)[~gone].tobytes()))
+    return out
+
+
+def test_every_window_names_one_anchor_by_its_bytes_alone():
+    rng = random.Random(1)
+    data = bytes(rng.choice(b"ab ") for _ in range(2000)) + b"a" * 500
+    g, place, first, n = anchors(data, 200)
+    assert n.sum() == len(data) - 199 and (first == np.cumsum(n) - n).all()
+    assert ((place >= first + n - 1) & (place + 32 <= first + 200)).all()
+    for i in (0, 7, 900, len(data) - 200):
+        alone = anchors(data[i : i + 200], 200)
+        k = np.searchsorted(first, i, side="right") - 1
+        assert alone[0].tolist() == [g[k]] and alone[1].tolist() == [place[k] - i]
+
+
+def test_construction_equals_brute_force():
+    rng = random.Random(3)
+    core = "".join(rng.choice("abc") for _ in range(30))
+    rows, column = [], []
+    for _ in range(300):
+        left = "".join(rng.choice("ab") for _ in range(rng.randrange(5)))
+        right = "".join(rng.choice("ab") for _ in range(rng.randrange(6)))
+        rows.append((left + core + right).encode())
+        column.append(10 - len(left))
+    length = 28
+    column, weight = np.array(column), np.ones(len(rows), np.int64)
+    starts = np.array([len(r) - length + 1 for r in rows])
+    times = Counter((c + i, r[i : i + length]) for r, c in zip(rows, column.tolist()) for i in range(len(r) - length + 1))
+    want = [[i for i in range(len(r) - length + 1) if times[c + i, r[i : i + length]] > 1] for r, c in zip(rows, column.tolist())]
+    assert [x.tolist() for x in repeated_windows(rows, column, starts, weight, length)] == want
+    one = repeated_windows(rows[:1], column[:1], starts[:1], np.array([2]), length)
+    assert one[0].tolist() == list(range(starts[0]))
+    assert runs_of(np.array([1, 2, 3, 7, 9, 10])).tolist() == [1, 3, 7, 7, 9, 10]
+
+
+def test_segments_that_begin_and_end_anywhere():
+    for seed in range(40):
+        rng = random.Random(seed)
+        rows, column = [], []
+        for _ in range(30):
+            a, n = rng.randrange(6), rng.randrange(5, 12)
+            rows.append(bytes(rng.choice(b"ab") for _ in range(n)))
+            column.append(a)
+        column, starts = np.array(column), np.array([len(r) - 4 for r in rows])
+        times = Counter((c + i, r[i : i + 5]) for r, c in zip(rows, column.tolist()) for i in range(len(r) - 4))
+        want = [[i for i in range(len(r) - 4) if times[c + i, r[i : i + 5]] > 1] for r, c in zip(rows, column.tolist())]
+        assert [x.tolist() for x in repeated_windows(rows, column, starts, np.ones(30, np.int64), 5)] == want
+
+
+def texts_with_passages(seed, n=60):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgé") for _ in range(rng.randrange(1, 9)))
+    fill = lambda k: " ".join(word() for _ in range(k))
+    passages = [fill(60) for _ in range(5)]
+    out = [None, "", "x", "y" * 199, "z" * 200, "q" * 201, "ab" * 300, passages[0], fill(40)]
+    for i in range(n):
+        parts = [fill(rng.randrange(30))]
+        for _ in range(rng.randrange(3)):
+            p = rng.choice(passages)
+            a = rng.randrange(len(p))
+            parts.append(rng.choice([p, p[a:], p[:a], p[:a] + "#" + p[a:]]))
+            parts.append(fill(rng.randrange(25)))
+        out.append(rng.choice([" ", "", "\n"]).join(parts))
+    return out + rng.sample(out, 6)
+
+
+@pytest.mark.parametrize("most, batch", [(512, 8192), (3, 10)])
+def test_documents_equal_brute_force(spark, most, batch):
+    texts = texts_with_passages(most)
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, kept string").repartition(3)
+    got = {r["id"]: (r["n_bytes"], list(r["spans"]), bytes(r["kept"])) for r in RepeatedBytes(docs, most=most, batch=batch).documents().collect()}
+    assert got == dict(enumerate(brute(texts)))
+
+
+def test_generated_documents(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = {r["id"]: (r["n_bytes"], list(r["spans"]), bytes(r["kept"])) for r in remove_repeats(docs, stable=True).collect()}
+    assert got == dict(zip(rows, brute(rows.values()), strict=True))
+
+
+def test_edge_cases(spark):
+    rows = [(1, None), (1, None), (None, "long " * 50_000), (None, "x" + "long " * 50), (3, "w" * 300), (3, "w" * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["id"], r["n_bytes"], tuple(r["spans"]), bytes(r["kept"])) for r in remove_repeats(docs).collect()), key=str)
+    want = sorted(((i, n, tuple(s), k) for (i, _), (n, s, k) in zip(rows, brute([t for _, t in rows]), strict=True)), key=str)
+    assert got == want
+    assert remove_repeats(docs.limit(0)).collect() == []
