@@ -102,12 +102,15 @@ def _answers(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
-    """The rows of ``docs``, all their columns, without exact copies (see above).  The
-    rows are stored once with a number, so that repeated ids stay apart."""
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min",
+                          stable: bool = False) -> DataFrame:
+    """The rows of ``docs``, all their columns, without exact copies (see above).  Rows
+    are told apart by their place in the table, so ids may repeat.  ``stable`` says that
+    ``docs`` reads a stored table as it is, whose rows come in the same order each time;
+    else it is stored first."""
     row, key = fresh(docs, "row_number", "row_key")
-    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "exact-rows")
+    numbered = (docs if stable else stored(docs, "exact-input")).withColumn(row, F.monotonically_increasing_id())
     last = F.col(id_col).isNull() if keep == "min" else F.col(id_col).isNotNull()
     keyed = numbered.select(F.struct(last, F.col(id_col), F.col(row).alias("row")).alias(key), F.col(text_col))
     dropped = exact_duplicates(keyed, key, text_col, keep).filter("NOT kept").select(F.col("id.row").alias(row))
-    return numbered.join(stored(dropped, "exact-dropped"), row, "left_anti").drop(row)
+    return numbered.join(stored(dropped, "exact-dropped").hint("merge"), row, "left_anti").drop(row)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.llm.common import by_size, stored
+from eventflow.llm.common import by_size, fresh, stored
 from eventflow.llm.components import components
 
 BATCH = 32  # hashes compared before each decision
@@ -326,3 +326,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     An empty table gives an empty result; only the id and text columns are read.
     """
     return NearDuplicates(docs, id_col, text_col, width, least_pct, miss, block).members()
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least_pct: int = 80,
+                         miss: float = 1e-7, stable: bool = False) -> DataFrame:
+    """The rows of ``docs``, all their columns, with one row of each component: that of
+    the least id, of equal ids the first; a null id comes last.  ``stable`` says that
+    ``docs`` reads a stored table as it is, whose rows come in the same order each time;
+    else it is stored first."""
+    row, key = fresh(docs, "row_number", "row_key")
+    numbered = (docs if stable else stored(docs, "near-input")).withColumn(row, F.monotonically_increasing_id())
+    keyed = numbered.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row")).alias(key), F.col(text_col))
+    out = near_duplicates(keyed, key, text_col, width, least_pct, miss)
+    dropped = out.filter("NOT kept").select(F.col("id.row").alias(row))
+    return numbered.join(stored(dropped, "near-dropped").hint("merge"), row, "left_anti").drop(row)
