@@ -15,8 +15,9 @@ exact verification, connected components.
 4. Links give components.  Pairs of a bucket within one component need no comparison;
    the others (neither is the leader, components differ) are compared in blocks: the
    members outside the bucket's largest component against all members, at most about
-   ``block`` rows of each a task.  Only pairs that survive the signatures leave a task;
-   they are verified likewise, and the components of all links are the answer.
+   ``block`` rows of each a task.  Pairs never leave a task: rows with a surviving pair
+   do, come back to the same block with their full sets, and are verified there, each
+   pair in the first band that holds it.  The components of all links are the answer.
 """
 
 from __future__ import annotations
@@ -120,6 +121,16 @@ def _survivors(a: np.ndarray, b: np.ndarray, least: dict[int, int]) -> np.ndarra
     return alive
 
 
+def linked(x: np.ndarray, y: np.ndarray, least_pct: int) -> bool:
+    """Whether two sorted sets share at least ``least_pct`` in a hundred of their union."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(small) < least_pct * len(large):
+        return False
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    shared = int((large[at] == small).sum())
+    return 100 * shared >= least_pct * (len(x) + len(y) - shared)
+
+
 def _matrix(column: pa.Array, hashes: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), hashes)
 
@@ -161,7 +172,7 @@ class NearDuplicates:
     def _bucket_rows(self) -> DataFrame:
         size = 2 * self.rows
         keys = [F.xxhash64(F.lit(b), F.substring("sig", 1 + b * size, size)) for b in range(self.bands)]
-        return self.nodes.select("node", F.explode(F.array(*keys)).alias("bucket"))
+        return self.nodes.select("node", F.posexplode(F.array(*keys)).alias("band", "bucket"))
 
     def _similar(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that signatures do not rule out."""
@@ -178,14 +189,12 @@ class NearDuplicates:
         joined = pairs.join(sig_a.hint("merge"), "a").join(sig_b.hint("merge"), "b")
         return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
-    def _links(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose full shingle sets reach the threshold."""
-        width, least_pct = self.width, self.least_pct
-        pairs = stored(pairs, "near-survivors")
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    def _sets(self, wanted: DataFrame) -> DataFrame:
+        """(node, shingles): the full shingle sets of the nodes in ``wanted``."""
+        width = self.width
         wanted = wanted.join(self.nodes.select("node", "set", "id").hint("merge"), "node")
 
-        def sets_of(batches):
+        def run(batches):
             for batch in batches:
                 node, own = batch.column("node"), batch.column("set").to_pylist()
                 texts = batch.column("text")
@@ -198,33 +207,34 @@ class NearDuplicates:
                         ["node", "shingles"])
 
         texts = self.texts.join(wanted.hint("merge"), self.texts["id"].eqNullSafe(wanted["id"])).select("node", "set", "text")
-        sets = stored(texts.mapInArrow(sets_of, "node long, shingles binary").dropDuplicates(["node"]), "near-sets")
+        return stored(texts.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"]), "near-sets")
 
-        def verify(batches):
+    def _verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose full shingle sets reach the threshold."""
+        least_pct = self.least_pct
+        pairs = stored(pairs, "near-survivors")
+        sets = self._sets(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
+
+        def run(batches):
             for batch in batches:
-                keep = []
-                for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                    small, large = (x, y) if len(x) <= len(y) else (y, x)
-                    if 100 * len(small) < least_pct * len(large):
-                        keep.append(False)
-                        continue
-                    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                    shared = int((large[at] == small).sum())
-                    keep.append(100 * shared >= least_pct * (len(x) + len(y) - shared))
+                keep = [
+                    linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), least_pct)
+                    for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
                 yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
         x = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
         y = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
         joined = pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b").select("a", "b", "x", "y")
-        return stored(joined.mapInArrow(verify, "a long, b long"), "near-links")
+        return stored(joined.mapInArrow(run, "a long, b long"), "near-links")
 
     def _rest(self, rows: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs of a bucket in different components, neither being the leader, that
-        signatures do not rule out.  ``rows``: bucket, node, leader."""
-        hashes, least, block = self.hashes, self.least, self.block
+        """Verified links of the pairs of a bucket that are in different components and
+        do not include its leader; of each block, as many as connect what is connected.
+        ``rows``: band, bucket, node, leader, size."""
+        hashes, least, block, least_pct = self.hashes, self.least, self.block, self.least_pct
+        bands, per_band = self.bands, self.rows
         rows = rows.filter("size > 2 AND node <> leader").join(labels.hint("merge"), "node", "left")
-        rows = stored(rows.select("bucket", "node", F.coalesce("component", "node").alias("label")), "near-rest")
+        rows = stored(rows.select("band", "bucket", "node", F.coalesce("component", "node").alias("label")), "near-rest")
         stats = rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
             F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"))
         stats = stats.filter("all > top.n").select(
@@ -236,39 +246,36 @@ class NearDuplicates:
         def dealt(salt, n):
             return F.pmod(F.xxhash64(F.lit(salt), "node"), F.col(n)).cast("int")
 
+        own = ["band", "bucket", "node", "label"]
         every = F.sequence(F.lit(0), F.col("parts") - 1)
-        whole = rows.select("bucket", "node", "label", F.lit(False).alias("minor"), dealt("all", "blocks").alias("i"), F.explode(every).alias("j"))
+        whole = rows.select(*own, F.lit(False).alias("minor"), dealt("all", "blocks").alias("i"), F.explode(every).alias("j"))
         across = F.sequence(F.lit(0), F.col("blocks") - 1)
         minor = rows.filter("label <> main").select(
-            "bucket", "node", "label", F.lit(True).alias("minor"), F.explode(across).alias("i"), dealt("part", "parts").alias("j"))
-        sig = self.nodes.select("node", "sig")
-        keyed = whole.unionByName(minor).join(sig.hint("merge"), "node")
-        keyed = keyed.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+            *own, F.lit(True).alias("minor"), F.explode(across).alias("i"), dealt("part", "parts").alias("j"))
+        names = ["band", "bucket", "i", "j", "node", "label", "minor"]
+        kinds = "band int, bucket long, i int, j int, node long, label long, minor boolean"
 
-        def pairs_of(table):
+        def survivors(table):
+            """Pairs of row numbers that signatures leave, each in the first band that
+            holds it only, so that it is verified once."""
             minor = np.asarray(table.column("minor"))
             node, label = np.asarray(table.column("node")), np.asarray(table.column("label"))
-            sig = _matrix(table.column("sig"), hashes)
+            sig, band = _matrix(table.column("sig"), hashes), table.column("band")[0].as_py()
             left, right = np.flatnonzero(minor), np.flatnonzero(~minor)
-            found = []
+            is_minor = np.isin(node[right], node[left])
             for at in range(0, len(left), 64):  # 64 rows against the block at a time
                 some = left[at : at + 64]
-                a, b = (g.ravel() for g in np.meshgrid(some, right, indexing="ij"))
-                apart = label[a] != label[b]
-                a, b = a[apart], b[apart]
+                # two minor rows meet from both sides: once is enough where both sides are here
+                apart = (label[some][:, None] != label[right][None, :]) & ~((node[some][:, None] > node[right][None, :]) & is_minor[None, :])
+                a, b = np.nonzero(apart)
+                a, b = some[a], right[b]
                 keep = _survivors(sig[a], sig[b], least)
-                found.append(np.stack([np.minimum(node[a[keep]], node[b[keep]]), np.maximum(node[a[keep]], node[b[keep]])]))
-            return np.unique(np.concatenate(found, 1), axis=1) if found else np.zeros((2, 0), np.int64)
-
-        def run(batches):
-            held = []  # the rows of a group that may go on in the next batch
-            key = None
-
-            def done():
-                out = pairs_of(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-                held.clear()
-                return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], ["a", "b"])
+                a, b = a[keep], b[keep]
+                first = (sig[a] == sig[b]).reshape(len(a), bands, per_band).all(2).argmax(1) if len(a) else a
+                yield a[first == band], b[first == band]
 
+        def grouped(batches, work):
+            held, key = [], None
             for batch in batches:
                 if not batch.num_rows:
                     continue
@@ -277,14 +284,58 @@ class NearDuplicates:
                 edges = [0, *change.tolist(), batch.num_rows]
                 for a, b in zip(edges[:-1], edges[1:], strict=True):
                     own = tuple(int(c[a]) for c in columns)
-                    if key is not None and own != key and held:
-                        yield done()
+                    if held and own != key:
+                        yield work(pa.Table.from_batches(held).combine_chunks())
+                        held = []
                     key = own
                     held.append(batch.slice(a, b - a))
             if held:
-                yield done()
+                yield work(pa.Table.from_batches(held).combine_chunks())
+
+        def members(batches):
+            """The rows of a group that have any pair to verify."""
 
-        return keyed.select("bucket", "i", "j", "node", "label", "minor", "sig").mapInArrow(run, "a long, b long").distinct()
+            def work(table):
+                hit = np.zeros(table.num_rows, bool)
+                for a, b in survivors(table):
+                    hit[a] = hit[b] = True
+                return table.select(names).filter(pa.array(hit)).combine_chunks().to_batches()
+
+            for out in grouped(batches, work):
+                yield from out
+
+        def verify(batches):
+            def work(table):
+                node, label = np.asarray(table.column("node")), np.asarray(table.column("label"))
+                sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+                parent = {}
+
+                def find(x):
+                    while parent.setdefault(x, x) != x:
+                        x = parent[x]
+                    return x
+
+                links = []
+                for left, right in survivors(table):
+                    for a, b in zip(left.tolist(), right.tolist(), strict=True):
+                        x, y = find(label[a]), find(label[b])
+                        if x != y and linked(sets[a], sets[b], least_pct):
+                            parent[max(x, y)] = min(x, y)
+                            links.append((node[a], node[b]))
+                a, b = zip(*links, strict=True) if links else ((), ())
+                return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+            yield from grouped(batches, work)
+
+        def by_group(rows):
+            return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+        sig = self.nodes.select("node", "sig")
+        keyed = by_group(whole.unionByName(minor).join(sig.hint("merge"), "node")).select(*names, "sig")
+        left = stored(keyed.mapInArrow(members, kinds), "near-open")
+        sets = self._sets(left.select("node").distinct())
+        full = by_group(left.join(sig.hint("merge"), "node").join(sets.hint("merge"), "node")).select(*names, "sig", "shingles")
+        return stored(full.mapInArrow(verify, "a long, b long"), "near-rest-links")
 
     def links(self) -> DataFrame:
         """Verified links (a, b) between nodes: enough to give every component."""
@@ -293,9 +344,9 @@ class NearDuplicates:
         buckets = stored(buckets.filter("size > 1"), "near-buckets")
         rows = stored(rows.join(buckets.hint("merge"), "bucket"), "near-rows")
         stars = rows.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-        first = self._links(self._similar(stars))
+        first = self._verified(self._similar(stars))
         labels = stored(components(first, "a", "b"), "near-first")
-        return first.unionByName(self._links(self._rest(rows, labels)))
+        return first.unionByName(self._rest(rows, labels))
 
     def members(self) -> DataFrame:
         """One row per row of the table: id, n_shingles, component_id, kept."""
