@@ -10,14 +10,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventflow.functions.time import iso_utc_from_instant, iso_utc_from_ms, ms_to_instant, parse_utc_text
+from eventflow.functions.time import (
+    iso_utc_from_instant,
+    iso_utc_from_ms,
+    ms_to_instant,
+    parse_utc_text,
+    representable_ms,
+)
 from eventflow.schemas import CORRUPT_COLUMN, MESSAGE_COLUMNS, MESSAGE_SCHEMA
 
 MALFORMED_POLICIES = ("quarantine", "count")
 
 
-def normalize_rows(rows: DataFrame, ingest_time: Column | None = None) -> DataFrame:
-    """Raw rows (typed or all-text) -> the 7 message fields plus ``ts_defaulted``.
+def normalize_rows(rows: DataFrame, ingest_time: Column | None = None, *keep: str) -> DataFrame:
+    """Raw rows (typed or all-text) -> the 7 message fields plus ``ts_defaulted`` and the
+    columns named in ``keep``.
 
     * ``timestamp``: a whole number, else the current time in ms (``ts_defaulted``
       tells which rows got it, so a caller can drop them before a watermark);
@@ -28,6 +35,7 @@ def normalize_rows(rows: DataFrame, ingest_time: Column | None = None) -> DataFr
     ts = F.col("timestamp")
     if isinstance(rows.schema["timestamp"].dataType, T.StringType):
         ts = F.trim(ts).try_cast("long")
+    ts = representable_ms(ts)  # a number that is no instant counts as unreadable
     now_ms = F.unix_millis(F.current_timestamp())
     ingest = ingest_time if ingest_time is not None else F.current_timestamp()
     return (
@@ -41,6 +49,7 @@ def normalize_rows(rows: DataFrame, ingest_time: Column | None = None) -> DataFr
             F.nullif(F.col("transactionid").cast("string"), F.lit("")).alias("transactionid"),
             iso_utc_from_instant(ingest).alias("ingest_time"),
             F.col("_ts").isNull().alias("ts_defaulted"),
+            *keep,
         )
     )
 
@@ -72,8 +81,8 @@ def decode_envelopes(raw: DataFrame) -> DataFrame:
     """Envelopes -> message fields + ``kafka_ts`` + ``json_str`` + ``malformed``.
 
     PERMISSIVE parsing: a wrong type in one field makes that field NULL and keeps
-    the others.  ``malformed`` is true when not one field could be read (junk text,
-    empty or NULL value).
+    the others.  ``malformed`` is true when not one field could be read: junk text, an
+    empty or NULL value, and also valid JSON without any known field, such as ``{}``.
 
     The parsed struct is unpacked with ``inline(array(...))`` rather than a plain
     projection: Catalyst pushes a filter on projected fields below the projection

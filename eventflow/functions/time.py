@@ -20,20 +20,30 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def representable_ms(ms: Column | str) -> Column:
+    """The value itself, or NULL where an instant cannot hold it: instants are 64-bit
+    microseconds, and one hostile number must not stop a job with an overflow."""
+    ms = _col(ms)
+    limit = (2**63 - 1) // 1000
+    return F.when(ms.between(F.lit(-limit), F.lit(limit)), ms)
+
+
 def ms_to_event_time(ms: Column | str) -> Column:
-    """Batch event time: epoch ms -> instant with the milliseconds dropped.
+    """Batch event time: epoch ms -> instant with the milliseconds dropped (NULL where
+    the instant cannot be represented, see :func:`representable_ms`).
 
     Equal to ``to_timestamp(from_unixtime(ms / 1000))``: seconds are truncated
     toward zero (-1 ms -> 1970-01-01 00:00:00) and NULL stays NULL.  Integer only:
     ``%`` keeps the sign of the dividend, so ``ms - ms % 1000`` truncates to zero.
     """
-    ms = _col(ms)
+    ms = representable_ms(ms)
     return F.timestamp_millis(ms - ms % F.lit(1000))
 
 
 def ms_to_instant(ms: Column | str) -> Column:
-    """Epoch ms -> instant at full millisecond precision."""
-    return F.timestamp_millis(_col(ms))
+    """Epoch ms -> instant at full millisecond precision; NULL where it cannot be
+    represented (see :func:`representable_ms`)."""
+    return F.timestamp_millis(representable_ms(ms))
 
 
 def instant_to_utc(ts: Column | str) -> Column:
@@ -66,8 +76,14 @@ def parse_utc_text(text: Column | str) -> Column:
     dearer than a successful one.
     """
     text = _col(text)
-    has_zone = text.rlike("([A-Za-z]|[+-][0-9]{2}(:?[0-9]{2})?)$")
-    return F.when(has_zone, text.try_cast("timestamp")).otherwise(F.concat(text, F.lit("Z")).try_cast("timestamp"))
+    # "-02" ends an offset only after a time of day; in "2015-06-02" it is the day
+    has_zone = text.rlike("([A-Za-z]|:[0-9.]+ ?[+-][0-9]{1,2}(:?[0-9]{2})?(:[0-9]{2})?)\\s*$")
+    date_only = text.rlike("^\\s*[+-]?[0-9]+(-[0-9]{1,2}){0,2}\\s*$")
+    return (
+        F.when(has_zone, text.try_cast("timestamp"))
+        .when(date_only, utc_to_instant(text.try_cast("timestamp_ntz")))
+        .otherwise(F.concat(text, F.lit("Z")).try_cast("timestamp"))
+    )
 
 
 def iso_utc_from_ms(ms: Column | str) -> Column:

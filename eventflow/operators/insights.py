@@ -48,6 +48,31 @@ def top_items(df: DataFrame, n: int = 20, event: str = "view") -> DataFrame:
     )
 
 
+def item_event_counts(df: DataFrame) -> DataFrame:
+    """Rows per event type and item: the one pass over raw rows from which the top
+    items, the distribution and the total follow (``*_from_counts``)."""
+    return df.groupBy("event", "itemid").agg(F.count(F.lit(1)).alias("n"))
+
+
+def top_items_from_counts(counts: DataFrame, n: int = 20, event: str = "view") -> DataFrame:
+    """:func:`top_items` from :func:`item_event_counts`."""
+    return (
+        counts.filter(F.col("event") == F.lit(event))
+        .select("itemid", F.col("n").alias("view_count"))
+        .orderBy(F.desc("view_count"), F.asc_nulls_first("itemid"))
+        .limit(n)
+    )
+
+
+def event_distribution_from_counts(counts: DataFrame) -> DataFrame:
+    """:func:`event_distribution` from :func:`item_event_counts`."""
+    return (
+        counts.groupBy("event")
+        .agg(F.sum("n").alias("count"))
+        .orderBy(F.desc("count"), F.asc_nulls_first("event"))
+    )
+
+
 def event_distribution(df: DataFrame) -> DataFrame:
     """Rows per event type, NULL type included, most frequent first."""
     return (

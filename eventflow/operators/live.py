@@ -1,8 +1,8 @@
 """Live metrics over the window metric table (``schemas.METRIC_SCHEMA``).
 
-These replace per-refresh pandas work with Spark plans over the stored metric.
-"Latest window" is a scalar subquery: one value, computed once by its own small
-job and then used as a literal, so nothing is joined, broadcast or gathered.
+These replace per-refresh pandas work with Spark plans over the stored metric.  The
+KPIs and the latest window's rows come from one pass over it: values per window are
+folded first, and the latest window is the maximum of what is left.
 """
 
 from __future__ import annotations
@@ -16,62 +16,81 @@ from pyspark.sql import functions as F
 DEFAULT_TYPES = ("view", "addtocart", "transaction")
 
 
-def _latest(metric: DataFrame):
-    return metric.agg(F.max("window_start").alias("latest")).scalar()
-
-
 def kpis(metric: DataFrame) -> DataFrame:
     """One row: latest window, events in it (NULL types included, 0 if none),
     all events, distinct non-NULL event types."""
-    latest = _latest(metric)
-    return metric.agg(
-        F.max("window_start").alias("latest_window"),
-        F.coalesce(
-            F.sum(F.when(F.col("window_start") == latest, F.col("event_count"))), F.lit(0).cast("long")
-        ).alias("events_latest"),
-        F.coalesce(F.sum("event_count"), F.lit(0).cast("long")).alias("total_events"),
-        F.count_distinct("event").alias("event_types"),
+    per = metric.groupingSets([["window_start"], ["event"]], "window_start", "event").agg(
+        F.sum("event_count").alias("n"), F.grouping("event").alias("is_window")
+    )
+    is_window = F.col("is_window") == 1
+    latest = F.max(F.when(is_window, F.struct("window_start", "n")))
+    return per.agg(
+        latest["window_start"].alias("latest_window"),
+        F.coalesce(latest["n"], F.lit(0).cast("long")).alias("events_latest"),
+        F.coalesce(F.sum(F.when(is_window, F.col("n"))), F.lit(0).cast("long")).alias("total_events"),
+        F.count(F.when(~is_window, F.col("event"))).alias("event_types"),
     )
 
 
 def latest_breakdown(metric: DataFrame) -> DataFrame:
     """Rows of the latest window, largest count first."""
+    per_window = metric.groupBy("window_start", "window_end").agg(
+        F.collect_list(F.struct("event", "event_count")).alias("rows")
+    )
+    latest = per_window.filter(F.col("window_start").isNotNull()).agg(
+        F.max(F.struct("window_start", "window_end")).alias("w"), F.max_by("rows", "window_start").alias("rows")
+    )
     return (
-        metric.filter(F.col("window_start") == _latest(metric))
-        .select("window_start", "window_end", "event", "event_count")
+        latest.select("w.window_start", "w.window_end", F.inline("rows"))
         .orderBy(F.desc("event_count"), F.asc_nulls_first("event"))
     )
 
 
-def wide_windows(metric: DataFrame, types: Sequence[str] = DEFAULT_TYPES) -> DataFrame:
+def event_types(metric: DataFrame, most: int = 1000) -> list[str]:
+    """The non-NULL types of the metric, the funnel's stages first, the rest in text
+    order.  More than ``most`` are an error: a column each would not be a table."""
+    rows = metric.filter(F.col("event").isNotNull()).select("event").distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} event types; name the columns wanted")
+    found = {r.event for r in rows}
+    return [t for t in DEFAULT_TYPES if t in found] + sorted(found - set(DEFAULT_TYPES))
+
+
+def wide_windows(metric: DataFrame, types: Sequence[str] | None = None) -> DataFrame:
     """Pivot: one row per window, one 0-filled count column per event type.
 
-    Windows whose rows all have a NULL type are absent (a NULL type is not a
-    column).  Written as conditional aggregation with a fixed value list: one
-    aggregation, one shuffle, partial aggregation map-side, and a schema that does
-    not depend on the data.
+    ``types`` defaults to all types of the metric (one small aggregate).  With types
+    given, the counts of all others are in the column ``other``, so that no event is
+    lost.  Windows whose rows all have a NULL type are absent (a NULL type is not a
+    column).  Written as conditional aggregation: one aggregation, one shuffle,
+    partial aggregation map-side.
     """
-    return metric.filter(F.col("event").isNotNull()).groupBy("window_start").agg(
-        *[
-            F.coalesce(
-                F.sum(F.when(F.col("event") == F.lit(t), F.col("event_count"))), F.lit(0).cast("long")
-            ).alias(t)
-            for t in types
-        ]
-    )
+    given = types is not None
+    types = list(types) if given else event_types(metric)
+
+    def total(condition):
+        return F.coalesce(F.sum(F.when(condition, F.col("event_count"))), F.lit(0).cast("long"))
 
+    columns = [total(F.col("event") == F.lit(t)).alias(t) for t in types]
+    if given:
+        columns.append(total(~F.col("event").isin(types)).alias("other"))
+    rows = metric.filter(F.col("event").isNotNull()).groupBy("window_start")
+    return rows.agg(*columns) if columns else rows.agg(F.count(F.lit(1)).alias("n")).drop("n")
 
-def last_n_wide(metric: DataFrame, n: int = 60, types: Sequence[str] = DEFAULT_TYPES) -> DataFrame:
+
+def last_n_wide(metric: DataFrame, n: int = 60, types: Sequence[str] | None = None) -> DataFrame:
     """The ``n`` latest existing windows of ``wide_windows``, oldest first.
     Missing minutes are not filled in."""
     return wide_windows(metric, types).orderBy(F.desc("window_start")).limit(n).orderBy("window_start")
 
 
-def last_n_long(metric: DataFrame, n: int = 60, types: Sequence[str] = DEFAULT_TYPES) -> DataFrame:
+def last_n_long(metric: DataFrame, n: int = 60, types: Sequence[str] | None = None) -> DataFrame:
     """``last_n_wide`` reshaped to ``window_start, event, event_count`` (zeros kept)."""
-    return last_n_wide(metric, n, types).unpivot(
-        "window_start", list(types), "event", "event_count"
-    )
+    wide = last_n_wide(metric, n, types)
+    counts = [c for c in wide.columns if c != "window_start"]
+    if not counts:
+        return wide.select("window_start", F.lit("").alias("event"), F.lit(0).cast("long").alias("event_count"))
+    return wide.unpivot("window_start", counts, "event", "event_count")
 
 
 def event_totals(metric: DataFrame) -> DataFrame:

@@ -1,13 +1,13 @@
 """The batch job: raw clickstream -> three insights -> parquet and CSV.
 
-Cost shape (vs. re-running every insight for every output):
-* a large CSV input is staged once to parquet, so each insight reads only its
-  columns (column pruning and filter pushdown work on parquet, not on CSV); below
-  ``STAGE_MIN_BYTES`` three CSV scans cost less than writing and reading a copy;
-* each insight is computed once and written to parquet; the CSV copy is made from
-  that parquet (a few rows), and the total is the sum of the distribution;
-* results are written to the shared output folder, which also cuts lineage: a lost
-  executor costs a re-read of a finished file, not a recomputation from raw.
+Cost shape: two passes over the raw rows.  One counts rows per event type and item
+(stored once in the shared scratch folder); the top items, the distribution and the
+total follow from that small table.  The other is the exact distinct of visitors per
+day.  The input is never copied unless the caller asks for it (``stage_csv=True``,
+worth it when more jobs will read the same CSV).  Results are written to the shared
+output folder, so a lost executor costs a re-read of a finished file.  Each result
+is replaced on its own: if a run fails between two of them, the folder holds results
+of two runs until the job is run again.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from eventflow.schemas import RESULT_SCHEMAS
 from eventflow.session import build_spark, scratch_path
 from eventflow.sinks.files import write_csv, write_parquet
 from eventflow.sources.files import (
-    path_size,
+    delete_path,
     read_archive,
     read_events_csv,
     read_parquet_result,
@@ -33,7 +33,12 @@ from eventflow.sources.files import (
 )
 
 RESULT_NAMES = ("top_items", "event_distribution", "daily_visitors")
-STAGE_MIN_BYTES = 256 << 20  # measured break-even is near 90 MB on 8 cores
+# order of the rows in each stored result
+RESULT_ORDER = {
+    "top_items": lambda: (F.desc("view_count"), F.asc_nulls_first("itemid")),
+    "event_distribution": lambda: (F.desc("count"), F.asc_nulls_first("event")),
+    "daily_visitors": lambda: (F.asc_nulls_first("event_date"),),
+}
 
 
 @dataclass
@@ -50,15 +55,6 @@ class BatchResult:
         )
 
 
-def insights(raw: DataFrame, top_n: int = 20) -> dict[str, DataFrame]:
-    """The three insights as lazy DataFrames."""
-    return {
-        "top_items": ins.top_items(raw, top_n),
-        "event_distribution": ins.event_distribution(raw),
-        "daily_visitors": ins.daily_visitors(raw),
-    }
-
-
 def stage_raw(spark: SparkSession, raw: DataFrame, path: str | None = None) -> DataFrame:
     """Write the raw rows once as parquet (shared scratch folder) and read them back."""
     path = path or scratch_path(spark, "staged-raw")
@@ -72,7 +68,7 @@ def run_batch_job(
     parquet_dir: str,
     csv_dir: str | None = None,
     input_format: str | None = None,
-    stage_csv: bool | None = None,
+    stage_csv: bool = False,
     top_n: int = 20,
     staged_path: str | None = None,
     first_day: str | None = None,
@@ -81,8 +77,8 @@ def run_batch_job(
     """Resolve the input, compute the insights once, write parquet (and a one-file
     CSV per result, for small consumers), and return the stored results.
 
-    ``stage_csv``: ``None`` stages a CSV input of at least ``STAGE_MIN_BYTES``;
-    ``staged_path`` keeps the parquet copy at a chosen place (default: scratch).
+    ``stage_csv`` copies a CSV input to parquet first; ``staged_path`` keeps the copy at
+    a chosen place (default: scratch).
     ``input_format="archive"`` replays the streaming job's raw archive, optionally
     only the days ``first_day`` .. ``last_day`` (pruned on its date partitions)."""
     candidates = [inputs] if isinstance(inputs, str) else list(inputs)
@@ -90,8 +86,6 @@ def run_batch_job(
     fmt = input_format or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     if fmt == "csv":
         raw = read_events_csv(spark, path)
-        if stage_csv is None:
-            stage_csv = path_size(spark, path) >= STAGE_MIN_BYTES
         if stage_csv:
             raw = stage_raw(spark, raw, staged_path)
     elif fmt == "archive":
@@ -100,23 +94,31 @@ def run_batch_job(
         raw = spark.read.parquet(path)
     result = BatchResult(path, parquet_dir, csv_dir)
 
+    counts_path = scratch_path(spark, "item-event-counts")
+
+    def item_counts() -> DataFrame:
+        write_parquet(ins.item_event_counts(raw), counts_path)
+        return spark.read.parquet(counts_path)
+
     def materialise(name: str, df: DataFrame) -> DataFrame:
         target = f"{parquet_dir.rstrip('/')}/{name}"
         write_parquet(df, target)
         stored = read_parquet_result(spark, target, RESULT_SCHEMAS[name])
         if csv_dir:
-            # Bounded results (top-n, one row per type / per day): one file each.
-            write_csv(stored, f"{csv_dir.rstrip('/')}/{name}", single_file=True)
+            # top-n and one row per day are bounded: one file each; event types are not
+            write_csv(stored, f"{csv_dir.rstrip('/')}/{name}", single_file=name != "event_distribution",
+                      order_by=RESULT_ORDER[name]())
         return stored
 
-    # The three insights are independent jobs: submitted from three threads they
-    # share the cluster, so the job takes as long as the slowest insight rather than
-    # the sum, and one job's last tasks do not leave the others' slots idle.
-    jobs = insights(raw, top_n)
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        futures = {name: pool.submit(materialise, name, df) for name, df in jobs.items()}
-        for name in jobs:
-            result.tables[name] = futures[name].result()
+    # The two passes are independent jobs: submitted from two threads they share the
+    # cluster, and one job's last tasks do not leave the other's slots idle.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        daily = pool.submit(materialise, "daily_visitors", ins.daily_visitors(raw))
+        counts = pool.submit(item_counts).result()
+        result.tables["top_items"] = materialise("top_items", ins.top_items_from_counts(counts, top_n))
+        result.tables["event_distribution"] = materialise("event_distribution", ins.event_distribution_from_counts(counts))
+        result.tables["daily_visitors"] = daily.result()
+    delete_path(spark, counts_path)
     return result
 
 
@@ -131,7 +133,12 @@ def load_csv_results(spark: SparkSession, csv_dir: str) -> dict[str, DataFrame]:
 def preview(result: BatchResult, n: int = 20) -> None:
     """Console preview of the top items and the distribution."""
     result.tables["top_items"].orderBy(F.desc("view_count"), F.asc_nulls_first("itemid")).show(n, truncate=False)
-    result.tables["event_distribution"].orderBy(F.desc("count")).show(truncate=False)
+    show_all(result.tables["event_distribution"].orderBy(*RESULT_ORDER["event_distribution"]()))
+
+
+def show_all(df: DataFrame) -> None:
+    """Print every row of a small result."""
+    df.show(max(df.count(), 1), truncate=False)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -145,12 +152,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--first-day", help="with --format archive: first UTC day (YYYY-MM-DD)")
     ap.add_argument("--last-day", help="with --format archive: last UTC day (YYYY-MM-DD)")
     ap.add_argument("--top-n", type=int, default=20)
-    ap.add_argument("--stage", choices=["auto", "yes", "no"], default="auto",
-                    help="copy a CSV input to parquet first (auto: when >= 256 MiB)")
+    ap.add_argument("--stage", action="store_true", help="copy a CSV input to parquet first")
     args = ap.parse_args(argv)
     spark = build_spark("eventflow-batch")
-    stage = {"auto": None, "yes": True, "no": False}[args.stage]
-    res = run_batch_job(spark, args.input, args.parquet_out, args.csv_out, args.format, stage, args.top_n,
+    res = run_batch_job(spark, args.input, args.parquet_out, args.csv_out, args.format, args.stage, args.top_n,
                         first_day=args.first_day, last_day=args.last_day)
     print(f"input: {res.input_path}; total events: {res.total_events().first().total_events:,}")
     preview(res, args.top_n)

@@ -16,18 +16,17 @@ from eventflow.operators import insights as ins
 from eventflow.operators import live
 from eventflow.operators.windows import events_per_window, with_event_ts
 from eventflow.plans.batch import BatchResult, run_batch_job
-from eventflow.plans.dashboard import batch_view, live_view, load_stream_metric
+from eventflow.plans.dashboard import batch_view, dataset_coverage, live_view, load_metric_table, load_stream_metric
 from eventflow.plans.present import utc_wall_clock
+from eventflow.plans.producer import read_events_text
 from eventflow.schemas import METRIC_SCHEMA, RAW_COLUMNS
 from eventflow.session import scratch_path
 from eventflow.sinks.files import write_csv, write_parquet
-from eventflow.sources.files import path_exists, read_archive, read_events_csv
-from eventflow.sources.fixtures import read_fixture_events
+from eventflow.sources.files import read_archive, read_events_csv
+from eventflow.sources.fixtures import adapt_events, read_fixture_events, table_path
 from eventflow.streaming import queries as sq
 from eventflow.streaming.sources import read_envelope_stream, read_message_files
 
-STREAM_TIMEOUT_S = 1800
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -144,19 +143,11 @@ def q_json_message_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- CSV / parquet round trips through the batch job -----------------------------
 
 
-_RAW_CSVS: dict[tuple[str, str], str] = {}
-
-
 def _raw_as_csv(spark: SparkSession, sf_dir: str) -> str:
     """The adapted clickstream written as a raw events CSV folder (shared scratch),
-    the input the batch job and the CSV reader are run on.  Written once per
-    application and scale factor, like raw data landed once and read by many jobs."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    path = _RAW_CSVS.get(key)
-    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
-        path = scratch_path(spark, "raw-csv")
-        write_csv(_raw(spark, sf_dir), path)
-        _RAW_CSVS[key] = path
+    the input the batch job and the CSV reader are run on."""
+    path = scratch_path(spark, "raw-csv")
+    write_csv(_raw(spark, sf_dir), path)
     return path
 
 
@@ -206,28 +197,15 @@ def q_batch_job_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming (file replay of envelopes, availableNow) ---------------------------
 
 
-_REPLAY_SOURCES: dict[tuple[str, str], str] = {}
-
-
 def _replay_source(spark: SparkSession, sf_dir: str) -> str:
-    """Envelope files of the whole adapted table, written once per application and
-    scale factor and then read by every streaming query, as several consumers
-    read one topic.  The files are immutable, so reuse is safe."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    path = _REPLAY_SOURCES.get(key)
-    if path is None or not path_exists(spark, f"{path}/_SUCCESS"):
-        path = scratch_path(spark, "envelopes")
-        write_parquet(envelopes_from_raw(_raw(spark, sf_dir)), path)
-        _REPLAY_SOURCES[key] = path
+    """Envelope files of the whole adapted table."""
+    path = scratch_path(spark, "envelopes")
+    write_parquet(envelopes_from_raw(_raw(spark, sf_dir)), path)
     return path
 
 
 def _await(q: StreamingQuery) -> None:
-    if not q.awaitTermination(STREAM_TIMEOUT_S):
-        q.stop()
-        raise TimeoutError(f"stream {q.name or q.id} did not finish")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    q.awaitTermination()  # raises what the query raised
 
 
 def _state_partitions(spark: SparkSession) -> int:
@@ -261,20 +239,141 @@ def q_stream_windows_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(sq.latest_updates(spark, path))
 
 
+def _finalised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream -> append table: the finalised windows, from bounded state."""
+    path, ckpt = scratch_path(spark, "metric"), scratch_path(spark, "ckpt")
+    _await(sq.start_metric_append(_stream_metric(spark, sf_dir), path, ckpt, trigger="availableNow",
+                                  state_partitions=_state_partitions(spark)))
+    return load_metric_table(spark, path)
+
+
 def q_stream_live_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream -> snapshot folder -> live KPIs, the dashboard's data path."""
-    folder, ckpt = scratch_path(spark, "snapshot"), scratch_path(spark, "ckpt")
-    _await(sq.start_metric_snapshot(_stream_metric(spark, sf_dir), folder, ckpt, trigger="availableNow",
-                                    state_partitions=_state_partitions(spark)))
-    return utc_wall_clock(live_view(load_stream_metric(spark, folder))["kpis"])
+    """Stream -> append table -> live KPIs, the dashboard's data path."""
+    return utc_wall_clock(live_view(_finalised(spark, sf_dir))["kpis"])
 
 
 def q_stream_funnel_live(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream -> snapshot folder -> live funnel, the dashboard's funnel data path."""
-    folder, ckpt = scratch_path(spark, "snapshot"), scratch_path(spark, "ckpt")
-    _await(sq.start_metric_snapshot(_stream_metric(spark, sf_dir), folder, ckpt, trigger="availableNow",
-                                    state_partitions=_state_partitions(spark)))
-    return live_view(load_stream_metric(spark, folder))["funnel"]
+    """Stream -> append table -> live funnel, the dashboard's funnel data path."""
+    return live_view(_finalised(spark, sf_dir))["funnel"]
+
+
+# --- late rows: the table in two parts, the second with rows of the first's time -----
+
+
+def _late_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of the first half of the time span but every tenth, all other rows)."""
+    rows = adapt_events(spark.read.parquet(table_path(sf_dir, "events")), "event_id")
+    span = rows.agg(F.floor((F.min("timestamp") + F.max("timestamp")) / 2).cast("long").alias("half")).first()
+    first = (F.col("timestamp") < F.lit(span.half)) & (F.col("event_id") % 10 != 0)
+    return rows.filter(first).drop("event_id"), rows.filter(~first).drop("event_id")
+
+
+def _late_run(spark: SparkSession, sf_dir: str, start) -> str:
+    """Stream the first part to its end, then the second from the same checkpoint."""
+    src, out, ckpt = (scratch_path(spark, n) for n in ("late-envelopes", "late-out", "ckpt"))
+    for part in _late_parts(spark, sf_dir):
+        write_parquet(envelopes_from_raw(part), src, mode="append")
+        metric = sq.metric_stream(parse_envelopes(read_envelope_stream(spark, src)))
+        _await(start(metric, out, ckpt, trigger="availableNow", state_partitions=_state_partitions(spark)))
+    return out
+
+
+def q_stream_late_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows are dropped, finalised windows only."""
+    return utc_wall_clock(load_metric_table(spark, _late_run(spark, sf_dir, sq.start_metric_append)))
+
+
+def q_stream_late_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows are dropped, open windows included."""
+    return utc_wall_clock(sq.latest_updates(spark, _late_run(spark, sf_dir, sq.start_metric_updates)))
+
+
+def q_stream_late_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete mode counts late rows."""
+    return utc_wall_clock(load_stream_metric(spark, _late_run(spark, sf_dir, sq.start_metric_snapshot)))
+
+
+# --- landing: one parse into archive and quarantine ---------------------------------
+
+
+def _envelopes_with_junk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes of the whole table; the value of every seventh is no JSON."""
+    rows = adapt_events(spark.read.parquet(table_path(sf_dir, "events")), "event_id")
+    messages = normalize_rows(rows, ms_to_instant("timestamp"), "event_id")
+    good = F.when(F.col("event_id") % 7 != 0, message_json(messages))
+    junk = F.concat(F.lit("not json "), F.col("event_id").cast("string"))
+    return messages.select(
+        F.col("visitorid").cast("binary").alias("key"), F.coalesce(good, junk).cast("binary").alias("value"),
+        ms_to_instant("timestamp").alias("timestamp"))
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    src, out, ckpt = (scratch_path(spark, n) for n in ("junk-envelopes", "landing", "ckpt"))
+    write_parquet(_envelopes_with_junk(spark, sf_dir), src)
+    _await(sq.start_landing(read_envelope_stream(spark, src), out, ckpt, trigger="availableNow"))
+    return out
+
+
+def q_quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the landing query put aside."""
+    landed = spark.read.schema(sq.LANDED_SCHEMA).parquet(_landed(spark, sf_dir))
+    return utc_wall_clock(landed.filter("kind = 'junk'").select("json_str", "kafka_ts"))
+
+
+def q_landed_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive side of the landing query."""
+    landed = spark.read.schema(sq.LANDED_SCHEMA).parquet(_landed(spark, sf_dir))
+    return ins.event_distribution(landed.filter("kind = 'event'"))
+
+
+def q_count_policy_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Junk counted as a NULL event at broker time."""
+    return utc_wall_clock(events_per_window(parse_envelopes(_envelopes_with_junk(spark, sf_dir), on_malformed="count")))
+
+
+# --- text input and NULLs -----------------------------------------------------------
+
+
+def q_csv_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return utc_wall_clock(dataset_coverage(spark, _raw_as_csv(spark, sf_dir)))
+
+
+def q_csv_text_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV text with unreadable numbers, empty fields, short rows and quoted commas ->
+    normalised messages (the time of defaulted rows, which is now, is left out)."""
+    rows = adapt_events(spark.read.parquet(table_path(sf_dir, "events")), "event_id")
+    fault = F.col("event_id") % 8
+    ts = F.when(fault == 0, F.concat(F.lit("x"), "timestamp")).otherwise(F.col("timestamp").cast("string"))
+    visitor = F.when(fault == 1, F.lit("")).otherwise(F.col("visitorid"))
+    event = F.when(fault == 2, F.concat(F.lit('"'), "event", F.lit(',x"'))).otherwise(F.col("event"))
+    head = F.concat_ws(",", ts, visitor, event)
+    full = F.concat_ws(",", head, F.col("itemid"), F.coalesce("transactionid", F.lit("")))
+    line = F.when(fault == 3, head).otherwise(full)
+    path = scratch_path(spark, "text-csv")
+    # one text column whose name is the header line; neither sign occurs in the data
+    rows.select(line.alias(",".join(RAW_COLUMNS))).write.option("header", True).option("sep", "\u0001").option(
+        "quote", "\u0002").csv(path)
+    messages = normalize_rows(read_events_text(spark, path))
+    return messages.select(
+        F.when(~F.col("ts_defaulted"), F.col("timestamp")).alias("timestamp"),
+        "visitorid", "event", "itemid", "transactionid", "ts_defaulted")
+
+
+def _raw_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = adapt_events(spark.read.parquet(table_path(sf_dir, "events")), "event_id")
+    return rows.select(
+        F.when(F.col("event_id") % 11 != 0, F.col("timestamp")).alias("timestamp"),
+        F.when(F.col("event_id") % 3 != 0, F.col("visitorid")).alias("visitorid"),
+        F.when(F.col("event_id") % 5 != 0, F.col("event")).alias("event"),
+        "itemid", "transactionid")
+
+
+def q_null_event_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ins.event_distribution(_raw_with_nulls(spark, sf_dir))
+
+
+def q_null_daily_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ins.daily_visitors(_raw_with_nulls(spark, sf_dir))
 
 
 def q_archive_replay_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,4 +418,14 @@ QUERIES: dict[str, Query] = {
     "stream_live_kpis": q_stream_live_kpis,
     "stream_funnel_live": q_stream_funnel_live,
     "archive_replay_distribution": q_archive_replay_distribution,
+    "stream_late_append": q_stream_late_append,
+    "stream_late_update": q_stream_late_update,
+    "stream_late_complete": q_stream_late_complete,
+    "quarantined_records": q_quarantined_records,
+    "landed_distribution": q_landed_distribution,
+    "count_policy_windows": q_count_policy_windows,
+    "csv_coverage": q_csv_coverage,
+    "csv_text_messages": q_csv_text_messages,
+    "null_event_distribution": q_null_event_distribution,
+    "null_daily_visitors": q_null_daily_visitors,
 }

@@ -12,7 +12,7 @@ from eventflow.functions.format import percent_label, thousands
 from eventflow.operators import funnel as fn
 from eventflow.operators import insights as ins
 from eventflow.operators import live
-from eventflow.plans.batch import load_csv_results
+from eventflow.plans.batch import load_csv_results, show_all
 from eventflow.schemas import METRIC_SCHEMA
 from eventflow.sources.files import path_exists, read_events_csv, read_latest_snapshot, read_parquet_result
 
@@ -84,7 +84,7 @@ def dataset_coverage(spark: SparkSession, path: str) -> DataFrame:
         cov = ins.coverage(read_events_csv(spark, path).select("timestamp"), source="csv")
         return spark.createDataFrame(cov.collect(), COVERAGE_SCHEMA)
     except Exception as exc:  # unreadable input is a status, not a crash of the view
-        return spark.createDataFrame([(None, None, 0, f"error: {type(exc).__name__}")], COVERAGE_SCHEMA)
+        return spark.createDataFrame([(None, None, 0, f"error: {type(exc).__name__}: {str(exc).strip().splitlines()[0] if str(exc).strip() else ''}")], COVERAGE_SCHEMA)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -111,11 +111,11 @@ def main(argv: list[str] | None = None) -> None:
         metric = load_metric_table(spark, args.metric_table) if args.metric_table else load_stream_metric(spark, args.stream)
         for name, df in live_view(metric, args.last_n).items():
             print(f"== live: {name}")
-            df.show(args.last_n, truncate=False)
+            show_all(df)
     if args.batch:
         for name, df in batch_view(spark, args.batch).items():
             print(f"== batch: {name}")
-            df.show(100, truncate=False)
+            show_all(df)
 
 
 if __name__ == "__main__":

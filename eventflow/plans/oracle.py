@@ -9,11 +9,10 @@ EV = """ev AS (
   SELECT epoch_us(ts) // 1000 AS "timestamp",
          CAST(user_id AS VARCHAR) AS visitorid,
          CASE event_type WHEN 'view' THEN 'view' WHEN 'click' THEN 'addtocart'
-                         WHEN 'purchase' THEN 'transaction' END AS event,
+                         WHEN 'purchase' THEN 'transaction' ELSE event_type END AS event,
          json_extract_string(props, '$.k') AS itemid,
          CASE WHEN event_type = 'purchase' THEN CAST(event_id AS VARCHAR) END AS transactionid
-  FROM events
-  WHERE event_type IN ('view', 'click', 'purchase'))"""
+  FROM events)"""
 
 # Batch time: seconds truncated toward zero, then UTC date.
 ENR = """enr AS (
@@ -32,7 +31,9 @@ WIDE = """wide AS (
   SELECT window_start,
          CAST(coalesce(sum(CASE WHEN event = 'view' THEN event_count END), 0) AS BIGINT) AS "view",
          CAST(coalesce(sum(CASE WHEN event = 'addtocart' THEN event_count END), 0) AS BIGINT) AS addtocart,
-         CAST(coalesce(sum(CASE WHEN event = 'transaction' THEN event_count END), 0) AS BIGINT) AS "transaction"
+         CAST(coalesce(sum(CASE WHEN event = 'transaction' THEN event_count END), 0) AS BIGINT) AS "transaction",
+         CAST(coalesce(sum(CASE WHEN event = 'error' THEN event_count END), 0) AS BIGINT) AS "error",
+         CAST(coalesce(sum(CASE WHEN event = 'signup' THEN event_count END), 0) AS BIGINT) AS signup
   FROM met WHERE event IS NOT NULL GROUP BY window_start
   ORDER BY window_start DESC LIMIT 60)"""
 
@@ -63,6 +64,28 @@ KPIS = """SELECT max(window_start) AS latest_window,
        count(DISTINCT event) AS event_types
 FROM met"""
 
+# Append mode emits a window once the watermark (max event time - 2 minutes) has
+# passed its end.
+FIN = """fin AS (SELECT * FROM met
+  WHERE window_end <= (SELECT make_timestamp(max("timestamp") * 1000) - INTERVAL 2 MINUTE FROM ev))"""
+
+# The late-data run: ``half`` splits the time span; the second part's rows are late if
+# their window ended by the watermark of the first part.
+LATE = """half AS (SELECT (epoch_us(min(ts)) // 1000 + epoch_us(max(ts)) // 1000) // 2 AS h FROM events),
+parted AS (
+  SELECT epoch_us(ts) // 1000 AS "timestamp", epoch_us(ts) // 1000 < h AND event_id % 10 <> 0 AS early,
+         CASE event_type WHEN 'click' THEN 'addtocart' WHEN 'purchase' THEN 'transaction' ELSE event_type END AS event
+  FROM events, half),
+wm AS (SELECT make_timestamp(max("timestamp") * 1000) - INTERVAL 2 MINUTE AS w FROM parted WHERE early),
+placed AS (SELECT *, date_trunc('minute', make_timestamp("timestamp" * 1000)) AS window_start FROM parted),
+counted AS (
+  SELECT window_start, window_start + INTERVAL 1 MINUTE AS window_end, event, count(*) AS event_count
+  FROM placed, wm WHERE early OR window_start + INTERVAL 1 MINUTE > w GROUP BY 1, 2, 3)"""
+
+JUNK = """junked AS (SELECT event_id, epoch_us(ts) // 1000 AS ms,
+    CASE event_type WHEN 'click' THEN 'addtocart' WHEN 'purchase' THEN 'transaction' ELSE event_type END AS event
+  FROM events)"""
+
 ORACLE_SQL: dict[str, str] = {
     "top_items": f"""WITH {EV}
 SELECT itemid, count(*) AS view_count FROM ev WHERE event = 'view'
@@ -106,7 +129,7 @@ WHERE window_start = (SELECT max(window_start) FROM met)""",
     "last_n_windows_wide": f"""WITH {EV}, {MET}, {WIDE}
 SELECT * FROM wide""",
     "last_n_windows_long": f"""WITH {EV}, {MET}, {WIDE}
-UNPIVOT wide ON "view", addtocart, "transaction" INTO NAME event VALUE event_count""",
+UNPIVOT wide ON "view", addtocart, "transaction", "error", signup INTO NAME event VALUE event_count""",
     "event_totals_from_windows": f"""WITH {EV}, {MET}
 SELECT event, CAST(sum(event_count) AS BIGINT) AS event_count FROM met
 WHERE event IS NOT NULL GROUP BY event""",
@@ -149,7 +172,39 @@ SELECT event_date, count(DISTINCT visitorid) AS active_visitors FROM enr GROUP B
 SELECT * FROM met
 WHERE window_end <= (SELECT make_timestamp(max("timestamp") * 1000) - INTERVAL 2 MINUTE FROM ev)""",
     "stream_windows_update": f"""WITH {EV}, {MET} SELECT * FROM met""",
-    "stream_live_kpis": f"""WITH {EV}, {MET} {KPIS}""",
-    "stream_funnel_live": f"""WITH {EV}, {MET} {_funnel("met", "event_count")}""",
+    "stream_live_kpis": f"""WITH {EV}, {MET}, {FIN} {KPIS.replace("FROM met", "FROM fin")}""",
+    "stream_funnel_live": f"""WITH {EV}, {MET}, {FIN} {_funnel("fin", "event_count")}""",
+    "stream_late_append": f"""WITH {EV}, {LATE}
+SELECT * FROM counted
+WHERE window_end <= (SELECT make_timestamp(max("timestamp") * 1000) - INTERVAL 2 MINUTE FROM ev)""",
+    "stream_late_update": f"""WITH {EV}, {LATE} SELECT * FROM counted""",
+    "stream_late_complete": f"""WITH {EV}, {MET} SELECT * FROM met""",
+    "quarantined_records": f"""WITH {JUNK}
+SELECT 'not json ' || event_id AS json_str, make_timestamp(ms * 1000) AS kafka_ts FROM junked WHERE event_id % 7 = 0""",
+    "landed_distribution": f"""WITH {JUNK}
+SELECT event, count(*) AS "count" FROM junked WHERE event_id % 7 <> 0 GROUP BY event""",
+    "count_policy_windows": f"""WITH {JUNK}
+SELECT date_trunc('minute', make_timestamp(ms * 1000)) AS window_start,
+       date_trunc('minute', make_timestamp(ms * 1000)) + INTERVAL 1 MINUTE AS window_end,
+       CASE WHEN event_id % 7 <> 0 THEN event END AS event, count(*) AS event_count
+FROM junked GROUP BY 1, 2, 3""",
+    "csv_coverage": f"""WITH {EV}
+SELECT make_timestamp(min("timestamp") * 1000) AS min_ts, make_timestamp(max("timestamp") * 1000) AS max_ts,
+       count("timestamp") AS n_events, CASE WHEN count("timestamp") > 0 THEN 'csv' ELSE 'empty' END AS source
+FROM ev""",
+    "csv_text_messages": """SELECT CASE WHEN event_id % 8 <> 0 THEN epoch_us(ts) // 1000 END AS "timestamp",
+       CASE WHEN event_id % 8 = 1 THEN '' ELSE CAST(user_id AS VARCHAR) END AS visitorid,
+       CASE event_type WHEN 'click' THEN 'addtocart' WHEN 'purchase' THEN 'transaction' ELSE event_type END
+         || CASE WHEN event_id % 8 = 2 THEN ',x' ELSE '' END AS event,
+       CASE WHEN event_id % 8 <> 3 THEN json_extract_string(props, '$.k') END AS itemid,
+       CASE WHEN event_id % 8 <> 3 AND event_type = 'purchase' THEN CAST(event_id AS VARCHAR) END AS transactionid,
+       event_id % 8 = 0 AS ts_defaulted
+FROM events""",
+    "null_event_distribution": f"""WITH {JUNK}
+SELECT CASE WHEN event_id % 5 <> 0 THEN event END AS event, count(*) AS "count" FROM junked GROUP BY 1""",
+    "null_daily_visitors": """SELECT
+       CASE WHEN event_id % 11 <> 0 THEN CAST(make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS DATE) END AS event_date,
+       count(DISTINCT CASE WHEN event_id % 3 <> 0 THEN CAST(user_id AS VARCHAR) END) AS active_visitors
+FROM events GROUP BY 1""",
     "archive_replay_distribution": f"""WITH {EV}, {DIST} SELECT event, "count" FROM dist""",
 }

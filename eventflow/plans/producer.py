@@ -9,76 +9,102 @@ read with ``maxFilesPerTrigger`` instead.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from eventflow.functions.messages import envelopes_from_raw, normalize_rows, to_envelope
-from eventflow.schemas import RAW_TEXT_SCHEMA
+from eventflow.functions.messages import message_json, normalize_rows, to_envelope
+from eventflow.functions.time import ms_to_instant
+from eventflow.schemas import CORRUPT_COLUMN, ENVELOPE_SCHEMA, RAW_TEXT_SCHEMA
+from eventflow.session import scratch_path
 from eventflow.sinks.files import write_parquet
 from eventflow.sinks.kafka import write_kafka
-from eventflow.sources.files import read_events_csv
+from eventflow.sources.files import delete_path, path_exists, read_events_csv
 from eventflow.streaming.queries import start_kafka_publish
 
 
 def read_events_text(spark: SparkSession, path: str) -> DataFrame:
-    """Raw CSV with every column as text, as the producer reads it.  Spark gives
-    NULL for an empty unquoted field (a Python ``csv`` reader gives ``""``)."""
-    return read_events_csv(spark, path, RAW_TEXT_SCHEMA)
+    """Raw CSV with every column as text, as the producer reads it: an empty field is
+    ``""``, a field that a short row lacks is NULL.
 
+    Spark's reader gives NULL for both.  Rows of the wrong length are told by the
+    corrupt-record column; such a row has as many fields as it has commas outside
+    quotes, and one more."""
+    schema = T.StructType(RAW_TEXT_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
+    rows = (spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).schema(schema).csv(path))
+    unquoted = F.regexp_replace(CORRUPT_COLUMN, '"[^"]*"', "")
+    fields = F.coalesce(F.size(F.split(unquoted, ",", -1)), F.lit(len(RAW_TEXT_SCHEMA.fields)))
+    fields = F.when(F.col(CORRUPT_COLUMN).isNull(), F.lit(len(RAW_TEXT_SCHEMA.fields))).otherwise(fields)
+    return rows.select(*[
+        F.when(F.col(f.name).isNull() & (fields > i), F.lit("")).otherwise(F.col(f.name)).alias(f.name)
+        for i, f in enumerate(RAW_TEXT_SCHEMA.fields)
+    ])
 
-def csv_to_envelopes(spark: SparkSession, path: str) -> DataFrame:
-    """CSV rows -> ``(key, value, timestamp)`` records, ingest time = now."""
-    return to_envelope(normalize_rows(read_events_text(spark, path)))
 
+def split_defaulted(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(messages with a time of their own, messages stamped with the current time
+    because theirs was unreadable).  The latter must not reach a watermark: one of them
+    among old rows would make all the others late."""
+    return messages.filter(~F.col("ts_defaulted")), messages.filter("ts_defaulted")
 
-def publish_csv(spark: SparkSession, path: str, bootstrap: str, topic: str, **kafka_options: str) -> None:
+
+def csv_to_envelopes(spark: SparkSession, path: str, rejected: str | None = None) -> DataFrame:
+    """CSV rows -> ``(key, value, timestamp)`` records, ingest time = now.  Rows without
+    a readable timestamp are written to ``rejected`` (JSON text; default: a new scratch
+    folder) instead."""
+    good, bad = split_defaulted(normalize_rows(read_events_text(spark, path)))
+    write_rejected(spark, bad, rejected)
+    return to_envelope(good)
+
+
+def write_rejected(spark: SparkSession, messages: DataFrame, path: str | None) -> None:
+    messages.select(message_json(messages).alias("value")).write.mode("append").text(path or scratch_path(spark, "rejected"))
+
+
+def publish_csv(spark: SparkSession, path: str, bootstrap: str, topic: str, rejected: str | None = None, **kafka_options: str) -> None:
     """Publish a whole CSV file to a Kafka topic in one distributed batch job."""
-    write_kafka(csv_to_envelopes(spark, path), bootstrap, topic, **kafka_options)
+    write_kafka(csv_to_envelopes(spark, path, rejected), bootstrap, topic, **kafka_options)
 
 
-def replay_csv_to_files(spark: SparkSession, path: str, out: str, slices: int | None = None) -> None:
+def replay_csv_to_files(spark: SparkSession, path: str, out: str, slices: int | None = None, files_per_slice: int = 1) -> None:
     """Write a CSV file as envelope parquet, stamped with each row's event time as
     broker time, for a file-source replay (``streaming.sources.read_envelope_stream``).
+    Rows without a readable timestamp go to ``<out>/_rejected`` (hidden from readers).
 
-    With ``slices`` the rows are range-partitioned by event time into that many
-    files in one job, and the files' modification times are set in time order, so a
-    stream reading them with ``maxFilesPerTrigger`` replays history in order, one
-    slice per micro-batch, and nothing falls behind the watermark."""
+    With ``slices`` the rows are cut into that many ranges of event time, staged in one
+    job, and appended to ``out`` range by range, ``files_per_slice`` files each.  A
+    stream that takes ``files_per_slice`` files a micro-batch replays history in order
+    on any store, since later slices are written later, and nothing falls behind the
+    watermark."""
     rows = read_events_csv(spark, path)
+    messages = normalize_rows(rows, ingest_time=ms_to_instant("timestamp"))
+    good, bad = split_defaulted(messages)
+    write_rejected(spark, bad, f"{out.rstrip('/')}/_rejected")
+    envelopes = to_envelope(good, broker_time=ms_to_instant("timestamp"))
     if not slices:
-        write_parquet(envelopes_from_raw(rows), out, mode="append")
+        write_parquet(envelopes, out, mode="append")
         return
-    ordered = rows.repartitionByRange(slices, "timestamp").sortWithinPartitions("timestamp")
-    staged = f"{out.rstrip('/')}/_slices"
-    write_parquet(envelopes_from_raw(ordered), staged)
-    order_files_by_partition(spark, staged, out)
-
-
-def order_files_by_partition(spark: SparkSession, staged: str, out: str) -> None:
-    """Move ``part-NNNNN`` files of ``staged`` into ``out`` with modification times
-    increasing with the partition number (range partitions are numbered in key
-    order).  File moves and time stamps only; no data passes the driver."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src_dir = jvm.org.apache.hadoop.fs.Path(staged)
-    dst_dir = jvm.org.apache.hadoop.fs.Path(out)
-    fs = src_dir.getFileSystem(conf)
-    fs.mkdirs(dst_dir)
-    parts = sorted((st.getPath().getName(), st.getPath()) for st in fs.listStatus(src_dir)
-                   if st.getPath().getName().startswith("part-"))
-    base = int(jvm.java.lang.System.currentTimeMillis()) - 1000 * (len(parts) + 1)
-    for i, (name, src) in enumerate(parts):
-        dst = jvm.org.apache.hadoop.fs.Path(dst_dir, name)
-        fs.rename(src, dst)
-        fs.setTimes(dst, base + 1000 * i, -1)
-    fs.delete(src_dir, True)
+    bounds = good.approxQuantile("timestamp", [i / slices for i in range(1, slices)], 0.001) if slices > 1 else []
+    number = F.lit(0)
+    for bound in sorted(set(bounds)):
+        number = number + (F.unix_millis("timestamp") >= F.lit(int(bound))).cast("int")
+    staged = scratch_path(spark, "slices")
+    write_parquet(envelopes.withColumn("slice", number), staged, partition_by=["slice"])
+    for k in range(slices):
+        if path_exists(spark, f"{staged}/slice={k}"):
+            part = spark.read.schema(ENVELOPE_SCHEMA).parquet(f"{staged}/slice={k}")
+            write_parquet(part.repartition(files_per_slice), out, mode="append")
+    delete_path(spark, staged)
 
 
 def start_csv_publish_stream(spark: SparkSession, folder: str, bootstrap: str, topic: str, checkpoint: str,
-                             max_files_per_trigger: int | None = 1, trigger: str | None = None):
-    """Stream every new CSV file dropped into ``folder`` to Kafka, file by file."""
+                             max_files_per_trigger: int | None = None, trigger: str | None = None):
+    """Stream every new CSV file dropped into ``folder`` to Kafka.  Rows without a
+    readable timestamp are left out; :func:`publish_csv` keeps them aside instead."""
     reader = spark.readStream.option("header", True).option("enforceSchema", False).schema(RAW_TEXT_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    envelopes = to_envelope(normalize_rows(reader.csv(folder)))
+    envelopes = to_envelope(split_defaulted(normalize_rows(reader.csv(folder)))[0])
     return start_kafka_publish(envelopes, bootstrap, topic, checkpoint, trigger)
 
 
@@ -94,13 +120,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--kafka")
     ap.add_argument("--topic", default="events")
     ap.add_argument("--envelopes", help="write envelope parquet files here instead of Kafka")
-    ap.add_argument("--slices", type=int, help="with --envelopes: that many time-ordered files")
+    ap.add_argument("--slices", type=int, help="with --envelopes: that many ranges of event time, written in order")
+    ap.add_argument("--rejected", help="with --kafka: folder for rows without a readable timestamp")
     args = ap.parse_args(argv)
     spark = build_spark("eventflow-producer")
     if args.envelopes:
         replay_csv_to_files(spark, args.csv, args.envelopes, args.slices)
     elif args.kafka:
-        publish_csv(spark, args.csv, args.kafka, args.topic)
+        publish_csv(spark, args.csv, args.kafka, args.topic, args.rejected)
     else:
         ap.error("give --kafka or --envelopes")
 

@@ -13,43 +13,68 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from eventflow.session import build_spark
-from eventflow.streaming.queries import DEFAULT_TRIGGERS, start_all
+from eventflow.streaming.queries import (
+    DEFAULT_TRIGGERS,
+    metric_stream,
+    read_landed_stream,
+    start_console,
+    start_landing,
+    start_metric_append,
+    start_metric_snapshot,
+)
 from eventflow.streaming.sources import read_envelope_stream, read_kafka_stream, read_message_files
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def sink_paths(out_dir: str, console: bool = False) -> dict[str, str]:
+def sink_paths(out_dir: str, console: bool = False, snapshot: bool = False) -> dict[str, str]:
+    """The default sinks: ``landing`` (archive and quarantine, one parse) and ``metric``
+    (finalised windows, bounded state).  The complete-mode snapshot keeps every window
+    in state for ever and is started on request only."""
     base = out_dir.rstrip("/")
-    paths = {
-        "metric": f"{base}/events_per_minute",
-        "snapshot": f"{base}/snapshot/events_per_minute",
-        "archive": f"{base}/raw-events",
-        "quarantine": f"{base}/quarantine",
-    }
+    paths = {"landing": f"{base}/raw-events", "metric": f"{base}/events_per_minute"}
+    if snapshot:
+        paths["snapshot"] = f"{base}/snapshot/events_per_minute"
     if console:
         paths["console"] = "-"
     return paths
 
 
 def run_streaming_job(spark: SparkSession, envelopes: DataFrame, out_dir: str, checkpoints: str,
-                      available_now: bool = False, console: bool = False, on_malformed: str = "quarantine",
+                      available_now: bool = False, console: bool = False, snapshot: bool = False,
                       wait: bool = True, timeout_s: float | None = None, state_partitions: int | None = None,
                       archive_by_date: bool = False):
-    """Start every sink and, with ``wait``, block until any query ends (the job's
-    life ends with its first failing query; restart resumes from the checkpoints)."""
+    """Land the envelopes once and start the other sinks on what has landed; with
+    ``wait``, block until any query ends (the job's life ends with its first failing
+    query; restart resumes from the checkpoints).  ``available_now`` processes the
+    backlog sink after sink and always waits.  A wait longer than ``timeout_s`` is an
+    error; the queries go on."""
     triggers = {k: ("availableNow" if available_now else v) for k, v in DEFAULT_TRIGGERS.items()}
-    queries = start_all(envelopes, sink_paths(out_dir, console), checkpoints, triggers, on_malformed,
-                        state_partitions=state_partitions, archive_by_date=archive_by_date)
-    if wait:
+    paths = sink_paths(out_dir, console, snapshot)
+    base = checkpoints.rstrip("/")
+    spark.streams.resetTerminated()  # the wait is for this job's queries, not for earlier ones
+    queries = {"landing": start_landing(envelopes, paths["landing"], f"{base}/landing", triggers["landing"], archive_by_date)}
+    if available_now:
+        _await(queries["landing"], timeout_s)
+    metric = metric_stream(read_landed_stream(spark, paths["landing"]))
+    starters = {"metric": start_metric_append, "snapshot": start_metric_snapshot,
+                "console": lambda m, _, c, t, state_partitions: start_console(m, c, t, state_partitions=state_partitions)}
+    for sink in [s for s in paths if s != "landing"]:
+        queries[sink] = starters[sink](metric, paths[sink], f"{base}/{sink}", triggers[sink], state_partitions=state_partitions)
         if available_now:
-            for q in queries.values():
-                q.awaitTermination(timeout_s)
-        else:
-            spark.streams.awaitAnyTermination(timeout_s)
+            _await(queries[sink], timeout_s)
+    if wait and not available_now and not spark.streams.awaitAnyTermination(timeout_s) and timeout_s is not None:
+        raise TimeoutError(f"no query ended within {timeout_s} s")
     return queries
 
 
+def _await(query, timeout_s: float | None) -> None:
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        raise TimeoutError(f"query {query.name or query.id} did not finish within {timeout_s} s")
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__)
     ap.add_argument("--out", required=True)
@@ -60,6 +85,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--messages", help="folder of JSON-lines message files instead of Kafka")
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--console", action="store_true")
+    ap.add_argument("--snapshot", action="store_true", help="also rewrite the whole metric as CSV (complete mode, unbounded state)")
     ap.add_argument("--rocksdb", action="store_true", help="RocksDB state store for large state")
     ap.add_argument("--archive-by-date", action="store_true", help="partition the raw archive by UTC event date")
     ap.add_argument("--state-partitions", type=int, help="state partitions of the metric queries (fixed at first start)")
@@ -87,7 +113,7 @@ def main(argv: list[str] | None = None) -> None:
         envelopes = read_kafka_stream(spark, args.kafka, args.topic, **extra)
     else:
         ap.error("give --kafka, --envelopes or --messages")
-    run_streaming_job(spark, envelopes, args.out, args.checkpoints, args.available_now, args.console,
+    run_streaming_job(spark, envelopes, args.out, args.checkpoints, args.available_now, args.console, args.snapshot,
                       state_partitions=args.state_partitions, archive_by_date=args.archive_by_date)
 
 

@@ -55,7 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        # "local-cluster[...]" is a cluster: its executors have folders of their own
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3)")
         configured = tempfile.mkdtemp(prefix="eventflow-ckpt-")
     sc.setCheckpointDir(configured)

@@ -7,10 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from eventflow.sources.files import delete_path, list_children
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite") -> None:
-    """CSV with header.  ``single_file`` is for results of bounded size only
-    (top-n, one row per event type or per day): it funnels all rows through one task."""
-    out = df.coalesce(1) if single_file else df
+def write_csv(df: DataFrame, path: str, single_file: bool = False, mode: str = "overwrite", order_by=()) -> None:
+    """CSV with header, in the order ``order_by`` if given (over the part files in the
+    order of their names).  ``single_file`` is for results of bounded size only (top-n,
+    one row per day): it funnels all rows through one task."""
+    if single_file:
+        out = df.repartition(1)
+        out = out.sortWithinPartitions(*order_by) if order_by else out
+    else:
+        out = df.orderBy(*order_by) if order_by else df
     out.write.mode(mode).option("header", True).csv(path)
 
 

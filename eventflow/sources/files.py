@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventflow.functions.time import lenient_date, lenient_timestamp
-from eventflow.schemas import MESSAGE_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
+from eventflow.schemas import RAW_COLUMNS, RAW_SCHEMA
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -41,6 +41,11 @@ def path_size(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength())
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    hpath, fs = _hadoop_path(spark, path)
+    fs.mkdirs(hpath)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     hpath, fs = _hadoop_path(spark, path)
     if fs.exists(hpath):
@@ -48,17 +53,16 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def resolve_input(spark: SparkSession, candidates: Iterable[str]) -> str:
-    """First existing path of ``candidates`` (any scheme); fail loud otherwise."""
+    """First existing path of ``candidates`` (any scheme); fail loud otherwise.  A store
+    that cannot be asked (no such scheme, no access, time-out) is an error, not a
+    reason to take the next candidate."""
     tried = []
     for path in candidates:
         if not path:
             continue
         tried.append(path)
-        try:
-            if path_exists(spark, path):
-                return path
-        except Exception:  # an unreachable file system counts as "not there"
-            continue
+        if path_exists(spark, path):
+            return path
     raise FileNotFoundError(
         "no input found; tried: " + ", ".join(tried) + ". Place the raw events CSV "
         "(columns timestamp, visitorid, event, itemid, transactionid) at one of them."
@@ -86,8 +90,9 @@ def read_result_folder(spark: SparkSession, folder: str, schema: T.StructType) -
     """A folder of ``part-*.csv`` files written by a snapshot sink, as one table.
 
     A missing folder, or one without part files, gives an empty DataFrame with the
-    same schema.  Unreadable files are skipped (``ignoreCorruptFiles``).  Values are
-    read as text and typed leniently: a cell that does not parse becomes NULL.
+    same schema.  A file that cannot be read, or whose header differs from the schema,
+    is an error.  Values are read as text and typed leniently: a cell that does not
+    parse becomes NULL.
     """
     if not any(name.startswith("part-") and name.endswith(".csv") for name, _ in list_children(spark, folder)):
         return spark.createDataFrame([], schema)
@@ -95,7 +100,7 @@ def read_result_folder(spark: SparkSession, folder: str, schema: T.StructType) -
     raw = (
         spark.read.option("header", True)
         .option("pathGlobFilter", "part-*.csv")
-        .option("ignoreCorruptFiles", True)
+        .option("enforceSchema", False)
         .schema(text_schema)
         .csv(folder)
     )
@@ -127,12 +132,17 @@ def read_latest_snapshot(spark: SparkSession, folder: str, schema: T.StructType)
 
 def read_archive(spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
     """Raw archive (parquet of the 7 message fields) replayed as raw clickstream rows,
-    ready for the same batch operators as the CSV input.
+    ready for the same batch operators as the CSV input.  The folder is that of the
+    archive query or of the landing query.
 
     ``first_day`` / ``last_day`` (``YYYY-MM-DD``, inclusive) select days of an
     archive written with ``partition_by_date``; the filter is on the partition
     column, so other days' folders are never listed into the scan."""
-    archive = spark.read.parquet(path) if (first_day or last_day) else spark.read.schema(MESSAGE_SCHEMA).parquet(path)
+    archive = spark.read.parquet(path)
+    if "kind" in archive.columns:  # the folder of the landing query holds junk records too
+        archive = archive.filter(F.col("kind") == "event")
+    if (first_day or last_day) and "event_date" not in archive.columns:
+        raise ValueError(f"{path} is not partitioned by event_date; a range of days needs an archive written by date")
     if first_day:
         archive = archive.filter(F.col("event_date") >= F.lit(first_day).cast("date"))
     if last_day:

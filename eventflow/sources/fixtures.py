@@ -2,8 +2,8 @@
 
 ``events(event_id, ts timestamp_ntz, user_id, event_type, value, props)`` becomes
 ``timestamp, visitorid, event, itemid, transactionid`` (see ``schemas.RAW_SCHEMA``).
-Only the three funnel event types have a counterpart; the others are dropped by a
-filter that Spark pushes into the parquet scan.
+The three funnel event types get their clickstream names; every other value, and
+NULL, passes through unchanged, and no row is left out.
 """
 
 from __future__ import annotations
@@ -21,17 +21,19 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def adapt_events(src: DataFrame) -> DataFrame:
-    """Map synthetic events onto the raw clickstream schema (lazy projection)."""
-    event = F.lit(None).cast("string")
+def adapt_events(src: DataFrame, *keep: str) -> DataFrame:
+    """Map synthetic events onto the raw clickstream schema (lazy projection); ``keep``
+    names columns of the source to carry along."""
+    event = F.col("event_type")
     for source_type, name in reversed(EVENT_MAP.items()):
         event = F.when(F.col("event_type") == source_type, F.lit(name)).otherwise(event)
-    return src.filter(F.col("event_type").isin(list(EVENT_MAP))).select(
+    return src.select(
         utc_epoch_ms("ts").alias("timestamp"),
         F.col("user_id").cast("string").alias("visitorid"),
         event.alias("event"),
         F.get_json_object("props", "$.k").alias("itemid"),
         F.when(F.col("event_type") == "purchase", F.col("event_id").cast("string")).alias("transactionid"),
+        *keep,
     )
 
 

@@ -10,6 +10,7 @@ the micro-batch is retried on restart (opt-in tolerance only at start-up, see
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -18,13 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from eventflow.functions.messages import malformed_records, parse_envelopes
+from eventflow.functions.messages import decode_envelopes, malformed_records, parse_envelopes, with_event_ts
 from eventflow.functions.time import utc_date
 from eventflow.operators.windows import events_per_window
-from eventflow.schemas import MESSAGE_COLUMNS, METRIC_SCHEMA
+from eventflow.schemas import MESSAGE_COLUMNS, MESSAGE_SCHEMA, METRIC_SCHEMA
 from eventflow.sinks.files import write_versioned_snapshot
 from eventflow.sinks.kafka import kafka_sink_options
-from eventflow.sources.files import delete_path, list_children
+from eventflow.sources.files import list_children, make_folder
 
 # Trigger interval per sink.
 DEFAULT_TRIGGERS = {
@@ -33,6 +34,7 @@ DEFAULT_TRIGGERS = {
     "metric": "30 seconds",
     "archive": "30 seconds",
     "quarantine": "30 seconds",
+    "landing": "30 seconds",
     "updates": "20 seconds",
 }
 
@@ -87,6 +89,15 @@ def start_metric_append(metric: DataFrame, path: str, checkpoint: str, trigger:
     return _start(w, metric.sparkSession, name, state_partitions)
 
 
+def refuse_foreign_folder(spark: SparkSession, folder: str, checkpoint: str, prefix: str) -> None:
+    """Versions in ``folder`` are numbered by the batches of one checkpoint.  A new
+    checkpoint starts at 0 again, so beside older versions its results would be taken
+    for outdated ones; starting there is an error."""
+    has_versions = any(name.startswith(prefix) for name, _ in list_children(spark, folder))
+    if has_versions and not list_children(spark, f"{checkpoint.rstrip('/')}/offsets"):
+        raise ValueError(f"{folder} holds versions of another checkpoint; give {checkpoint} a folder of its own")
+
+
 def snapshot_writer(folder: str, order_col: str = "window_start", keep: int = 2,
                     single_file: bool = False) -> Callable[[DataFrame, int], None]:
     """foreachBatch function writing the whole result table of each micro-batch as a
@@ -95,8 +106,8 @@ def snapshot_writer(folder: str, order_col: str = "window_start", keep: int = 2,
 
     The write is the only action on the batch: the row count is observed during the
     write (``DataFrame.observe``), so the stateful plan runs once without being
-    cached.  ``rows_written`` keeps ``(batch_id, rows)`` of each batch."""
-    rows_written: list[tuple[int, int]] = []
+    cached.  ``rows_written`` keeps ``(batch_id, rows)`` of the last batches."""
+    rows_written: deque[tuple[int, int]] = deque(maxlen=100)
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         seen = Observation(f"snapshot_{batch_id}")
@@ -115,6 +126,7 @@ def start_metric_snapshot(metric: DataFrame, folder: str, checkpoint: str, trigg
     """Complete mode: the full metric table rewritten as a snapshot each batch.
     Complete mode keeps every window in state for ever and counts late rows; for
     long runs prefer :func:`start_metric_append` and read the appended table."""
+    refuse_foreign_folder(metric.sparkSession, folder, checkpoint, "batch=")
     w = (metric.writeStream.outputMode("complete")
          .foreachBatch(snapshot_writer(folder, keep=keep, single_file=single_file))
          .option("checkpointLocation", checkpoint)
@@ -136,10 +148,8 @@ def update_log_writer(path: str) -> Callable[[DataFrame, int], None]:
 
 def start_metric_updates(metric: DataFrame, path: str, checkpoint: str, trigger: str | None = "20 seconds",
                          name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
-    """Update mode: rows whose count changed in a batch, logged with the batch id.
-
-    The log grows by one partition per batch; :func:`compact_update_log` folds
-    the older ones into one, so readers keep a bounded number of partitions."""
+    """Update mode: rows whose count changed in a batch, logged with the batch id."""
+    refuse_foreign_folder(metric.sparkSession, path, checkpoint, "batch_id=")
     w = (metric.writeStream.outputMode("update")
          .foreachBatch(update_log_writer(path))
          .option("checkpointLocation", checkpoint)
@@ -157,42 +167,6 @@ def latest_updates(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def compact_update_log(spark: SparkSession, path: str, upto_batch: int | None = None) -> int:
-    """Fold the update log's batches ``<= upto_batch`` (default: all but the newest)
-    into partition ``batch_id=upto_batch`` and drop the older partitions.
-
-    The folded rows (latest value per key) are *appended* to partition
-    ``upto_batch``; a key updated in that batch gets a second row with the same
-    batch id and the same value.  Only after the append has committed are the
-    older partitions deleted.  So ``latest_updates`` gives the same answer before,
-    during and after compaction, and a rerun after a crash is harmless.  Runs beside
-    the stream, which only writes newer partitions.  Returns the batch folded into,
-    or -1 when there is nothing to fold."""
-    batches = sorted(
-        int(name.split("=", 1)[1]) for name, is_dir in list_children(spark, path)
-        if is_dir and name.startswith("batch_id=") and name.split("=", 1)[1].isdigit()
-    )
-    if upto_batch is None:
-        upto_batch = batches[-2] if len(batches) > 1 else -1
-    older = [b for b in batches if b < upto_batch]
-    if not older:
-        return -1
-    schema = T.StructType(METRIC_SCHEMA.fields + [T.StructField("batch_id", T.LongType(), True)])
-    folded = (spark.read.schema(schema).parquet(path).filter(F.col("batch_id") <= upto_batch)
-              .groupBy("window_start", "window_end", "event")
-              .agg(F.max_by("event_count", "batch_id").alias("event_count"))
-              .withColumn("batch_id", F.lit(upto_batch).cast("long")))
-    # Staged first, so the job that adds files to the log does not also read it.  The
-    # ``_`` prefix keeps the staging folder hidden from readers of the log.
-    staged = f"{path.rstrip('/')}/_compacting_{upto_batch}"
-    folded.write.mode("overwrite").parquet(staged)
-    spark.read.schema(schema).parquet(staged).write.mode("append").partitionBy("batch_id").parquet(path)
-    for b in older:
-        delete_path(spark, f"{path.rstrip('/')}/batch_id={b}")
-    delete_path(spark, staged)
-    return upto_batch
-
-
 def start_console(metric: DataFrame, checkpoint: str, trigger: str | None = "20 seconds",
                   num_rows: int = 20, state_partitions: int | None = None) -> StreamingQuery:
     w = (metric.writeStream.outputMode("update").format("console")
@@ -226,6 +200,42 @@ def start_quarantine(raw: DataFrame, path: str, checkpoint: str, trigger: str |
             .trigger(**trigger_kwargs(trigger)).start())
 
 
+LANDED_SCHEMA = T.StructType(
+    [f for f in MESSAGE_SCHEMA.fields]
+    + [T.StructField(n, T.TimestampType(), True) for n in ("kafka_ts", "event_ts")]
+    + [T.StructField("json_str", T.StringType(), True), T.StructField("kind", T.StringType(), True)]
+)
+
+
+def start_landing(raw: DataFrame, path: str, checkpoint: str, trigger: str | None = "30 seconds",
+                  partition_by_date: bool = False) -> StreamingQuery:
+    """One parse for everything behind it: messages go to ``kind=event`` (the raw
+    archive), records with no readable field to ``kind=junk`` (the quarantine, with
+    their text); with ``partition_by_date`` further by UTC event date.  Other queries
+    read the parsed columns from here (:func:`read_landed_stream`)."""
+    decoded = with_event_ts(decode_envelopes(raw))
+    out = decoded.select(
+        *MESSAGE_COLUMNS, "kafka_ts", "event_ts",
+        F.when(F.col("malformed"), F.col("json_str")).alias("json_str"),
+        F.when(F.col("malformed"), F.lit("junk")).otherwise(F.lit("event")).alias("kind"),
+    )
+    by = ["kind"]
+    if partition_by_date:
+        out = out.withColumn("event_date", utc_date("event_ts"))
+        by.append("event_date")
+    return (out.writeStream.outputMode("append").format("parquet").partitionBy(*by)
+            .option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(**trigger_kwargs(trigger)).start())
+
+
+def read_landed_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The messages of :func:`start_landing` as a stream; only the columns a query uses
+    are read, and nothing is parsed again."""
+    make_folder(spark, path)  # the landing query may not have written yet
+    rows = spark.readStream.schema(LANDED_SCHEMA).parquet(path)
+    return rows.filter(F.col("kind") == "event").select(*MESSAGE_COLUMNS, "kafka_ts", "event_ts")
+
+
 def start_kafka_publish(envelopes: DataFrame, bootstrap: str, topic: str, checkpoint: str,
                         trigger: str | None = None, **options: str) -> StreamingQuery:
     """Publish a stream of envelopes to Kafka (needs ``spark-sql-kafka-0-10``)."""

@@ -12,7 +12,7 @@ def kafka_source_options(
     bootstrap: str,
     topic: str,
     starting_offsets: str = "latest",
-    fail_on_data_loss: bool = False,
+    fail_on_data_loss: bool = True,
     **extra: str,
 ) -> dict[str, str]:
     opts = {

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from eventflow.operators import live
@@ -52,6 +53,20 @@ def test_pivot_unpivot_keeps_sums(spark):
     assert long.agg(F.sum("event_count")).first()[0] == m.filter("event is not null").agg(F.sum("event_count")).first()[0]
 
 
+def test_every_type_has_a_column(spark):
+    m = metric_rows(spark, [("2015-06-02 05:00", "view", 5), ("2015-06-02 05:00", "signup", 7), ("2015-06-02 05:01", "error", 1)])
+    wide = live.last_n_wide(m)
+    assert wide.columns == ["window_start", "view", "error", "signup"]
+    assert [tuple(r)[1:] for r in wide.collect()] == [(5, 0, 7), (0, 1, 0)]
+    given = live.last_n_wide(m, types=["view", "addtocart"])
+    assert [tuple(r)[1:] for r in given.collect()] == [(5, 0, 7), (0, 0, 1)]
+    assert given.columns[-1] == "other"
+    assert live.last_n_long(m).agg(F.sum("event_count")).first()[0] == 13
+    with pytest.raises(ValueError, match="more than 2"):
+        live.event_types(m, most=2)
+    assert live.last_n_wide(m.limit(0)).collect() == [] and live.last_n_long(m.limit(0)).collect() == []
+
+
 def test_event_totals_and_live_funnel(spark):
     totals = {r.event: r.event_count for r in live.event_totals(_metric(spark)).collect()}
     assert totals == {"view": 7, "addtocart": 1, "transaction": 1}

@@ -4,15 +4,18 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from eventflow.functions.messages import parse_envelopes
 from eventflow.operators import insights as ins
+from eventflow.operators import live
+from eventflow.operators.windows import events_per_window, with_event_ts
+from eventflow.plans.catalog import QUERIES
 from eventflow.sources.fixtures import read_fixture_events
 from tests.conftest import SF_SMALL
 
 # queries whose whole plan runs on the synthetic table (no files written first)
-DIRECT = [n for n in entry.queries()
-          if not n.startswith(("stream_", "csv_", "parquet_", "batch_job", "archive_", "json_message", "dashboard_"))]
+DIRECT = [n for n in QUERIES
+          if not n.startswith(("stream_", "csv_", "parquet_", "batch_job", "archive_", "json_message", "dashboard_",
+                               "quarantined_", "landed_"))]
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
 
@@ -24,13 +27,12 @@ def _plan(df):
 
 @pytest.mark.parametrize("name", DIRECT)
 def test_plan_properties(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMALL))
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad}"
     scans = re.findall(r"FileScan parquet [^\n]*", plan)
     assert scans
-    for scan in scans:  # the adapter's filter reaches every scan
-        assert "PushedFilters: [" in scan and "In(event_type" in scan
+    for scan in scans:
         assert "value:double" not in scan  # unused columns are pruned
     # every hash shuffle is fed by a map-side (partial) aggregation: hot keys fold
     # before the shuffle
@@ -45,6 +47,40 @@ def test_top_items_is_top_k_not_global_sort(spark):
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
 
 
+@pytest.mark.parametrize("name", ["live_kpis", "latest_window_breakdown"])
+def test_live_values_come_from_one_scan(spark, name):
+    plan = _plan(QUERIES[name](spark, SF_SMALL))
+    final = plan.split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet", final)) == 1
+
+
+def test_plans_behind_the_written_outputs(spark, tmp_path):
+    """The DataFrames that the batch job, the CSV queries and the streams write."""
+    from eventflow.sinks.files import write_csv
+    from eventflow.sources.files import read_events_csv
+
+    write_csv(read_fixture_events(spark, SF_SMALL), str(tmp_path / "raw"))
+    raw = read_events_csv(spark, str(tmp_path / "raw"))
+    counts = ins.item_event_counts(raw)
+    for df, columns in (
+        (counts, {"event", "itemid"}),
+        (ins.daily_visitors(raw), {"timestamp", "visitorid"}),
+        (events_per_window(with_event_ts(raw)), {"timestamp", "event"}),
+        (live.kpis(events_per_window(with_event_ts(raw))), {"timestamp", "event"}),
+    ):
+        plan = _plan(df).split("== Initial Plan ==")[0]
+        for bad in FORBIDDEN:
+            assert bad not in plan
+        scans = re.findall(r"FileScan csv \[([^\]]*)\]", plan)
+        assert len(scans) == 1 and {c.split("#")[0] for c in scans[0].split(",")} == columns
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if re.match(r"^[\s:+|-]*Exchange hashpartitioning", line):
+                assert "HashAggregate" in lines[i + 1]
+    assert ins.top_items_from_counts(counts).collect() == ins.top_items(raw).collect()
+    assert ins.event_distribution_from_counts(counts).collect() == ins.event_distribution(raw).collect()
+
+
 def test_distinct_is_exact_two_phase(spark):
     plan = _plan(ins.daily_visitors(read_fixture_events(spark, SF_SMALL)))
     assert "count(distinct" in plan and "approx" not in plan
@@ -70,9 +106,9 @@ def test_results_do_not_depend_on_partitioning(spark, name):
     old = spark.conf.get(key)
     try:
         spark.conf.set(key, "1")
-        one = sorted(map(tuple, entry.queries()[name](spark, SF_SMALL).collect()), key=repr)
+        one = sorted(map(tuple, QUERIES[name](spark, SF_SMALL).collect()), key=repr)
         spark.conf.set(key, "17")
-        many = sorted(map(tuple, entry.queries()[name](spark, SF_SMALL).collect()), key=repr)
+        many = sorted(map(tuple, QUERIES[name](spark, SF_SMALL).collect()), key=repr)
     finally:
         spark.conf.set(key, old)
     assert one == many

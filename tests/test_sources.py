@@ -75,4 +75,37 @@ def test_resolve_input(spark, tmp_path):
     there = _csv(tmp_path, HEADER)
     assert resolve_input(spark, [str(tmp_path / "missing.csv"), there]) == there
     with pytest.raises(FileNotFoundError):
-        resolve_input(spark, [str(tmp_path / "missing.csv"), "nosuchscheme://host/x.csv"])
+        resolve_input(spark, [str(tmp_path / "missing.csv"), str(tmp_path / "neither.csv")])
+    with pytest.raises(Exception, match="nosuchscheme"):  # an unreachable store is not "not there"
+        resolve_input(spark, ["nosuchscheme://host/x.csv", there])
+
+
+def test_result_folder_with_another_header_or_broken_file_fails(spark, tmp_path):
+    from eventflow.schemas import EVENT_DISTRIBUTION_SCHEMA
+
+    d = tmp_path / "res"
+    d.mkdir()
+    (d / "part-0.csv").write_text("count,event\n5,view\n")
+    with pytest.raises(Exception):
+        read_result_folder(spark, str(d), EVENT_DISTRIBUTION_SCHEMA).collect()
+
+
+def test_text_reader_tells_empty_from_missing(spark, tmp_path):
+    from eventflow.plans.producer import read_events_text
+
+    src = tmp_path / "e.csv"
+    src.write_text('timestamp,visitorid,event,itemid,transactionid\n1,,"",i,\n2,v\n3,v,"a,b"\n4,v,e,i,t,more\n')
+    rows = {r.timestamp: tuple(r)[1:] for r in read_events_text(spark, str(src)).collect()}
+    assert rows["1"] == ("", "", "i", "")
+    assert rows["2"] == ("v", None, None, None)
+    assert rows["3"] == ("v", "a,b", None, None)
+    assert rows["4"] == ("v", "e", "i", "t")
+
+
+def test_archive_without_dates_refuses_a_range(spark, tmp_path):
+    from eventflow.schemas import MESSAGE_SCHEMA
+    from eventflow.sources.files import read_archive
+
+    spark.createDataFrame([], MESSAGE_SCHEMA).write.parquet(str(tmp_path / "a"))
+    with pytest.raises(ValueError, match="event_date"):
+        read_archive(spark, str(tmp_path / "a"), "2015-06-02")

@@ -150,7 +150,7 @@ def test_start_failure_policy(spark, tmp_path):
 def test_kafka_options():
     src = kafka_source_options("kafka:9092", "events")
     assert src == {"kafka.bootstrap.servers": "kafka:9092", "subscribe": "events",
-                   "startingOffsets": "latest", "failOnDataLoss": "false"}
+                   "startingOffsets": "latest", "failOnDataLoss": "true"}
     more = kafka_source_options("kafka:9092", "events", minPartitions=64, maxOffsetsPerTrigger=100000)
     assert more["minPartitions"] == "64" and more["maxOffsetsPerTrigger"] == "100000"
     sink = kafka_sink_options("kafka:9092", "events")
@@ -265,17 +265,34 @@ def test_kafka_paths_need_only_the_connector(spark, tmp_path):
         write_kafka(env, "localhost:9", "events")
 
 
-def test_update_log_compaction_keeps_latest_values(spark, tmp_path):
-    src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "out"), str(tmp_path / "ck")
+@pytest.mark.parametrize("start, prefix", [(sq.start_metric_snapshot, "batch="), (sq.start_metric_updates, "batch_id=")])
+def test_new_checkpoint_beside_old_versions_is_refused(spark, tmp_path, start, prefix):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
     _write_batches(spark, src, BATCHES)
-    _run(sq.start_metric_updates(_metric(spark, src), out, ckpt, trigger="availableNow"))
-    before = sorted(tuple(r) for r in sq.latest_updates(spark, out).collect())
-    parts_before = [n for n in os.listdir(out) if n.startswith("batch_id=")]
-    folded = sq.compact_update_log(spark, out)
-    parts_after = [n for n in os.listdir(out) if n.startswith("batch_id=")]
-    assert folded >= 0 and len(parts_after) == 2 < len(parts_before)
-    assert sorted(tuple(r) for r in sq.latest_updates(spark, out).collect()) == before
-    assert sq.compact_update_log(spark, out) == -1  # nothing left to fold
+    _run(start(_metric(spark, src), out, str(tmp_path / "ck"), trigger="availableNow"))
+    before = sorted(n for n in os.listdir(out) if n.startswith(prefix))
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start(_metric(spark, src), out, str(tmp_path / "new"), trigger="availableNow")
+    assert sorted(n for n in os.listdir(out) if n.startswith(prefix)) == before
+    _run(start(_metric(spark, src), out, str(tmp_path / "ck"), trigger="availableNow"))  # its own may go on
+
+
+def test_landing_parses_once_and_feeds_the_metric(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    _write_batches(spark, src, BATCHES[:2])
+    junk = spark.createDataFrame([("not json",), ("{}",)], "v string").select(
+        F.lit(None).cast("binary").alias("key"), F.col("v").cast("binary").alias("value"), F.current_timestamp().alias("timestamp"))
+    junk.write.mode("append").parquet(src)
+    raw = read_envelope_stream(spark, src)
+    landed = sq.start_landing(raw, out, str(tmp_path / "ck"), trigger="availableNow")
+    _run(landed)
+    rows = spark.read.schema(sq.LANDED_SCHEMA).parquet(out)
+    assert sorted(r.json_str for r in rows.filter("kind = 'junk'").collect()) == ["not json", "{}"]
+    assert rows.filter("kind = 'event' AND json_str IS NULL").count() == 3
+    stream = sq.read_landed_stream(spark, out)
+    assert "from_json" not in stream._jdf.queryExecution().analyzed().toString()
+    _run(sq.start_metric_append(sq.metric_stream(stream), str(tmp_path / "metric"), str(tmp_path / "ck2"), trigger="availableNow"))
+    assert _count_at_05(spark.read.schema(METRIC_SCHEMA).parquet(str(tmp_path / "metric"))) == [2]
 
 
 def test_time_sliced_replay_runs_in_order(spark, tmp_path):

@@ -73,3 +73,26 @@ def test_long_date_label(spark, la_zone):
     got = [r[0] for r in df.select(t.long_date_label(t.ms_to_instant("ms"))).collect()]
     # published range of the reference dataset: 03 May 2015 - 18 September 2015
     assert got == ["Friday, 18 September 2015", "Sunday, 03 May 2015", "-"]
+
+
+def test_numbers_that_are_no_instant_are_null(spark):
+    from eventflow.operators.insights import coverage, daily_visitors, enrich
+
+    hostile = [9223372036854775000, -9223372036854775808, 9223372036854775807]
+    df = raw_rows(spark, [(ms, "1", "view", "2", None) for ms in hostile + [1433221332117]])
+    assert sorted((r.event_date, r.active_visitors) for r in daily_visitors(df).filter("event_date IS NOT NULL").collect()) == [
+        (dt.date(2015, 6, 2), 1)]
+    assert daily_visitors(df).filter("event_date IS NULL").first().active_visitors == 1
+    assert enrich(df).filter("event_time IS NULL").count() == 3
+    assert coverage(df).first().n_events == 4
+
+
+def test_date_only_text_is_utc(spark, la_zone):
+    text = ["2015-06-02", "2015-06-02T05:00:00", "2015-06-02T05:00:00-07:00", "2015-06-02 05:00:00 -02", "2015-06", "junk", "05-06"]
+    df = spark.createDataFrame([(x,) for x in text], "x string")
+    got = {r.x: r.t for r in df.select("x", t.instant_to_utc(t.parse_utc_text("x")).alias("t")).collect()}
+    assert got["2015-06-02"] == dt.datetime(2015, 6, 2)
+    assert got["2015-06-02T05:00:00"] == dt.datetime(2015, 6, 2, 5)
+    assert got["2015-06-02T05:00:00-07:00"] == dt.datetime(2015, 6, 2, 12)
+    assert got["2015-06-02 05:00:00 -02"] in (dt.datetime(2015, 6, 2, 7), None)
+    assert got["junk"] is None
