@@ -82,12 +82,14 @@ def run_batch_job(
     ``input_format="archive"`` replays the streaming job's raw archive, optionally
     only the days ``first_day`` .. ``last_day`` (pruned on its date partitions)."""
     candidates = [inputs] if isinstance(inputs, str) else list(inputs)
+    own_copy = None
     path = resolve_input(spark, candidates)
     fmt = input_format or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     if fmt == "csv":
         raw = read_events_csv(spark, path)
         if stage_csv:
-            raw = stage_raw(spark, raw, staged_path)
+            own_copy = None if staged_path else scratch_path(spark, "staged-raw")
+            raw = stage_raw(spark, raw, staged_path or own_copy)
     elif fmt == "archive":
         raw = read_archive(spark, path, first_day, last_day)
     else:
@@ -118,7 +120,8 @@ def run_batch_job(
         result.tables["top_items"] = materialise("top_items", ins.top_items_from_counts(counts, top_n))
         result.tables["event_distribution"] = materialise("event_distribution", ins.event_distribution_from_counts(counts))
         result.tables["daily_visitors"] = daily.result()
-    delete_path(spark, counts_path)
+    for path in filter(None, (counts_path, own_copy)):  # the results do not read them
+        delete_path(spark, path)
     return result
 
 

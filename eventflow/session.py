@@ -65,5 +65,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared checkpoint folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/eventflow/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/eventflow/{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folders.  For the end of a job: results that
+    are still to be read from them are lost."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
