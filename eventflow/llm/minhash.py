@@ -139,7 +139,7 @@ class NearDuplicates:
     """The steps above for one table; ``members`` is the result for every row."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                 least_pct: int = 80, miss: float = 1e-7, block: int = 512):
+                 least_pct: int = 80, miss: float = 1e-7, block: int = 1024):
         self.width, self.least_pct, self.block = width, least_pct, block
         self.bands, self.rows = bands_for(least_pct / 100, miss)
         self.hashes = self.bands * self.rows
@@ -252,8 +252,8 @@ class NearDuplicates:
         across = F.sequence(F.lit(0), F.col("blocks") - 1)
         minor = rows.filter("label <> main").select(
             *own, F.lit(True).alias("minor"), F.explode(across).alias("i"), dealt("part", "parts").alias("j"))
-        names = ["band", "bucket", "i", "j", "node", "label", "minor"]
-        kinds = "band int, bucket long, i int, j int, node long, label long, minor boolean"
+        names = ["band", "bucket", "i", "j", "node", "label", "minor", "sig"]
+        kinds = "band int, bucket long, i int, j int, node long, label long, minor boolean, sig binary"
 
         def survivors(table):
             """Pairs of row numbers that signatures leave, each in the first band that
@@ -331,10 +331,10 @@ class NearDuplicates:
             return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
         sig = self.nodes.select("node", "sig")
-        keyed = by_group(whole.unionByName(minor).join(sig.hint("merge"), "node")).select(*names, "sig")
+        keyed = by_group(whole.unionByName(minor).join(sig.hint("merge"), "node")).select(*names)
         left = stored(keyed.mapInArrow(members, kinds), "near-open")
         sets = self._sets(left.select("node").distinct())
-        full = by_group(left.join(sig.hint("merge"), "node").join(sets.hint("merge"), "node")).select(*names, "sig", "shingles")
+        full = by_group(left.join(sets.hint("merge"), "node")).select(*names, "shingles")
         return stored(full.mapInArrow(verify, "a long, b long"), "near-rest-links")
 
     def links(self) -> DataFrame:
@@ -365,7 +365,7 @@ class NearDuplicates:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least_pct: int = 80,
-                    miss: float = 1e-7, block: int = 512) -> DataFrame:
+                    miss: float = 1e-7, block: int = 1024) -> DataFrame:
     """One row per input row: id, n_shingles, component_id, kept.
 
     Words are runs of characters other than ASCII white space, A-Z lower-cased; a
