@@ -46,9 +46,9 @@ def target_rates(docs: DataFrame, source_col: str = "source", text_col: str = "t
     the sources' characters to the power ``temperature``.  ``scale`` is the size wanted
     as a share of the input's.  A null source is a source of its own; a source without
     any characters has rate 0, and so has every source if the weights add up to 0."""
-    stats = docs.groupBy(F.col(source_col).alias("source")).agg(
+    stats = stored(docs.groupBy(F.col(source_col).alias("source")).agg(
         F.count(F.lit(1)).alias("documents"),
-        F.coalesce(F.sum(F.length(F.col(text_col)).cast("long")), F.lit(0)).alias("characters"))
+        F.coalesce(F.sum(F.length(F.col(text_col)).cast("long")), F.lit(0)).alias("characters")), "mix-sources")
     if weights is None:
         raw = F.pow(F.col("characters").cast("double"), F.lit(float(temperature)))
         raw = F.when(F.col("characters") > 0, raw).otherwise(F.lit(0.0))
@@ -57,25 +57,25 @@ def target_rates(docs: DataFrame, source_col: str = "source", text_col: str = "t
         for name, weight in weights.items():
             raw = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(weight))).otherwise(raw)
     stats = stats.withColumn("raw", raw)
-    whole = stats.agg(F.sum("raw").alias("raw_all"), F.sum("characters").alias("characters_all"))
-    # one row, so this join is not a product of two tables
-    joined = stats.join(F.broadcast(whole))
-    weight = F.when(F.col("raw_all") > 0, F.col("raw") / F.col("raw_all")).otherwise(F.lit(0.0))
-    rate = F.when(F.col("characters") > 0, weight * float(scale) * F.col("characters_all") / F.col("characters")).otherwise(F.lit(0.0))
-    return joined.select("source", "documents", "characters", weight.alias("weight"), rate.alias("rate"))
+    raw_all = stats.agg(F.sum("raw").alias("x")).scalar()
+    characters_all = stats.agg(F.sum("characters").alias("x")).scalar()
+    weight = F.when(raw_all > 0, F.col("raw") / raw_all).otherwise(F.lit(0.0))
+    rate = F.when(F.col("characters") > 0, weight * float(scale) * characters_all / F.col("characters")).otherwise(F.lit(0.0))
+    return stats.select("source", "documents", "characters", weight.alias("weight"), rate.alias("rate"))
 
 
 def replicate(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: int = 42,
               copies_col: str = "n_copies", copy_col: str = "copy", order_col: str = "order_key") -> DataFrame:
     """The rows of ``docs``, each as often as drawn, in a global pseudo-random order,
-    with the columns ``n_copies`` (of the row), ``copy`` (from 0) and ``order_key``.
+    with the columns ``n_copies`` (of the row), ``copy`` (from 0) and ``order_key``; a
+    name that ``docs`` has already gets underscores in front.
 
     Rows of equal id are drawn alike; a null id is drawn as the empty string; a null
     source matches the null source of ``rates``; a source without a rate has no copies.
-    An empty table gives an empty result.  The three added names must be free in
-    ``docs``.
+    An empty table gives an empty result.
     """
-    key, salt, cdf, parts = fresh(docs, "rate_source", "rate_salt", "rate_cdf", "rate_parts")
+    key, salt, cdf, parts, copies_col, copy_col, order_col = fresh(
+        docs, "rate_source", "rate_salt", "rate_cdf", "rate_parts", copies_col, copy_col, order_col)
     draws = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART)).cast("int")
     table = rates.select(F.col("source").alias(key), draws.alias(parts), "rate").select(
         key, parts, distribution(F.col("rate") / F.col(parts)).alias(cdf))

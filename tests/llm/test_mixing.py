@@ -62,3 +62,10 @@ def test_edge_cases(spark, docs):
         assert all(n.count(c) == 2 for c in set(n))
     rates = {r["source"]: r for r in target_rates(spark.createDataFrame(rows, schema)).collect()}
     assert rates["e"]["rate"] == 0.0 and rates["a"]["characters"] == 4 and rates[None]["documents"] == 2
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a", "x", 7, "o"), (2, "a", "y", 8, "p")], "doc_id long, source string, text string, copy int, ORDER_KEY string")
+    out = mix_sources(docs, scale=5.0)
+    assert out.columns == docs.columns + ["n_copies", "_copy", "_order_key"]
+    assert {r["copy"] for r in out.collect()} <= {7, 8}
