@@ -206,19 +206,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
         .orderBy(F.xxhash64("id"), "id").limit(max_train_rows)
     )
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = "id long, label int, " + ", ".join(f"{f} double" for f in FEATURES)
+    schema = "place long, label int, " + ", ".join(f"{f} double" for f in FEATURES)
 
     def features(batches):
         for batch in batches:
             x = statistics(batch.column("text").to_pylist())[1]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").cast(pa.int64()), batch.column("label"), *map(pa.array, x.T)], ["id", "label", *FEATURES]
+                [batch.column("place"), batch.column("label"), *map(pa.array, x.T)], ["place", "label", *FEATURES]
             )
 
     # the sample's size is bounded by max_train_rows, so it may be broadcast
     rows = (
-        texts.join(F.broadcast(sample), "id").select("id", "label", "text").mapInArrow(features, schema)
-        .orderBy(F.xxhash64("id"), *FEATURES).limit(max_train_rows).toPandas()
+        texts.join(F.broadcast(sample), "id").select(F.xxhash64("id").alias("place"), "label", "text")
+        .mapInArrow(features, schema).orderBy("place", *FEATURES).limit(max_train_rows).toPandas()
     )
     return fit_trees(rows[list(FEATURES)].to_numpy(float), rows["label"].to_numpy(float))
 

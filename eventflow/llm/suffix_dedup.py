@@ -42,6 +42,7 @@ from eventflow.llm.common import by_size, stored
 
 GRAM = 32
 RUNS = (16, 1)  # window starts a run holds, split by split
+STEP = 1 << 22  # windows handled at a time; places in a step must fit 24 bits
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -68,13 +69,12 @@ def window_minima(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[: n - width + 1], before[width - 1 : n])
 
 
-def anchors(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: bytes, length: int, step: int = STEP) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(gram hash, place, first window, number of windows) of each anchor."""
     if len(data) < length:
         return (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 3
     width = length - GRAM + 1
     out = []
-    step = 1 << 22  # windows at a time; places must fit the low 24 bits
     for start in range(0, len(data) - length + 1, step):
         part = np.frombuffer(data, np.uint8)[start : start + step + length - 1]
         h = gram_hashes(part)

@@ -35,6 +35,16 @@ def test_every_window_names_one_anchor_by_its_bytes_alone():
         assert alone[0].tolist() == [g[k]] and alone[1].tolist() == [place[k] - i]
 
 
+def test_long_texts_are_read_in_steps():
+    rng = random.Random(1)
+    data = bytes(rng.choice(b"abcd ") for _ in range(5000))
+    g, place, first, n = anchors(data, 200, step=700)
+    whole = anchors(data, 200)
+    assert n.sum() == len(data) - 199 and (first == np.cumsum(n) - n).all()
+    of_window = lambda x: list(zip(np.repeat(x[0], x[3]).tolist(), np.repeat(x[1], x[3]).tolist()))
+    assert of_window((g, place, first, n)) == of_window(whole)
+
+
 def test_construction_equals_brute_force():
     rng = random.Random(3)
     core = "".join(rng.choice("abc") for _ in range(30))
