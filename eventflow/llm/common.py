@@ -42,6 +42,19 @@ def text_or_empty(col: str):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def worker_cache(key, make):
+    """An object that later tasks of the same Python worker process find again (Spark
+    reuses its workers).  For things that hold nothing but what can be made anew, such
+    as a loaded tokenizer; ``make`` builds it where it is missing."""
+    import sys
+    import types
+
+    store = sys.modules.setdefault("eventflow_worker_cache", types.ModuleType("eventflow_worker_cache")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def by_size(sizes, limit: int = 4_000_000):
     """Split a sequence of sizes into runs of about ``limit`` in all (at least one item
     each), so that per-batch arrays stay bounded however long the texts are."""

@@ -19,8 +19,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from itertools import chain, islice
-from unicodedata import is_normalized
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +28,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.llm.common import by_size
+from eventflow.llm.common import by_size, worker_cache
 
 SENTENCE_END = ".!?\n"
-MARKS = frozenset(SENTENCE_END)
-END = "\n\n"  # of a document; a chunk never holds two line feeds
 TRAILING = ".,!?;:)#$%&*|\"\n"  # may follow a word without being joined to it
 
 
@@ -80,29 +77,17 @@ def window_cuts(pos: np.ndarray, penalty: np.ndarray, window: int, sequence_cost
     return cuts[::-1], cost[-1]
 
 
-class _Lookup(dict):
-    def __missing__(self, chunk):
-        self[chunk] = n = len(self)
-        return n
-
-
-def plain_word(word: str) -> str | None:
-    """The word with A-Z lower-cased, if that cannot change its token ids (the tokenizer
-    composes first, and a lower-case letter may compose where its capital does not)."""
-    lowered = word.encode("utf-8").lower().decode("utf-8")
-    return lowered if is_normalized("NFC", word) and (lowered is word or is_normalized("NFC", lowered)) else None
-
-
 class ChunkTokenizer:
     """Token ids of texts, chunk by chunk: spaces and line feeds never lie inside a
     token of the tokenizer, so a text's ids are its chunks' ids one after another.
 
-    A chunk is a word and its trailing punctuation where that gives the same ids, so
-    that "Word", "word," and "word." share one encoding.  Words are encoded by the
-    library, many to a call.  ``remember`` bounds the chunks kept in memory.
+    A batch's distinct chunks are found in Arrow.  A chunk is a word and its trailing
+    punctuation where that gives the same ids, so that "Word", "word," and "word." share
+    one encoding.  Words are encoded by the library, many to a call, and remembered for
+    later batches (at most about ``remember`` of them).
     """
 
-    def __init__(self, path: str, end_id: int, remember: int = 600_000):
+    def __init__(self, path: str, end_id: int, remember: int = 800_000):
         from tokenizers import Tokenizer
 
         self.library, self.end_id, self.remember = Tokenizer.from_file(path), end_id, remember
@@ -112,12 +97,10 @@ class ChunkTokenizer:
         self._forget()
 
     def _forget(self):
-        self.index = _Lookup({END: 0})
-        self.word, self.tail = np.zeros(1, np.int64), np.ones(1, np.int64)
-        self.ends = np.zeros(1, bool)
-        self.words = _Lookup({END: 0, "": 1})
-        self.ids = np.array([self.end_id], np.uint32)
-        self.first, self.count = np.array([0, 1], np.int64), np.array([1, 0], np.int64)
+        # of words and of what may trail them: their ids one after another, where each
+        # begins, how many it has; word 0 is empty
+        self.words = {"": 0}
+        self.ids, self.first, self.size = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
 
     def _encode_words(self, words: list[str]):
         """Flat ids and the number of ids of each word."""
@@ -141,64 +124,95 @@ class ChunkTokenizer:
                 counts.append(count)
         return np.concatenate(ids), np.concatenate(counts)
 
-    def _learn(self):
-        new = list(islice(self.index, len(self.word), None))
-        if not new:
-            return
-        words = self.words
-        bodies = [c.rstrip(TRAILING) for c in new]
-        forms = [(b.lower() if b.isascii() else plain_word(b)) if b.isalpha() else None for b in bodies]
-        heads = [words[c] if f is None else words[f] for c, f in zip(new, forms, strict=True)]
-        tails = [1 if f is None or len(b) == len(c) else words[c[len(b):]] for c, b, f in zip(new, bodies, forms, strict=True)]
-        self.word = np.concatenate([self.word, np.array(heads, np.int64)])
-        self.tail = np.concatenate([self.tail, np.array(tails, np.int64)])
-        self.ends = np.concatenate([self.ends, [c[-1:] in MARKS for c in new]])
-        unseen = list(islice(words, len(self.count), None))
-        single = np.fromiter((w.isalpha() for w in unseen), bool, len(unseen))
-        first, count = np.zeros(len(unseen), np.int64), np.zeros(len(unseen), np.int64)
-        for chosen, encode in ((single, self._encode_joined), (~single, self._encode_words)):
-            at = np.flatnonzero(chosen)
-            if len(at):
-                ids, count[at] = encode([unseen[i] for i in at.tolist()])
-                first[at] = len(self.ids) + np.cumsum(count[at]) - count[at]
-                self.ids = np.concatenate([self.ids, ids])
-        self.first, self.count = np.concatenate([self.first, first]), np.concatenate([self.count, count])
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of words; those not known yet are encoded first."""
+        known = self.words
+        unseen = [w for w in words if w not in known]
+        if unseen:
+            single = pc.utf8_is_alpha(pa.array(unseen, pa.string())).to_numpy(zero_copy_only=False)
+            for chosen, encode in ((single, self._encode_joined), (~single, self._encode_words)):
+                some = [unseen[i] for i in np.flatnonzero(chosen).tolist()]
+                if some:
+                    ids, count = encode(some)
+                    base = len(self.size)
+                    self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
+                    self.size, self.ids = np.concatenate([self.size, count]), np.concatenate([self.ids, ids])
+                    known.update(zip(some, range(base, base + len(some)), strict=True))
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+    def _chunk_words(self, chunk: pa.Array) -> np.ndarray:
+        """Two numbers for each chunk: its word's and its trailing punctuation's."""
+        body = pc.utf8_rtrim(chunk, characters=TRAILING)
+        # lower-casing A-Z first changes nothing unless it makes a composable pair (the
+        # tokenizer composes before it lower-cases); such chunks stay as they are
+        lowered = pc.ascii_lower(body)
+        plain = pc.utf8_is_alpha(body).to_numpy(zero_copy_only=False).copy()
+        other = np.flatnonzero(plain & ~pc.string_is_ascii(body).to_numpy(zero_copy_only=False))
+        for form in (body, lowered):
+            some = form.take(pa.array(other))
+            plain[other] &= pc.equal(pc.utf8_normalize(some, "NFC"), some).to_numpy(zero_copy_only=False)
+        head = pc.if_else(pa.array(plain), lowered, chunk).dictionary_encode()
+        cut = np.flatnonzero(plain & pc.not_equal(body, chunk).to_numpy(zero_copy_only=False))
+        whole, bare = chunk.take(pa.array(cut)).to_pylist(), body.take(pa.array(cut)).to_pylist()
+        tails = [c[len(b):] for c, b in zip(whole, bare, strict=True)]
+        out = np.zeros((len(chunk), 2), np.int64)
+        out[:, 0] = self._numbers(head.dictionary.to_pylist())[head.indices.to_numpy()]
+        distinct = {t: i for i, t in enumerate(dict.fromkeys(tails))}
+        if tails:
+            out[cut, 1] = self._numbers(list(distinct))[[distinct[t] for t in tails]]
+        return out
 
-    def encode(self, texts):
-        """(ids, tokens of each text, positions of sentence ends) with the end id after each text."""
-        if len(self.index) > self.remember:
+    def batch(self, texts):
+        """A batch's chunks: (ids, first, size, ends) of its distinct chunks, chunk 0
+        being the end of a document; the chunk numbers of all texts; where texts end."""
+        if len(self.words) > self.remember:
             self._forget()
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         split = pc.split_pattern(pc.replace_substring(texts.fill_null(""), "\n", "\n "), " ")
         coded = split.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        own = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
-        self._learn()
-        ends = np.cumsum(pc.list_value_length(split).to_numpy())
-        chunk = np.insert(own[coded.indices.to_numpy()], ends, 0)  # the end of each document
-        doc_last = ends + np.arange(len(ends))
-        pieces = np.stack([self.word[chunk], self.tail[chunk]], 1).ravel()
-        size = self.count[pieces]
-        ends = np.cumsum(size)
-        ids = self.ids[np.repeat(self.first[pieces] - (ends - size), size) + np.arange(ends[-1])]
-        ends = ends[1::2]
-        last = ends[doc_last]
-        return ids, np.diff(last, prepend=0), ends[self.ends[chunk]]
+        parts = self._chunk_words(coded.dictionary).ravel()
+        size = self.size[parts]
+        at = np.cumsum(size)
+        ids = self.ids[np.repeat(self.first[parts] - (at - size), size) + np.arange(at[-1] if len(at) else 0)]
+        size = np.concatenate([[1], size[0::2] + size[1::2]])
+        ids = np.concatenate([np.array([self.end_id], np.uint32), ids])
+        ends = np.zeros(len(size), bool)
+        for mark in SENTENCE_END:
+            ends[1:] |= pc.ends_with(coded.dictionary, mark).to_numpy(zero_copy_only=False)
+        last = np.cumsum(pc.list_value_length(split).to_numpy())
+        chunk = np.insert(coded.indices.to_numpy() + 1, last, 0)
+        return (ids, np.cumsum(size) - size, size, ends), chunk, last + np.arange(len(last))
+
+    def encode(self, texts):
+        return gather(*self.batch(texts))
+
+
+def gather(table, chunk: np.ndarray, doc_last: np.ndarray):
+    """(ids, tokens of each text, positions of sentence ends) with the end id after each text."""
+    ids, first, size, ends = table
+    n = size[chunk]
+    at = np.cumsum(n)
+    out = ids[np.repeat(first[chunk] - (at - n), n) + np.arange(at[-1])]
+    return out, np.diff(at[doc_last], prepend=0), at[ends[chunk]]
 
 
 def candidates(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int, sentence_penalty: float,
-               forced_penalty: float, forced_step: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions where a cut may be, from 0 to ``total``, and the penalty of each."""
+               forced_penalty: float, forced_step: int, least_step: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Positions where a cut may be, from 0 to ``total``, and the penalty of each: every
+    document end, sentence ends ``least_step`` tokens or more after the one before, and
+    forced places where neither is near."""
     def rising(*parts):
         every = np.sort(np.concatenate(parts))
         return every[np.flatnonzero(np.diff(every, prepend=-1) > 0)]
 
-    natural = rising(doc_ends[doc_ends <= total], sentence_ends[sentence_ends <= total], [0, total])
+    # a sentence end right after another adds little choice
+    apart = sentence_ends[np.diff(sentence_ends, prepend=-least_step) >= least_step]
+    natural = rising(doc_ends[doc_ends <= total], apart[apart <= total], [0, total])
     wide = np.flatnonzero(np.diff(natural) > min(window, 4 * forced_step))
     forced = [np.arange(natural[i] + forced_step, natural[i + 1], forced_step) for i in wide]
     pos = rising(natural, *forced).astype(np.int64)
     cost = np.full(total + 1, float(forced_penalty))
-    cost[sentence_ends] = sentence_penalty
+    cost[sentence_ends[sentence_ends <= total]] = sentence_penalty
     cost[doc_ends] = cost[0] = 0.0
     return pos, cost[pos]
 
@@ -217,15 +231,20 @@ class StreamPacker:
         self.docs, self.place, self.tokens = [], [], []
 
     def add(self, keys, texts):
-        ids, tokens, sentences = self.tokenizer.encode(texts)
-        starts = self.held + np.cumsum(tokens) - tokens
-        self.docs += keys
-        self.place += starts.tolist()
-        self.tokens += tokens.tolist()
-        self.sentences.append(sentences + self.held)
-        self.ids.append(ids)
-        self.held += len(ids)
-        return self.solve(False) if self.held >= self.block else None
+        table, chunk, last = self.tokenizer.batch(texts)
+        begin = 0
+        for a, b in by_size(np.diff(last, prepend=-1).tolist(), 600_000):
+            end = int(last[b - 1]) + 1
+            ids, tokens, sentences = gather(table, chunk[begin:end], last[a:b] - begin)
+            begin = end
+            self.docs += keys[a:b]
+            self.place += (self.held + np.cumsum(tokens) - tokens).tolist()
+            self.tokens += tokens.tolist()
+            self.sentences.append(sentences + self.held)
+            self.ids.append(ids)
+            self.held += len(ids)
+            if self.held >= self.block:
+                yield self.solve(False)
 
     def solve(self, final: bool):
         if not self.held:
@@ -286,11 +305,12 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             return pa.RecordBatch.from_arrays(columns, names + ["ids"] * with_ids)
 
         for batch in batches:
-            packer = packer or StreamPacker(ChunkTokenizer(tokenizer_path, end_id), window, block_tokens,
-                                            sentence_penalty, forced_penalty, forced_step, sequence_cost)
+            if packer is None:
+                tokenizer = worker_cache(("chunks", tokenizer_path, end_id), lambda: ChunkTokenizer(tokenizer_path, end_id))
+                packer = StreamPacker(tokenizer, window, block_tokens, sentence_penalty, forced_penalty, forced_step, sequence_cost)
             keys, texts = batch.column("id").to_pylist(), batch.column("text")
-            for a, b in by_size(pc.binary_length(texts).fill_null(0).to_pylist()):
-                if (out := packer.add(keys[a:b], texts.slice(a, b - a))) is not None:
+            for a, b in by_size(pc.binary_length(texts).fill_null(0).to_pylist(), 32_000_000):
+                for out in packer.add(keys[a:b], texts.slice(a, b - a)):
                     yield piece_rows(out)
         if packer is not None and (out := packer.solve(True)) is not None:
             yield piece_rows(out)
