@@ -1,8 +1,8 @@
 """Order-preserving packing of documents into token windows by dynamic programming.
 
 The documents of a partition form one token stream in row order.  Window cuts may be
-placed at document ends, at sentence ends, and, where a stretch has neither, at every
-``forced_step`` tokens.  ``cost[i]``, the least cost of a stream cut at candidate ``i``,
+placed at every document end, at every sentence end, and, where a stretch of more than
+``4 * forced_step`` tokens has neither, at every ``forced_step`` tokens.  ``cost[i]``, the least cost of a stream cut at candidate ``i``,
 is the minimum over the candidates ``j`` at most one window back of
 
     cost[j] + padding(pos[i] - pos[j]) + penalty[i] + sequence_cost
@@ -197,17 +197,15 @@ def gather(table, chunk: np.ndarray, doc_last: np.ndarray):
 
 
 def candidates(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int, sentence_penalty: float,
-               forced_penalty: float, forced_step: int, least_step: int = 8) -> tuple[np.ndarray, np.ndarray]:
+               forced_penalty: float, forced_step: int) -> tuple[np.ndarray, np.ndarray]:
     """Positions where a cut may be, from 0 to ``total``, and the penalty of each: every
-    document end, sentence ends ``least_step`` tokens or more after the one before, and
-    forced places where neither is near."""
+    document end, every sentence end, and forced places in stretches of more than
+    ``4 * forced_step`` tokens without either."""
     def rising(*parts):
         every = np.sort(np.concatenate(parts))
         return every[np.flatnonzero(np.diff(every, prepend=-1) > 0)]
 
-    # a sentence end right after another adds little choice
-    apart = sentence_ends[np.diff(sentence_ends, prepend=-least_step) >= least_step]
-    natural = rising(doc_ends[doc_ends <= total], apart[apart <= total], [0, total])
+    natural = rising(doc_ends[doc_ends <= total], sentence_ends[sentence_ends <= total], [0, total])
     wide = np.flatnonzero(np.diff(natural) > min(window, 4 * forced_step))
     forced = [np.arange(natural[i] + forced_step, natural[i + 1], forced_step) for i in wide]
     pos = rising(natural, *forced).astype(np.int64)

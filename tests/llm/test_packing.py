@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from eventflow.llm.packing import ChunkTokenizer, pack_documents, window_cuts
+from eventflow.llm.packing import ChunkTokenizer, candidates, pack_documents, window_cuts
 from tests.conftest import SF_SMALL
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -92,3 +92,11 @@ def test_little_padding_on_documents(spark):
     rows = pack_documents(df, PATH, with_ids=True).collect()
     waste, total = check(rows, [(r["doc_id"], r["text"]) for r in df.collect()], 2048)
     assert waste < 0.02 * total
+
+
+def test_every_end_of_short_sentences_may_be_a_cut():
+    sentences = np.array([3, 6, 9, 9, 11, 12, 100, 300])
+    pos, cost = candidates(400, np.array([200, 400]), sentences, 2048, 4.0, 16.0, 32)
+    at = dict(zip(pos.tolist(), cost.tolist(), strict=True))
+    assert {p: at[p] for p in sentences.tolist()} == dict.fromkeys(sentences.tolist(), 4.0)
+    assert at[0] == at[200] == at[400] == 0.0 and set(at) == {0, 200, 400, *sentences.tolist()}
