@@ -2,8 +2,9 @@
 
 A url's tokens are its host labels, the words of its path and its query keys.  Spark's
 FP-growth finds the token combinations of labelled urls; rules whose consequent is the
-label "block" stay if they reach the support, confidence and lift asked for and no
-rule on fewer tokens is as confident.  Urls are judged against an inverted index that
+label "block" stay if they reach the support, lift and number of blocked rows asked for,
+if the confidence is sure to be as high as asked for, not only in the rows seen, and if
+no rule on fewer tokens is as confident.  Urls are judged against an inverted index that
 lists every rule under its rarest token, so a url looks only at rules it may satisfy.
 """
 
@@ -45,10 +46,19 @@ def url_tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(named("h:", labels), named("h:", parts), named("p:", words), named("q:", keys)))
 
 
+def surest(hits: Column, rows: Column, z: float) -> Column:
+    """The lower end of Wilson's interval, ``z`` standard errors wide, of a rate."""
+    rate = hits / rows
+    return (rate + z * z / (2 * rows) - z * F.sqrt(rate * (1 - rate) / rows + z * z / (4 * rows * rows))) / (1 + z * z / rows)
+
+
 def mine_block_rules(labelled: DataFrame, url_col: str = "url", label_col: str = "blocked", min_support: float = 0.002,
-                     min_confidence: float = 0.6, min_lift: float = 1.5) -> list[tuple[frozenset, float]]:
+                     min_confidence: float = 0.6, min_lift: float = 1.5, min_rows: int = 20, z: float = 3.0
+                     ) -> list[tuple[frozenset, float]]:
     """(tokens, confidence) of the rules kept; ``label_col`` is boolean, rows with a
-    null label are not used.  The number of rules is bounded by ``min_support``."""
+    null label are not used.  A rule needs ``min_support`` of the rows and ``min_rows``
+    rows that are blocked, and the lower bound of its confidence, ``z`` standard errors
+    down, must reach ``min_confidence``: a small table gives no rules by chance."""
     items = url_tokens(F.col(url_col))
     rows = labelled.filter(F.col(label_col).isNotNull()).select(
         F.when(F.col(label_col), F.concat(items, F.array(F.lit(BLOCK)))).otherwise(items).alias("items"))
@@ -57,6 +67,8 @@ def mine_block_rules(labelled: DataFrame, url_col: str = "url", label_col: str =
         return []
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
     rules = model.associationRules.filter(F.array_contains("consequent", BLOCK) & (F.col("lift") >= min_lift))
+    hits = F.round(F.col("support") * rows.count())
+    rules = rules.filter((hits >= min_rows) & (surest(hits, F.round(hits / F.col("confidence")), z) >= min_confidence))
     found = sorted(
         ((frozenset(r["antecedent"]), float(r["confidence"])) for r in rules.select("antecedent", "confidence").collect()),
         key=lambda r: (len(r[0]), sorted(r[0])))

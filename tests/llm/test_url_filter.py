@@ -81,3 +81,12 @@ def test_query_over_all_pages(spark):
         fit = listed(*split(urls[r["page_id"]]))
         assert r["rule"] == (fit[0] if fit else None)
         assert r["verdict"] == (fit[1] if fit else "block" if r["confidence"] is not None else "allow")
+
+
+def test_few_rows_and_chance_give_no_rules(spark):
+    few = [(f"http://site{i}.org/{i}", i % 4 == 0) for i in range(250)] + [("http://bad.org/x", True)] * 10
+    # as many rows as asked for, but no surer than 0.46 (25 of 37 blocked)
+    few += [("http://luck.org/y", i < 25) for i in range(37)]
+    sure = [("http://casino.org/z", i < 24) for i in range(25)]
+    rules = mine_block_rules(spark.createDataFrame(few + sure, "url string, blocked boolean"))
+    assert {t for tokens, _ in rules for t in tokens} == {"h:casino", "p:z"}
