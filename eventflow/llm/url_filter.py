@@ -10,6 +10,8 @@ lists every rule under its rarest token, so a url looks only at rules it may sat
 
 from __future__ import annotations
 
+from math import ceil
+
 import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -58,29 +60,67 @@ def mine_block_rules(labelled: DataFrame, url_col: str = "url", label_col: str =
     """(tokens, confidence) of the rules kept; ``label_col`` is boolean, rows with a
     null label are not used.  A rule needs ``min_support`` of the rows and ``min_rows``
     rows that are blocked, and the lower bound of its confidence, ``z`` standard errors
-    down, must reach ``min_confidence``: a small table gives no rules by chance."""
-    items = url_tokens(F.col(url_col))
+    down, must reach ``min_confidence``: a small table gives no rules by chance.
+
+    Tokens in too few blocked rows are in no rule and are left out; tokens that occur in
+    exactly the same rows are mined as one and give one rule each afterwards.  So copies
+    of one url, however many tokens it has, give one item, not all subsets of them.
+    """
     rows = labelled.filter(F.col(label_col).isNotNull()).select(
-        F.when(F.col(label_col), F.concat(items, F.array(F.lit(BLOCK)))).otherwise(items).alias("items"))
-    rows = stored(rows.filter(F.size("items") > 0), "url-transactions")
-    if rows.isEmpty():
+        url_tokens(F.col(url_col)).alias("tokens"), F.col(label_col).alias("blocked"))
+    rows = stored(rows.filter("blocked OR size(tokens) > 0"), "url-transactions")
+    total, blocked = rows.agg(F.count("*"), F.count_if("blocked")).first()
+    if not blocked:
+        return []
+    least = max(ceil(min_support * total), min_rows, 1)
+    # row numbers hold for a table read as stored; two hashes of them tell sets of rows apart
+    single = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "blocked", F.explode("tokens").alias("token"))
+    tokens = single.groupBy("token").agg(
+        F.count_if("blocked").alias("hits"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("row")).alias("one"),
+        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("two")).filter(F.col("hits") >= least)
+    merged = stored(tokens.groupBy("n", "one", "two").agg(F.min("token").alias("item"), F.array_sort(F.collect_list("token")).alias("tokens")),
+                    "url-items")
+    items = single.join(merged.select(F.col("item").alias("token")), "token").groupBy("row").agg(
+        F.collect_list("token").alias("items"), F.first("blocked").alias("blocked"))
+    items = stored(items.select(F.when(F.col("blocked"), F.concat("items", F.array(F.lit(BLOCK)))).otherwise(F.col("items")).alias("items")),
+                   "url-item-sets")
+    count = items.count()
+    if not count:
         return []
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(rows)
-    rules = model.associationRules.filter(F.array_contains("consequent", BLOCK) & (F.col("lift") >= min_lift))
-    hits = F.round(F.col("support") * rows.count())
-    rules = rules.filter((hits >= min_rows) & (surest(hits, F.round(hits / F.col("confidence")), z) >= min_confidence))
-    found = sorted(
-        ((frozenset(r["antecedent"]), float(r["confidence"])) for r in rules.select("antecedent", "confidence").collect()),
-        key=lambda r: (len(r[0]), sorted(r[0])))
-    kept: list[tuple[frozenset, float]] = []
-    index: dict[str, list] = {}
-    for tokens, confidence in found:  # shorter rules first
-        if any(c >= confidence and t <= tokens for token in tokens for t, c in index.get(token, ())):
-            continue
-        kept.append((tokens, confidence))
-        for token in tokens:
-            index.setdefault(token, []).append((tokens, confidence))
-    return kept
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / count).fit(items)
+    sets = stored(model.freqItemsets.select(
+        F.array_sort(F.array_remove("items", BLOCK)).alias("items"), F.array_contains("items", BLOCK).alias("blocked"), "freq"), "url-frequent")
+    rules = sets.filter("blocked AND size(items) > 0").select("items", F.col("freq").alias("hits")).join(
+        sets.filter("NOT blocked").select("items", F.col("freq").alias("n")), "items").select(
+        "items", "hits", "n", (F.col("hits") / F.col("n")).alias("confidence"))
+    rules = stored(rules.filter((F.col("confidence") * total / blocked >= min_lift) & (surest(F.col("hits"), F.col("n"), z) >= min_confidence)),
+                   "url-rules")
+    # expanded: one rule for each choice of a token from every item
+    expanded = prune(rules).withColumn("rule", F.monotonically_increasing_id()).select(
+        "rule", "confidence", F.explode("items").alias("item")).join(merged.select("item", "tokens"), "item").groupBy("rule", "confidence").agg(
+        F.collect_list("tokens").alias("choices"))
+    choices = F.aggregate("choices", F.array(F.array().cast("array<string>")), lambda made, more: F.flatten(
+        F.transform(made, lambda m: F.transform(more, lambda t: F.concat(m, F.array(t))))))
+    found = expanded.select(F.explode(choices).alias("tokens"), "confidence").collect()
+    return sorted(((frozenset(r["tokens"]), float(r["confidence"])) for r in found), key=lambda r: (len(r[0]), sorted(r[0])))
+
+
+def prune(rules: DataFrame) -> DataFrame:
+    """The rules (items, n, confidence) no rule on fewer of their items is as confident as."""
+    # most fall to a rule on one item less, found by its key; what is left is compared by
+    # one item of the shorter rule, the one in the fewest rules
+    def less_one(x, i):
+        return F.filter("items", lambda y: y != x)
+
+    near = rules.select("items", F.explode(F.transform("items", less_one)).alias("less"), "confidence").alias("a").join(
+        rules.select(F.col("items").alias("less"), F.col("confidence").alias("other")).alias("b"), "less").filter("other >= confidence")
+    left = stored(rules.join(near.select("items").distinct(), "items", "left_anti"), "url-rules-left")
+    times = left.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("times"))
+    rarest = left.select("items", "confidence", F.explode("items").alias("item")).join(times, "item").groupBy(
+        F.col("items").alias("short"), F.col("confidence").alias("other")).agg(F.min(F.struct("times", "item"))["item"].alias("item"))
+    far = left.select("items", "confidence", F.explode("items").alias("item")).join(rarest, "item").filter(
+        (F.size("short") < F.size("items")) & (F.col("other") >= F.col("confidence")) & (F.size(F.array_except("short", "items")) == 0))
+    return left.join(far.select("items").distinct(), "items", "left_anti")
 
 
 def inverted_index(rules) -> dict[str, list]:

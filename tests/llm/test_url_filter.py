@@ -90,3 +90,15 @@ def test_few_rows_and_chance_give_no_rules(spark):
     sure = [("http://casino.org/z", i < 24) for i in range(25)]
     rules = mine_block_rules(spark.createDataFrame(few + sure, "url string, blocked boolean"))
     assert {t for tokens, _ in rules for t in tokens} == {"h:casino", "p:z"}
+
+
+def test_copies_of_a_url_of_many_tokens_are_mined_as_one(spark):
+    words = [chr(97 + i) * 3 for i in range(26)]
+    long = "http://one.test/" + "/".join(words) + "?" + "&".join(f"k{w}=1" for w in words)
+    rows = [(long, True)] * 30 + [(f"http://site{i}.test/", False) for i in range(40)]
+    # as often blocked on both of two items only: a rule of two items, one for each pair of tokens
+    rows += [("http://x.org/a1/b1/c1/d1", True)] * 30 + [("http://y.org/a1/b1", False), ("http://z.org/c1/d1", False)] * 15
+    rules = dict(mine_block_rules(spark.createDataFrame(rows, "url string, blocked boolean")))
+    want = {frozenset([t]) for t in ["h:one", *(f"p:{w}" for w in words), *(f"q:k{w}" for w in words)]}
+    want |= {frozenset(["h:x"])} | {frozenset([f"p:{a}", f"p:{b}"]) for a in ("a1", "b1") for b in ("c1", "d1")}
+    assert set(rules) == want and set(rules.values()) == {1.0}
