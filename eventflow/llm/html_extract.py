@@ -10,9 +10,11 @@ density sum adds its children's densities and the text it holds directly.  The
 threshold is the least density on the path from the body to the node of the greatest
 sum; in every subtree that reaches the threshold the node of the greatest sum is
 content, and the smallest subtree that holds all content is the article.  Blocks inside
-it that are below the threshold and mostly links are left out.  Elements that by their tag, role or class names are never the article
-(scripts, menus, headers, footers, sidebars, adverts, notices, forms, comments) do not
-count as text at all.
+it that are below the threshold and mostly links are left out.  Elements that are never
+text (scripts, controls, hidden ones) do not count at all, nor do menus, headers, footers
+and asides.  Names of classes, ids and roles (sidebars, adverts, notices, widgets,
+comments) and forms only mark what is likely not the article: a name whose marks cover
+most of the page's text outside links is not heeded on that page.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp plaintext".split())
 DROPPED = frozenset(
     "head script style noscript template iframe object embed svg math canvas audio video map select option button "
-    "input textarea form fieldset nav header footer aside menu dialog noembed noframes".split())
+    "input textarea nav header footer aside menu dialog noembed noframes".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer "
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot "
@@ -49,6 +51,12 @@ AWAY = re.compile(
     r"masthead|cookies?|consent|gdpr|notices?|notifications?|alerts?|popup|modal|overlay|newsletter|subscribe|signup|login|"
     r"comments?|disqus|respond|responses?|replies|reply|related|recommend\w*|share|sharing|social|toolbar|pagination|pager|"
     r"skip|widgets?|search|contentinfo|complementary|dialog|hidden", re.I)
+FORMS = frozenset(("form", "fieldset"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+# marks of texts of their own, which may well be longer than a short article
+APART = re.compile(
+    r"ads?|advert\w*|adsense|banners?|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|notifications?|alerts?|popup|"
+    r"newsletter|subscribe|comments?|disqus|respond|responses?|replies|reply", re.I)
 ABOUT = frozenset("no has with without is".split())
 
 TOKEN = re.compile(
@@ -66,25 +74,69 @@ class Node:
         self.density = self.total = 0.0
 
 
-def is_away(tag: str, attributes: str) -> bool:
+def mark(tag: str, attributes: str) -> bool | str:
+    """True if an element is never text; the name that marks it as likely not the
+    article; False if nothing does."""
     if tag in DROPPED:
         return True
-    if not attributes or tag in ("html", "body"):
+    if tag in ("html", "body"):
         return False
-    if _hidden(attributes):
+    if attributes and _hidden(attributes):
         return True
+    if tag in FORMS:
+        return "form"
+    if not attributes or tag in HEADINGS:
+        return False
     if tag in ("article", "main"):
-        return any(n.lower() == "class" and "comment" in v.lower() for n, v in ATTRIBUTE.findall(attributes))
+        return any(n.lower() == "class" and "comment" in v.lower() for n, v in ATTRIBUTE.findall(attributes)) and "comment"
     for name, value in ATTRIBUTE.findall(attributes):
         if name.lower() not in ("class", "id", "role"):
             continue
         for token in value.strip("\"'").split():
             words = re.findall(r"[A-Z]?[a-z]+|[A-Z]+", token)
-            if words and not ABOUT.intersection(w.lower() for w in words) and (AWAY.fullmatch(words[0]) or AWAY.fullmatch(words[-1])):
-                return True
+            if words and not ABOUT.intersection(w.lower() for w in words):
+                for word in (words[0], words[-1]):
+                    if AWAY.fullmatch(word):
+                        return word.lower()
     return False
 
 
+def heed_marks(root: Node) -> None:
+    """Marks that cover more than half of the page's text outside links are taken back,
+    those of adverts, notices and replies if they leave less than a tenth; then those
+    below them are judged."""
+    # text outside links of every node, of all that may be text
+    order, stack = [], [(root, False)]
+    while stack:
+        node, in_link = stack.pop()
+        order.append((node, in_link or node.tag == "a"))
+        stack.extend((i, order[-1][1]) for i in node.items if isinstance(i, Node) and i.away is not True)
+    if not any(node.away for node, _ in order):
+        return
+    size: dict[int, int] = {}
+    for node, in_link in reversed(order):
+        size[id(node)] = 0 if in_link else sum(
+            text_size(i) if isinstance(i, str) else size.get(id(i), 0) for i in node.items)
+    total = size[id(root)]
+    lifted: set[str] = set()
+    while True:
+        covered: dict[str, int] = {}
+        stack = [root]
+        while stack:
+            for i in stack.pop().items:
+                if isinstance(i, Node) and i.away is not True:
+                    if i.away and i.away not in lifted:
+                        covered[i.away] = covered.get(i.away, 0) + size[id(i)]
+                    else:
+                        stack.append(i)
+        more = {name for name, n in covered.items() if (10 * n > 9 * total if APART.fullmatch(name) else 2 * n > total)}
+        if not more:
+            break
+        lifted |= more
+    for node, _ in order:
+        node.away = bool(node.away) and node.away not in lifted
+
+
 def _hidden(attributes: str) -> bool:
     low = attributes.lower()
     return (bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", low)) or bool(re.search(r"display\s*:\s*none", low))
@@ -137,7 +189,7 @@ def parse(html: str) -> Node:
                     up = up.parent
                 if up.tag == closed:
                     node = up.parent
-        child = Node(tag, node, is_away(tag, attributes))
+        child = Node(tag, node, mark(tag, attributes))
         node.items.append(child)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS and tag not in RAW:
             continue
@@ -287,7 +339,9 @@ def extract(html: str | None) -> str:
     """The main text of a page: blocks in page order joined by an empty line."""
     if not html:
         return ""
-    root, threshold = choose(parse(html))
+    tree = parse(html)
+    heed_marks(tree)
+    root, threshold = choose(tree)
     return "\n\n".join(blocks(root, threshold)) if root is not None else ""
 
 

@@ -64,3 +64,17 @@ def test_odd_pages(spark):
                    (5, "u"): "cut off", (6, "u"): "", (7, "u"): ("word " * 50_000).strip()}
     assert extract_pages(pages.limit(0)).collect() == []
     assert extract_pages(pages.drop("url")).filter("url IS NULL").count() == len(rows)
+
+
+@pytest.mark.parametrize("body, want", [
+    (f"<div class='widget Blog'><div class=post>{ARTICLE}</div></div><div class='widget PopularPosts'><a href=/x>Popular post</a></div>", WANT),
+    ("".join(f"<div class='elementor-widget elementor-widget-text-editor'>{part}</div>" for part in
+             ("<h1>Title</h1>", f"<p>{TEXT}</p>", f"<p>{TEXT}</p>")), WANT),
+    (f"<form id=aspnetForm action=/p><input type=hidden value=x><div class=main>{ARTICLE}</div><div class=sidebar>{TEXT}</div></form>", WANT),
+    (f"<h1 class='page-header'>Title</h1><p>{TEXT}</p><h2 id='related-work'>Related work</h2><p>{TEXT}</p><h2 id=search-engines>Search</h2><p>{TEXT}</p>",
+     ["Title", TEXT.strip(), "Related work", TEXT.strip(), "Search", TEXT.strip()]),
+    (ARTICLE + "<div class=comments>" + f"<p>{TEXT}</p>" * 6 + "</div>", WANT),
+    (f"<div class='post comments'>{ARTICLE}</div>", WANT),
+])
+def test_names_only_mark(body, want):
+    assert extract(page(body)) == "\n\n".join(want)
