@@ -245,17 +245,18 @@ def train(texts: list, labels: np.ndarray, buckets: int = 1 << 17, dim: int = 8,
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
                  max_per_label: int = 2_000, max_train_chars: int = 20_000) -> Toxicity:
     """A model of ``label_col`` = 1, trained on at most ``max_per_label`` rows of each
-    label, the first in the order of a hash of their ids, with texts of at most
+    label, the first in the order of a hash of their ids among those with a text of at most
     ``max_train_chars`` characters (both bound the driver's memory; scoring has no such
     bounds).  Rows with a null id or label are not used; of contradicting labels the
     highest holds."""
     known = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
         .groupBy("id").agg(F.max("label").alias("label")))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.length("text") <= max_train_chars)
+    known = known.join(texts.select("id"), "id", "left_semi")
     order = (F.xxhash64("id"), F.col("id"))
     sample = known.filter("label = 1").orderBy(*order).limit(max_per_label).unionByName(
         known.filter("label = 0").orderBy(*order).limit(max_per_label))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.length("text") <= max_train_chars)
     # bounded by 2 * max_per_label rows, so it may be broadcast
     rows = texts.join(F.broadcast(sample), "id").orderBy(F.xxhash64("id"), "text").limit(2 * max_per_label).toPandas()
     return train(rows["text"].tolist(), rows["label"].to_numpy())

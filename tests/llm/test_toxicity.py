@@ -88,3 +88,12 @@ def test_edge_cases(spark):
         assert by_id[1] == by_id[2]
         assert toxicity_scores(docs.limit(0), model).collect() == []
     assert [r["id"] for r in toxicity_scores(docs.filter(F.col("doc_id") == 1), model).collect()] == [1]
+
+
+def test_rows_without_usable_text_are_replaced_in_the_sample(spark, monkeypatch):
+    got = {}
+    monkeypatch.setattr("eventflow.llm.toxicity.train", lambda texts, labels: got.update(texts=texts, labels=labels.tolist()))
+    docs = spark.createDataFrame([(i, None if i % 4 == 0 else "long " * 9 if i % 4 == 1 else f"ok {i}") for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i // 2 % 20 % 2 if i >= 80 else int(i < 40)) for i in range(160)], "doc_id long, toxic int")
+    fit_toxicity(docs, labels, max_per_label=15, max_train_chars=20)
+    assert sorted(got["labels"]) == [0] * 15 + [1] * 15 and all(t.startswith("ok") for t in got["texts"])
