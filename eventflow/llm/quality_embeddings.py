@@ -146,7 +146,10 @@ def train(texts: list[str], labels, buckets: int = 1 << 18, dim: int = 8, epochs
     if len(labels) == 0 or labels.min() == labels.max():
         return QualityModel(np.zeros(buckets), float(np.log(blank / (1 - blank))), blank)
     rng = np.random.default_rng(seed)
-    docs = [(b, label) for b, label in zip(bags(texts, buckets), labels, strict=True) if len(b[0])]
+    docs = []
+    for at in range(0, len(texts), 250):  # a part's arrays are large, its bags are not
+        part = bags(texts[at : at + 250], buckets)
+        docs += [(b, label) for b, label in zip(part, labels[at : at + 250], strict=True) if len(b[0])]
     emb = rng.uniform(-0.1 / dim, 0.1 / dim, (buckets, dim)).astype(np.float32)
     out = rng.normal(0, 1, (dim, 2)).astype(np.float32)
     bias = np.log(np.array([np.mean(labels == 0), np.mean(labels == 1)])).astype(np.float32)
@@ -179,16 +182,18 @@ def fit_quality_embeddings(docs: DataFrame, labels: DataFrame, id_col: str = "do
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
         .groupBy("id").agg(F.max("label").alias("label")))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(known, "id").select("id", "text", "label", F.length("text").alias("size"), F.xxhash64("id").alias("at"), F.md5("text").alias("sum"))
-    rows = rows.filter(F.col("text").isNotNull())
+    # only ids and sizes are shuffled; texts are read once more, for the chosen rows
+    sizes = texts.filter(F.col("text").isNotNull()).select("id", F.length("text").alias("size"))
+    first = sizes.join(known.hint("merge"), "id").orderBy(F.xxhash64("id"), "id", "size").select("id", "size").limit(max_rows)
     chosen, left = [], max_chars
-    for row in rows.select("at", "sum", "size").orderBy("at", "sum").limit(max_rows).collect():
+    for row in first.collect():
         if row["size"] <= left:
-            chosen.append((row["at"], row["sum"]))
+            chosen.append(row)
             left -= row["size"]
-    wanted = docs.sparkSession.createDataFrame(sorted(set(chosen)), "at long, sum string")
-    # at most max_rows rows; repeated rows share a key and are cut to the sample's size
-    sample = rows.join(F.broadcast(wanted), ["at", "sum"]).orderBy("at", "sum").limit(len(chosen)).select("text", "label").toPandas()
+    wanted = docs.sparkSession.createDataFrame(sorted(set(chosen)), first.schema)
+    # at most max_rows rows on the broadcast side; rows alike in id and size are cut to the sample's number
+    rows = texts.withColumn("size", F.length("text")).join(F.broadcast(wanted.join(known.hint("merge"), "id")), ["id", "size"])
+    sample = rows.orderBy(F.xxhash64("id"), "id", "size", "text").limit(len(chosen)).select("text", "label").toPandas()
     return train(sample["text"].tolist(), sample["label"].to_numpy())
 
 
