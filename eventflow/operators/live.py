@@ -48,7 +48,9 @@ def latest_breakdown(metric: DataFrame) -> DataFrame:
 
 def event_types(metric: DataFrame, most: int = 1000) -> list[str]:
     """The non-NULL types of the metric, the funnel's stages first, the rest in text
-    order.  More than ``most`` are an error: a column each would not be a table."""
+    order.  More than ``most`` are an error: a column each would not be a table.  The one
+    function here that runs an action; :func:`last_n_long` and :func:`last_n_maps` do
+    without the names."""
     rows = metric.filter(F.col("event").isNotNull()).select("event").distinct().limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError(f"more than {most} event types; name the columns wanted")
@@ -56,41 +58,73 @@ def event_types(metric: DataFrame, most: int = 1000) -> list[str]:
     return [t for t in DEFAULT_TYPES if t in found] + sorted(found - set(DEFAULT_TYPES))
 
 
-def wide_windows(metric: DataFrame, types: Sequence[str] | None = None) -> DataFrame:
+def wide_windows(metric: DataFrame, types: Sequence[str] | None = None, other: str | None = "other") -> DataFrame:
     """Pivot: one row per window, one 0-filled count column per event type.
 
-    ``types`` defaults to all types of the metric (one small aggregate).  With types
-    given, the counts of all others are in the column ``other``, so that no event is
-    lost.  Windows whose rows all have a NULL type are absent (a NULL type is not a
-    column).  Written as conditional aggregation: one aggregation, one shuffle,
-    partial aggregation map-side.
+    With ``types`` given, the counts of all others are in the column ``other`` (none with
+    ``other=None``).  ``types`` defaults to all types of the metric, found by an action.
+    Types that cannot be columns of one table (names that differ in case only, or are
+    ``window_start``) are an error; :func:`last_n_maps` takes any.  Windows whose rows all
+    have a NULL type are absent (a NULL type is not a column).  Written as conditional
+    aggregation: one aggregation, one shuffle, partial aggregation map-side.
     """
     given = types is not None
     types = list(types) if given else event_types(metric)
+    names = [*types, other] if given and other else types
+    lowered = ["window_start", *(t.lower() for t in names)]
+    if len(set(lowered)) < len(lowered):
+        raise ValueError("these types cannot be the columns of one table; use last_n_maps or last_n_long")
 
     def total(condition):
         return F.coalesce(F.sum(F.when(condition, F.col("event_count"))), F.lit(0).cast("long"))
 
     columns = [total(F.col("event") == F.lit(t)).alias(t) for t in types]
-    if given:
-        columns.append(total(~F.col("event").isin(types)).alias("other"))
+    if given and other:
+        columns.append(total(~F.col("event").isin(types)).alias(other))
     rows = metric.filter(F.col("event").isNotNull()).groupBy("window_start")
     return rows.agg(*columns) if columns else rows.agg(F.count(F.lit(1)).alias("n")).drop("n")
 
 
-def last_n_wide(metric: DataFrame, n: int = 60, types: Sequence[str] | None = None) -> DataFrame:
+def last_n_wide(metric: DataFrame, n: int = 60, types: Sequence[str] | None = None, other: str | None = "other") -> DataFrame:
     """The ``n`` latest existing windows of ``wide_windows``, oldest first.
     Missing minutes are not filled in."""
-    return wide_windows(metric, types).orderBy(F.desc("window_start")).limit(n).orderBy("window_start")
-
-
-def last_n_long(metric: DataFrame, n: int = 60, types: Sequence[str] | None = None) -> DataFrame:
-    """``last_n_wide`` reshaped to ``window_start, event, event_count`` (zeros kept)."""
-    wide = last_n_wide(metric, n, types)
-    counts = [c for c in wide.columns if c != "window_start"]
-    if not counts:
-        return wide.select("window_start", F.lit("").alias("event"), F.lit(0).cast("long").alias("event_count"))
-    return wide.unpivot("window_start", counts, "event", "event_count")
+    return wide_windows(metric, types, other).orderBy(F.desc("window_start")).limit(n).orderBy("window_start")
+
+
+def _folded(metric: DataFrame) -> DataFrame:
+    """One row per window and type, neither of them NULL.
+
+    The condition on the count holds always (counts are not negative).  It names the count
+    for every reader of these rows, so that Spark makes their shuffle once and reuses it
+    instead of computing the metric a second time without the count."""
+    rows = metric.filter(F.col("event").isNotNull() & F.col("window_start").isNotNull())
+    return rows.groupBy("window_start", "event").agg(F.sum("event_count").alias("event_count")).filter(F.col("event_count") >= 0)
+
+
+def last_n_long(metric: DataFrame, n: int = 60) -> DataFrame:
+    """``window_start, event, event_count`` for the ``n`` latest existing windows and every
+    type of the whole metric, zeros kept.
+
+    Types are data here, never column names: any text is a type, in any number and case.
+    A type's cells are one map of at most ``n`` entries; the windows, ``n`` at most, are a
+    scalar subquery over the same shuffle, and every type is crossed with them by
+    ``explode``.  One pass over the metric, no action.  Missing minutes are not filled in,
+    windows whose rows all have a NULL type are absent."""
+    per = _folded(metric)
+    latest = per.select("window_start").distinct().orderBy(F.desc("window_start")).limit(n)
+    windows = latest.agg(F.sort_array(F.collect_list("window_start")).alias("windows")).scalar()
+    own = F.when(F.array_contains(windows, F.col("window_start")), F.struct("window_start", "event_count"))
+    cells = per.groupBy("event").agg(F.map_from_entries(F.collect_list(own)).alias("cells"))
+    crossed = cells.select("event", "cells", F.explode(windows).alias("window_start"))
+    return crossed.select(
+        "window_start", "event", F.coalesce(F.col("cells")[F.col("window_start")], F.lit(0).cast("long")).alias("event_count"))
+
+
+def last_n_maps(metric: DataFrame, n: int = 60) -> DataFrame:
+    """The wide view without a schema made of data: ``window_start`` and ``counts``, a map
+    of type to count (zeros kept), for the ``n`` latest windows, oldest first."""
+    rows = last_n_long(metric, n).groupBy("window_start")
+    return rows.agg(F.map_from_entries(F.collect_list(F.struct("event", "event_count"))).alias("counts")).orderBy("window_start")
 
 
 def event_totals(metric: DataFrame) -> DataFrame:

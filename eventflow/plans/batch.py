@@ -5,14 +5,17 @@ Cost shape: two passes over the raw rows.  One counts rows per event type and it
 total follow from that small table.  The other is the exact distinct of visitors per
 day.  The input is never copied unless the caller asks for it (``stage_csv=True``,
 worth it when more jobs will read the same CSV).  Results are written to the shared
-output folder, so a lost executor costs a re-read of a finished file.  Each result
-is replaced on its own: if a run fails between two of them, the folder holds results
-of two runs until the job is run again.
+output folder, so a lost executor costs a re-read of a finished file.
+
+A run writes into a folder of its own and is published by one commit
+(``sinks.publish``): readers see all results of one run, parquet and CSV alike, and a run
+that fails half-way leaves the published ones as they are.
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -23,6 +26,7 @@ from eventflow.operators import insights as ins
 from eventflow.schemas import RESULT_SCHEMAS
 from eventflow.session import build_spark, scratch_path
 from eventflow.sinks.files import write_csv, write_parquet
+from eventflow.sinks.publish import commit_run, new_run, results_folder, run_folder
 from eventflow.sources.files import (
     delete_path,
     read_archive,
@@ -47,6 +51,7 @@ class BatchResult:
     parquet_dir: str
     csv_dir: str | None
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    run: str = ""
 
     def total_events(self) -> DataFrame:
         """All input rows, from the stored distribution (no second pass over raw)."""
@@ -73,9 +78,16 @@ def run_batch_job(
     staged_path: str | None = None,
     first_day: str | None = None,
     last_day: str | None = None,
+    keep_runs: int = 2,
+    on_stored: Callable[[str], None] | None = None,
 ) -> BatchResult:
     """Resolve the input, compute the insights once, write parquet (and a one-file
-    CSV per result, for small consumers), and return the stored results.
+    CSV per result, for small consumers), publish them together, and return the stored
+    results.  Read them with :func:`load_csv_results` or :func:`load_parquet_results`.
+
+    ``keep_runs`` published runs are kept, for readers that are still at the one before.
+    ``on_stored`` is called with each result's name once it is written; an error raised
+    there fails the run like any other.
 
     ``stage_csv`` copies a CSV input to parquet first; ``staged_path`` keeps the copy at
     a chosen place (default: scratch).
@@ -94,7 +106,9 @@ def run_batch_job(
         raw = read_archive(spark, path, first_day, last_day)
     else:
         raw = spark.read.parquet(path)
-    result = BatchResult(path, parquet_dir, csv_dir)
+    run = new_run()
+    result = BatchResult(path, parquet_dir, csv_dir, run=run)
+    places = {"parquet": parquet_dir} | ({"csv": csv_dir} if csv_dir else {})
 
     counts_path = scratch_path(spark, "item-event-counts")
 
@@ -103,31 +117,46 @@ def run_batch_job(
         return spark.read.parquet(counts_path)
 
     def materialise(name: str, df: DataFrame) -> DataFrame:
-        target = f"{parquet_dir.rstrip('/')}/{name}"
+        target = f"{run_folder(parquet_dir, run)}/{name}"
         write_parquet(df, target)
         stored = read_parquet_result(spark, target, RESULT_SCHEMAS[name])
         if csv_dir:
             # top-n and one row per day are bounded: one file each; event types are not
-            write_csv(stored, f"{csv_dir.rstrip('/')}/{name}", single_file=name != "event_distribution",
+            write_csv(stored, f"{run_folder(csv_dir, run)}/{name}", single_file=name != "event_distribution",
                       order_by=RESULT_ORDER[name]())
+        if on_stored:
+            on_stored(name)
         return stored
 
     # The two passes are independent jobs: submitted from two threads they share the
     # cluster, and one job's last tasks do not leave the other's slots idle.
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        daily = pool.submit(materialise, "daily_visitors", ins.daily_visitors(raw))
-        counts = pool.submit(item_counts).result()
-        result.tables["top_items"] = materialise("top_items", ins.top_items_from_counts(counts, top_n))
-        result.tables["event_distribution"] = materialise("event_distribution", ins.event_distribution_from_counts(counts))
-        result.tables["daily_visitors"] = daily.result()
-    for path in filter(None, (counts_path, own_copy)):  # the results do not read them
-        delete_path(spark, path)
+    try:
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            daily = pool.submit(materialise, "daily_visitors", ins.daily_visitors(raw))
+            counts = pool.submit(item_counts).result()
+            result.tables["top_items"] = materialise("top_items", ins.top_items_from_counts(counts, top_n))
+            result.tables["event_distribution"] = materialise("event_distribution", ins.event_distribution_from_counts(counts))
+            result.tables["daily_visitors"] = daily.result()
+        commit_run(spark, parquet_dir, run, places, keep_runs)
+    except BaseException:
+        for base in places.values():  # a killed run cannot do this: see publish.drop_unpublished
+            delete_path(spark, run_folder(base, run))
+        raise
+    finally:
+        for path in filter(None, (counts_path, own_copy)):  # the results do not read them
+            delete_path(spark, path)
     return result
 
 
+def load_parquet_results(spark: SparkSession, parquet_dir: str) -> dict[str, DataFrame]:
+    """The published parquet results, all of one run."""
+    base = results_folder(spark, parquet_dir)
+    return {name: read_parquet_result(spark, f"{base}/{name}", RESULT_SCHEMAS[name]) for name in RESULT_NAMES}
+
+
 def load_csv_results(spark: SparkSession, csv_dir: str) -> dict[str, DataFrame]:
-    """Read the three CSV results back, typed, sorted like the reader expects."""
-    base = csv_dir.rstrip("/")
+    """Read the three published CSV results back, typed, all of one run."""
+    base = results_folder(spark, csv_dir)
     return {
         name: read_result_folder(spark, f"{base}/{name}", RESULT_SCHEMAS[name]) for name in RESULT_NAMES
     }

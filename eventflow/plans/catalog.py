@@ -23,7 +23,7 @@ from eventflow.schemas import METRIC_SCHEMA, RAW_COLUMNS
 from eventflow.session import scratch_path
 from eventflow.sinks.files import write_csv, write_parquet
 from eventflow.sources.files import read_archive, read_events_csv
-from eventflow.sources.fixtures import adapt_events, read_fixture_events, table_path
+from eventflow.sources.fixtures import EVENT_NAMES, adapt_events, read_fixture_events, table_path
 from eventflow.streaming import queries as sq
 from eventflow.streaming.sources import read_envelope_stream, read_message_files
 
@@ -92,13 +92,37 @@ def q_latest_window_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_last_n_windows_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return utc_wall_clock(live.last_n_wide(_metric(spark, sf_dir)))
+    return utc_wall_clock(live.last_n_wide(_metric(spark, sf_dir), types=EVENT_NAMES, other=None))
 
 
 def q_last_n_windows_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(live.last_n_long(_metric(spark, sf_dir)))
 
 
+def _odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows whose event names no column could have: a dot and a number, names that
+    differ in case only, the name of another column, an empty one, and many of them."""
+    rows = adapt_events(spark.read.parquet(table_path(sf_dir, "events")), "event_id")
+    names = F.array(F.concat(F.lit("page."), F.col("event"), F.col("event_id") % 500), F.initcap("event"), F.col("event"),
+                    F.lit("window_start"), F.lit("other"), F.lit("a `quoted` name"), F.lit(""))
+    return rows.withColumn("event", F.element_at(names, (F.col("event_id") % 7 + 1).cast("int"))).drop("event_id")
+
+
+def q_last_n_windows_odd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 60 windows for any event names: types are data, never columns."""
+    metric = events_per_window(with_event_ts(_odd_names(spark, sf_dir)))
+    return utc_wall_clock(live.last_n_long(metric))
+
+
+def q_last_n_windows_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide view as maps: what its rows hold, as text."""
+    metric = events_per_window(with_event_ts(_odd_names(spark, sf_dir)))
+    counts = F.array_sort(F.map_entries("counts"))
+    return utc_wall_clock(live.last_n_maps(metric).select(
+        "window_start", F.size("counts").alias("n_types"),
+        F.array_join(F.transform(counts, lambda e: F.concat_ws("=", e["key"], e["value"])), ";").alias("counts")))
+
+
 def q_event_totals_from_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.event_totals(_metric(spark, sf_dir))
 
@@ -399,6 +423,8 @@ QUERIES: dict[str, Query] = {
     "latest_window_breakdown": q_latest_window_breakdown,
     "last_n_windows_wide": q_last_n_windows_wide,
     "last_n_windows_long": q_last_n_windows_long,
+    "last_n_windows_odd_names": q_last_n_windows_odd_names,
+    "last_n_windows_maps": q_last_n_windows_maps,
     "event_totals_from_windows": q_event_totals_from_windows,
     "funnel_live": q_funnel_live,
     "funnel_batch": q_funnel_batch,

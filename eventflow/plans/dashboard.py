@@ -52,7 +52,7 @@ def live_view(metric: DataFrame, last_n: int = 60) -> dict[str, DataFrame]:
         "kpis": kpis,
         "kpi_labels": kpi_labels(kpis),
         "funnel_labels": funnel_labels(funnel),
-        "last_n_wide": live.last_n_wide(metric, last_n),
+        "last_n_wide": live.last_n_maps(metric, last_n),  # types are data: any name will do
         "last_n_long": live.last_n_long(metric, last_n),
         "latest_breakdown": live.latest_breakdown(metric),
         "funnel": funnel,

@@ -86,6 +86,22 @@ JUNK = """junked AS (SELECT event_id, epoch_us(ts) // 1000 AS ms,
     CASE event_type WHEN 'click' THEN 'addtocart' WHEN 'purchase' THEN 'transaction' ELSE event_type END AS event
   FROM events)"""
 
+# Event names that no column could have, counted per minute; the last 60 windows by all types.
+ODD = """named AS (
+  SELECT date_trunc('minute', ts) AS window_start, event_id,
+         CASE event_type WHEN 'click' THEN 'addtocart' WHEN 'purchase' THEN 'transaction' ELSE event_type END AS base
+  FROM events),
+odd AS (
+  SELECT window_start,
+         CASE event_id % 7 WHEN 0 THEN 'page.' || base || (event_id % 500) WHEN 1 THEN upper(base[1]) || base[2:]
+              WHEN 2 THEN base WHEN 3 THEN 'window_start' WHEN 4 THEN 'other' WHEN 5 THEN 'a `quoted` name' ELSE '' END AS event
+  FROM named WHERE base IS NOT NULL OR event_id % 7 IN (3, 4, 5, 6)),
+cnt AS (SELECT window_start, event, count(*) AS n FROM odd GROUP BY 1, 2),
+lastw AS (SELECT DISTINCT window_start FROM cnt ORDER BY 1 DESC LIMIT 60),
+grid AS (
+  SELECT lastw.window_start, t.event, coalesce(n, 0) AS event_count
+  FROM lastw CROSS JOIN (SELECT DISTINCT event FROM cnt) t LEFT JOIN cnt ON cnt.window_start = lastw.window_start AND cnt.event = t.event)"""
+
 ORACLE_SQL: dict[str, str] = {
     "top_items": f"""WITH {EV}
 SELECT itemid, count(*) AS view_count FROM ev WHERE event = 'view'
@@ -130,6 +146,11 @@ WHERE window_start = (SELECT max(window_start) FROM met)""",
 SELECT * FROM wide""",
     "last_n_windows_long": f"""WITH {EV}, {MET}, {WIDE}
 UNPIVOT wide ON "view", addtocart, "transaction", "error", signup INTO NAME event VALUE event_count""",
+    "last_n_windows_odd_names": f"""WITH {ODD} SELECT * FROM grid""",
+    "last_n_windows_maps": f"""WITH {ODD}
+SELECT window_start, CAST(count(*) AS INTEGER) AS n_types,
+       string_agg(event || '=' || event_count, ';' ORDER BY encode(event)) AS counts
+FROM grid GROUP BY window_start""",
     "event_totals_from_windows": f"""WITH {EV}, {MET}
 SELECT event, CAST(sum(event_count) AS BIGINT) AS event_count FROM met
 WHERE event IS NOT NULL GROUP BY event""",

@@ -46,6 +46,30 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hpath)
 
 
+def create_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> bool:
+    """Create a small text file; False if it is there already (unless ``overwrite``)."""
+    hpath, fs = _hadoop_path(spark, path)
+    try:
+        out = fs.create(hpath, overwrite)
+    except Exception:
+        if not overwrite and fs.exists(hpath):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file as a whole."""
+    hpath, fs = _hadoop_path(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     hpath, fs = _hadoop_path(spark, path)
     if fs.exists(hpath):

@@ -15,6 +15,8 @@ from eventflow.functions.time import utc_epoch_ms
 
 # Synthetic event type -> clickstream event name.
 EVENT_MAP = {"view": "view", "click": "addtocart", "purchase": "transaction"}
+# All event names of the adapted table.
+EVENT_NAMES = ("view", "addtocart", "transaction", "error", "signup")
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -1,7 +1,10 @@
+from pathlib import Path
+
 import pytest
 
 from eventflow.plans.batch import load_csv_results, run_batch_job
 from eventflow.plans.dashboard import batch_view
+from eventflow.sinks.publish import results_folder
 
 HEADER = "timestamp,visitorid,event,itemid,transactionid\n"
 ROWS = [
@@ -29,7 +32,8 @@ def test_batch_job_end_to_end(spark, tmp_path):
     assert (f.view_count, f.addtocart_count, f.transaction_count) == (3, 1, 1)
     assert view["date_window"].first().n_days == 2
     # one CSV file per bounded result
-    parts = [p.name for p in (tmp_path / "csv" / "top_items").iterdir() if p.name.startswith("part-")]
+    published = Path(results_folder(spark, str(tmp_path / "csv")))
+    parts = [p.name for p in (published / "top_items").iterdir() if p.name.startswith("part-")]
     assert len(parts) == 1
 
 
@@ -136,7 +140,7 @@ def test_stored_results_keep_their_order(spark, tmp_path):
         run_batch_job(spark, str(src), str(tmp_path / "pq"), str(tmp_path / "csv"))
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
-    files = sorted((tmp_path / "csv" / "event_distribution").glob("part-*.csv"))
+    files = sorted((Path(results_folder(spark, str(tmp_path / "csv"))) / "event_distribution").glob("part-*.csv"))
     counts = [int(line.split(",")[1]) for f in files for line in f.read_text().splitlines()[1:]]
     assert len(counts) == 13 and counts == sorted(counts, reverse=True)
 

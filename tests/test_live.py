@@ -67,6 +67,53 @@ def test_every_type_has_a_column(spark):
     assert live.last_n_wide(m.limit(0)).collect() == [] and live.last_n_long(m.limit(0)).collect() == []
 
 
+ODD_NAMES = ["page.view", "View", "view", "window_start", "other", "", " ", "a `b`", "event", "cells", "x" * 3000, "ünïcode"]
+
+
+def test_any_name_is_a_type(spark):
+    m = metric_rows(spark, [("2015-06-02 05:0%d" % (i % 3), t, i + 1) for i, t in enumerate(ODD_NAMES)] + [("2015-06-02 05:02", None, 9)])
+    long = {(r.window_start.minute, r.event): r.event_count for r in live.last_n_long(m).collect()}
+    assert long == {(w, t): (i + 1 if i % 3 == w else 0) for w in range(3) for i, t in enumerate(ODD_NAMES)}
+    maps = live.last_n_maps(m, n=2).collect()
+    assert [r.window_start.minute for r in maps] == [1, 2]
+    assert maps[0].counts == {t: (i + 1 if i % 3 == 1 else 0) for i, t in enumerate(ODD_NAMES)}
+    for types in (["view", "View"], ["window_start"], ["other"]):
+        with pytest.raises(ValueError, match="last_n_maps"):
+            live.wide_windows(m, types)
+    dotted = live.last_n_wide(m, types=["page.view"], other=None)
+    assert dotted.columns == ["window_start", "page.view"] and [r[1] for r in dotted.collect()] == [1, 0, 0]
+
+
+def test_five_thousand_types(spark):
+    m = spark.range(20_000).select(
+        F.timestamp_seconds(F.col("id") % 80 * 60).alias("window_start"), F.concat(F.lit("t."), F.col("id") % 5000).alias("event"),
+        F.lit(1).cast("long").alias("event_count"))
+    got = live.last_n_long(m, n=60)
+    assert got.count() == 60 * 5000
+    assert got.agg(F.sum("event_count")).first()[0] == 20_000 * 60 // 80
+    assert live.last_n_maps(m, n=60).select(F.size("counts").alias("s")).distinct().collect()[0].s == 5000
+
+
+def test_rows_of_one_window_and_type_are_added(spark):
+    m = metric_rows(spark, [("2015-06-02 05:00", "a", 1), ("2015-06-02 05:00", "a", 2), ("2015-06-02 05:01", "b", 0)])
+    got = {(r.window_start.minute, r.event): r.event_count for r in live.last_n_long(m).collect()}
+    assert got == {(0, "a"): 3, (0, "b"): 0, (1, "a"): 0, (1, "b"): 0}
+
+
+def test_last_windows_run_the_metric_once(spark):
+    from eventflow.sources.fixtures import read_fixture_events
+    from tests.conftest import SF_SMALL
+
+    metric = events_per_window(with_event_ts(read_fixture_events(spark, SF_SMALL)))
+    for df in (live.last_n_long(metric), live.last_n_maps(metric)):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # up to the end of the windows' subquery: it reads the types' shuffle, no file
+        subquery = plan.split("== Initial Plan ==")[0]
+        assert "ReusedExchange" in subquery and "FileScan" not in subquery, plan
+        assert "Cartesian" not in plan and "NestedLoop" not in plan and "Join" not in plan
+
+
 def test_event_totals_and_live_funnel(spark):
     totals = {r.event: r.event_count for r in live.event_totals(_metric(spark)).collect()}
     assert totals == {"view": 7, "addtocart": 1, "transaction": 1}
