@@ -4,9 +4,11 @@ the whole synthetic tables (adapted by ``sources.fixtures``)."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventflow.functions.messages import envelopes_from_raw, message_json, normalize_rows, parse_envelopes
@@ -15,16 +17,19 @@ from eventflow.operators import funnel as fn
 from eventflow.operators import insights as ins
 from eventflow.operators import live
 from eventflow.operators.windows import events_per_window, with_event_ts
-from eventflow.plans.batch import BatchResult, run_batch_job
+from eventflow.plans.batch import BatchResult, load_csv_results, load_parquet_results, run_batch_job
 from eventflow.plans.dashboard import batch_view, dataset_coverage, live_view, load_metric_table, load_stream_metric
 from eventflow.plans.present import utc_wall_clock
-from eventflow.plans.producer import read_events_text
-from eventflow.schemas import METRIC_SCHEMA, RAW_COLUMNS
+from eventflow.plans.producer import append_slices, read_events_text, read_events_text_stream
+from eventflow.schemas import MESSAGE_SCHEMA, METRIC_SCHEMA, RAW_COLUMNS
 from eventflow.session import scratch_path
 from eventflow.sinks.files import write_csv, write_parquet
 from eventflow.sources.files import read_archive, read_events_csv
 from eventflow.sources.fixtures import EVENT_NAMES, adapt_events, read_fixture_events, table_path
 from eventflow.streaming import queries as sq
+from eventflow.streaming.control import StopGate, read_progress, recording, run_to_end, run_with_restarts, start_batches
+from eventflow.streaming.outbox import rejected_rows, start_publish
+from eventflow.streaming.snapshots import day_snapshot_writer, read_day_snapshot, start_day_snapshot
 from eventflow.streaming.sources import read_envelope_stream, read_message_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -208,6 +213,33 @@ def q_dashboard_batch_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_view(spark, csv_dir)["funnel"]
 
 
+def q_batch_job_after_failed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stored results, parquet and CSV, after a second run over other rows died
+    between two of them: those of the first run, whole."""
+    out = scratch_path(spark, "published")
+    parquet_dir, csv_dir = f"{out}/parquet", f"{out}/csv"
+    raw = _raw_as_csv(spark, sf_dir)
+    run_batch_job(spark, raw, parquet_dir, csv_dir, input_format="csv")
+    part = scratch_path(spark, "raw-part")
+    write_csv(_raw(spark, sf_dir).filter("event = 'view'"), part)
+
+    def die(name: str) -> None:
+        if name == "event_distribution":
+            raise InterruptedError(name)
+
+    try:
+        run_batch_job(spark, part, parquet_dir, csv_dir, input_format="csv", on_stored=die)
+        raise AssertionError("the second run was to die")
+    except InterruptedError:
+        pass
+    keys = {"top_items": ("itemid", "view_count"), "event_distribution": ("event", "count"), "daily_visitors": ("event_date", "active_visitors")}
+    parts = [
+        table.select(F.lit(fmt).alias("format"), F.lit(name).alias("result"), F.col(keys[name][0]).cast("string").alias("key"), F.col(keys[name][1]).alias("n"))
+        for fmt, tables in (("parquet", load_parquet_results(spark, parquet_dir)), ("csv", load_csv_results(spark, csv_dir)))
+        for name, table in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_parquet_roundtrip_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     res, _ = _batch_job(spark, sf_dir)
     return res.tables["event_distribution"]
@@ -317,6 +349,132 @@ def q_stream_late_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(load_stream_metric(spark, _late_run(spark, sf_dir, sq.start_metric_snapshot)))
 
 
+# --- several micro-batches in event-time order ------------------------------------------
+
+SLICES, FILES_PER_SLICE = 4, 3
+
+
+def _sliced_replay(spark: SparkSession, sf_dir: str) -> str:
+    """Envelope files of the whole table in four equal ranges of event time, written one
+    after the other by three tasks each; a stream takes one range a batch."""
+    rows = _raw(spark, sf_dir)
+    span = rows.agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last")).first()
+    width = span.last - span.first + 1
+    number = F.floor((F.col("timestamp") - F.lit(span.first)) * SLICES / F.lit(width)).cast("int")
+    staged, out = scratch_path(spark, "slices"), scratch_path(spark, "sliced-envelopes")
+    messages = normalize_rows(rows.withColumn("slice", number), ms_to_instant("timestamp"), "slice")
+    envelopes = messages.select(
+        F.col("visitorid").cast("binary").alias("key"), message_json(messages).cast("binary").alias("value"),
+        ms_to_instant("timestamp").alias("timestamp"), "slice")
+    write_parquet(envelopes, staged, partition_by=["slice"])
+    append_slices(spark, staged, out, SLICES, FILES_PER_SLICE)
+    return out
+
+
+def _sliced(spark: SparkSession, src: str) -> DataFrame:
+    return parse_envelopes(read_envelope_stream(spark, src, FILES_PER_SLICE))
+
+
+def q_stream_replay_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finalised windows of a replay in four batches, the watermark moving between them."""
+    path, ckpt = scratch_path(spark, "metric"), scratch_path(spark, "ckpt")
+    metric = sq.metric_stream(_sliced(spark, _sliced_replay(spark, sf_dir)))
+    _await(sq.start_metric_append(metric, path, ckpt, trigger="availableNow", state_partitions=_state_partitions(spark)))
+    return utc_wall_clock(load_metric_table(spark, path))
+
+
+def q_stream_snapshot_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot kept by days, after four batches."""
+    folder, ckpt = scratch_path(spark, "day-snapshot"), scratch_path(spark, "ckpt")
+    metric = sq.metric_stream(_sliced(spark, _sliced_replay(spark, sf_dir)))
+    _await(start_day_snapshot(metric, folder, ckpt, "availableNow", state_partitions=_state_partitions(spark)))
+    return utc_wall_clock(read_day_snapshot(spark, folder))
+
+
+def q_stream_batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored record of every batch: its rows, first and last event."""
+    out, progress, ckpt = (scratch_path(spark, n) for n in ("rows", "progress", "ckpt"))
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    rows = _sliced(spark, _sliced_replay(spark, sf_dir))
+    _await(start_batches(rows, recording(write, progress, "rows", "event_ts"), ckpt, "availableNow"))
+    return utc_wall_clock(read_progress(spark, progress))
+
+
+def _failing_once(write, faults: dict[int, str]):
+    """A sink that fails once in each of the given batches, ``before`` or ``after`` it wrote."""
+    left = dict(faults)
+
+    def run(batch_df: DataFrame, batch_id: int) -> None:
+        fault = left.pop(batch_id, None)
+        if fault == "before":
+            raise OSError(f"sink failed before batch {batch_id}")
+        write(batch_df, batch_id)
+        if fault == "after":
+            raise OSError(f"sink failed after batch {batch_id}")
+
+    return run
+
+
+def q_stream_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot after two failures of its sink, one before and one after its write,
+    each followed by a restart from the checkpoint: every window counted once."""
+    folder, ckpt = scratch_path(spark, "day-snapshot"), scratch_path(spark, "ckpt")
+    src = _sliced_replay(spark, sf_dir)
+    sink = _failing_once(day_snapshot_writer(folder), {1: "before", 2: "after"})
+    failures = []
+
+    def start() -> StreamingQuery:
+        metric = sq.metric_stream(_sliced(spark, src))
+        return start_batches(metric, sink, ckpt, "availableNow", "update", state_partitions=_state_partitions(spark))
+
+    run_with_restarts(start, on_failure=failures.append)
+    if len(failures) != 2:
+        raise AssertionError(f"two failures were to be survived, not {len(failures)}")
+    return utc_wall_clock(read_day_snapshot(spark, folder))
+
+
+def q_stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stopped after two batches of a backlog, started again: what a sink holds that only
+    appends, so that a repeated batch would count twice, and in how many batches."""
+    out, ckpt = scratch_path(spark, "appended"), scratch_path(spark, "ckpt")
+    src = _sliced_replay(spark, sf_dir)
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        batch_df.select("event", F.lit(batch_id).alias("batch_id")).write.mode("append").parquet(out)
+
+    ends = [run_to_end(start_batches(_sliced(spark, src), StopGate(after).guard(write), ckpt, "availableNow")) for after in (2, None)]
+    if ends != [False, True]:
+        raise AssertionError(f"the first run was to be stopped and the second to end: {ends}")
+    rows = spark.read.schema("event string, batch_id int").parquet(out)
+    return rows.groupBy("batch_id", "event").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- publishing a stream with a side for what cannot be published -----------------------
+
+
+def _published_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(outbox, what was sent) of the faulty CSV text, published file by file."""
+    outbox, sent, ckpt = (scratch_path(spark, n) for n in ("outbox", "sent", "ckpt"))
+    rows = read_events_text_stream(spark, _faulty_csv(spark, sf_dir, 4), 2)
+    _await(start_publish(rows, outbox, ckpt, lambda batch: write_parquet(batch, sent, mode="append"), "availableNow"))
+    return outbox, sent
+
+
+def q_stream_publish_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the publishing stream sent (a folder in place of the broker)."""
+    sent = spark.read.schema("key binary, value binary").parquet(_published_stream(spark, sf_dir)[1])
+    fields = T.StructType([f for f in MESSAGE_SCHEMA.fields if f.name in RAW_COLUMNS])
+    return sent.select(F.col("key").cast("string").alias("key"), F.inline(F.array(F.from_json(F.col("value").cast("string"), fields))))
+
+
+def q_stream_publish_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What it put aside: rows without a readable time, as they came."""
+    return rejected_rows(spark, _published_stream(spark, sf_dir)[0]).drop("batch_id")
+
+
 # --- landing: one parse into archive and quarantine ---------------------------------
 
 
@@ -365,6 +523,14 @@ def q_csv_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_csv_text_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV text with unreadable numbers, empty fields, short rows and quoted commas ->
     normalised messages (the time of defaulted rows, which is now, is left out)."""
+    messages = normalize_rows(read_events_text(spark, _faulty_csv(spark, sf_dir)))
+    return messages.select(
+        F.when(~F.col("ts_defaulted"), F.col("timestamp")).alias("timestamp"),
+        "visitorid", "event", "itemid", "transactionid", "ts_defaulted")
+
+
+def _faulty_csv(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
+    """The whole table as CSV text, five of every eight rows with a fault or an empty field."""
     rows = adapt_events(spark.read.parquet(table_path(sf_dir, "events")), "event_id")
     fault = F.col("event_id") % 8
     ts = F.when(fault == 0, F.concat(F.lit("x"), "timestamp")).otherwise(F.col("timestamp").cast("string"))
@@ -375,12 +541,10 @@ def q_csv_text_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.when(fault == 3, head).otherwise(full)
     path = scratch_path(spark, "text-csv")
     # one text column whose name is the header line; neither sign occurs in the data
-    rows.select(line.alias(",".join(RAW_COLUMNS))).write.option("header", True).option("sep", "\u0001").option(
-        "quote", "\u0002").csv(path)
-    messages = normalize_rows(read_events_text(spark, path))
-    return messages.select(
-        F.when(~F.col("ts_defaulted"), F.col("timestamp")).alias("timestamp"),
-        "visitorid", "event", "itemid", "transactionid", "ts_defaulted")
+    lines = rows.select(line.alias(",".join(RAW_COLUMNS)))
+    lines = lines.repartition(files) if files else lines
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "\u0002").csv(path)
+    return path
 
 
 def _raw_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -436,6 +600,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip_results": q_csv_roundtrip_results,
     "csv_roundtrip_daily": q_csv_roundtrip_daily,
     "dashboard_batch_funnel": q_dashboard_batch_funnel,
+    "batch_job_after_failed_run": q_batch_job_after_failed_run,
     "parquet_roundtrip_results": q_parquet_roundtrip_results,
     "batch_job_total": q_batch_job_total,
     "stream_snapshot_complete": q_stream_snapshot_complete,
@@ -447,6 +612,13 @@ QUERIES: dict[str, Query] = {
     "stream_late_append": q_stream_late_append,
     "stream_late_update": q_stream_late_update,
     "stream_late_complete": q_stream_late_complete,
+    "stream_replay_sliced": q_stream_replay_sliced,
+    "stream_snapshot_days": q_stream_snapshot_days,
+    "stream_batch_rows": q_stream_batch_rows,
+    "stream_recovered": q_stream_recovered,
+    "stream_resumed": q_stream_resumed,
+    "stream_publish_messages": q_stream_publish_messages,
+    "stream_publish_rejected": q_stream_publish_rejected,
     "quarantined_records": q_quarantined_records,
     "landed_distribution": q_landed_distribution,
     "count_policy_windows": q_count_policy_windows,

@@ -82,6 +82,10 @@ counted AS (
   SELECT window_start, window_start + INTERVAL 1 MINUTE AS window_end, event, count(*) AS event_count
   FROM placed, wm WHERE early OR window_start + INTERVAL 1 MINUTE > w GROUP BY 1, 2, 3)"""
 
+# The replay in four equal ranges of event time: the batch of each row.
+SLICED = """span AS (SELECT min("timestamp") AS lo, max("timestamp") - min("timestamp") + 1 AS width FROM ev),
+sliced AS (SELECT ev.*, CAST((("timestamp" - lo) * 4) // width AS INTEGER) AS slice FROM ev, span)"""
+
 JUNK = """junked AS (SELECT event_id, epoch_us(ts) // 1000 AS ms,
     CASE event_type WHEN 'click' THEN 'addtocart' WHEN 'purchase' THEN 'transaction' ELSE event_type END AS event
   FROM events)"""
@@ -184,6 +188,15 @@ GROUP BY itemid ORDER BY view_count DESC, itemid ASC NULLS FIRST LIMIT 20""",
     "csv_roundtrip_daily": f"""WITH {EV}, {ENR}
 SELECT event_date, count(DISTINCT visitorid) AS active_visitors FROM enr GROUP BY event_date""",
     "dashboard_batch_funnel": f"""WITH {EV}, {DIST} {_funnel("dist", '"count"')}""",
+    "batch_job_after_failed_run": f"""WITH {EV}, {ENR}, {DIST},
+top AS (SELECT itemid, count(*) AS view_count FROM ev WHERE event = 'view'
+  GROUP BY itemid ORDER BY view_count DESC, itemid ASC NULLS FIRST LIMIT 20),
+daily AS (SELECT event_date, count(DISTINCT visitorid) AS active_visitors FROM enr GROUP BY event_date),
+results AS (
+  SELECT 'top_items' AS result, itemid AS "key", view_count AS n FROM top
+  UNION ALL SELECT 'event_distribution', event, "count" FROM dist
+  UNION ALL SELECT 'daily_visitors', CAST(event_date AS VARCHAR), active_visitors FROM daily)
+SELECT f.format, results.* FROM results CROSS JOIN (VALUES ('parquet'), ('csv')) f(format)""",
     "parquet_roundtrip_results": f"""WITH {EV}, {DIST} SELECT event, "count" FROM dist""",
     "batch_job_total": f"""WITH {EV} SELECT count(*) AS total_events FROM ev""",
     "stream_snapshot_complete": f"""WITH {EV}, {MET} SELECT * FROM met""",
@@ -200,6 +213,28 @@ SELECT * FROM counted
 WHERE window_end <= (SELECT make_timestamp(max("timestamp") * 1000) - INTERVAL 2 MINUTE FROM ev)""",
     "stream_late_update": f"""WITH {EV}, {LATE} SELECT * FROM counted""",
     "stream_late_complete": f"""WITH {EV}, {MET} SELECT * FROM met""",
+    "stream_replay_sliced": f"""WITH {EV}, {MET}, {FIN} SELECT * FROM fin""",
+    "stream_snapshot_days": f"""WITH {EV}, {MET} SELECT * FROM met""",
+    "stream_batch_rows": f"""WITH {EV}, {SLICED}
+SELECT 'rows' AS query, CAST(dense_rank() OVER (ORDER BY slice) - 1 AS BIGINT) AS batch_id, count(*) AS rows,
+       make_timestamp(min("timestamp") * 1000) AS first_event, make_timestamp(max("timestamp") * 1000) AS last_event
+FROM sliced GROUP BY slice""",
+    "stream_recovered": f"""WITH {EV}, {MET} SELECT * FROM met""",
+    "stream_resumed": f"""WITH {EV}, {SLICED}
+SELECT slice AS batch_id, event, count(*) AS n FROM sliced GROUP BY 1, 2""",
+    "stream_publish_messages": """SELECT CASE WHEN event_id % 8 = 1 THEN '' ELSE CAST(user_id AS VARCHAR) END AS "key",
+       epoch_us(ts) // 1000 AS "timestamp",
+       CASE WHEN event_id % 8 = 1 THEN '' ELSE CAST(user_id AS VARCHAR) END AS visitorid,
+       CASE event_type WHEN 'click' THEN 'addtocart' WHEN 'purchase' THEN 'transaction' ELSE event_type END
+         || CASE WHEN event_id % 8 = 2 THEN ',x' ELSE '' END AS event,
+       CASE WHEN event_id % 8 <> 3 THEN json_extract_string(props, '$.k') END AS itemid,
+       CASE WHEN event_id % 8 <> 3 AND event_type = 'purchase' THEN CAST(event_id AS VARCHAR) END AS transactionid
+FROM events WHERE event_id % 8 <> 0""",
+    "stream_publish_rejected": """SELECT 'x' || (epoch_us(ts) // 1000) AS "timestamp", CAST(user_id AS VARCHAR) AS visitorid,
+       CASE event_type WHEN 'click' THEN 'addtocart' WHEN 'purchase' THEN 'transaction' ELSE event_type END AS event,
+       json_extract_string(props, '$.k') AS itemid,
+       CASE WHEN event_type = 'purchase' THEN CAST(event_id AS VARCHAR) ELSE '' END AS transactionid
+FROM events WHERE event_id % 8 = 0""",
     "quarantined_records": f"""WITH {JUNK}
 SELECT 'not json ' || event_id AS json_str, make_timestamp(ms * 1000) AS kafka_ts FROM junked WHERE event_id % 7 = 0""",
     "landed_distribution": f"""WITH {JUNK}

@@ -18,8 +18,8 @@ from eventflow.schemas import CORRUPT_COLUMN, ENVELOPE_SCHEMA, RAW_TEXT_SCHEMA
 from eventflow.session import scratch_path
 from eventflow.sinks.files import write_parquet
 from eventflow.sinks.kafka import write_kafka
-from eventflow.sources.files import delete_path, path_exists, read_events_csv
-from eventflow.streaming.queries import start_kafka_publish
+from eventflow.sources.files import delete_path, list_children, path_exists, read_events_csv
+from eventflow.streaming.outbox import start_publish
 
 
 def read_events_text(spark: SparkSession, path: str) -> DataFrame:
@@ -29,9 +29,24 @@ def read_events_text(spark: SparkSession, path: str) -> DataFrame:
     Spark's reader gives NULL for both.  Rows of the wrong length are told by the
     corrupt-record column; such a row has as many fields as it has commas outside
     quotes, and one more."""
+    return _fields_as_written(_text_reader(spark.read).csv(path))
+
+
+def read_events_text_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """:func:`read_events_text` for every CSV file dropped into ``folder``."""
+    reader = _text_reader(spark.readStream)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return _fields_as_written(reader.csv(folder))
+
+
+def _text_reader(reader):
     schema = T.StructType(RAW_TEXT_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
-    rows = (spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).schema(schema).csv(path))
+    return (reader.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).schema(schema))
+
+
+def _fields_as_written(rows: DataFrame) -> DataFrame:
     unquoted = F.regexp_replace(CORRUPT_COLUMN, '"[^"]*"', "")
     fields = F.coalesce(F.size(F.split(unquoted, ",", -1)), F.lit(len(RAW_TEXT_SCHEMA.fields)))
     fields = F.when(F.col(CORRUPT_COLUMN).isNull(), F.lit(len(RAW_TEXT_SCHEMA.fields))).otherwise(fields)
@@ -72,10 +87,7 @@ def replay_csv_to_files(spark: SparkSession, path: str, out: str, slices: int |
     Rows without a readable timestamp go to ``<out>/_rejected`` (hidden from readers).
 
     With ``slices`` the rows are cut into that many ranges of event time, staged in one
-    job, and appended to ``out`` range by range, ``files_per_slice`` files each.  A
-    stream that takes ``files_per_slice`` files a micro-batch replays history in order
-    on any store, since later slices are written later, and nothing falls behind the
-    watermark."""
+    job, and appended to ``out`` range by range (:func:`append_slices`)."""
     rows = read_events_csv(spark, path)
     messages = normalize_rows(rows, ingest_time=ms_to_instant("timestamp"))
     good, bad = split_defaulted(messages)
@@ -90,22 +102,37 @@ def replay_csv_to_files(spark: SparkSession, path: str, out: str, slices: int |
         number = number + (F.unix_millis("timestamp") >= F.lit(int(bound))).cast("int")
     staged = scratch_path(spark, "slices")
     write_parquet(envelopes.withColumn("slice", number), staged, partition_by=["slice"])
-    for k in range(slices):
-        if path_exists(spark, f"{staged}/slice={k}"):
-            part = spark.read.schema(ENVELOPE_SCHEMA).parquet(f"{staged}/slice={k}")
-            write_parquet(part.repartition(files_per_slice), out, mode="append")
+    append_slices(spark, staged, out, slices, files_per_slice)
     delete_path(spark, staged)
 
 
+def append_slices(spark: SparkSession, staged: str, out: str, slices: int, files_per_slice: int) -> None:
+    """Append the slices of ``staged`` (``slice=0`` ..) to ``out`` one after the other, each
+    written by ``files_per_slice`` tasks into exactly that many files (an empty slice into
+    none).  A stream that takes ``files_per_slice`` files a micro-batch gets one slice a
+    batch, in order on any store, since later slices are written later: no batch holds
+    part of a slice, so nothing falls behind the watermark."""
+
+    def n_files() -> int:
+        return sum(name.startswith("part-") for name, _ in list_children(spark, out))
+
+    for k in range(slices):
+        if not path_exists(spark, f"{staged}/slice={k}"):
+            continue
+        part = spark.read.schema(ENVELOPE_SCHEMA).parquet(f"{staged}/slice={k}")
+        there = n_files()
+        write_parquet(part.repartition(files_per_slice), out, mode="append")
+        for _ in range(there + files_per_slice - n_files()):  # tasks without rows wrote no file
+            write_parquet(spark.createDataFrame([], ENVELOPE_SCHEMA).coalesce(1), out, mode="append")
+
+
 def start_csv_publish_stream(spark: SparkSession, folder: str, bootstrap: str, topic: str, checkpoint: str,
-                             max_files_per_trigger: int | None = None, trigger: str | None = None):
-    """Stream every new CSV file dropped into ``folder`` to Kafka.  Rows without a
-    readable timestamp are left out; :func:`publish_csv` keeps them aside instead."""
-    reader = spark.readStream.option("header", True).option("enforceSchema", False).schema(RAW_TEXT_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    envelopes = to_envelope(split_defaulted(normalize_rows(reader.csv(folder)))[0])
-    return start_kafka_publish(envelopes, bootstrap, topic, checkpoint, trigger)
+                             max_files_per_trigger: int | None = None, trigger: str | None = None, outbox: str | None = None):
+    """Stream every new CSV file dropped into ``folder`` to Kafka through ``outbox``
+    (default: beside the checkpoint), which keeps the rows without a readable timestamp."""
+    rows = read_events_text_stream(spark, folder, max_files_per_trigger)
+    return start_publish(rows, outbox or f"{checkpoint.rstrip('/')}-outbox", checkpoint,
+                         lambda batch: write_kafka(batch, bootstrap, topic), trigger)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -121,11 +148,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--topic", default="events")
     ap.add_argument("--envelopes", help="write envelope parquet files here instead of Kafka")
     ap.add_argument("--slices", type=int, help="with --envelopes: that many ranges of event time, written in order")
+    ap.add_argument("--files-per-slice", type=int, default=8, help="files (and writing tasks) of a slice; also the number to replay a batch with")
     ap.add_argument("--rejected", help="with --kafka: folder for rows without a readable timestamp")
     args = ap.parse_args(argv)
     spark = build_spark("eventflow-producer")
     if args.envelopes:
-        replay_csv_to_files(spark, args.csv, args.envelopes, args.slices)
+        replay_csv_to_files(spark, args.csv, args.envelopes, args.slices, args.files_per_slice)
     elif args.kafka:
         publish_csv(spark, args.csv, args.kafka, args.topic, args.rejected)
     else:

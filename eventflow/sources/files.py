@@ -120,13 +120,22 @@ def read_result_folder(spark: SparkSession, folder: str, schema: T.StructType) -
     """
     if not any(name.startswith("part-") and name.endswith(".csv") for name, _ in list_children(spark, folder)):
         return spark.createDataFrame([], schema)
+    return read_result_files(spark, [folder], schema)
+
+
+def read_result_files(spark: SparkSession, folders: list[str], schema: T.StructType, **options) -> DataFrame:
+    """The ``part-*.csv`` files of several folders as one table, typed like
+    :func:`read_result_folder`; without folders an empty one."""
+    if not folders:
+        return spark.createDataFrame([], schema)
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     raw = (
         spark.read.option("header", True)
         .option("pathGlobFilter", "part-*.csv")
         .option("enforceSchema", False)
+        .options(**options)
         .schema(text_schema)
-        .csv(folder)
+        .csv(folders)
     )
     cols = []
     for f in schema.fields:

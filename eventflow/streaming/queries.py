@@ -39,6 +39,10 @@ DEFAULT_TRIGGERS = {
 }
 
 
+# Spark's default, spelled out: a writer's trigger() takes no empty setting.
+BACK_TO_BACK = {"processingTime": "0 seconds"}
+
+
 @contextmanager
 def state_partitions_for_start(spark: SparkSession, n: int | None) -> Iterator[None]:
     """Start a stateful query with ``n`` state partitions.  The number is read from
@@ -85,7 +89,7 @@ def start_metric_append(metric: DataFrame, path: str, checkpoint: str, trigger:
     State of a window is dropped when it is emitted, so state stays bounded."""
     w = (metric.writeStream.outputMode("append").format("parquet")
          .option("path", path).option("checkpointLocation", checkpoint)
-         .trigger(**trigger_kwargs(trigger)))
+         .trigger(**(trigger_kwargs(trigger) or BACK_TO_BACK)))
     return _start(w, metric.sparkSession, name, state_partitions)
 
 
@@ -130,7 +134,7 @@ def start_metric_snapshot(metric: DataFrame, folder: str, checkpoint: str, trigg
     w = (metric.writeStream.outputMode("complete")
          .foreachBatch(snapshot_writer(folder, keep=keep, single_file=single_file))
          .option("checkpointLocation", checkpoint)
-         .trigger(**trigger_kwargs(trigger)))
+         .trigger(**(trigger_kwargs(trigger) or BACK_TO_BACK)))
     return _start(w, metric.sparkSession, name, state_partitions)
 
 
@@ -153,7 +157,7 @@ def start_metric_updates(metric: DataFrame, path: str, checkpoint: str, trigger:
     w = (metric.writeStream.outputMode("update")
          .foreachBatch(update_log_writer(path))
          .option("checkpointLocation", checkpoint)
-         .trigger(**trigger_kwargs(trigger)))
+         .trigger(**(trigger_kwargs(trigger) or BACK_TO_BACK)))
     return _start(w, metric.sparkSession, name, state_partitions)
 
 
@@ -172,7 +176,7 @@ def start_console(metric: DataFrame, checkpoint: str, trigger: str | None = "20
     w = (metric.writeStream.outputMode("update").format("console")
          .option("truncate", "false").option("numRows", num_rows)
          .option("checkpointLocation", checkpoint)
-         .trigger(**trigger_kwargs(trigger)))
+         .trigger(**(trigger_kwargs(trigger) or BACK_TO_BACK)))
     return _start(w, metric.sparkSession, None, state_partitions)
 
 
@@ -189,7 +193,7 @@ def start_archive(parsed: DataFrame, path: str, checkpoint: str, trigger: str |
     w = out.writeStream.outputMode("append").format("parquet")
     if partition_by_date:
         w = w.partitionBy("event_date")
-    w = w.option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger_kwargs(trigger))
+    w = w.option("path", path).option("checkpointLocation", checkpoint).trigger(**(trigger_kwargs(trigger) or BACK_TO_BACK))
     return w.start(queryName=name) if name else w.start()
 
 
@@ -197,7 +201,7 @@ def start_quarantine(raw: DataFrame, path: str, checkpoint: str, trigger: str |
     """Records with no readable field, kept as text with their broker time."""
     return (malformed_records(raw).writeStream.outputMode("append").format("parquet")
             .option("path", path).option("checkpointLocation", checkpoint)
-            .trigger(**trigger_kwargs(trigger)).start())
+            .trigger(**(trigger_kwargs(trigger) or BACK_TO_BACK)).start())
 
 
 LANDED_SCHEMA = T.StructType(
@@ -225,7 +229,7 @@ def start_landing(raw: DataFrame, path: str, checkpoint: str, trigger: str | Non
         by.append("event_date")
     return (out.writeStream.outputMode("append").format("parquet").partitionBy(*by)
             .option("path", path).option("checkpointLocation", checkpoint)
-            .trigger(**trigger_kwargs(trigger)).start())
+            .trigger(**(trigger_kwargs(trigger) or BACK_TO_BACK)).start())
 
 
 def read_landed_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -242,7 +246,7 @@ def start_kafka_publish(envelopes: DataFrame, bootstrap: str, topic: str, checkp
     return (envelopes.select("key", "value").writeStream.format("kafka")
             .options(**kafka_sink_options(bootstrap, topic, **options))
             .option("checkpointLocation", checkpoint)
-            .trigger(**trigger_kwargs(trigger)).start())
+            .trigger(**(trigger_kwargs(trigger) or BACK_TO_BACK)).start())
 
 
 def start_all(raw: DataFrame, out: dict[str, str], checkpoints: str, triggers: dict[str, str | None] | None = None,

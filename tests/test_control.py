@@ -1,0 +1,140 @@
+"""Stopping between batches, restarts after failures, stored batch records."""
+
+import time
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from eventflow.streaming import control as ctl
+
+
+def _source(spark, path, files):
+    """One file of numbers per batch, the k-th holding k + 1 rows."""
+    for k in range(files):
+        spark.range(k + 1).select((F.col("id") + 100 * k).alias("n")).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.02)  # files are taken by modification time
+
+
+def _stream(spark, path):
+    return spark.readStream.schema("n long").option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def _appender(out):
+    def write(df, batch_id):
+        df.select("n", F.lit(batch_id).alias("batch")).write.mode("append").parquet(out)
+
+    return write
+
+
+def _rows(spark, out):
+    return sorted((r.batch, r.n) for r in spark.read.parquet(out).collect())
+
+
+EXPECTED = [(k, 100 * k + i) for k in range(5) for i in range(k + 1)]
+
+
+@pytest.mark.parametrize("stops", [(2, None), (1, 1, 1, None), (4, None), (5, None)])
+def test_stop_in_backlog_and_resume(spark, tmp_path, stops):
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+    _source(spark, src, 5)
+    written, ended = [], []
+    for after in stops:
+        gate = ctl.StopGate(after)
+        ended.append(ctl.run_to_end(ctl.start_batches(_stream(spark, src), gate.guard(_appender(out)), ck, "availableNow")))
+        written += gate.written
+    assert written == [0, 1, 2, 3, 4] and _rows(spark, out) == EXPECTED
+    assert ended[-1] and (stops[0] == 5 or not any(ended[:-1]))
+
+
+def test_stop_while_batches_follow_each_other(spark, tmp_path):
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+    _source(spark, src, 5)
+    gate = ctl.StopGate()
+    slow = _appender(out)
+
+    def write(df, batch_id):
+        slow(df, batch_id)
+        time.sleep(0.3)
+
+    query = ctl.start_batches(_stream(spark, src), gate.guard(write), ck, None)
+    while not gate.written:
+        time.sleep(0.05)
+    gate.stop(query)
+    assert not query.isActive and 0 < len(gate.written) < 5
+    assert {b for b, _ in _rows(spark, out)} == set(gate.written)  # nothing begun and cut short
+    ctl.run_to_end(ctl.start_batches(_stream(spark, src), _appender(out), ck, "availableNow"))
+    assert _rows(spark, out) == EXPECTED
+
+
+def test_stop_when_idle_and_own_errors(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    _source(spark, src, 1)
+    gate = ctl.StopGate()
+    query = ctl.start_batches(_stream(spark, src), gate.guard(_appender(out)), str(tmp_path / "ck"), "1 second")
+    query.processAllAvailable()
+    gate.stop(query)
+    assert not query.isActive and query.exception() is None
+
+    def broken(df, batch_id):
+        raise OSError("disk")
+
+    gate = ctl.StopGate()
+    query = ctl.start_batches(_stream(spark, src), gate.guard(broken), str(tmp_path / "ck2"), None)
+    with pytest.raises(StreamingQueryException):
+        query.awaitTermination()
+    with pytest.raises(StreamingQueryException, match="disk"):
+        gate.stop(query)
+    with pytest.raises(StreamingQueryException, match="disk"):
+        ctl.run_to_end(ctl.start_batches(_stream(spark, src), broken, str(tmp_path / "ck3"), "availableNow"))
+
+
+def test_restarts_until_done_and_give_up(spark, tmp_path):
+    src, out, ck = (str(tmp_path / n) for n in ("src", "out", "ck"))
+    _source(spark, src, 5)
+    faults, seen = {1, 2, 4}, []
+    write = _appender(out)
+
+    def flaky(df, batch_id):
+        if batch_id in faults:
+            faults.discard(batch_id)
+            raise OSError(f"batch {batch_id}")
+        write(df, batch_id)
+
+    # one restart at a time is enough: each is followed by progress
+    ctl.run_with_restarts(lambda: ctl.start_batches(_stream(spark, src), flaky, ck, "availableNow"), restarts=1, on_failure=seen.append)
+    assert len(seen) == 3 and _rows(spark, out) == EXPECTED
+
+    def poisoned(df, batch_id):
+        if batch_id == 2:
+            raise OSError("poison")
+
+    tries = []
+    with pytest.raises(StreamingQueryException, match="poison"):
+        ctl.run_with_restarts(lambda: ctl.start_batches(_stream(spark, src), poisoned, str(tmp_path / "ck2"), "availableNow"), 2, on_failure=tries.append)
+    assert len(tries) == 2  # two restarts, neither with progress
+
+    gate = ctl.StopGate(1)
+    with pytest.raises(StreamingQueryException, match="gate"):
+        ctl.run_with_restarts(lambda: ctl.start_batches(_stream(spark, src), gate.guard(write), str(tmp_path / "ck3"), "availableNow"))
+
+
+def test_progress_records(spark, tmp_path):
+    src, progress, ck = (str(tmp_path / n) for n in ("src", "progress", "ck"))
+    assert ctl.read_progress(spark, progress).collect() == []
+    _source(spark, src, 3)
+    timed = _stream(spark, src).withColumn("at", F.timestamp_seconds("n"))
+    failed = []
+
+    def write(df, batch_id):
+        df.write.mode("overwrite").parquet(str(tmp_path / f"out-{batch_id}"))
+        if batch_id == 1 and not failed:
+            failed.append(1)
+            raise OSError("once")
+
+    sink = ctl.recording(write, progress, "numbers", "at")
+    ctl.run_with_restarts(lambda: ctl.start_batches(timed, sink, ck, "availableNow"))
+    ctl.run_to_end(ctl.start_batches(_stream(spark, src), ctl.recording(write, progress, "untimed"), str(tmp_path / "ck2"), "availableNow"))
+    rows = sorted(tuple(r) for r in ctl.read_progress(spark, progress).select(
+        "query", "batch_id", "rows", F.unix_seconds("first_event"), F.unix_seconds("last_event")).collect())
+    assert rows == [("numbers", k, k + 1, 100 * k, 101 * k) for k in range(3)] + [("untimed", k, k + 1, None, None) for k in range(3)]
