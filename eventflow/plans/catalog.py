@@ -132,6 +132,13 @@ def q_event_totals_from_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.event_totals(_metric(spark, sf_dir))
 
 
+def q_live_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Display text of the live KPIs and of the funnel's rates."""
+    view = live_view(_metric(spark, sf_dir))
+    rows = view["kpi_labels"].unionByName(view["funnel_labels"], allowMissingColumns=True)
+    return rows.groupBy().agg(*[F.max(c).alias(c) for c in rows.columns])
+
+
 def q_funnel_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fn.funnel(_metric(spark, sf_dir), "event_count")
 
@@ -520,6 +527,28 @@ def q_csv_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utc_wall_clock(dataset_coverage(spark, _raw_as_csv(spark, sf_dir)))
 
 
+def q_coverage_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of the table as CSV, of a file with a header only, of one with another
+    header and of none: each a status, none an error."""
+    good = _raw_as_csv(spark, sf_dir)
+    empty, other = scratch_path(spark, "empty-csv"), scratch_path(spark, "other-csv")
+    write_csv(read_events_csv(spark, good).limit(0).coalesce(1), empty)
+    _raw(spark, sf_dir).select(F.col("event").alias("something"), F.col("visitorid").alias("else")).write.option("header", True).csv(other)
+    paths = {"good": good, "empty": empty, "other": other, "none": scratch_path(spark, "no-csv")}
+    return reduce(DataFrame.unionByName, [
+        dataset_coverage(spark, path).select(F.lit(name).alias("input"), "n_events", F.substring_index("source", ":", 1).alias("source"))
+        for name, path in paths.items()])
+
+
+def q_batch_input_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job over candidates of which the first does not exist: the second is
+    taken, whatever the third holds."""
+    first, second, third = scratch_path(spark, "no-input"), _raw_as_csv(spark, sf_dir), scratch_path(spark, "part-csv")
+    write_csv(_raw(spark, sf_dir).filter("event = 'view'"), third)
+    res = run_batch_job(spark, ["", first, second, third], scratch_path(spark, "choice"))
+    return res.total_events().withColumn("taken", F.lit([first, second, third].index(res.input_path) + 1))
+
+
 def q_csv_text_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV text with unreadable numbers, empty fields, short rows and quoted commas ->
     normalised messages (the time of defaulted rows, which is now, is left out)."""
@@ -590,6 +619,7 @@ QUERIES: dict[str, Query] = {
     "last_n_windows_odd_names": q_last_n_windows_odd_names,
     "last_n_windows_maps": q_last_n_windows_maps,
     "event_totals_from_windows": q_event_totals_from_windows,
+    "live_labels": q_live_labels,
     "funnel_live": q_funnel_live,
     "funnel_batch": q_funnel_batch,
     "normalize_events": q_normalize_events,
@@ -623,6 +653,8 @@ QUERIES: dict[str, Query] = {
     "landed_distribution": q_landed_distribution,
     "count_policy_windows": q_count_policy_windows,
     "csv_coverage": q_csv_coverage,
+    "csv_coverage_states": q_coverage_states,
+    "batch_job_input_choice": q_batch_input_choice,
     "csv_text_messages": q_csv_text_messages,
     "null_event_distribution": q_null_event_distribution,
     "null_daily_visitors": q_null_daily_visitors,

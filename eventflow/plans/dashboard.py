@@ -15,12 +15,15 @@ from eventflow.operators import live
 from eventflow.plans.batch import load_csv_results, show_all
 from eventflow.schemas import METRIC_SCHEMA
 from eventflow.sources.files import path_exists, read_events_csv, read_latest_snapshot, read_parquet_result
+from eventflow.streaming.snapshots import day_files, read_day_snapshot
 
 COVERAGE_SCHEMA = "min_ts timestamp, max_ts timestamp, n_events long, source string"
 
 
 def load_stream_metric(spark: SparkSession, folder: str) -> DataFrame:
-    """The latest metric snapshot, oldest window first; empty if none yet."""
+    """The latest metric snapshot, of either kind, oldest window first; empty if none yet."""
+    if day_files(spark, folder):
+        return read_day_snapshot(spark, folder).orderBy("window_start")
     return read_latest_snapshot(spark, folder, METRIC_SCHEMA).orderBy("window_start")
 
 

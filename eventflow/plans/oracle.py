@@ -158,6 +158,12 @@ FROM grid GROUP BY window_start""",
     "event_totals_from_windows": f"""WITH {EV}, {MET}
 SELECT event, CAST(sum(event_count) AS BIGINT) AS event_count FROM met
 WHERE event IS NOT NULL GROUP BY event""",
+    "live_labels": f"""WITH {EV}, {MET}, k AS ({KPIS}), f AS ({_funnel("met", "event_count")})
+SELECT format('{{:,}}', events_latest) AS events_latest, format('{{:,}}', total_events) AS total_events,
+       CAST(event_types AS VARCHAR) AS event_types,
+       printf('%.2f %%', view_to_cart) AS view_to_cart, printf('%.2f %%', cart_to_tx) AS cart_to_tx,
+       printf('%.2f %%', overall) AS overall
+FROM k, f""",
     "funnel_live": f"""WITH {EV}, {MET} {_funnel("met", "event_count")}""",
     "funnel_batch": f"""WITH {EV}, {DIST} {_funnel("dist", '"count"')}""",
     "normalize_events": f"""WITH {EV}
@@ -248,6 +254,9 @@ FROM junked GROUP BY 1, 2, 3""",
 SELECT make_timestamp(min("timestamp") * 1000) AS min_ts, make_timestamp(max("timestamp") * 1000) AS max_ts,
        count("timestamp") AS n_events, CASE WHEN count("timestamp") > 0 THEN 'csv' ELSE 'empty' END AS source
 FROM ev""",
+    "csv_coverage_states": """SELECT 'good' AS input, count(ts) AS n_events, 'csv' AS source FROM events
+UNION ALL VALUES ('empty', 0, 'empty'), ('other', 0, 'error'), ('none', 0, 'missing')""",
+    "batch_job_input_choice": "SELECT count(*) AS total_events, 2 AS taken FROM events",
     "csv_text_messages": """SELECT CASE WHEN event_id % 8 <> 0 THEN epoch_us(ts) // 1000 END AS "timestamp",
        CASE WHEN event_id % 8 = 1 THEN '' ELSE CAST(user_id AS VARCHAR) END AS visitorid,
        CASE event_type WHEN 'click' THEN 'addtocart' WHEN 'purchase' THEN 'transaction' ELSE event_type END

@@ -22,19 +22,23 @@ from eventflow.streaming.queries import (
     start_metric_append,
     start_metric_snapshot,
 )
+from eventflow.streaming.snapshots import start_day_snapshot
 from eventflow.streaming.sources import read_envelope_stream, read_kafka_stream, read_message_files
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def sink_paths(out_dir: str, console: bool = False, snapshot: bool = False) -> dict[str, str]:
+def sink_paths(out_dir: str, console: bool = False, snapshot: bool = False, day_snapshot: bool = False) -> dict[str, str]:
     """The default sinks: ``landing`` (archive and quarantine, one parse) and ``metric``
-    (finalised windows, bounded state).  The complete-mode snapshot keeps every window
-    in state for ever and is started on request only."""
+    (finalised windows, bounded state).  On request: ``day_snapshot``, the CSV snapshot
+    with open windows, of which a trigger rewrites the changed days; ``snapshot``, the
+    complete-mode one, which keeps every window in state for ever."""
     base = out_dir.rstrip("/")
     paths = {"landing": f"{base}/raw-events", "metric": f"{base}/events_per_minute"}
     if snapshot:
         paths["snapshot"] = f"{base}/snapshot/events_per_minute"
+    if day_snapshot:
+        paths["day_snapshot"] = f"{base}/day-snapshot/events_per_minute"
     if console:
         paths["console"] = "-"
     return paths
@@ -43,21 +47,21 @@ def sink_paths(out_dir: str, console: bool = False, snapshot: bool = False) -> d
 def run_streaming_job(spark: SparkSession, envelopes: DataFrame, out_dir: str, checkpoints: str,
                       available_now: bool = False, console: bool = False, snapshot: bool = False,
                       wait: bool = True, timeout_s: float | None = None, state_partitions: int | None = None,
-                      archive_by_date: bool = False):
+                      archive_by_date: bool = False, day_snapshot: bool = False):
     """Land the envelopes once and start the other sinks on what has landed; with
     ``wait``, block until any query ends (the job's life ends with its first failing
     query; restart resumes from the checkpoints).  ``available_now`` processes the
     backlog sink after sink and always waits.  A wait longer than ``timeout_s`` is an
     error; the queries go on."""
     triggers = {k: ("availableNow" if available_now else v) for k, v in DEFAULT_TRIGGERS.items()}
-    paths = sink_paths(out_dir, console, snapshot)
+    paths = sink_paths(out_dir, console, snapshot, day_snapshot)
     base = checkpoints.rstrip("/")
     spark.streams.resetTerminated()  # the wait is for this job's queries, not for earlier ones
     queries = {"landing": start_landing(envelopes, paths["landing"], f"{base}/landing", triggers["landing"], archive_by_date)}
     if available_now:
         _await(queries["landing"], timeout_s)
     metric = metric_stream(read_landed_stream(spark, paths["landing"]))
-    starters = {"metric": start_metric_append, "snapshot": start_metric_snapshot,
+    starters = {"metric": start_metric_append, "snapshot": start_metric_snapshot, "day_snapshot": start_day_snapshot,
                 "console": lambda m, _, c, t, state_partitions: start_console(m, c, t, state_partitions=state_partitions)}
     for sink in [s for s in paths if s != "landing"]:
         queries[sink] = starters[sink](metric, paths[sink], f"{base}/{sink}", triggers[sink], state_partitions=state_partitions)
@@ -86,6 +90,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--available-now", action="store_true")
     ap.add_argument("--console", action="store_true")
     ap.add_argument("--snapshot", action="store_true", help="also rewrite the whole metric as CSV (complete mode, unbounded state)")
+    ap.add_argument("--day-snapshot", action="store_true", help="also keep the metric as CSV by days; a trigger rewrites the days it changed")
     ap.add_argument("--rocksdb", action="store_true", help="RocksDB state store for large state")
     ap.add_argument("--archive-by-date", action="store_true", help="partition the raw archive by UTC event date")
     ap.add_argument("--state-partitions", type=int, help="state partitions of the metric queries (fixed at first start)")
@@ -114,7 +119,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         ap.error("give --kafka, --envelopes or --messages")
     run_streaming_job(spark, envelopes, args.out, args.checkpoints, args.available_now, args.console, args.snapshot,
-                      state_partitions=args.state_partitions, archive_by_date=args.archive_by_date)
+                      state_partitions=args.state_partitions, archive_by_date=args.archive_by_date, day_snapshot=args.day_snapshot)
 
 
 if __name__ == "__main__":

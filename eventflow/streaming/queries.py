@@ -31,6 +31,7 @@ from eventflow.sources.files import list_children, make_folder
 DEFAULT_TRIGGERS = {
     "console": "20 seconds",
     "snapshot": "15 seconds",
+    "day_snapshot": "15 seconds",
     "metric": "30 seconds",
     "archive": "30 seconds",
     "quarantine": "30 seconds",

@@ -137,3 +137,15 @@ def test_stop_and_resume(spark, tmp_path):
     assert len(day_files(spark, snap)) == 2
     assert run_to_end(start_day_snapshot(_metric(spark, src), snap, ck, "availableNow"))
     assert _key(read_day_snapshot(spark, snap)) == _key(events_per_window(with_event_ts(raw_rows(spark, rows))))
+
+
+def test_streaming_job_and_dashboard_read_it(spark, tmp_path):
+    from eventflow.plans.dashboard import load_stream_metric
+    from eventflow.plans.streaming_job import run_streaming_job
+
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    rows = _day_rows(0, 20) + _day_rows(1, 20)
+    _append(spark, src, rows)
+    run_streaming_job(spark, read_envelope_stream(spark, src), out, str(tmp_path / "ck"), available_now=True, day_snapshot=True)
+    shown = load_stream_metric(spark, f"{out}/day-snapshot/events_per_minute")
+    assert _key(shown) == _key(events_per_window(with_event_ts(raw_rows(spark, rows))))
