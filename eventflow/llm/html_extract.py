@@ -9,8 +9,8 @@ link characters LC and link tags LT; its composite text density is
 density sum adds its children's densities and the text it holds directly.  The
 threshold is the least density on the path from the body to the node of the greatest
 sum; in every subtree that reaches the threshold the node of the greatest sum is
-content, and the smallest subtree that holds all content is the article.  Blocks inside
-it that are below the threshold and mostly links are left out.  Elements that are never
+content, and the smallest subtree that holds all content is the article.  Blocks at its
+beginning and end that are below the threshold and mostly links are left out.  Elements that are never
 text (scripts, controls, hidden ones) do not count at all, nor do menus, headers, footers
 and asides.  Names of classes, ids and roles (sidebars, adverts, notices, widgets,
 comments) and forms only mark what is likely not the article: a name whose marks cover
@@ -20,6 +20,7 @@ most of the page's text outside links is not heeded on that page.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from math import e, log
 
@@ -51,6 +52,11 @@ AWAY = re.compile(
     r"masthead|cookies?|consent|gdpr|notices?|notifications?|alerts?|popup|modal|overlay|newsletter|subscribe|signup|login|"
     r"comments?|disqus|respond|responses?|replies|reply|related|recommend\w*|share|sharing|social|toolbar|pagination|pager|"
     r"skip|widgets?|search|contentinfo|complementary|dialog|hidden", re.I)
+# words beside such a first word that leave it what it is (share-buttons, not share-prices)
+PLACES = re.compile(
+    r"\d+|top|bottom|left|right|upper|lower|main|primary|secondary|site|page|post|box|area|blocks?|list|wrap\w*|container|"
+    r"inner|outer|content|section|bar|links?|buttons?|icons?|items?|slot|unit|holder|panel|column|col|row|form|field|text|"
+    r"title|body|count|thread|law|policy|info|message|msg|close|toggle|label|posts?|stories|articles?|desktop|mobile", re.I)
 FORMS = frozenset(("form", "fieldset"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 # marks of texts of their own, which may well be longer than a short article
@@ -59,12 +65,62 @@ APART = re.compile(
     r"newsletter|subscribe|comments?|disqus|respond|responses?|replies|reply", re.I)
 ABOUT = frozenset("no has with without is".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|$)", re.S)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+STOP = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 SPACE = re.compile(r"[ \t\n\r\f\v   -     　\x1c-\x1f\x85]+")
 
 
+class Tags:
+    """Reads a page's markup from left to right, each character a bounded number of times
+    however broken it is: where no tag ends any more, or a quote was found to lead
+    nowhere, is remembered."""
+
+    def __init__(self, html: str):
+        self.html, self.last = html, html.rfind(">")
+        self.dead: set[int] = set()  # quotes from which no tag's end is reached
+        self.near = (0, -1)  # from a place in here on, the next > or quote is at its end
+
+    def end_of_tag(self, at: int) -> int:
+        """Where the ``>`` is that ends a tag, quoted values passed over; -1 if nowhere."""
+        html, seen = self.html, []
+        while at <= self.last:
+            if not self.near[0] <= at <= self.near[1]:
+                self.near = (at, STOP.search(html, at).start())  # there is a > at least
+            stop = self.near[1]
+            if html[stop] == ">":
+                return stop
+            if stop in self.dead:
+                break
+            seen.append(stop)
+            at = html.find(html[stop], stop + 1) + 1
+            if not at:
+                break
+        self.dead.update(seen)
+        return -1
+
+    def after(self, at: int):
+        """The next piece of markup from ``at`` on: (begin, end, is an end tag, name,
+        attributes), the name None for comments and the like; None if there is no more.
+        A ``<`` that begins nothing is text."""
+        html = self.html
+        while (begin := html.find("<", at)) >= 0:
+            if html.startswith("<!--", begin):
+                end = html.find("-->", begin + 4)
+                return begin, end + 3 if end >= 0 else len(html), False, None, ""
+            closes = html.startswith("/", begin + 1)
+            name = NAME.match(html, begin + 1 + closes)
+            if name:
+                end = self.end_of_tag(name.end())
+                if end >= 0:
+                    return begin, end + 1, closes, name[0], html[name.end() : end]
+            if html[begin + 1 : begin + 2] in ("!", "?", "/"):
+                end = html.find(">", begin) if begin < self.last else -1
+                return begin, end + 1 if end >= 0 else len(html), False, None, ""
+            at = begin + 1
+        return None
+
+
 class Node:
     __slots__ = ("tag", "parent", "items", "away", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
@@ -95,9 +151,10 @@ def mark(tag: str, attributes: str) -> bool | str:
         for token in value.strip("\"'").split():
             words = re.findall(r"[A-Z]?[a-z]+|[A-Z]+", token)
             if words and not ABOUT.intersection(w.lower() for w in words):
-                for word in (words[0], words[-1]):
-                    if AWAY.fullmatch(word):
-                        return word.lower()
+                if AWAY.fullmatch(words[-1]):
+                    return words[-1].lower()
+                if AWAY.fullmatch(words[0]) and all(PLACES.fullmatch(w) or AWAY.fullmatch(w) for w in words[1:]):
+                    return words[0].lower()
     return False
 
 
@@ -147,63 +204,77 @@ def parse(html: str) -> Node:
     """The tree of a page.  End tags close up to their element; unclosed paragraphs,
     list items and cells end where the next begins; a lone ``<`` is text."""
     root = node = Node("html", None, False)
-    at = 0
-    for m in TOKEN.finditer(html):
-        begin, end = m.span()
-        if begin < at:
-            continue  # inside a raw element
+    at, tags, opened = 0, Tags(html), Counter()
+
+    def close(up: Node) -> Node:
+        """End every open element up to and with ``up``."""
+        inner = node
+        while inner is not up.parent:
+            opened[inner.tag] -= 1
+            inner = inner.parent
+        return up.parent
+
+    while (token := tags.after(at)) is not None:
+        begin, end, closes, tag, attributes = token
         if begin > at:
             node.items.append(html[at:begin])
         at = end
-        tag = m[2]
         if tag is None:
             continue
         tag = tag.lower()
-        if m[1]:
+        if closes:
+            if opened[tag] <= 0:
+                continue
             up = node
             while up.parent is not None and up.tag != tag:
                 if tag not in BLOCKS and up.tag in BLOCKS:
                     break  # an inline end tag does not close blocks
                 up = up.parent
             if up.tag == tag and up.parent is not None:
-                node = up.parent
+                node = close(up)
             continue
-        attributes = m[3]
         if tag == "html":
             continue
         if tag == "body":
             # the body begins: whatever of the head is still open ends
             node = root
+            opened.clear()
         elif tag in BLOCKS:
             if node.tag == "head":
-                node = node.parent
+                node = close(node)
             # a block ends an open paragraph; its inline elements end with it
             up = node
             while up.tag not in BLOCKS and up.parent is not None:
                 up = up.parent
             if up.tag == "p":
-                node = up.parent
+                node = close(up)
             for closed in CLOSES.get(tag, ()):
+                if opened[closed] <= 0:
+                    continue
                 up = node
                 while up.parent is not None and up.tag != closed and (up.tag not in SCOPES or up.tag in CLOSES.get(tag, ())):
                     up = up.parent
                 if up.tag == closed:
-                    node = up.parent
-        child = Node(tag, node, mark(tag, attributes))
+                    node = close(up)
+        # the header of an article holds its title
+        own = tag == "header" and opened["article"] > 0 and not _hidden(attributes)
+        child = Node(tag, node, False if own else mark(tag, attributes))
         node.items.append(child)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS and tag not in RAW:
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*/?>|</{re.escape(tag)}\s", re.I).search(html, at)
-            if tag != "plaintext" and close:
-                child.items.append(html[at : close.start()])
-                at = html.find(">", close.start()) + 1 or len(html)
+            ends = re.compile(rf"</{re.escape(tag)}\s*/?>|</{re.escape(tag)}\s", re.I).search(html, at)
+            if tag != "plaintext" and ends:
+                child.items.append(html[at : ends.start()])
+                at = html.find(">", ends.start()) + 1 or len(html)
             else:
                 at = len(html)
             continue
         node = child
+        opened[tag] += 1
     if at < len(html):
-        node.items.append(re.sub(r"<[a-zA-Z!/?][^>]*$", "", html[at:]))  # a tag cut off at the end is no text
+        cut = re.compile(r"<[a-zA-Z!/?]").search(html, max(at, tags.last + 1))  # a tag cut off at the end is no text
+        node.items.append(html[at : cut.start() if cut else len(html)])
     return root
 
 
@@ -298,15 +369,19 @@ def _path(node: Node) -> list[Node]:
 
 
 def blocks(root: Node, threshold: float) -> list[str]:
-    out: list[str] = []
+    """The texts of the blocks.  Blocks below the threshold that are mostly links are left
+    out where they lead in or out of the article (menus, further reading), not between its
+    texts nor right under a heading of it (a list of references)."""
+    out: list[tuple[str, str]] = []  # kind (text, heading or links) and text
     parts: list[str] = []
+    kinds = ["text"]
 
     def flush():
         if parts:
             text = SPACE.sub(" ", unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                out.append(text)
+                out.append((kinds[-1], text))
 
     # explicit stack: pages may nest deeper than Python's recursion limit
     stack: list = [root]
@@ -314,6 +389,7 @@ def blocks(root: Node, threshold: float) -> list[str]:
         item = stack.pop()
         if item is None:
             flush()
+            kinds.pop()
         elif isinstance(item, str):
             parts.append(item)
         elif item.away and item is not root:
@@ -326,13 +402,18 @@ def blocks(root: Node, threshold: float) -> list[str]:
             mostly_links = item is not root and item.tag in BLOCKS and item.chars and item.density < threshold and 2 * item.link_chars > item.chars
             if item.tag in BLOCKS:
                 flush()
-            if mostly_links:
-                continue
-            if item.tag in BLOCKS:
+                kinds.append("links" if mostly_links or kinds[-1] == "links" else "heading" if item.tag in HEADINGS else "text")
                 stack.append(None)
             stack.extend(reversed(item.items))
     flush()
-    return out
+    first, last = 0, len(out)
+    while first < last and out[first][0] == "links":
+        first += 1
+    while last > first and out[last - 1][0] == "links":
+        last -= 1
+    if last > first and out[last - 1][0] == "heading":
+        last = len(out)
+    return [text for _, text in out[first:last]]
 
 
 def extract(html: str | None) -> str:

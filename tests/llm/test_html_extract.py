@@ -1,8 +1,12 @@
+import random
 import re
+import time
 from html import unescape
+from math import e, isclose, log
 
 import pytest
 
+from eventflow.llm import html_extract as he
 from eventflow.llm.html_extract import extract, extract_pages
 from tests.conftest import SF_SMALL
 
@@ -78,3 +82,111 @@ def test_odd_pages(spark):
 ])
 def test_names_only_mark(body, want):
     assert extract(page(body)) == "\n\n".join(want)
+
+
+LINKED = "<p>See <a href=/x>The very long title of another work that this one cites at length</a></p>"
+
+
+@pytest.mark.parametrize("inner, want", [
+    (f"<h1>Title</h1><p>{TEXT}</p>{LINKED}<p>{TEXT}</p>",
+     ["Title", TEXT.strip(), "See The very long title of another work that this one cites at length", TEXT.strip()]),
+    (ARTICLE + "<h2>References</h2><ul><li><a href=/1>First work cited here</a><li><a href=/2>Second work cited here</a></ul>",
+     [*WANT, "References", "First work cited here", "Second work cited here"]),
+    (f"<h1>Title</h1><p>{TEXT}</p><blockquote>A word. <a href=/s>The source of the word quoted above</a></blockquote><p>{TEXT}</p>",
+     ["Title", TEXT.strip(), "A word. The source of the word quoted above", TEXT.strip()]),
+    (ARTICLE + "<ul><li><a href=/1>Further story one</a><li><a href=/2>Further story two</a></ul>", WANT),
+    (f"<h1>Title</h1><div id=share-prices><p>{TEXT}</p></div><p>{TEXT}</p>", WANT),
+    (ARTICLE + f"<div class=share-buttons>{TEXT}</div>", WANT),
+    (f"<article><header><h1>Title</h1></header><p>{TEXT}</p><p>{TEXT}</p></article>", WANT),
+])
+def test_links_and_names_inside_the_article(inner, want):
+    assert extract(page(inner)) == "\n\n".join(want)
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a b="x ', "<a b='x ", "</a \"", "<!-", "<", "<!x ", "<div>", "<b>", "</section>", "<a b=\"'", "<script>", "&#", "<li>"])
+@pytest.mark.parametrize("tail", ["", ">", "\">", "'\">"])
+def test_broken_markup_takes_linear_time(piece, tail):
+    html = (f"<p>{TEXT}</p>" + piece * (1_000_000 // len(piece)) + tail)
+    began = time.perf_counter()
+    extract(html)
+    assert time.perf_counter() - began < 20  # 1 MB; quadratic reading takes hours
+
+
+# the same reading of tags as one pattern, which is quadratic on broken markup
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|$)", re.S)
+
+
+def test_tags_equal_the_pattern():
+    rng = random.Random(3)
+    for _ in range(4000):
+        html = "".join(rng.choice(["<", ">", "<a", " x=", ' "', ' "', "'", "t", "<!--", "-->", "</", "/", "<!d", " ", "b1"]) for _ in range(rng.randint(0, 24)))
+        if re.search(r"<[^\s>]*[\"']", html):
+            continue  # a quote inside a name: the pattern tries shorter names
+        expected = [(*m.span(), bool(m[1]), m[2], m[3] or "") for m in TOKEN.finditer(html)]
+        tags, at, got = he.Tags(html), 0, []
+        while (token := tags.after(at)) is not None:
+            got.append(token)
+            at = token[1]
+        assert got == expected, html
+
+
+def plain(node):
+    """Characters, tags, link characters and link tags by plain recursion."""
+    def size(n, link):
+        c = t = lc = lt = 0
+        link = link or n.tag == "a"
+        for i in n.items:
+            if isinstance(i, str):
+                k = he.text_size(i)
+                c, lc = c + k, lc + (k if link else 0)
+            elif not i.away:
+                a, b, x, d = size(i, link)
+                c, t, lc, lt = c + a, t + b + 1, lc + x, lt + d + (i.tag == "a")
+        return c, t, lc, lt
+
+    out = {}
+
+    def walk(n, link):
+        out[id(n)] = size(n, link)
+        for i in n.items:
+            if not isinstance(i, str) and not i.away:
+                walk(i, link or n.tag == "a")
+
+    walk(node, False)
+    return out
+
+
+def test_densities_equal_plain_recursion(spark):
+    pages = [r["html"] for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()][:20]
+    pages += [page(ARTICLE + LINKED * 3), page(f"<a href=x>{TEXT}</a>"), "", "x", "<a>y</a>"]
+    for html in pages:
+        root = he.parse(html)
+        he.heed_marks(root)
+        want = plain(root)
+        article, threshold = he.choose(root)  # measures every node
+        nodes, stack = [], [root]
+        while stack:
+            nodes.append(stack.pop())
+            stack += [i for i in reversed(nodes[-1].items) if not isinstance(i, str) and not i.away]
+        assert {id(n) for n in nodes} == set(want)
+        body_c, _, body_lc, _ = want[id(root)]
+
+        def density(n, want=want, body_c=body_c, body_lc=body_lc):
+            c, t, lc, lt = want[id(n)]
+            if not c:
+                return 0.0
+            base = log(c * max(lc, 1) / max(c - lc, 1) + body_lc / max(body_c, 1) * c + e)
+            return max(0.0, c / max(t, 1) * log(max(c / max(lc, 1) * max(t, 1) / max(lt, 1), 1.0)) / base)
+
+        for n in nodes:
+            assert (n.chars, n.tags, n.link_chars, n.link_tags) == want[id(n)]
+            assert isclose(n.density, density(n))
+            inner = [i for i in n.items if not isinstance(i, str) and not i.away]
+            assert isclose(n.total, sum(map(density, inner)) + sum(he.text_size(i) for i in n.items if isinstance(i, str)))
+        if article is not None:
+            core, path = max(nodes, key=lambda n: n.total), []
+            while core is not None:
+                path.append(density(core))
+                core = core.parent
+            assert isclose(threshold, min(path))
