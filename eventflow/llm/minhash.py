@@ -145,11 +145,13 @@ class NearDuplicates:
         self.hashes = self.bands * self.rows
         self.least = least_matches(least_pct / 100, miss, self.hashes)
         self.texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+        self.texts = self.texts.withColumn("mark", F.xxhash64("text"))
         self.kind = self.texts.schema["id"].dataType.simpleString()
         self.prints = stored(self._prints().withColumn("row", F.monotonically_increasing_id()), "near-prints")
         # one node for each distinct set: its first row
-        sets = self.prints.filter("n_shingles > 0").groupBy("set").agg(F.min(F.struct("row", "id", "sig")).alias("r"))
-        self.nodes = stored(sets.select(F.col("r.row").alias("node"), "set", F.col("r.id").alias("id"), F.col("r.sig").alias("sig")), "near-nodes")
+        sets = self.prints.filter("n_shingles > 0").groupBy("set").agg(F.min(F.struct("row", "id", "mark", "sig")).alias("r"))
+        self.nodes = stored(sets.select(
+            F.col("r.row").alias("node"), "set", F.col("r.id").alias("id"), F.col("r.mark").alias("mark"), F.col("r.sig").alias("sig")), "near-nodes")
 
     def _prints(self) -> DataFrame:
         width, hashes = self.width, self.hashes
@@ -162,12 +164,13 @@ class NearDuplicates:
                     sig = signatures(sets, hashes)
                     yield pa.RecordBatch.from_arrays([
                         batch.column("id").slice(a, b - a),
+                        batch.column("mark").slice(a, b - a),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh128_digest(s.tobytes()) for s in sets], pa.binary()),
                         pa.array([s.tobytes() for s in sig], pa.binary()),
-                    ], ["id", "n_shingles", "set", "sig"])
+                    ], ["id", "mark", "n_shingles", "set", "sig"])
 
-        return self.texts.mapInArrow(run, f"id {self.kind}, n_shingles long, set binary, sig binary")
+        return self.texts.mapInArrow(run, f"id {self.kind}, mark long, n_shingles long, set binary, sig binary")
 
     def _bucket_rows(self) -> DataFrame:
         size = 2 * self.rows
@@ -190,9 +193,10 @@ class NearDuplicates:
         return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
     def _sets(self, wanted: DataFrame) -> DataFrame:
-        """(node, shingles): the full shingle sets of the nodes in ``wanted``."""
+        """(node, shingles): the full shingle sets of the nodes in ``wanted``.  Texts are
+        found by their hash and id, so that rows of one id, or of none, do not all meet."""
         width = self.width
-        wanted = wanted.join(self.nodes.select("node", "set", "id").hint("merge"), "node")
+        wanted = wanted.join(self.nodes.select("node", "set", "id", "mark").hint("merge"), "node")
 
         def run(batches):
             for batch in batches:
@@ -206,7 +210,8 @@ class NearDuplicates:
                         [node.take(pa.array([a + i for i in hit], pa.int64())), pa.array([sets[i].tobytes() for i in hit], pa.binary())],
                         ["node", "shingles"])
 
-        texts = self.texts.join(wanted.hint("merge"), self.texts["id"].eqNullSafe(wanted["id"])).select("node", "set", "text")
+        same = (self.texts["mark"] == wanted["mark"]) & self.texts["id"].eqNullSafe(wanted["id"])
+        texts = self.texts.join(wanted.hint("merge"), same).select("node", "set", "text")
         return stored(texts.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"]), "near-sets")
 
     def _verified(self, pairs: DataFrame) -> DataFrame:

@@ -65,12 +65,13 @@ def target_rates(docs: DataFrame, source_col: str = "source", text_col: str = "t
 
 
 def replicate(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: int = 42,
-              copies_col: str = "n_copies", copy_col: str = "copy", order_col: str = "order_key") -> DataFrame:
-    """The rows of ``docs``, each as often as drawn, in a global pseudo-random order,
-    with the columns ``n_copies`` (of the row), ``copy`` (from 0) and ``order_key``; a
+              copies_col: str = "n_copies", copy_col: str = "copy", order_col: str = "order_key", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, each as often as drawn, spread over all partitions by a hash
+    and in its order within them, with the columns ``n_copies`` (of the row), ``copy`` (from 0) and ``order_key``; a
     name that ``docs`` has already gets underscores in front.
 
-    Rows of equal id are drawn alike; a null id is drawn as the empty string; a null
+    Rows of equal id are drawn alike; a row without an id is drawn by a hash of its text,
+    so only rows alike in both are; a null
     source matches the null source of ``rates``; a source without a rate has no copies.
     An empty table gives an empty result.
     """
@@ -82,17 +83,20 @@ def replicate(docs: DataFrame, rates: DataFrame, id_col: str = "doc_id", source_
     # every source's line is laid out SALTS times, so that a source with a third of all
     # rows meets it in SALTS places
     table = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = docs.withColumn(salt, F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALTS)).cast("int"))
+    own = F.concat(F.lit("text:"), F.md5(F.col(text_col).cast("string"))) if text_col in docs.columns else F.lit("")
+    name = F.coalesce(F.col(id_col).cast("string"), own, F.lit(""))
+    place = F.when(F.col(id_col).isNull(), F.xxhash64(name)).otherwise(F.xxhash64(F.col(id_col)))
+    rows = docs.withColumn(salt, F.pmod(place, F.lit(SALTS)).cast("int"))
     joined = rows.join(table, (rows[source_col].eqNullSafe(table[key])) & (rows[salt] == table[salt]), "inner").drop(table[salt])
 
     def drawn(part):
-        u = uniform(F.lit(seed), F.col(id_col), part)
+        u = uniform(F.lit(seed), name, part)
         return F.size(F.filter(F.col(cdf), lambda c: c <= u))
 
     n = F.aggregate(F.sequence(F.lit(1), F.col(parts)), F.lit(0), lambda acc, part: acc + drawn(part))
     out = joined.withColumn(copies_col, n).filter(F.col(copies_col) > 0)
     out = out.withColumn(copy_col, F.explode(F.sequence(F.lit(0), F.col(copies_col) - 1)))
-    digest = F.md5(F.concat_ws("|", F.lit(f"{seed}:order"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col(copy_col)))
+    digest = F.md5(F.concat_ws("|", F.lit(f"{seed}:order"), name, F.col(copy_col)))
     out = out.withColumn(order_col, F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
     return (
         out.select(*[rows[c] for c in docs.columns], copies_col, copy_col, order_col)
@@ -104,4 +108,4 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
                 weights: dict | None = None, temperature: float = 0.5, scale: float = 1.0, seed: int = 42) -> DataFrame:
     """``docs`` mixed to target weights: its own columns, then n_copies, copy, order_key."""
     rates = stored(target_rates(docs, source_col, text_col, weights, temperature, scale), "mix-rates")
-    return replicate(docs, rates, id_col, source_col, seed)
+    return replicate(docs, rates, id_col, source_col, seed, text_col=text_col)

@@ -130,3 +130,17 @@ def test_components_equal_brute_force(spark):
     want = classes({i for link in links if link[0] != link[1] for i in link}, links)
     assert got == want
     assert components(df.filter(F.lit(False)), "x", "y").collect() == []
+
+
+def test_rows_without_ids_do_not_all_meet(spark):
+    """The texts of rows without an id are found one by one, not each by every row."""
+    docs = spark.range(20_000).select(
+        F.lit(None).cast("long").alias("doc_id"),
+        F.concat_ws(" ", *[F.concat(F.lit(w), F.floor(F.col("id") / 2)) for w in "abcdefghijklmnopqrst"],
+                    F.concat(F.lit("end"), F.when(F.col("id") % 2 == 0, F.lit("")).otherwise(F.col("id").cast("string")))).alias("text"))
+    work = NearDuplicates(docs, width=3, least_pct=85)
+    wanted = work.nodes.select("node")
+    assert wanted.count() == 20_000
+    sets = work._sets(wanted)
+    assert sets.count() == 20_000
+    assert work.links().count() == 10_000

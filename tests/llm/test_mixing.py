@@ -69,3 +69,15 @@ def test_clashing_names(spark):
     out = mix_sources(docs, scale=5.0)
     assert out.columns == docs.columns + ["n_copies", "_copy", "_order_key"]
     assert {r["copy"] for r in out.collect()} <= {7, 8}
+
+
+def test_rows_without_ids_meet_their_target(spark):
+    docs = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("only").alias("source"), F.concat(F.lit("text "), "id").alias("text"))
+    for scale in (1.0, 2.0, 3.0):
+        out = mix_sources(docs, scale=scale)
+        rows = out.select(F.spark_partition_id().alias("p"), "order_key", "text").collect()
+        assert abs(len(rows) - scale * 20_000) < 0.03 * scale * 20_000
+        keys = [r["order_key"] for r in rows]
+        assert len(set(keys)) > 0.99 * len(keys)  # no key gathers rows in one task
+        parts = {r["p"] for r in rows}
+        assert max(sum(r["p"] == p for r in rows) for p in parts) < 1.5 * len(rows) / len(parts)
