@@ -13,8 +13,10 @@ content, and the smallest subtree that holds all content is the article.  Blocks
 beginning and end that are below the threshold and mostly links are left out.  Elements that are never
 text (scripts, controls, hidden ones) do not count at all, nor do menus, headers, footers
 and asides.  Names of classes, ids and roles (sidebars, adverts, notices, widgets,
-comments) and forms only mark what is likely not the article: a name whose marks cover
-most of the page's text outside links is not heeded on that page.
+comments), comment microdata, articles inside an article and forms only mark what is
+likely not the article.  A name whose marks cover most of the page's text outside links is
+not heeded on that page (adverts, notices and comments: only if no paragraph is left
+without them), nor is the bare name of a control on a part without controls and links.
 """
 
 from __future__ import annotations
@@ -64,6 +66,14 @@ APART = re.compile(
     r"ads?|advert\w*|adsense|banners?|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|notifications?|alerts?|popup|"
     r"newsletter|subscribe|comments?|disqus|respond|responses?|replies|reply", re.I)
 ABOUT = frozenset("no has with without is".split())
+# names of replies beside a word for a place only; alone they may name a chapter
+THREADS = re.compile(r"discussion|conversation|feedback|reviews?", re.I)
+# bare names of parts that are controls or lists of links
+CONTROLS = re.compile(r"share|sharing|social|search|login|signup|toolbar|pagination|pager|skip", re.I)
+CONTROL_TAGS = frozenset("a input button select textarea iframe".split())
+NESTED = "article in article"
+BARE = "="  # begins the mark of an element with such a bare name
+PROSE = 140  # characters outside links that make a run of text a paragraph
 
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 STOP = re.compile(r"[>\"']")
@@ -146,22 +156,30 @@ def mark(tag: str, attributes: str) -> bool | str:
     if tag in ("article", "main"):
         return any(n.lower() == "class" and "comment" in v.lower() for n, v in ATTRIBUTE.findall(attributes)) and "comment"
     for name, value in ATTRIBUTE.findall(attributes):
-        if name.lower() not in ("class", "id", "role"):
+        name, value = name.lower(), value.strip("\"'")
+        if name == "itemprop" and value.lower() == "comment" or name == "itemtype" and value.lower().endswith("/comment"):
+            return "comment"
+        if name not in ("class", "id", "role"):
             continue
-        for token in value.strip("\"'").split():
+        for token in value.split():
             words = re.findall(r"[A-Z]?[a-z]+|[A-Z]+", token)
             if words and not ABOUT.intersection(w.lower() for w in words):
+                if len(words) == 1 and CONTROLS.fullmatch(token):
+                    return BARE + token.lower()
                 if AWAY.fullmatch(words[-1]):
                     return words[-1].lower()
                 if AWAY.fullmatch(words[0]) and all(PLACES.fullmatch(w) or AWAY.fullmatch(w) for w in words[1:]):
                     return words[0].lower()
+                if len(words) > 1 and THREADS.fullmatch(words[0]) and all(PLACES.fullmatch(w) for w in words[1:]):
+                    return "comments"
     return False
 
 
 def heed_marks(root: Node) -> None:
     """Marks that cover more than half of the page's text outside links are taken back,
-    those of adverts, notices and replies if they leave less than a tenth; then those
-    below them are judged."""
+    those of adverts, notices and replies if they leave less than a tenth and no
+    paragraph; then those below them are judged.  Bare names of controls count only on
+    elements that hold a control or a link."""
     # text outside links of every node, of all that may be text
     order, stack = [], [(root, False)]
     while stack:
@@ -171,22 +189,32 @@ def heed_marks(root: Node) -> None:
     if not any(node.away for node, _ in order):
         return
     size: dict[int, int] = {}
+    controls: set[int] = set()  # elements that are or hold a control or a link
     for node, in_link in reversed(order):
         size[id(node)] = 0 if in_link else sum(
             text_size(i) if isinstance(i, str) else size.get(id(i), 0) for i in node.items)
+        held = any(isinstance(i, Node) and (i.tag in CONTROL_TAGS or id(i) in controls) for i in node.items)
+        if held or node.tag in CONTROL_TAGS:
+            controls.add(id(node))
+        if isinstance(node.away, str) and node.away.startswith(BARE):
+            node.away = held and node.away[len(BARE):]
     total = size[id(root)]
     lifted: set[str] = set()
     while True:
         covered: dict[str, int] = {}
+        prose = False  # a paragraph outside all marks
         stack = [root]
         while stack:
-            for i in stack.pop().items:
+            node = stack.pop()
+            prose = prose or node.tag == "p" and size[id(node)] >= PROSE
+            for i in node.items:
                 if isinstance(i, Node) and i.away is not True:
                     if i.away and i.away not in lifted:
                         covered[i.away] = covered.get(i.away, 0) + size[id(i)]
                     else:
                         stack.append(i)
-        more = {name for name, n in covered.items() if (10 * n > 9 * total if APART.fullmatch(name) else 2 * n > total)}
+        more = {name for name, n in covered.items()
+                if (10 * n > 9 * total and not prose if APART.fullmatch(name) else 2 * n > total)}
         if not more:
             break
         lifted |= more
@@ -258,7 +286,10 @@ def parse(html: str) -> Node:
                     node = close(up)
         # the header of an article holds its title
         own = tag == "header" and opened["article"] > 0 and not _hidden(attributes)
-        child = Node(tag, node, False if own else mark(tag, attributes))
+        away = False if own else mark(tag, attributes)
+        if tag == "article" and opened["article"] > 0 and not away:
+            away = NESTED  # by the standard: a comment on the outer one, or the like
+        child = Node(tag, node, away)
         node.items.append(child)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS and tag not in RAW:
             continue

@@ -84,6 +84,28 @@ def test_names_only_mark(body, want):
     assert extract(page(body)) == "\n\n".join(want)
 
 
+SHORT = "A reader said a few words about it here."
+
+
+@pytest.mark.parametrize("inner, want", [
+    # a short article under comments many times as long
+    (f"<h1>Title</h1><p>{TEXT}</p><div class=comments>" + f"<div><b>Joe</b><p>{TEXT}</p></div>" * 15 + "</div>", ["Title", TEXT.strip()]),
+    # comments under other names, by microdata, and as articles of the article
+    (ARTICLE + f"<div class=discussion-thread><p>{TEXT}</p></div>", WANT),
+    (ARTICLE + f"<ul><li itemprop='comment'><p>{TEXT}</p></ul>", WANT),
+    (ARTICLE + f"<div itemscope itemtype='https://schema.org/Comment'><p>{TEXT}</p></div>", WANT),
+    (f"<article>{ARTICLE}<section><article><p>{SHORT}</p></article><article><p>{SHORT}</p></article></section></article>", WANT),
+    # but not what only looks like them
+    (f"<article><article>{ARTICLE}</article></article>", WANT),
+    (f"<h1>Title</h1><p>{TEXT}</p><section id=discussion><p>{TEXT}</p></section>", WANT),
+    (f"<h1>Title</h1><div class=search><p>{TEXT}</p></div><p>{TEXT}</p>", WANT),
+    (ARTICLE + "<div class=search>Find more of our many stories here <input> <button>Go</button></div>", WANT),
+    (f"<div class='comments'>{ARTICLE}</div>", WANT),
+])
+def test_comments_and_controls(inner, want):
+    assert extract(page(inner)) == "\n\n".join(want)
+
+
 LINKED = "<p>See <a href=/x>The very long title of another work that this one cites at length</a></p>"
 
 
