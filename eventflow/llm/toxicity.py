@@ -139,6 +139,24 @@ class Toxicity:
         return score
 
 
+def gradients(params, sub: np.ndarray, bag: np.ndarray, n_bags: int, target: np.ndarray, weight: np.ndarray, decay: float):
+    """Of the weighted softmax loss plus ``decay`` / 2 times the squares of embeddings and
+    output layer, by (embeddings, output layer, bias).  ``sub`` are subwords' buckets and
+    ``bag`` their bags in ascending order; no bag is empty."""
+    emb, out, bias = params
+    size = np.maximum(np.bincount(bag, minlength=n_bags), 1)
+    hidden = np.add.reduceat(emb[sub], np.searchsorted(bag, np.arange(n_bags))) / size[:, None]
+    logits = hidden @ out + bias
+    logits -= logits.max(1, keepdims=True)
+    p = np.exp(logits)
+    p /= p.sum(1, keepdims=True)
+    p[np.arange(n_bags), target] -= 1
+    g = p * weight[:, None]
+    back = (g @ out.T) / size[:, None]
+    by_bucket = np.stack([np.bincount(sub, back[bag, d], len(emb)) for d in range(emb.shape[1])], 1)
+    return [by_bucket + decay * emb, hidden.T @ g + decay * out, g.sum(0)]
+
+
 def train(texts: list, labels: np.ndarray, buckets: int = 1 << 17, dim: int = 8, span: int = 8, rounds: int = 80,
           rate: float = 0.5, decay: float = 1e-6, seed: int = 1) -> Toxicity:
     """Joint training of embeddings and softmax by momentum steps whose length is set per
@@ -209,17 +227,7 @@ def train(texts: list, labels: np.ndarray, buckets: int = 1 << 17, dim: int = 8,
         k = count[word]
         sub = flat[np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k) + np.repeat(word_start[word], k)]
         bag = np.repeat(np.repeat(np.arange(len(n)), n), k)
-        size = np.maximum(np.bincount(bag, minlength=len(n)), 1)
-        hidden = np.add.reduceat(emb[sub], np.searchsorted(bag, np.arange(len(n)))) / size[:, None]
-        logits = hidden @ out + bias
-        logits -= logits.max(1, keepdims=True)
-        p = np.exp(logits)
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(len(n)), target] -= 1
-        g = p * weight[:, None]
-        back = (g @ out.T) / size[:, None]
-        grad = np.stack([np.bincount(sub, back[bag, d], buckets) for d in range(dim)], 1) + decay * emb
-        grads = [grad, hidden.T @ g + decay * out, g.sum(0)]
+        grads = gradients(params, sub, bag, len(n), target, weight, decay)
         for i, (w, gr) in enumerate(zip(params, grads, strict=True)):
             moment[i] = 0.9 * moment[i] + 0.1 * gr
             square[i] = 0.95 * square[i] + 0.05 * float(np.square(gr).max())
@@ -243,23 +251,34 @@ def train(texts: list, labels: np.ndarray, buckets: int = 1 << 17, dim: int = 8,
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-                 max_per_label: int = 2_000, max_train_chars: int = 20_000) -> Toxicity:
+                 max_per_label: int = 4_000, max_chars: int = 16_000_000) -> Toxicity:
     """A model of ``label_col`` = 1, trained on at most ``max_per_label`` rows of each
-    label, the first in the order of a hash of their ids among those with a text of at most
-    ``max_train_chars`` characters (both bound the driver's memory; scoring has no such
-    bounds).  Rows with a null id or label are not used; of contradicting labels the
-    highest holds."""
+    label, the first in the order of a hash of their ids among those with a text, and at
+    most half of ``max_chars`` characters a label: rows are taken in that order, each with
+    its whole text, and one that does not fit into what is left is passed over.  Both
+    bound the driver's memory; scoring has no such bounds.  Rows with a null id or label
+    are not used; of contradicting labels the highest holds; an id with several rows of
+    text stands for each of them."""
     known = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropna()
         .groupBy("id").agg(F.max("label").alias("label")))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.length("text") <= max_train_chars)
-    known = known.join(texts.select("id"), "id", "left_semi")
-    order = (F.xxhash64("id"), F.col("id"))
-    sample = known.filter("label = 1").orderBy(*order).limit(max_per_label).unionByName(
-        known.filter("label = 0").orderBy(*order).limit(max_per_label))
-    # bounded by 2 * max_per_label rows, so it may be broadcast
-    rows = texts.join(F.broadcast(sample), "id").orderBy(F.xxhash64("id"), "text").limit(2 * max_per_label).toPandas()
-    return train(rows["text"].tolist(), rows["label"].to_numpy())
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    # only ids and sizes are shuffled; texts are read once more, for the chosen rows
+    sizes = texts.filter(F.col("text").isNotNull()).select("id", F.length("text").alias("size"))
+    sizes = sizes.join(known.hint("merge"), "id").withColumn("place", F.xxhash64("id"))
+    order = ("place", "id", "size")
+    first = sizes.filter("label = 1").orderBy(*order).limit(max_per_label).unionByName(
+        sizes.filter("label = 0").orderBy(*order).limit(max_per_label))
+    chosen, left = [], {0: max_chars // 2, 1: max_chars // 2}
+    for row in sorted(first.collect(), key=lambda r: (r["place"], r["id"], r["size"])):
+        if row["size"] <= left[row["label"]]:
+            chosen.append((row["id"], row["size"], row["label"]))
+            left[row["label"]] -= row["size"]
+    wanted = docs.sparkSession.createDataFrame(sorted(set(chosen)), first.select("id", "size", "label").schema)
+    # at most 2 * max_per_label rows on the broadcast side; rows alike in id and size are cut to the sample's number
+    rows = texts.withColumn("size", F.length("text")).join(F.broadcast(wanted), ["id", "size"])
+    sample = rows.orderBy(F.xxhash64("id"), "id", "size", "text").limit(len(chosen)).select("text", "label").toPandas()
+    return train(sample["text"].tolist(), sample["label"].to_numpy())
 
 
 def toxicity_scores(docs: DataFrame, model: Toxicity, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventflow.llm.quality import FALLING, FEATURES, fit_quality, fit_trees, keep_quality, quality_verdicts, statistics
+from eventflow.llm.queries import op9_quality_rules
 from tests.conftest import SF_SMALL
 
 TEXTS = ["", None, " \t\n", "a b c a b c", "a a a a a", "a b c d", "x\ny\nx\n\nx \n \n", "#*$ %&| <> #", "a\x0bb\x0cc\rd",
@@ -75,3 +76,38 @@ def test_held_out_accuracy(spark):
     rows = quality_verdicts(docs, trees).join(truth, "id").collect()
     right = [(r["quality"] >= 0.5) == (r["good"] == 1) for r in rows]
     assert len(right) > 100 and np.mean(right) > 0.97
+
+
+def brute_features(text):
+    n, chars, symbols, dup, repeat = brute(text)
+    if not n:
+        return [0.0] * len(FEATURES)
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    filled = sum(bool(re.search(r"[^\x20\x09-\x0D]", line)) for line in text.split("\n"))
+
+    def times(chars):
+        return len(re.findall(f"[{chars}]", text))
+
+    return [np.log1p(n), chars / n, len(set(words)) / n, n / filled, times("A-Z") / chars, times("0-9") / chars, times(",.") / n,
+            symbols / n, times("!") / n, times("|") / n, dup / filled, repeat / n]
+
+
+def test_whole_verdict_equals_walking_the_trees(spark):
+    docs, labels = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    trees = fit_quality(docs, labels)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = op9_quality_rules(spark, SF_SMALL).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    for r in rows:
+        text, margin = texts[r["doc_id"]], trees.base
+        x = brute_features(text)
+        for node in trees.roots:
+            while trees.feature[node] >= 0:
+                node = trees.left[node] if x[trees.feature[node]] <= trees.threshold[node] else trees.right[node]
+            margin += trees.value[node]
+        counts = brute(text)
+        failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == counts
+        assert r["base_failed"] == failed and np.isclose(r["quality"], 1 / (1 + np.exp(-margin)))
+        assert r["kept"] == (not failed and margin >= 0)
+    assert 0 < sum(r["kept"] for r in rows) < len(rows)

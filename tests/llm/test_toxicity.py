@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from eventflow.llm.queries import op5_toxicity
-from eventflow.llm.toxicity import fit_toxicity, subwords, top_runs, toxicity_scores, train
+from eventflow.llm.toxicity import GRAMS, fit_toxicity, gradients, subwords, top_runs, toxicity_scores, train
 
 SF = "/root/testdata/sf0.01"
 
@@ -90,10 +90,79 @@ def test_edge_cases(spark):
     assert [r["id"] for r in toxicity_scores(docs.filter(F.col("doc_id") == 1), model).collect()] == [1]
 
 
-def test_rows_without_usable_text_are_replaced_in_the_sample(spark, monkeypatch):
+def test_the_sample_is_whole_texts_within_its_bounds(spark, monkeypatch):
     got = {}
     monkeypatch.setattr("eventflow.llm.toxicity.train", lambda texts, labels: got.update(texts=texts, labels=labels.tolist()))
-    docs = spark.createDataFrame([(i, None if i % 4 == 0 else "long " * 9 if i % 4 == 1 else f"ok {i}") for i in range(80)], "doc_id long, text string")
-    labels = spark.createDataFrame([(i, i // 2 % 20 % 2 if i >= 80 else int(i < 40)) for i in range(160)], "doc_id long, toxic int")
-    fit_toxicity(docs, labels, max_per_label=15, max_train_chars=20)
-    assert sorted(got["labels"]) == [0] * 15 + [1] * 15 and all(t.startswith("ok") for t in got["texts"])
+    docs = spark.createDataFrame([(i, None if i % 4 == 0 else "long " * 20 if i == 5 else f"text {i:03}") for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(160)], "doc_id long, toxic int")
+    fit_toxicity(docs, labels, max_per_label=15)  # rows without a text are replaced
+    assert sorted(got["labels"]) == [0] * 15 + [1] * 15 and None not in got["texts"]
+    fit_toxicity(docs, labels, max_per_label=60, max_chars=100)  # 50 a label: what does not fit is passed over, nothing is cut
+    assert sorted(got["labels"]) == [0] * 6 + [1] * 6 and all(len(t) == 8 for t in got["texts"])
+    fit_toxicity(docs, labels, max_per_label=60)
+    assert sorted(got["labels"]) == [0] * 30 + [1] * 30 and "long " * 20 in got["texts"]
+    fit_toxicity(docs.unionByName(docs), labels, max_per_label=200)  # rows that share an id
+    assert len(got["texts"]) == 120
+
+
+def test_gradients_equal_differences_of_the_loss():
+    rng = np.random.default_rng(2)
+    params = [rng.normal(0, 0.5, (7, 3)), rng.normal(0, 0.5, (3, 2)), rng.normal(0, 0.5, 2)]
+    bags, target, weight, decay = [[0, 1, 1, 4], [5], [2, 6, 0]], np.array([1, 0, 1]), np.array([0.5, 0.2, 0.3]), 0.01
+
+    def loss():
+        emb, out, bias = params
+        total = decay / 2 * (np.square(emb).sum() + np.square(out).sum())
+        for own, y, w in zip(bags, target, weight, strict=True):
+            z = np.mean([emb[i] for i in own], axis=0) @ out + bias
+            total += w * (np.log(np.exp(z).sum()) - z[y])
+        return total
+
+    sub = np.array([i for own in bags for i in own])
+    bag = np.array([k for k, own in enumerate(bags) for _ in own])
+    for param, grad in zip(params, gradients(params, sub, bag, len(bags), target, weight, decay), strict=True):
+        for at in np.ndindex(param.shape):
+            kept, step = param[at], 1e-5
+            param[at] = kept + step
+            above = loss()
+            param[at] = kept - step
+            below = loss()
+            param[at] = kept
+            assert np.isclose(grad[at], (above - below) / (2 * step), atol=1e-8)
+
+
+def one_by_one(word, buckets):
+    """A word's buckets, number by number."""
+    full = (1 << 64) - 1
+    code = [ord(c) for c in f"<{word}>"]
+    hashes = []
+    for n in GRAMS:
+        for i in range(len(code) - n + 1):
+            value = 0
+            for k in range(n):
+                value = ((value ^ (code[i + k] + 0x9E37)) * 0x100000001B3 + k + 1) & full
+            hashes.append(value)
+    hashes.append(sum(c * pow(0x9E3779B97F4A7C15, j + 1, 1 << 64) for j, c in enumerate(code)) & full)
+    return [((((h ^ (h >> 31)) * 0xBF58476D1CE4E5B9) & full) >> 20) % buckets for h in hashes]
+
+
+def test_scores_equal_plain_counting_of_every_run(spark):
+    docs, labels = (spark.read.parquet(f"{SF.replace('0.01', '0.001')}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(-1, None), (-2, " "), (-3, "ü😀 x")], "doc_id long, text string"))
+    model = fit_toxicity(docs, labels)
+    known = {}
+
+    def word_of(w):
+        if w not in known:
+            own = one_by_one(w, len(model.weight))
+            known[w] = (sum(model.weight[b] for b in own), len(own))
+        return known[w]
+
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in toxicity_scores(docs, model).collect():
+        words = [word_of(w) for w in (texts[r["id"]] or "").lower().split()]
+        runs = [words[k : k + model.span] for k in range(max(1, len(words) - model.span + 1)) if words]
+        best = max((sum(v for v, _ in run) / sum(n for _, n in run) for run in runs), default=0.0)
+        margin = min(max(model.slope * (best + model.bias) + model.shift, -40), 40)
+        assert np.isclose(r["score"], 1 / (1 + np.exp(-margin)), rtol=1e-6)
+        assert r["predicted"] == (r["score"] >= 0.5)
